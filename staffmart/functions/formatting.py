@@ -36,7 +36,9 @@ def datetime_label_12h(c: str | Column) -> Column:
 
 
 def clamp(c: str | Column, lo: float = 0.0, hi: float = 100.0) -> Column:
-    return F.greatest(F.least(col(c), F.lit(hi)), F.lit(lo))
+    """``y < lo ? lo : y > hi ? hi : y`` (NULL stays NULL)."""
+    v = col(c)
+    return F.when(v < lo, F.lit(lo)).when(v > hi, F.lit(hi)).otherwise(v)
 
 
 def with_unit(c: str | Column, decimals: int, unit: str) -> Column:

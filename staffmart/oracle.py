@@ -10,7 +10,15 @@ from __future__ import annotations
 
 from staffmart.config import FTE_SCALE, FTE_TOTAL_LABEL, ROWPCT_TOTAL_LABEL, TOTAL_LABEL
 from staffmart.plans.reports import ABSENCE_COLUMNS, FTE_COLUMNS
-from staffmart.plans.registry import CONTROL_DIVISION, KPI_CODE, KPI_ITEM, KPI_ITEM5, KPI_SINCE_CODE
+from staffmart.plans.registry import (
+    CONTROL_DIVISION,
+    KPI_CODE,
+    KPI_ITEM,
+    KPI_ITEM5,
+    KPI_SINCE_CODE,
+    KPI_SINCE_MONTHS,
+    ROLLING_N,
+)
 
 BINDING = f"""
 params AS (
@@ -79,6 +87,19 @@ dwh_budgetplaatsen AS (
   SELECT n_name AS kostenplaats_code, CASE WHEN r_name <> 'MIDDLE EAST' THEN r_name END AS zorgbedrijf
   FROM nation JOIN region ON n_regionkey = r_regionkey
 ),
+dwh_dashboard AS (
+  SELECT strftime(o_orderdate, '%Y%m') AS rap_periode, o_orderpriority AS rap_item, o_orderstatus AS rap_code,
+         count(*) AS rap_waarde,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'MGT_RAP' ELSE 'AFD_RAP' END AS rap_item5
+  FROM orders GROUP BY 1, 2, 3, 5
+),
+afas_mdw_formatie AS (SELECT o_custkey AS medewerker_id, o_orderstatus AS dienstbetrekking FROM orders),
+afas_dienstperiodes AS (
+  SELECT o_custkey AS medewerker_id, CAST(o_orderdate AS DATE) AS datum_in,
+         CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS reden_uit_dienst_code
+  FROM orders
+),
+events_d AS (SELECT *, CAST(ts AS DATE) AS dag FROM events),
 afas_dienstbetrekking AS (
   SELECT * FROM (VALUES ('F', 'Vast dienstverband'), ('O', 'Oproepcontract')) AS t(tabelwaarde_code, omschrijving)
 ),
@@ -357,4 +378,141 @@ FROM r GROUP BY jaar"""
 SELECT '{ROWPCT_TOTAL_LABEL}' AS divisie, jaar,
        {_pct('sum(dagen_ziek_ex_zwanger)', 'sum(dienstverband_dagen)')} AS verzuim_ex_zwanger
 FROM mart, params p WHERE jaar = CAST(p.cur AS VARCHAR) AND dagen_ziek_ex_zwanger > 0 GROUP BY jaar"""
+    q["fte_mart_ytd_selfjoin"] = q["fte_mart_ytd"]
+    q["kpi_lookup"] = _with() + f"""
+SELECT d.* FROM dwh_dashboard d, params p
+WHERE d.rap_periode = strftime(p.einddatum, '%Y%m') AND d.rap_item = '{KPI_ITEM}' AND d.rap_code = '{KPI_CODE}'"""
+    q["kpi_since"] = _with() + f"""
+SELECT d.* FROM dwh_dashboard d, params p
+WHERE d.rap_code = '{KPI_SINCE_CODE}' AND d.rap_item5 = '{KPI_ITEM5}'
+  AND CAST(d.rap_periode AS INTEGER) > CAST(strftime(p.einddatum - INTERVAL {KPI_SINCE_MONTHS} MONTH, '%Y%m') AS INTEGER)"""
+    for name, src in (("relation_counts_formatie", "afas_mdw_formatie"), ("relation_counts_contracts", "dim_dienstverbanden")):
+        q[name] = _with() + f"""
+SELECT s.dienstbetrekking, l.omschrijving, count(*) AS aantal
+FROM {src} s LEFT JOIN afas_dienstbetrekking l ON s.dienstbetrekking = l.tabelwaarde_code
+GROUP BY 1, 2"""
+    q["relation_enrich"] = _with() + """
+SELECT d.dienstverband_id, d.werkgever_code, d.dienstbetrekking, d.type_werknemer,
+       CASE WHEN l.tabelwaarde_code IS NOT NULL THEN l.omschrijving ELSE d.dienstbetrekking_oms END AS dienstbetrekking_oms
+FROM dim_dienstverbanden d LEFT JOIN afas_dienstbetrekking l ON d.dienstbetrekking = l.tabelwaarde_code"""
+    q["leave_reasons"] = _with() + "\nSELECT DISTINCT reden_uit_dienst_code FROM afas_dienstperiodes"
+    q["duplicate_load_contracts"] = _with() + """
+SELECT 'dim_dienstverbanden' AS tabel, CAST(sum(n) AS BIGINT) AS rijen, CAST(count(*) AS BIGINT) AS unieke_rijen,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS dubbele_rijen, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS dubbele_groepen
+FROM (SELECT count(*) AS n FROM dim_dienstverbanden
+      GROUP BY dienstverband_id, werkgever_code, dienstbetrekking, type_werknemer, dienstbetrekking_oms)"""
+    dims = (("ref_datum", "maand_id"), ("dim_medewerker_functies", "medewerker_functie_id"),
+            ("dim_organisatie_eenheid", "organisatie_eenheid_id"), ("dim_dienstverbanden", "dienstverband_id"),
+            ("dim_medewerkers", "medewerker_id"), ("dwh_budgetplaatsen", "kostenplaats_code"))
+    q["dimension_key_duplicates"] = _with() + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS tabel, CAST({k} AS VARCHAR) AS sleutel, count(*) AS aantal FROM {t} GROUP BY {k} HAVING count(*) > 1"
+        for t, k in dims
+    )
+    q["mart_reconciliation"] = _with(STAGING, _mart()) + """,
+src AS (
+  SELECT jaar, sum(d) AS bron_dagen, sum(z) AS bron_ziek FROM (
+    SELECT substr(CAST(periode AS VARCHAR), 1, 4) AS jaar, dienstverband_dagen AS d, CAST(0 AS DECIMAL(18,6)) AS z FROM actual_rows
+    UNION ALL
+    SELECT substr(periode, 1, 4), CAST(0 AS DECIMAL(18,6)), dagen_ziek_ex_zwanger FROM sick_rows)
+  GROUP BY jaar
+),
+tgt AS (SELECT jaar, sum(dienstverband_dagen) AS mart_dagen, sum(dagen_ziek_ex_zwanger) AS mart_ziek FROM mart GROUP BY jaar)
+SELECT coalesce(s.jaar, t.jaar) AS jaar, CAST(bron_dagen AS DOUBLE) AS bron_dagen, CAST(mart_dagen AS DOUBLE) AS mart_dagen,
+       CAST(bron_ziek AS DOUBLE) AS bron_ziek, CAST(mart_ziek AS DOUBLE) AS mart_ziek,
+       (bron_dagen = mart_dagen AND bron_ziek = mart_ziek) AS sluit
+FROM src s FULL JOIN tgt t ON s.jaar = t.jaar"""
+    q["zero_denominators"] = _with(STAGING, _mart()) + f"""
+SELECT 'maanden_zonder_dagen' AS controle, CAST(count(*) FILTER (WHERE aantal_dagen_maand IS NULL OR aantal_dagen_maand <= 0) AS BIGINT) AS aantal FROM ref_datum
+UNION ALL
+SELECT 'maanden_afwijkende_lengte', CAST(count(*) FILTER (WHERE aantal_dagen_maand > 0 AND {FTE_SCALE} % aantal_dagen_maand <> 0) AS BIGINT) FROM ref_datum
+UNION ALL
+SELECT 'mart_rijen_zonder_dagen', CAST(count(*) FILTER (WHERE coalesce(dienstverband_dagen, 0) <= 0) AS BIGINT) FROM mart
+UNION ALL
+SELECT 'mart_rijen', CAST(count(*) AS BIGINT) FROM mart"""
+    q["unknown_member_rate"] = _with(STAGING) + """
+SELECT CAST(count(*) AS BIGINT) AS rijen,
+       avg(CASE WHEN medewerker_id = 'Onbekend' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS medewerker_id_onbekend,
+       avg(CASE WHEN kostenplaats_code = 'Onbekend' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS kostenplaats_code_onbekend,
+       avg(CASE WHEN functiecode = 'Onbekend' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS functiecode_onbekend
+FROM actual_rows"""
+    q["unmatched_relations"] = _with() + """
+SELECT d.dienstbetrekking, count(*) AS aantal FROM dim_dienstverbanden d
+WHERE NOT EXISTS (SELECT 1 FROM afas_dienstbetrekking l WHERE l.tabelwaarde_code = d.dienstbetrekking)
+GROUP BY 1"""
+    q["unmatched_cost_centres"] = _with(STAGING, _mart()) + """
+SELECT m.kostenplaats_code, count(*) AS aantal FROM mart m
+WHERE NOT EXISTS (SELECT 1 FROM dwh_budgetplaatsen b WHERE b.kostenplaats_code = m.kostenplaats_code)
+GROUP BY 1"""
+    q["quarterly_series"] = _with(STAGING, _mart()) + f"""
+SELECT jaar || ' Q' || CAST(CAST(ceil(CAST(maand AS INTEGER) / 3) AS BIGINT) AS VARCHAR) AS periode,
+       {_fte('sum(fte_units)')} AS fte_maanden, {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen,
+       {_dbl('sum(CASE WHEN dagen_ziek_ex_zwanger > 0 THEN dagen_ziek_ex_zwanger END)')} AS dagen_ziek_ex_zwanger
+FROM mart GROUP BY 1"""
+    by_div = """,
+zdiv AS (
+  SELECT coalesce(b.zorgbedrijf, 'Onbekend') AS label, sum(m.z) AS z
+  FROM (SELECT kostenplaats_code, sum(dagen_ziek_ex_zwanger) AS z FROM mart GROUP BY 1) m
+  JOIN dwh_budgetplaatsen b ON m.kostenplaats_code = b.kostenplaats_code
+  GROUP BY 1
+)"""
+    q["sick_days_by_division"] = _with(STAGING, _mart(), by_div) + f"\nSELECT label, {_dbl('z')} AS value FROM zdiv"
+    share = f"{_pct('z', 'sum(z) OVER ()')}"
+    q["sick_share_by_division"] = _with(STAGING, _mart(), by_div) + f"\nSELECT label, {_dbl('z')} AS value, {share} AS pct FROM zdiv"
+    q["budget_vs_actual_by_year"] = _with(STAGING, _mart(include_budget=True)) + f"""
+SELECT jaar AS y, {_fte('sum(fte_begroot_units)')} AS a, {_fte('sum(fte_units)')} AS b FROM mart GROUP BY jaar"""
+    q["days_by_year"] = _with(STAGING, _mart()) + f"""
+SELECT jaar AS y, {_dbl('sum(dagen_ziek_ex_zwanger)')} AS a, {_dbl('sum(dienstverband_dagen)')} AS b FROM mart GROUP BY jaar"""
+    q["daily_two_series"] = _with() + """,
+a AS (SELECT dag, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS a_waarde FROM events_d WHERE event_type = 'purchase' GROUP BY dag),
+b AS (SELECT dag, count(*) AS b_aantal FROM events_d WHERE event_type = 'view' GROUP BY dag)
+SELECT strftime(coalesce(a.dag, b.dag), '%Y-%m-%d') AS dag, epoch_ms(CAST(coalesce(a.dag, b.dag) AS TIMESTAMP)) AS x_ms,
+       a.a_waarde, b.b_aantal
+FROM a FULL JOIN b ON a.dag = b.dag"""
+    q["daily_bars"] = _with() + """
+SELECT strftime(dag, '%Y-%m-%d') AS dag, epoch_ms(CAST(dag AS TIMESTAMP)) AS x_ms, strftime(dag, '%m/%d') AS label,
+       count(*) AS aantal
+FROM events_d GROUP BY dag"""
+    q["latest_rows"] = _with() + """
+SELECT event_id AS id, strftime(ts, '%Y-%m-%d') AS datum, strftime(ts, '%H:%M') AS tijd, value AS aantal
+FROM events ORDER BY event_id DESC LIMIT 8"""
+    q["load_feed"] = _with() + """
+SELECT CASE WHEN fouten > 0 THEN 'problem loading data' ELSE 'data loaded' END AS status,
+       strftime(ts, '%-d-%-m-%Y %-H:%M') AS tijd, fouten
+FROM (SELECT dag, max(ts) AS ts, count(*) FILTER (WHERE event_type = 'error') AS fouten FROM events_d GROUP BY dag)
+ORDER BY ts DESC LIMIT 8"""
+    q["absence_current_year"] = _with(STAGING, _mart(), MONTHLY) + f"""
+SELECT CAST(maand AS INTEGER) AS maand, zv, zvc FROM monthly, params p
+WHERE divisie = '{TOTAL_LABEL}' AND jaar = CAST(p.cur AS VARCHAR)"""
+    q["absence_by_year"] = _with(STAGING, _mart()) + f"""
+SELECT jaar, {_pct('sum(dagen_ziek_ex_zwanger)', 'sum(dienstverband_dagen)')} AS verzuim_ex_zwanger FROM mart GROUP BY jaar"""
+    q["absence_by_function"] = _with(STAGING, _mart()) + f""",
+g AS (SELECT functie_code, sum(dagen_ziek_ex_zwanger) AS z FROM mart GROUP BY 1)
+SELECT functie_code AS label, {_dbl('z')} AS value, {share} AS pct FROM g"""
+    q["contracts_by_relation"] = _with() + f""",
+g AS (
+  SELECT substr(CAST(f.maand_id AS VARCHAR), 1, 4) AS jaar, d.dienstbetrekking, count(DISTINCT f.dienstverband_id) AS contracten
+  FROM fact_fte_realisatie f JOIN dim_dienstverbanden d ON f.dienstverband_id = d.dienstverband_id, params p
+  WHERE f.maand_id BETWEEN p.prv * 100 + 1 AND p.cur * 100 + 12
+  GROUP BY 1, 2
+)
+SELECT jaar, dienstbetrekking, contracten, {_pct('contracten', 'sum(contracten) OVER (PARTITION BY jaar)')} AS pct FROM g"""
+    q["service_years"] = _with() + """,
+s AS (SELECT medewerker_id, min(datum_in) AS start FROM afas_dienstperiodes GROUP BY 1)
+SELECT CAST(year(p.einddatum) - year(start)
+            - CASE WHEN month(p.einddatum) < month(start)
+                     OR (month(p.einddatum) = month(start) AND day(p.einddatum) < day(start)) THEN 1 ELSE 0 END
+            AS INTEGER) AS dienstjaren,
+       count(*) AS medewerkers
+FROM s, params p GROUP BY 1"""
+    q["rolling_buffer"] = _with() + f""",
+r AS (
+  SELECT user_id, event_id, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events
+),
+k AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS cnt FROM r WHERE rn <= {ROLLING_N})
+SELECT user_id, CAST(cnt - rn AS INTEGER) AS x,
+       CASE WHEN value < 0 THEN 0.0 WHEN value > 100 THEN 100.0 ELSE value END AS y, event_id
+FROM k"""
+    q["rolling_buffer_stream"] = q["rolling_buffer"]
     return q

@@ -6,6 +6,7 @@ the facts to the report years at the scan, and returns an unevaluated DataFrame.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,15 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staffmart.config import MartOptions, ReportYears
 from staffmart.operators import mart as M
+from staffmart.operators import quality as Q
 from staffmart.operators import staging as S
+from staffmart.plans import charts as G
 from staffmart.plans import reports as R
-from staffmart.sources.binding import EXCLUSIONS, SyntheticTables, bind
-from staffmart.sources.params import report_years
+from staffmart.sources.binding import EXCLUSIONS, SyntheticTables, bind, read_raw
+from staffmart.sources.loaders import inventory
+from staffmart.sources.params import report_period
+from staffmart.streaming.rolling import rolling_stream_result
 
 # Division shown by the per-division control query (R2) in this binding.
 CONTROL_DIVISION = "EUROPE"
 # KPI filters of the dashboard lookups (R11) in this binding.
 KPI_ITEM, KPI_CODE, KPI_SINCE_CODE, KPI_ITEM5 = "1-URGENT", "F", "O", "MGT_RAP"
+KPI_SINCE_MONTHS = 3
+# Length of the rolling per-user buffer (T1) and of the top-n lists.
+ROLLING_N = 5
+TOP_N = 8
 
 OPTIONS = MartOptions(exclusions=EXCLUSIONS)
 
@@ -30,6 +39,9 @@ OPTIONS = MartOptions(exclusions=EXCLUSIONS)
 class Context:
     tables: SyntheticTables
     years: ReportYears
+    end_date: dt.date
+    sf_dir: str
+    events: DataFrame
     options: MartOptions = OPTIONS
 
     def mart(self, include_budget: bool = False) -> DataFrame:
@@ -39,8 +51,14 @@ class Context:
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
     t = bind(spark, sf_dir)
-    years = report_years(t.dwh_rap_periode)
-    return Context(t.for_periods(years.first_month, years.last_month), years)
+    end_date, years = report_period(t.dwh_rap_periode)
+    return Context(t.for_periods(years.first_month, years.last_month), years, end_date, sf_dir,
+                   read_raw(spark, sf_dir, "events"))
+
+
+def _months_before(d: dt.date, months: int) -> int:
+    y, m = divmod(d.year * 12 + d.month - 1 - months, 12)
+    return y * 100 + m + 1
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +105,66 @@ register("absence_rowpct_pivot")(
 register("absence_rowpct_total")(lambda c: R.absence_rowpct_total(c.mart(), c.years.current))
 register("absence_total_pivot")(lambda c: R.absence_total_pivot(c.mart(), c.years.current))
 register("absence_year_total")(lambda c: R.absence_year_total(c.mart(), c.years.current))
+register("fte_mart_ytd_selfjoin")(lambda c: M.display(M.ytd_by_self_join(M.mart_totals(c.tables, c.years, c.options))))
+register("kpi_lookup")(lambda c: R.kpi_lookup(c.tables.dwh_dashboard, c.end_date.strftime("%Y%m"), KPI_ITEM, KPI_CODE))
+register("kpi_since")(
+    lambda c: R.kpi_since(c.tables.dwh_dashboard, KPI_SINCE_CODE, _months_before(c.end_date, KPI_SINCE_MONTHS), KPI_ITEM5)
+)
+register("relation_counts_formatie")(lambda c: R.relation_counts(c.tables.afas_mdw_formatie, c.tables.afas_dienstbetrekking))
+register("relation_counts_contracts")(
+    lambda c: R.relation_counts(c.tables.dim_dienstverbanden, c.tables.afas_dienstbetrekking)
+)
+register("relation_enrich")(lambda c: R.relation_enrich(c.tables.dim_dienstverbanden, c.tables.afas_dienstbetrekking))
+register("leave_reasons")(lambda c: R.leave_reasons(c.tables.afas_dienstperiodes))
+
+# ----------------------------------------------------------------------------- data quality
+register("duplicate_load_contracts")(lambda c: Q.duplicate_load(c.tables.dim_dienstverbanden, "dim_dienstverbanden"))
+register("dimension_key_duplicates")(
+    lambda c: Q.key_duplicates(c.tables.ref_datum, "ref_datum", "maand_id")
+    .unionByName(Q.key_duplicates(c.tables.dim_medewerker_functies, "dim_medewerker_functies", "medewerker_functie_id"))
+    .unionByName(Q.key_duplicates(c.tables.dim_organisatie_eenheid, "dim_organisatie_eenheid", "organisatie_eenheid_id"))
+    .unionByName(Q.key_duplicates(c.tables.dim_dienstverbanden, "dim_dienstverbanden", "dienstverband_id"))
+    .unionByName(Q.key_duplicates(c.tables.dim_medewerkers, "dim_medewerkers", "medewerker_id"))
+    .unionByName(Q.key_duplicates(c.tables.dwh_budgetplaatsen, "dwh_budgetplaatsen", "kostenplaats_code"))
+)
+register("mart_reconciliation")(
+    lambda c: Q.reconciliation(S.actual_rows(c.tables, c.years, c.options), S.sick_rows(c.tables, c.years, c.options), c.mart())
+)
+register("zero_denominators")(lambda c: Q.zero_denominators(c.tables.ref_datum, c.mart()))
+register("unknown_member_rate")(
+    lambda c: Q.unknown_member_rate(S.actual_rows(c.tables, c.years, c.options),
+                                    ["medewerker_id", "kostenplaats_code", "functiecode"])
+)
+register("unmatched_relations")(
+    lambda c: Q.unmatched(c.tables.dim_dienstverbanden, c.tables.afas_dienstbetrekking, "dienstbetrekking", "tabelwaarde_code")
+)
+register("unmatched_cost_centres")(
+    lambda c: Q.unmatched(c.mart(), c.tables.dwh_budgetplaatsen, "kostenplaats_code", "kostenplaats_code")
+)
+
+# ----------------------------------------------------------------------------- chart datasets
+register("quarterly_series")(lambda c: G.quarterly_series(c.mart()))
+register("sick_days_by_division")(lambda c: G.sick_days_by_division(c.mart(), c.tables.dwh_budgetplaatsen))
+register("sick_share_by_division")(lambda c: G.sick_share_by_division(c.mart(), c.tables.dwh_budgetplaatsen))
+register("budget_vs_actual_by_year")(lambda c: G.budget_vs_actual_by_year(c.mart(include_budget=True)))
+register("days_by_year")(lambda c: G.days_by_year(c.mart()))
+register("daily_two_series")(lambda c: G.daily_two_series(c.events))
+register("daily_bars")(lambda c: G.daily_bars(c.events))
+register("latest_rows")(lambda c: G.latest_rows(c.events, TOP_N))
+register("load_feed")(lambda c: G.load_feed(c.events, TOP_N))
+register("absence_current_year")(
+    lambda c: G.absence_current_year(R.absence_monthly(c.mart(), c.tables.dwh_budgetplaatsen), c.years.current)
+)
+register("absence_by_year")(lambda c: G.absence_by_year(c.mart()))
+register("absence_by_function")(lambda c: G.absence_by_function(c.mart()))
+register("contracts_by_relation")(
+    lambda c: G.contracts_by_relation(c.tables.fact_fte_realisatie, c.tables.dim_dienstverbanden)
+)
+register("service_years")(lambda c: G.service_years(c.tables.afas_dienstperiodes, c.end_date))
+
+# ----------------------------------------------------------------------------- streaming + catalogue
+register("rolling_buffer")(lambda c: G.rolling_buffer(c.events, ROLLING_N).drop("ts"))
+register("rolling_buffer_stream")(
+    lambda c: rolling_stream_result(c.events.sparkSession, c.sf_dir, ROLLING_N).drop("ts")
+)
+register("catalogue_inventory")(lambda c: inventory(c.tables.views()))

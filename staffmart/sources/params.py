@@ -31,3 +31,10 @@ def report_years(rap_periode: DataFrame, package: str = REPORT_PACKAGE) -> Repor
     if len(row) != 1:
         raise ValueError(f"expected exactly one report period row for {package!r}, found {len(row)}")
     return ReportYears(current=int(row[0]["cur"]), previous=int(row[0]["prv"]))
+
+
+def report_period(rap_periode: DataFrame, package: str = REPORT_PACKAGE):
+    """End date and report years from one small job."""
+    d = report_end_date(rap_periode, package)
+    prev = d.replace(year=d.year - 1) if not (d.month == 2 and d.day == 29) else d.replace(year=d.year - 1, day=28)
+    return d, ReportYears(current=d.year, previous=prev.year)

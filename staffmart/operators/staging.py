@@ -102,11 +102,12 @@ def actual_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()
     fact = t.fact_fte_realisatie.filter(
         (F.col("groepering_id") == opts.budget_group) & in_years("maand_id", years.both)
     )
+    # the contract join filters rows, so it goes first; the LEFT joins only label
     joined = (
         fact.join(calendar(t), "maand_id")
+        .join(contracts_kept(t, opts), "dienstverband_id")
         .join(functions_kept(t, opts), "medewerker_functie_id", "left")
         .join(org_units_kept(t, opts), "organisatie_eenheid_id", "left")
-        .join(contracts_kept(t, opts), "dienstverband_id")
     )
     return joined.select(
         unknown_member("medewerker_id").alias("medewerker_id"),
@@ -179,10 +180,10 @@ def sick_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions())
     fact = t.fact_fte_ziekteverzuim.filter(in_years("maand_id", years.both) & (F.col("ziektepercentage") != 0))
     joined = (
         fact.join(calendar(t), "maand_id")
+        .join(contracts_kept(t, opts), "dienstverband_id")
         .join(functions_kept(t, opts), "medewerker_functie_id")
         .join(org_units_kept(t, opts), "organisatie_eenheid_id")
         .join(t.dim_medewerkers.select("medewerker_id"), "medewerker_id")
-        .join(contracts_kept(t, opts), "dienstverband_id")
     )
     return joined.select(
         period_key("jaar", "maandnummer").alias("periode"),

@@ -28,9 +28,9 @@ params AS (
   FROM orders
 ),
 bounds AS (
-  SELECT date_trunc('month', min(d)) AS lo, date_trunc('month', max(d)) AS hi
-  FROM (SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem
-        UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders)
+  SELECT make_date(CAST(year(min(o_orderdate)) AS INTEGER), 1, 1) AS lo,
+         make_date(CAST(year(max(o_orderdate)) AS INTEGER), 12, 1) AS hi
+  FROM orders
 ),
 ref_datum AS (
   SELECT CAST(year(m) * 100 + month(m) AS INTEGER) AS maand_id,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,16 +44,29 @@ class Context:
     events: DataFrame
     options: MartOptions = OPTIONS
 
-    def mart(self, include_budget: bool = False) -> DataFrame:
-        opts = MartOptions(exclusions=self.options.exclusions, include_budget=include_budget)
-        return M.fte_mart(self.tables, self.years, opts)
-
+    _marts: dict = field(default_factory=dict, compare=False, repr=False)
 
-def context(spark: SparkSession, sf_dir: str) -> Context:
-    t = bind(spark, sf_dir)
-    end_date, years = report_period(t.dwh_rap_periode)
-    return Context(t.for_periods(years.first_month, years.last_month), years, end_date, sf_dir,
-                   read_raw(spark, sf_dir, "events"))
+    def mart(self, include_budget: bool = False) -> DataFrame:
+        """The exact mart with YTD sums; built once per context (a lazy plan, not cached data)."""
+        if include_budget not in self._marts:
+            opts = MartOptions(exclusions=self.options.exclusions, include_budget=include_budget)
+            self._marts[include_budget] = M.fte_mart(self.tables, self.years, opts)
+        return self._marts[include_budget]
+
+
+_CONTEXTS: dict[tuple[str, str], Context] = {}
+
+
+def context(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Context:
+    """Bind the tables and read the report period once per session and data folder (all
+    DataFrames are lazy, so reuse is safe)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if refresh or key not in _CONTEXTS:
+        t = bind(spark, sf_dir)
+        end_date, years = report_period(t.dwh_rap_periode)
+        _CONTEXTS[key] = Context(t.for_periods(years.first_month, years.last_month), years, end_date, sf_dir,
+                                 read_raw(spark, sf_dir, "events"))
+    return _CONTEXTS[key]
 
 
 def _months_before(d: dt.date, months: int) -> int:

@@ -1,8 +1,9 @@
 """Control totals and absence / FTE reports over the mart.
 
 Every report reads the exact mart (:func:`staffmart.operators.mart.fte_mart`). Totals are
-aggregated from the small per-cost-centre monthly aggregate, never collected: both the total and
-the per-division branch start from the same exchange, which Spark reuses.
+aggregated from the small per-cost-centre monthly aggregate, never collected; where a total and
+per-division rows come from the same figures, one aggregation produces both
+(:func:`with_total_and_divisions`), so the mart is read once.
 """
 
 from __future__ import annotations
@@ -76,6 +77,26 @@ def control_division(mart: DataFrame, lookup: DataFrame, years: ReportYears, div
 
 
 # --------------------------------------------------------------------------- R3 / R4
+def with_total_and_divisions(agg: DataFrame, lookup: DataFrame, total_label: str = TOTAL_LABEL) -> DataFrame:
+    """Label each cost-centre row with the total plus each division its cost centre maps to.
+
+    One aggregation on ``divisie`` then yields the total (every row, including cost centres
+    without a lookup row or with a NULL code) and the per-division figures of an inner join
+    (a cost centre listed twice counts twice there, once in the total). The lookup is a code
+    table, grouped to one row per cost centre and broadcast; a LEFT join infers no filter on the
+    mart side, so the mart is computed once.
+    """
+    groups = lookup.groupBy("kostenplaats_code").agg(
+        F.collect_list(F.struct(F.col("zorgbedrijf").alias("divisie"))).alias("_divisies")
+    )
+    total = F.array(F.struct(F.lit(total_label).alias("divisie")))
+    labels = F.when(F.col("_divisies").isNull(), total).otherwise(F.concat(total, F.col("_divisies")))
+    j = agg.join(F.broadcast(groups), "kostenplaats_code", "left")
+    return j.select("*", F.explode(labels).alias("_label")).select(
+        F.col("_label.divisie").alias("divisie"), *[c for c in agg.columns if c != "kostenplaats_code"]
+    )
+
+
 def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
     """Month and year-to-date absence % for the whole organisation and per division.
 
@@ -83,16 +104,8 @@ def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
     a lookup row (e.g. 'Onbekend') count only in the total. ``zvc`` is the ratio of the summed
     year-to-date averages; within a month the divisor is the same for every row and cancels.
     """
-    cc = by_cost_centre_month(mart)
-    total = cc.groupBy("jaar", "maand").agg(*[F.sum(c).alias(c) for c in SUMS]).withColumn(
-        "divisie", F.lit(TOTAL_LABEL)
-    )
-    per_division = (
-        cc.join(divisions(lookup), "kostenplaats_code")
-        .groupBy(F.col("zorgbedrijf").alias("divisie"), "jaar", "maand")
-        .agg(*[F.sum(c).alias(c) for c in SUMS])
-    )
-    both = total.unionByName(per_division)
+    labelled = with_total_and_divisions(by_cost_centre_month(mart), lookup)
+    both = labelled.groupBy("divisie", "jaar", "maand").agg(*[F.sum(c).alias(c) for c in SUMS])
     return both.select(
         "divisie",
         "jaar",

@@ -7,7 +7,7 @@ columns and pushes filters into the parquet scans; nothing is materialised.
 ===========================  ==============================================================
 personnel table              bound from
 ===========================  ==============================================================
-ref_datum                    every month from the first order date to the last ship date
+ref_datum                    every month of the years from the first to the last order date
 fact_fte_realisatie          lineitem: employee ``l_suppkey`` (unknown when ``l_tax = 0``),
                              contract ``l_orderkey``, function ``l_partkey``, org unit
                              ``l_suppkey``, days ``l_quantity``, group '3' for finished lines
@@ -55,6 +55,7 @@ EXCLUSIONS = Exclusions(
     worker_types=EXCLUDED_WORKER_TYPES,
 )
 WORKER = "Werknemer"
+MAX_CODE_ROWS = 10_000
 NO_DIVISION_REGION = "MIDDLE EAST"
 # relation code -> description (fixed lookup rows of this binding)
 RELATION_LOOKUP = (("F", "Vast dienstverband"), ("O", "Oproepcontract"))
@@ -123,13 +124,16 @@ def _facts(lineitem: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def calendar(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Dense month calendar; one row per month, so its size is bounded by the time span."""
-    days = lineitem.select(F.to_date("l_shipdate").alias("d")).unionByName(
-        orders.select(F.to_date("o_orderdate").alias("d"))
+def calendar(orders: DataFrame) -> DataFrame:
+    """Dense month calendar over whole years; one row per month, so its size is bounded by the
+    time span (12 rows per year) and it is safe to broadcast. Only the order-date column is read."""
+    years = orders.agg(F.year(F.min("o_orderdate")).alias("lo"), F.year(F.max("o_orderdate")).alias("hi"))
+    months = years.select(
+        F.explode(
+            F.sequence(F.make_date("lo", F.lit(1), F.lit(1)), F.make_date("hi", F.lit(12), F.lit(1)),
+                       F.expr("interval 1 month"))
+        ).alias("m")
     )
-    bounds = days.agg(F.trunc(F.min("d"), "month").alias("lo"), F.trunc(F.max("d"), "month").alias("hi"))
-    months = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("m"))
     return months.select(
         month_id("m").alias("maand_id"),
         F.year("m").alias("jaar"),
@@ -143,11 +147,20 @@ def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
     lineitem, orders = raw["lineitem"], raw["orders"]
     # nation and region are fixed-size code tables (25 and 5 rows): safe to broadcast.
     geo = raw["nation"].join(F.broadcast(raw["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
-    org = raw["supplier"].join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    # The org-unit dimension looks nation and region up through a literal map instead of a join:
+    # the planner sizes a join as the product of its inputs, which would force a sort-merge join
+    # of the facts even when the dimension is tiny; a projection keeps the supplier's real size,
+    # so Spark broadcasts it when small and sort-merges it when large.
+    codes = geo.select("n_nationkey", "n_name", "r_name").limit(MAX_CODE_ROWS + 1).collect()
+    if len(codes) > MAX_CODE_ROWS:
+        raise ValueError(f"nation code table has more than {MAX_CODE_ROWS} rows")
+    name_of = F.create_map(*[x for r in codes for x in (F.lit(r["n_nationkey"]), F.lit(r["n_name"]))])
+    region_of = F.create_map(*[x for r in codes for x in (F.lit(r["n_nationkey"]), F.lit(r["r_name"]))])
+    org = raw["supplier"].select(
         F.col("s_suppkey").alias("organisatie_eenheid_id"),
-        F.col("n_name").alias("kostenplaats_code"),
-        F.col("n_name").alias("afdeling_code"),
-        F.col("r_name").alias("cluster_code"),
+        name_of[F.col("s_nationkey")].alias("kostenplaats_code"),
+        name_of[F.col("s_nationkey")].alias("afdeling_code"),
+        region_of[F.col("s_nationkey")].alias("cluster_code"),
     )
     order_day = F.dayofmonth("o_orderdate")
     contracts = orders.select(
@@ -192,7 +205,7 @@ def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
         F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("reden_uit_dienst_code"),
     )
     return SyntheticTables(
-        ref_datum=calendar(lineitem, orders),
+        ref_datum=calendar(orders),
         dim_medewerker_functies=functions,
         dim_organisatie_eenheid=org,
         dim_dienstverbanden=contracts,

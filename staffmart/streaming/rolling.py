@@ -38,6 +38,20 @@ def merge_batch(spark: SparkSession, state_path: str, n: int, batch: DataFrame,
             pass
     out = rolling_buffer(rows, n, keep_value=True)
     out.select(*BUFFER_COLUMNS, "x", "y").write.mode("overwrite").parquet(_version(state_path, batch_id))
+    # pointer to the newest complete version (rewritten identically on replay)
+    spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(_latest(state_path))
+
+
+def _latest(state_path: str) -> str:
+    return os.path.join(state_path, "_latest")
+
+
+def latest_version(spark: SparkSession, state_path: str) -> str | None:
+    try:
+        row = spark.read.parquet(_latest(state_path)).collect()
+    except AnalysisException:
+        return None
+    return _version(state_path, int(row[0]["batch_id"])) if row else None
 
 
 def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glob: str = "events.parquet",
@@ -51,11 +65,9 @@ def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glo
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(events_dir)
-    last = {"id": -1}
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         merge_batch(spark, state_path, n, df, batch_id)
-        last["id"] = max(last["id"], batch_id)
 
     q = (
         stream.writeStream.foreachBatch(on_batch)
@@ -66,7 +78,10 @@ def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glo
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return _version(state_path, last["id"])
+    path = latest_version(spark, state_path)
+    if path is None:
+        raise ValueError(f"no events found under {events_dir!r} matching {file_glob!r}")
+    return path
 
 
 def rolling_stream_result(spark: SparkSession, events_dir: str, n: int, **kw) -> DataFrame:

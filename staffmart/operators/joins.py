@@ -1,0 +1,43 @@
+"""Broadcasting behind a size check.
+
+Lookup (code) tables are small by nature, but nothing in a table's definition proves it. Before
+broadcasting one, :func:`small_side` counts at most ``max_rows + 1`` of its rows; within the
+bound it is broadcast, beyond it the join is left to the planner (sort-merge, with AQE's
+skew-join splitting a hot key). The answer is remembered per DataFrame, so a lookup reused by
+several branches of a plan is probed once.
+"""
+
+from __future__ import annotations
+
+import weakref
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
+
+
+def max_rows_setting(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
+    value = df.sparkSession.conf.get("staffmart.broadcast.maxRows", None)
+    return int(value) if value else default
+
+
+def fits(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads no more than ``max_rows + 1``)."""
+    bound = max_rows if max_rows is not None else max_rows_setting(df)
+    hit = _CHECKED.get(df)
+    if hit is not None and hit[0] == bound:
+        return hit[1]
+    ok = df.limit(bound + 1).count() <= bound
+    _CHECKED[df] = (bound, ok)
+    return ok
+
+
+def small_side(df: DataFrame, probe: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when the row-count check passes, else ``df`` unchanged.
+
+    ``probe`` is the table whose size bounds ``df`` (e.g. the lookup before a projection or a
+    grouping); it defaults to ``df`` itself.
+    """
+    return F.broadcast(df) if fits(probe if probe is not None else df, max_rows) else df

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffmart.config import FTE_SCALE, UNKNOWN
+from staffmart.operators.joins import small_side
 
 
 def duplicate_load(df: DataFrame, name: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -90,7 +91,7 @@ def unknown_member_rate(rows: DataFrame, cols: Sequence[str], label: str = UNKNO
 
 def unmatched(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Q6: codes of ``df`` without a lookup row (anti join), with their row counts."""
-    lk = F.broadcast(lookup.select(F.col(right_key).alias(left_key)).distinct())
+    lk = small_side(lookup.select(F.col(right_key).alias(left_key)).distinct(), probe=lookup)
     return (
         df.select(left_key)
         .join(lk, left_key, "left_anti")

@@ -28,6 +28,8 @@ from staffmart.sources.tables import Tables
 
 
 def calendar(t: Tables, years: ReportYears | None = None) -> DataFrame:
+    """The month calendar, broadcast: one row per month (12 per year; uniqueness of ``maand_id``
+    is checked by ``dimension_key_duplicates``), so its size is bounded by the time span."""
     cal = t.ref_datum.select("maand_id", "jaar", "maandnummer", "aantal_dagen_maand")
     if years is not None:
         cal = cal.filter(F.col("jaar").isin(list(years.both)))

@@ -21,6 +21,7 @@ from staffmart.config import (
 )
 from staffmart.functions.columns import fte_from_units, ratio_pct
 from staffmart.functions.formatting import percent_2, thousands
+from staffmart.operators.joins import small_side
 from staffmart.operators.pivots import month_pivot, pct_cents_half_up
 
 ABSENCE_COLUMNS = tuple(label.lower().replace(" ", "_") for label in MONTH_LABELS_ABSENCE)
@@ -30,8 +31,8 @@ SUMS = ("dagen_ziek_ex_zwanger", "dienstverband_dagen", "dagen_ziek_ex_zwanger_y
 
 
 def divisions(lookup: DataFrame) -> DataFrame:
-    """Cost centre -> division. A code table (one row per cost centre), so broadcast."""
-    return F.broadcast(lookup.select("kostenplaats_code", "zorgbedrijf"))
+    """Cost centre -> division: a code table, broadcast once its row count is checked."""
+    return small_side(lookup.select("kostenplaats_code", "zorgbedrijf"), probe=lookup)
 
 
 def by_cost_centre_month(mart: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def with_total_and_divisions(agg: DataFrame, lookup: DataFrame, total_label: str
     )
     total = F.array(F.struct(F.lit(total_label).alias("divisie")))
     labels = F.when(F.col("_divisies").isNull(), total).otherwise(F.concat(total, F.col("_divisies")))
-    j = agg.join(F.broadcast(groups), "kostenplaats_code", "left")
+    j = agg.join(small_side(groups, probe=lookup), "kostenplaats_code", "left")
     return j.select("*", F.explode(labels).alias("_label")).select(
         F.col("_label.divisie").alias("divisie"), *[c for c in agg.columns if c != "kostenplaats_code"]
     )
@@ -233,7 +234,7 @@ def kpi_since(dashboard: DataFrame, code: str, after_period: int, item5: str) ->
 def relation_counts(source: DataFrame, lookup: DataFrame) -> DataFrame:
     """Rows per employment relation with its description (LEFT join: unknown codes keep a
     NULL description)."""
-    lk = F.broadcast(lookup.select(F.col("tabelwaarde_code").alias("dienstbetrekking"), "omschrijving"))
+    lk = small_side(lookup.select(F.col("tabelwaarde_code").alias("dienstbetrekking"), "omschrijving"), probe=lookup)
     return (
         source.select("dienstbetrekking")
         .join(lk, "dienstbetrekking", "left")
@@ -246,7 +247,8 @@ def relation_counts(source: DataFrame, lookup: DataFrame) -> DataFrame:
 def relation_enrich(contracts: DataFrame, lookup: DataFrame) -> DataFrame:
     """Contract dimension with the relation description filled from the lookup; rows without
     a matching code keep their old description (UPDATE ... FROM ... JOIN)."""
-    lk = F.broadcast(lookup.select(F.col("tabelwaarde_code").alias("_code"), F.col("omschrijving").alias("_oms")))
+    lk = small_side(lookup.select(F.col("tabelwaarde_code").alias("_code"), F.col("omschrijving").alias("_oms")),
+                    probe=lookup)
     joined = contracts.join(lk, F.col("dienstbetrekking") == F.col("_code"), "left")
     new = F.when(F.col("_code").isNotNull(), F.col("_oms")).otherwise(F.col("dienstbetrekking_oms"))
     return joined.select(*[new.alias(c) if c == "dienstbetrekking_oms" else F.col(c) for c in contracts.columns])

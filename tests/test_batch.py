@@ -12,8 +12,8 @@ def test_reports_from_published_mart_equal_direct_queries(spark, tmp_path):
     out = run(spark, SF, str(tmp_path), names)
     qs = queries()
     for name in names:
-        a = sorted(tuple(r) for r in spark.read.parquet(out[name]).collect())
-        b = sorted(tuple(r) for r in qs[name](spark, SF).collect())
+        a = sorted((tuple(r) for r in spark.read.parquet(out[name]).collect()), key=repr)
+        b = sorted((tuple(r) for r in qs[name](spark, SF).collect()), key=repr)
         assert a == b, name
     audit = spark.read.parquet(str(tmp_path / "load_audit")).collect()
     assert [r.status for r in audit] == ["data loaded"]

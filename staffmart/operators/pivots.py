@@ -16,13 +16,15 @@ def month_pivot(df: DataFrame, group_cols: Sequence[str], month_col: str, value_
                 names: Sequence[str], fill: float | None = None) -> DataFrame:
     """One column per calendar month, in calendar order, whether or not the month has data.
 
-    The month list is explicit, so Spark does not run a distinct pass to find pivot values.
-    ``agg='max'`` leaves missing months NULL (A7); ``agg='sum'`` with ``fill=0`` zero-fills (A8).
+    Written as conditional aggregation (``agg(CASE WHEN month = k THEN v END)`` per month), which
+    is one hash aggregation with map-side partial aggregation and no distinct pass over the
+    pivot values. ``agg='max'`` leaves missing months NULL (A7); ``agg='sum'`` with ``fill=0``
+    zero-fills (A8).
     """
     fn = {"max": F.max, "sum": F.sum}[agg]
-    out = df.groupBy(*group_cols).pivot(month_col, MONTHS).agg(fn(value_col))
-    renamed = [F.col(str(m)).alias(n) for m, n in zip(MONTHS, names)]
-    out = out.select(*group_cols, *renamed)
+    month = F.col(month_col)
+    cells = [fn(F.when(month == m, F.col(value_col))).alias(n) for m, n in zip(MONTHS, names)]
+    out = df.groupBy(*group_cols).agg(*cells)
     if fill is not None:
         out = out.na.fill(fill, subset=list(names))
     return out

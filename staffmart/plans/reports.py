@@ -1,9 +1,10 @@
 """Control totals and absence / FTE reports over the mart.
 
-Every report reads the exact mart (:func:`staffmart.operators.mart.fte_mart`). Totals are
-aggregated from the small per-cost-centre monthly aggregate, never collected; where a total and
-per-division rows come from the same figures, one aggregation produces both
-(:func:`with_total_and_divisions`), so the mart is read once.
+Every report reads the exact mart (:func:`staffmart.operators.mart.fte_mart`) and joins the
+division lookup map-side (a checked broadcast), so each report adds one small aggregation
+shuffle. Totals are aggregated, never collected; where a total and per-division rows come from
+the same figures, one aggregation produces both (:func:`with_total_and_divisions`), so the mart
+is read once.
 """
 
 from __future__ import annotations
@@ -35,10 +36,6 @@ def divisions(lookup: DataFrame) -> DataFrame:
     return small_side(lookup.select("kostenplaats_code", "zorgbedrijf"), probe=lookup)
 
 
-def by_cost_centre_month(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("kostenplaats_code", "jaar", "maand").agg(*[F.sum(c).alias(c) for c in SUMS])
-
-
 # --------------------------------------------------------------------------- R1 / R2
 def control_total(mart: DataFrame) -> DataFrame:
     """Yearly sick days, employment days and absence %, formatted as in the control query."""
@@ -78,23 +75,24 @@ def control_division(mart: DataFrame, lookup: DataFrame, years: ReportYears, div
 
 
 # --------------------------------------------------------------------------- R3 / R4
-def with_total_and_divisions(agg: DataFrame, lookup: DataFrame, total_label: str = TOTAL_LABEL) -> DataFrame:
-    """Label each cost-centre row with the total plus each division its cost centre maps to.
+def with_total_and_divisions(rows: DataFrame, lookup: DataFrame, total_label: str = TOTAL_LABEL) -> DataFrame:
+    """Label each row with the total plus each division its cost centre maps to.
 
     One aggregation on ``divisie`` then yields the total (every row, including cost centres
     without a lookup row or with a NULL code) and the per-division figures of an inner join
     (a cost centre listed twice counts twice there, once in the total). The lookup is a code
     table, grouped to one row per cost centre and broadcast; a LEFT join infers no filter on the
-    mart side, so the mart is computed once.
+    mart side, so the mart is computed once, and the labelling happens map-side before the
+    aggregation's partial step.
     """
     groups = lookup.groupBy("kostenplaats_code").agg(
         F.collect_list(F.struct(F.col("zorgbedrijf").alias("divisie"))).alias("_divisies")
     )
     total = F.array(F.struct(F.lit(total_label).alias("divisie")))
     labels = F.when(F.col("_divisies").isNull(), total).otherwise(F.concat(total, F.col("_divisies")))
-    j = agg.join(small_side(groups, probe=lookup), "kostenplaats_code", "left")
+    j = rows.join(small_side(groups, probe=lookup), "kostenplaats_code", "left")
     return j.select("*", F.explode(labels).alias("_label")).select(
-        F.col("_label.divisie").alias("divisie"), *[c for c in agg.columns if c != "kostenplaats_code"]
+        F.col("_label.divisie").alias("divisie"), *[c for c in rows.columns if c != "kostenplaats_code"]
     )
 
 
@@ -105,7 +103,7 @@ def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
     a lookup row (e.g. 'Onbekend') count only in the total. ``zvc`` is the ratio of the summed
     year-to-date averages; within a month the divisor is the same for every row and cancels.
     """
-    labelled = with_total_and_divisions(by_cost_centre_month(mart), lookup)
+    labelled = with_total_and_divisions(mart.select("kostenplaats_code", "jaar", "maand", *SUMS), lookup)
     both = labelled.groupBy("divisie", "jaar", "maand").agg(*[F.sum(c).alias(c) for c in SUMS])
     return both.select(
         "divisie",
@@ -134,7 +132,7 @@ def absence_pivot(monthly: DataFrame, years: ReportYears) -> DataFrame:
 # --------------------------------------------------------------------------- R5 / R6
 def _division_month_fte(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
     return (
-        by_cost_centre_month(mart.filter(F.col("jaar") == str(year)))
+        mart.filter(F.col("jaar") == str(year))
         .join(divisions(lookup).filter(F.col("zorgbedrijf").isNotNull()), "kostenplaats_code")
         .groupBy("zorgbedrijf", "jaar", "maand")
         .agg(F.sum("fte_units").alias("fte_units"))

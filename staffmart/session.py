@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("STAFFMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # one machine: no data locality to wait for
+        .config("spark.locality.wait", "0s")
     )
     for key, value in JOB_CONF.items():
         builder = builder.config(key, value)

@@ -60,7 +60,7 @@ _CONTEXTS: dict[tuple[str, str], Context] = {}
 def context(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Context:
     """Bind the tables and read the report period once per session and data folder (all
     DataFrames are lazy, so reuse is safe)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir)
     if refresh or key not in _CONTEXTS:
         t = bind(spark, sf_dir)
         end_date, years = report_period(t.dwh_rap_periode)

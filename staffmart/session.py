@@ -46,15 +46,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when none is configured."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        current = tempfile.mkdtemp(prefix="staffmart-ckpt-")   # tests / local runs only
+        spark.conf.set("spark.checkpoint.dir", current)
+    try:  # classic sessions: make DataFrame.checkpoint() use the same folder
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="staffmart-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session
+        pass
+    return current
 
 
 def warehouse_path(spark: SparkSession, name: str) -> str:

@@ -3,41 +3,36 @@
 from __future__ import annotations
 
 
-
-def _s(ddl: str) -> str:
-    return ddl
-
-
 # DDL strings: ``DataFrameReader.schema`` and ``createDataFrame`` accept them directly.
 SCHEMAS: dict[str, str] = {
-    "fact_fte_begroting": _s(
+    "fact_fte_begroting": (
         "maand_id int, medewerker_functie_id bigint, organisatie_eenheid_id bigint, "
         "fte_begroot_dagen decimal(18,6), groepering_id string"
     ),
-    "fact_fte_realisatie": _s(
+    "fact_fte_realisatie": (
         "medewerker_id bigint, dienstverband_id bigint, medewerker_functie_id bigint, "
         "organisatie_eenheid_id bigint, dienstverband_dagen decimal(18,6), groepering_id string, maand_id int"
     ),
-    "fact_fte_ziekteverzuim": _s(
+    "fact_fte_ziekteverzuim": (
         "medewerker_id bigint, dienstverband_id bigint, medewerker_functie_id bigint, "
         "organisatie_eenheid_id bigint, dagen_ziek_ex_zwanger decimal(18,6), ziektepercentage double, maand_id int"
     ),
-    "ref_datum": _s("maand_id int, jaar int, maandnummer int, aantal_dagen_maand int"),
-    "dim_medewerker_functies": _s(
+    "ref_datum": "maand_id int, jaar int, maandnummer int, aantal_dagen_maand int",
+    "dim_medewerker_functies": (
         "medewerker_functie_id bigint, medewerker_functie_code string, medewerker_functie_naam string"
     ),
-    "dim_organisatie_eenheid": _s(
+    "dim_organisatie_eenheid": (
         "organisatie_eenheid_id bigint, kostenplaats_code string, afdeling_code string, cluster_code string"
     ),
-    "dim_dienstverbanden": _s(
+    "dim_dienstverbanden": (
         "dienstverband_id bigint, werkgever_code string, dienstbetrekking string, type_werknemer string, "
         "dienstbetrekking_oms string"
     ),
-    "dim_medewerkers": _s("medewerker_id bigint"),
-    "dwh_budgetplaatsen": _s("kostenplaats_code string, zorgbedrijf string"),
-    "dwh_rap_periode": _s("package_naam string, rapport_einddatum date"),
-    "dwh_dashboard": _s("rap_periode string, rap_item string, rap_code string, rap_waarde bigint, rap_item5 string"),
-    "afas_mdw_formatie": _s("medewerker_id bigint, dienstbetrekking string"),
-    "afas_dienstbetrekking": _s("tabelwaarde_code string, omschrijving string"),
-    "afas_dienstperiodes": _s("medewerker_id bigint, datum_in date, reden_uit_dienst_code string"),
+    "dim_medewerkers": "medewerker_id bigint",
+    "dwh_budgetplaatsen": "kostenplaats_code string, zorgbedrijf string",
+    "dwh_rap_periode": "package_naam string, rapport_einddatum date",
+    "dwh_dashboard": "rap_periode string, rap_item string, rap_code string, rap_waarde bigint, rap_item5 string",
+    "afas_mdw_formatie": "medewerker_id bigint, dienstbetrekking string",
+    "afas_dienstbetrekking": "tabelwaarde_code string, omschrijving string",
+    "afas_dienstperiodes": "medewerker_id bigint, datum_in date, reden_uit_dienst_code string",
 }

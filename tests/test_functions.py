@@ -5,7 +5,6 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from staffmart.config import FTE_SCALE
 from staffmart.functions import columns as C
@@ -81,4 +80,3 @@ def test_pct_cents_brute_force_table(spark):
     got = [r[0] for r in df.select(pct_cents_half_up("a", "b")).collect()]
     want = [int((a / b * 100).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP) * 100) for a, b in rows]
     assert got == want
-    assert F is not None

@@ -298,18 +298,18 @@ def oracle_sql() -> dict[str, str]:
     q["budget_fte"] = _with(STAGING) + f"""
 SELECT kostenplaats_code, afdeling_code, medewerker_functie_code AS functiecode_excl,
        medewerker_functie_code AS functiecode, medewerker_functie_naam AS oms_functie,
-       {_fte('sum(fte_units)')} AS formatie, 0.0 AS gem_realisatie_cum, jaar, maandnummer, maand_id AS periode
+       {_fte('sum(fte_units)')} AS formatie, CAST(0 AS DOUBLE) AS gem_realisatie_cum, jaar, maandnummer, maand_id AS periode
 FROM budget_rows
 GROUP BY kostenplaats_code, afdeling_code, medewerker_functie_code, medewerker_functie_naam, jaar, maandnummer, maand_id"""
     q["actual_fte"] = _with(STAGING) + f"""
 SELECT medewerker_id, dienstverband_id, kostenplaats_code, afdeling_code, functiecode AS functiecode_excl,
-       functiecode, oms_functie, 0.0 AS plan_formatie, {_fte('sum(fte_units)')} AS realisatie,
-       {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen, 0.0 AS gem_realisatie, jaar, maandnummer, periode
+       functiecode, oms_functie, CAST(0 AS DOUBLE) AS plan_formatie, {_fte('sum(fte_units)')} AS realisatie,
+       {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen, CAST(0 AS DOUBLE) AS gem_realisatie, jaar, maandnummer, periode
 FROM actual_rows
 GROUP BY medewerker_id, dienstverband_id, kostenplaats_code, afdeling_code, functiecode, oms_functie, jaar, maandnummer, periode"""
     q["actual_fte_by_function"] = _with(STAGING) + f"""
-SELECT periode, medewerker_id, kostenplaats_code, functiecode AS functie_code, 0.0 AS formatie,
-       {_fte('sum(fte_units)')} AS realisatie, 0.0 AS dagen_ziek_ex_zwanger,
+SELECT periode, medewerker_id, kostenplaats_code, functiecode AS functie_code, CAST(0 AS DOUBLE) AS formatie,
+       {_fte('sum(fte_units)')} AS realisatie, CAST(0 AS DOUBLE) AS dagen_ziek_ex_zwanger,
        {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen
 FROM actual_rows GROUP BY periode, medewerker_id, kostenplaats_code, functiecode"""
     q["sick_days"] = _with(STAGING) + f"""
@@ -319,8 +319,8 @@ FROM sick_rows GROUP BY periode, kostenplaats_code, functiecode, medewerker_id""
 SELECT jaar, maand, medewerker_id, kostenplaats_code, functie_code,
        {_fte('fte_begroot_units')} AS fte_begroot, {_fte('fte_units')} AS fte_realisatie,
        {_fte('fte_units')} AS fte_realisatie_cum, {_dbl('dagen_ziek_ex_zwanger')} AS dagen_ziek_ex_zwanger,
-       {_dbl('dienstverband_dagen')} AS dienstverband_dagen, 0.0 AS dagen_ziek_ex_zwanger_cum,
-       0.0 AS dienstverband_dagen_cum
+       {_dbl('dienstverband_dagen')} AS dienstverband_dagen, CAST(0 AS DOUBLE) AS dagen_ziek_ex_zwanger_cum,
+       CAST(0 AS DOUBLE) AS dienstverband_dagen_cum
 FROM mart_totals"""
     q["fte_mart_ytd"] = _with(STAGING, _mart()) + MART_DISPLAY
     q["budget_vs_actual"] = _with(STAGING, _mart(include_budget=True)) + MART_DISPLAY

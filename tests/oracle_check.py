@@ -61,6 +61,10 @@ def compare(spark, con, name: str, sf_dir: str, sql: str | None, query) -> dict:
     if sc != dc:
         res["status"] = f"COLUMNS spark={sc} duck={dc}"
         return res
+    sd, dd = s_pdf.dtypes.astype(str).to_dict(), d_pdf.dtypes.astype(str).to_dict()
+    if sd != dd:
+        res["status"] = f"DTYPES {[(c, sd[c], dd[c]) for c in sc if sd[c] != dd[c]]}"
+        return res
     if len(sr) != len(dr):
         res["status"] = "ROWCOUNT"
         return res

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from staffmart.config import TOTAL_LABEL, UNKNOWN
 from staffmart.functions.columns import fte_from_units, ratio_pct
-from staffmart.functions.formatting import clamp, day_label, ts_to_epoch_ms
+from staffmart.functions.formatting import clamp, date_to_epoch_ms, day_label
 from staffmart.plans.reports import divisions
 
 
@@ -96,7 +96,7 @@ def daily_two_series(events: DataFrame, type_a: str = "purchase", type_b: str =
     b = e.filter(F.col("event_type") == type_b).groupBy("dag").agg(F.count(F.lit(1)).alias("b_aantal"))
     return a.join(b, "dag", "full").select(
         F.date_format("dag", "yyyy-MM-dd").alias("dag"),
-        ts_to_epoch_ms(F.col("dag").cast("timestamp")).alias("x_ms"),
+        date_to_epoch_ms("dag").alias("x_ms"),
         "a_waarde",
         "b_aantal",
     )
@@ -110,7 +110,7 @@ def daily_bars(events: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("aantal"))
         .select(
             F.date_format("dag", "yyyy-MM-dd").alias("dag"),
-            ts_to_epoch_ms(F.col("dag").cast("timestamp")).alias("x_ms"),
+            date_to_epoch_ms("dag").alias("x_ms"),
             day_label("dag").alias("label"),
             "aantal",
         )

@@ -88,6 +88,11 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
     spark = local_session(8, 8)
+    if os.environ.get("SESSION_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+    for kv in filter(None, os.environ.get("SESSION_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        spark.conf.set(k, v)
     con = duckdb_conn(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0

@@ -1,4 +1,5 @@
-"""Month pivots (A6-A8) and exact per-row percentage rounding."""
+"""Month pivots (A6-A8): one conditional aggregation per pivot, and exact per-row percentage
+rounding."""
 
 from __future__ import annotations
 
@@ -12,22 +13,13 @@ from staffmart.functions.columns import col
 MONTHS = list(range(1, 13))
 
 
-def month_pivot(df: DataFrame, group_cols: Sequence[str], month_col: str, value_col: str, agg: str,
-                names: Sequence[str], fill: float | None = None) -> DataFrame:
-    """One column per calendar month, in calendar order, whether or not the month has data.
-
-    Written as conditional aggregation (``agg(CASE WHEN month = k THEN v END)`` per month), which
-    is one hash aggregation with map-side partial aggregation and no distinct pass over the
-    pivot values. ``agg='max'`` leaves missing months NULL (A7); ``agg='sum'`` with ``fill=0``
-    zero-fills (A8).
-    """
-    fn = {"max": F.max, "sum": F.sum}[agg]
+def monthly_sums(df: DataFrame, group_cols: Sequence[str], month_col: str, value_cols: Sequence[str]) -> DataFrame:
+    """``sum(CASE WHEN month = k THEN v END)`` for every value column and month, named
+    ``<v>_<k>``, in one aggregation. Ratios and labels are computed on the sums afterwards, so a
+    month pivot of ratios needs no second aggregation. A month without rows sums to NULL."""
     month = F.col(month_col)
-    cells = [fn(F.when(month == m, F.col(value_col))).alias(n) for m, n in zip(MONTHS, names)]
-    out = df.groupBy(*group_cols).agg(*cells)
-    if fill is not None:
-        out = out.na.fill(fill, subset=list(names))
-    return out
+    cells = [F.sum(F.when(month == m, F.col(v))).alias(f"{v}_{m}") for v in value_cols for m in MONTHS]
+    return df.groupBy(*group_cols).agg(*cells)
 
 
 def pct_cents_half_up(numerator: str | Column, denominator: str | Column) -> Column:

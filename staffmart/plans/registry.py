@@ -106,7 +106,7 @@ register("control_division")(
 )
 register("absence_monthly")(lambda c: R.absence_monthly(c.mart(), c.tables.dwh_budgetplaatsen))
 register("absence_pivot")(
-    lambda c: R.absence_pivot(R.absence_monthly(c.mart(), c.tables.dwh_budgetplaatsen), c.years)
+    lambda c: R.absence_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years)
 )
 register("fte_pivot")(lambda c: R.fte_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years.current))
 register("fte_pivot_with_total")(

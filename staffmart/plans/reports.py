@@ -23,12 +23,13 @@ from staffmart.config import (
 from staffmart.functions.columns import fte_from_units, ratio_pct
 from staffmart.functions.formatting import percent_2, thousands
 from staffmart.operators.joins import small_side
-from staffmart.operators.pivots import month_pivot, pct_cents_half_up
+from staffmart.operators.pivots import MONTHS, monthly_sums, pct_cents_half_up
 
 ABSENCE_COLUMNS = tuple(label.lower().replace(" ", "_") for label in MONTH_LABELS_ABSENCE)
 FTE_COLUMNS = tuple(label.lower() for label in MONTH_LABELS_SHORT)
 
-SUMS = ("dagen_ziek_ex_zwanger", "dienstverband_dagen", "dagen_ziek_ex_zwanger_ytd", "dienstverband_dagen_ytd", "fte_units")
+ABSENCE_SUMS = ("dagen_ziek_ex_zwanger", "dienstverband_dagen", "dagen_ziek_ex_zwanger_ytd", "dienstverband_dagen_ytd")
+SUMS = (*ABSENCE_SUMS, "fte_units")
 
 
 def divisions(lookup: DataFrame) -> DataFrame:
@@ -114,53 +115,60 @@ def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
-def absence_pivot(monthly: DataFrame, years: ReportYears) -> DataFrame:
+def absence_pivot(mart: DataFrame, lookup: DataFrame, years: ReportYears) -> DataFrame:
     """R4 (flagship): R3 as twelve month columns, one row per division, year and measure.
 
-    Both measures are unpivoted into (bron, waarde) and pivoted once, so R3 is evaluated one
-    time. The second measure is labelled 'zvc' (the original labelled both 'zv').
+    One aggregation per (division, year) sums the four day measures per month; the month and
+    year-to-date percentages are then ratios of those sums, and ``inline`` turns the two
+    measures into two rows. The second measure is labelled 'zvc' (the original labelled both
+    'zv'). Months without rows stay NULL.
     """
-    m = monthly.filter(F.col("jaar").cast("int").isin(list(years.both)))
-    long = m.unpivot(["divisie", "jaar", "maand"], ["zv", "zvc"], "bron", "waarde").select(
-        F.col("divisie").alias("zorgbedrijf"), "jaar", "bron", F.col("maand").cast("int").alias("maand"), "waarde"
+    m = mart.filter(F.col("jaar").cast("int").isin(list(years.both)))
+    rows = m.select("kostenplaats_code", "jaar", F.col("maand").cast("int").alias("maand"), *ABSENCE_SUMS)
+    sums = monthly_sums(with_total_and_divisions(rows, lookup), ["divisie", "jaar"], "maand", ABSENCE_SUMS)
+
+    def cells(num: str, den: str) -> list:
+        return [ratio_pct(f"{num}_{k}", f"{den}_{k}").alias(name) for k, name in zip(MONTHS, ABSENCE_COLUMNS)]
+
+    measures = F.array(
+        F.struct(F.lit("zv").alias("bron"), *cells("dagen_ziek_ex_zwanger", "dienstverband_dagen")),
+        F.struct(F.lit("zvc").alias("bron"), *cells("dagen_ziek_ex_zwanger_ytd", "dienstverband_dagen_ytd")),
     )
-    return month_pivot(long, ["zorgbedrijf", "jaar", "bron"], "maand", "waarde", "max", ABSENCE_COLUMNS).orderBy(
+    return sums.select(F.col("divisie").alias("zorgbedrijf"), "jaar", F.inline(measures)).orderBy(
         "zorgbedrijf", "jaar", "bron"
     )
 
 
 # --------------------------------------------------------------------------- R5 / R6
-def _division_month_fte(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
+def _division_rows(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
+    """Mart rows of one year joined to their (non-NULL) division; month as a number."""
     return (
         mart.filter(F.col("jaar") == str(year))
         .join(divisions(lookup).filter(F.col("zorgbedrijf").isNotNull()), "kostenplaats_code")
-        .groupBy("zorgbedrijf", "jaar", "maand")
-        .agg(F.sum("fte_units").alias("fte_units"))
+        .withColumn("maand", F.col("maand").cast("int"))
     )
 
 
-def _fte_cells(df: DataFrame, group_cols: list[str]) -> DataFrame:
-    p = month_pivot(
-        df.withColumn("maand", F.col("maand").cast("int")), group_cols, "maand", "fte_units", "sum", FTE_COLUMNS
-    )
-    return p.select(
-        *group_cols, *[F.coalesce(fte_from_units(c), F.lit(0.0)).alias(c) for c in FTE_COLUMNS]
+def _fte_cells(rows: DataFrame, group_cols: list[str]) -> DataFrame:
+    sums = monthly_sums(rows, group_cols, "maand", ["fte_units"])
+    return sums.select(
+        *group_cols,
+        *[F.coalesce(fte_from_units(f"fte_units_{k}"), F.lit(0.0)).alias(n) for k, n in zip(MONTHS, FTE_COLUMNS)],
     )
 
 
 def fte_pivot(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
     """Actual FTE per division (with a division) x 12 months of one year; missing -> 0."""
-    return _fte_cells(_division_month_fte(mart, lookup, year), ["zorgbedrijf", "jaar"]).orderBy("zorgbedrijf")
+    return _fte_cells(_division_rows(mart, lookup, year), ["zorgbedrijf", "jaar"]).orderBy("zorgbedrijf")
 
 
 def fte_pivot_with_total(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
-    """R5 plus a total row over the same join; the total is summed from the division-month
-    aggregate (exact decimals), then pivoted with the divisions."""
-    dm = _division_month_fte(mart, lookup, year)
-    total = dm.groupBy("jaar", "maand").agg(F.sum("fte_units").alias("fte_units")).withColumn(
-        "zorgbedrijf", F.lit(FTE_TOTAL_LABEL)
-    )
-    return _fte_cells(dm.unionByName(total), ["zorgbedrijf", "jaar"]).orderBy("zorgbedrijf")
+    """R5 plus a total row over the same join. Each joined row is counted under its division
+    and under the total label in the same aggregation (exact decimals)."""
+    rows = _division_rows(mart, lookup, year)
+    labels = F.array(F.col("zorgbedrijf"), F.lit(FTE_TOTAL_LABEL))
+    both = rows.select(F.explode(labels).alias("zorgbedrijf"), "jaar", "maand", "fte_units")
+    return _fte_cells(both, ["zorgbedrijf", "jaar"]).orderBy("zorgbedrijf")
 
 
 # --------------------------------------------------------------------------- R7-R10
@@ -171,16 +179,13 @@ def _row_pct(mart: DataFrame) -> DataFrame:
 def absence_rowpct_pivot(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
     """Per division x month, the sum of per-row absence % (each row rounded to 2 decimals,
     rows without employment days count 0)."""
-    rows = _row_pct(mart.filter(F.col("jaar") == str(year))).join(
-        divisions(lookup).filter(F.col("zorgbedrijf").isNotNull()), "kostenplaats_code"
-    )
-    g = rows.groupBy("zorgbedrijf", "jaar", F.col("maand").cast("int").alias("maand")).agg(
-        F.sum(F.coalesce("pct_cents", F.lit(0))).alias("cents")
-    )
-    p = month_pivot(g, ["zorgbedrijf", "jaar"], "maand", "cents", "sum", FTE_COLUMNS, fill=0)
-    return p.select("zorgbedrijf", "jaar", *[(F.col(c) / F.lit(100.0)).alias(c) for c in FTE_COLUMNS]).orderBy(
-        "zorgbedrijf"
-    )
+    rows = _row_pct(_division_rows(mart, lookup, year)).withColumn("cents", F.coalesce("pct_cents", F.lit(0)))
+    sums = monthly_sums(rows, ["zorgbedrijf", "jaar"], "maand", ["cents"])
+    return sums.select(
+        "zorgbedrijf",
+        "jaar",
+        *[(F.coalesce(f"cents_{k}", F.lit(0)) / F.lit(100.0)).alias(n) for k, n in zip(MONTHS, FTE_COLUMNS)],
+    ).orderBy("zorgbedrijf")
 
 
 def absence_rowpct_total(mart: DataFrame, year: int) -> DataFrame:
@@ -194,13 +199,18 @@ def absence_rowpct_total(mart: DataFrame, year: int) -> DataFrame:
 def absence_total_pivot(mart: DataFrame, year: int) -> DataFrame:
     """R9 (intent of an invalid scratch query): organisation-wide ratio-of-sums absence % per
     month over rows with employment days, as 12 columns; months without data are 0."""
-    g = (
-        mart.filter((F.col("jaar") == str(year)) & (F.col("dienstverband_dagen") > 0))
-        .groupBy("jaar", F.col("maand").cast("int").alias("maand"))
-        .agg(ratio_pct(F.sum("dagen_ziek_ex_zwanger"), F.sum("dienstverband_dagen")).alias("pct"))
+    rows = mart.filter((F.col("jaar") == str(year)) & (F.col("dienstverband_dagen") > 0)).withColumn(
+        "maand", F.col("maand").cast("int")
+    )
+    sums = monthly_sums(rows, ["jaar"], "maand", ["dagen_ziek_ex_zwanger", "dienstverband_dagen"])
+    return sums.select(
+        F.lit(ROWPCT_TOTAL_LABEL).alias("divisie"),
+        "jaar",
+        *[
+            F.coalesce(ratio_pct(f"dagen_ziek_ex_zwanger_{k}", f"dienstverband_dagen_{k}"), F.lit(0.0)).alias(n)
+            for k, n in zip(MONTHS, FTE_COLUMNS)
+        ],
     )
-    p = month_pivot(g, ["jaar"], "maand", "pct", "max", FTE_COLUMNS, fill=0.0)
-    return p.select(F.lit(ROWPCT_TOTAL_LABEL).alias("divisie"), "jaar", *FTE_COLUMNS)
 
 
 def absence_year_total(mart: DataFrame, year: int) -> DataFrame:

@@ -150,7 +150,7 @@ def test_zero_denominator_is_null_not_error(spark):
 
 
 def test_absence_pivot_layout(fx, mart, years):
-    p = R.absence_pivot(R.absence_monthly(mart, fx.dwh_budgetplaatsen), years)
+    p = R.absence_pivot(mart, fx.dwh_budgetplaatsen, years)
     assert p.columns[:3] == ["zorgbedrijf", "jaar", "bron"] and len(p.columns) == 15
     rows = p.collect()
     assert {r.bron for r in rows} == {"zv", "zvc"}

@@ -118,24 +118,21 @@ def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
 def absence_pivot(mart: DataFrame, lookup: DataFrame, years: ReportYears) -> DataFrame:
     """R4 (flagship): R3 as twelve month columns, one row per division, year and measure.
 
-    One aggregation per (division, year) sums the four day measures per month; the month and
-    year-to-date percentages are then ratios of those sums, and ``inline`` turns the two
-    measures into two rows. The second measure is labelled 'zvc' (the original labelled both
-    'zv'). Months without rows stay NULL.
+    R3's monthly figures (one aggregation of the labelled mart rows) are unpivoted into
+    (bron, waarde) and pivoted once with twelve conditional ``max`` cells, so both measures share
+    one pass. (Pivoting the four day sums directly would save a shuffle of a few hundred rows
+    but needs 48 decimal cells in one aggregate, which is too large for whole-stage codegen.)
+    The second measure is labelled 'zvc' (the original labelled both 'zv'). Months without rows
+    stay NULL.
     """
-    m = mart.filter(F.col("jaar").cast("int").isin(list(years.both)))
-    rows = m.select("kostenplaats_code", "jaar", F.col("maand").cast("int").alias("maand"), *ABSENCE_SUMS)
-    sums = monthly_sums(with_total_and_divisions(rows, lookup), ["divisie", "jaar"], "maand", ABSENCE_SUMS)
-
-    def cells(num: str, den: str) -> list:
-        return [ratio_pct(f"{num}_{k}", f"{den}_{k}").alias(name) for k, name in zip(MONTHS, ABSENCE_COLUMNS)]
-
-    measures = F.array(
-        F.struct(F.lit("zv").alias("bron"), *cells("dagen_ziek_ex_zwanger", "dienstverband_dagen")),
-        F.struct(F.lit("zvc").alias("bron"), *cells("dagen_ziek_ex_zwanger_ytd", "dienstverband_dagen_ytd")),
-    )
-    return sums.select(F.col("divisie").alias("zorgbedrijf"), "jaar", F.inline(measures)).orderBy(
-        "zorgbedrijf", "jaar", "bron"
+    monthly = absence_monthly(mart.filter(F.col("jaar").cast("int").isin(list(years.both))), lookup)
+    long = monthly.unpivot(["divisie", "jaar", "maand"], ["zv", "zvc"], "bron", "waarde")
+    month = F.col("maand").cast("int")
+    cells = [F.max(F.when(month == k, F.col("waarde"))).alias(n) for k, n in zip(MONTHS, ABSENCE_COLUMNS)]
+    return (
+        long.groupBy(F.col("divisie").alias("zorgbedrijf"), "jaar", "bron")
+        .agg(*cells)
+        .orderBy("zorgbedrijf", "jaar", "bron")
     )
 
 

@@ -77,4 +77,3 @@ class MartOptions:
     exclusions: Exclusions = field(default_factory=Exclusions)
     budget_group: str = BUDGET_GROUP
     include_budget: bool = False          # the budget insert is dormant in the warehouse load
-    with_load_time: bool = False          # stamp ``loaddatime``; off for comparable outputs

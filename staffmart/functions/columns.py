@@ -34,11 +34,6 @@ def period_key(year: str | Column, month: str | Column) -> Column:
     return F.concat(col(year).cast("string"), F.lpad(col(month).cast("string"), 2, "0"))
 
 
-def month_range(years: Iterable[int]) -> tuple[int, int]:
-    ys = sorted(years)
-    return ys[0] * 100 + 1, ys[-1] * 100 + 12
-
-
 def in_years(month_id: str | Column, years: Iterable[int]) -> Column:
     """``left(maand_id, 4) IN (years)`` as an integer range per year, which parquet can push down."""
     cond = None
@@ -63,10 +58,6 @@ def fte_from_units(units: str | Column) -> Column:
     return col(units).cast("double") / F.lit(float(FTE_SCALE))
 
 
-def as_double(c: str | Column) -> Column:
-    return col(c).cast("double")
-
-
 def ratio_pct(numerator: str | Column, denominator: str | Column) -> Column:
     """``(sum(a) / sum(b)) * 100`` on doubles; NULL when the denominator is 0 or NULL."""
     return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double")) * F.lit(100.0)

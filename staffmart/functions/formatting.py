@@ -60,10 +60,6 @@ def epoch_ms_to_ts(c: str | Column) -> Column:
     return F.timestamp_millis(col(c))
 
 
-def ts_to_epoch_ms(c: str | Column) -> Column:
-    return F.unix_millis(col(c).cast("timestamp"))
-
-
 def date_to_epoch_ms(c: str | Column) -> Column:
     """Midnight UTC of a date in epoch milliseconds (independent of the session time zone)."""
     return F.unix_date(col(c)).cast("long") * F.lit(86_400_000)

@@ -24,13 +24,6 @@ from staffmart.operators.staging import actual_rows, budget_rows, sick_rows
 from staffmart.sources.tables import Tables
 
 MEASURES = ("fte_begroot_units", "fte_units", "dagen_ziek_ex_zwanger", "dienstverband_dagen")
-YTD = ("fte_units_ytd", "dagen_ziek_ex_zwanger_ytd", "dienstverband_dagen_ytd")
-DISPLAY_COLUMNS = (
-    "jaar", "maand", "medewerker_id", "kostenplaats_code", "functie_code",
-    "fte_begroot", "fte_realisatie", "fte_realisatie_cum",
-    "dagen_ziek_ex_zwanger", "dienstverband_dagen",
-    "dagen_ziek_ex_zwanger_cum", "dienstverband_dagen_cum",
-)
 
 
 def _stackable(df: DataFrame, periode, medewerker, kostenplaats, functie, **measures) -> DataFrame:
@@ -145,10 +138,6 @@ def display(mart: DataFrame, with_load_time: bool = False) -> DataFrame:
     return mart.select(*cols)
 
 
-def fte_mart_display(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -> DataFrame:
-    return display(fte_mart(t, years, opts), opts.with_load_time)
-
-
 def fte_mart_plain(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -> DataFrame:
     """C5 as first published, before the YTD update: cum columns hold their initial values."""
     m = mart_totals(t, years, opts)

@@ -84,3 +84,18 @@ def test_inventory(fx):
     inv = inventory({"dim_medewerkers": fx.dim_medewerkers, "ref_datum": fx.ref_datum}, "%REF%").collect()
     assert {r.kolomnaam for r in inv} == {"maand_id", "jaar", "maandnummer", "aantal_dagen_maand"}
     assert {r.rijen for r in inv} == {36}
+
+
+def test_materialize_views_and_report_cells(spark, fx, tmp_path):
+    from staffmart.functions.formatting import report_decimal
+
+    spark.conf.set("staffmart.warehouse.dir", str(tmp_path / "wh"))
+    try:
+        back = P.materialize(spark, fx.ref_datum, "ref_datum_copy")
+        assert back.count() == 36 and str(tmp_path / "wh") in back.inputFiles()[0]
+    finally:
+        spark.conf.unset("staffmart.warehouse.dir")
+    fx.register_views()
+    assert spark.sql("SELECT count(*) FROM dim_dienstverbanden").collect()[0][0] == 7
+    cell = spark.createDataFrame([(12.345,)], "v double").select(report_decimal("v")).collect()[0][0]
+    assert str(cell) == "12.35"

@@ -1,89 +1,153 @@
-"""T1 as a stream: a rolling per-key buffer of the newest ``n`` values, updated per micro-batch.
-
-Each micro-batch unions the previous buffer version with the batch's rows, keeps the newest
-``n`` per key with the same rule as the batch form, and writes the result as a new version
-``v=<batch_id>`` under the state folder. A replayed batch rewrites the same version from the
-same previous one, so the output is idempotent across restarts; the checkpoint folder and state
-live under ``spark.checkpoint.dir`` (shared storage on a cluster).
-
-A hot key is no problem: the per-key limit is applied before the shuffle inside each batch, and
-the buffer holds at most ``n`` rows per key.
+"""T1 as a stream: a rolling per-key buffer of the newest ``n`` values.
+
+Plan of the streaming query:
+
+1. ``mapInPandas`` keeps, within each input partition, only the newest ``n`` rows per key
+   (vectorised, bounded by ``n`` x keys in the partition). A key that holds a third of a
+   micro-batch therefore ships at most ``n`` rows per partition into the shuffle.
+2. ``groupBy(key).transformWithStateInPandas`` keeps each key's buffer (at most ``n`` rows) in
+   the state store and updates only the keys present in the micro-batch. Input rows reach the
+   processor as Arrow-sized chunks, so even a hot key is handled in bounded memory.
+3. The updated buffers of each micro-batch go to ``updates/batch=<id>`` through ``foreachBatch``
+   (rewritten identically when a batch is replayed), for consumers that refresh a chart.
+
+The current view of every key is read back from the query's state through the state data
+source; re-indexing and clamping happen there, on at most ``n`` rows per key. Checkpoint and
+state live under ``spark.checkpoint.dir`` (shared storage on a cluster), so a restarted query
+resumes exactly where it stopped.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType, TimestampNTZType
 
-from staffmart.plans.charts import rolling_buffer
+from staffmart.functions.formatting import clamp
 from staffmart.session import ensure_checkpoint_dir
 
-BUFFER_COLUMNS = ("user_id", "ts", "event_id", "value")
-
-
-def _version(state_path: str, batch_id: int) -> str:
-    return os.path.join(state_path, f"v={batch_id:012d}")
-
-
-def merge_batch(spark: SparkSession, state_path: str, n: int, batch: DataFrame, batch_id: int) -> None:
-    rows = batch.select(*BUFFER_COLUMNS)
-    if batch_id > 0:
-        try:
-            prev = spark.read.parquet(_version(state_path, batch_id - 1)).select(*BUFFER_COLUMNS)
-            rows = prev.unionByName(rows)
-        except AnalysisException:
-            pass
-    out = rolling_buffer(rows, n, keep_value=True)
-    out.select(*BUFFER_COLUMNS, "x", "y").write.mode("overwrite").parquet(_version(state_path, batch_id))
-    # pointer to the newest complete version (rewritten identically on replay)
-    spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(_latest(state_path))
-
-
-def _latest(state_path: str) -> str:
-    return os.path.join(state_path, "_latest")
-
-
-def latest_version(spark: SparkSession, state_path: str) -> str | None:
-    try:
-        row = spark.read.parquet(_latest(state_path)).collect()
-    except AnalysisException:
-        return None
-    return _version(state_path, int(row[0]["batch_id"])) if row else None
+STATE_VAR = "buffer"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ENTRY = StructType(
+    [StructField("ts", TimestampNTZType()), StructField("event_id", LongType()), StructField("value", DoubleType())]
+)
+UPDATE = StructType(
+    [
+        StructField("user_id", LongType()),
+        StructField("x", IntegerType()),
+        StructField("y", DoubleType()),
+        StructField("event_id", LongType()),
+    ]
+)
+ORDER = ["ts", "event_id"]
+
+
+def newest_per_key(n: int, key: str = "user_id"):
+    """Per-partition pre-reduction for ``mapInPandas``: the newest ``n`` rows of every key."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for pdf in batches:
+            kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            kept = kept.sort_values([key, *ORDER], na_position="first").groupby(key, sort=False).tail(n)
+        if kept is not None and len(kept):
+            yield kept
+
+    return run
+
+
+class RollingBuffer(StatefulProcessor):
+    """Keeps the newest ``n`` (ts, id, value) entries per key in list state."""
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.buffer = handle.getListState(STATE_VAR, ENTRY)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        cols = ENTRY.names
+        if self.buffer.exists():
+            cur = pd.DataFrame(list(self.buffer.get()), columns=cols)
+        else:
+            cur = pd.DataFrame({"ts": pd.Series(dtype="datetime64[us]"), "event_id": pd.Series(dtype="int64"),
+                                "value": pd.Series(dtype="float64")})
+        for chunk in rows:
+            # missing times sort as oldest, as NULLs do in ``ORDER BY ts DESC`` of the batch rule
+            cur = pd.concat([cur, chunk[cols]], ignore_index=True).sort_values(ORDER, na_position="first").tail(self.n)
+        self.buffer.clear()
+        self.buffer.put([(None if pd.isna(t) else pd.Timestamp(t).to_pydatetime(), int(i),
+                          None if pd.isna(v) else float(v)) for t, i, v in cur.itertuples(index=False)])
+        y = cur["value"].clip(lower=0.0, upper=100.0)
+        yield pd.DataFrame({"user_id": key[0], "x": list(range(len(cur))), "y": y.to_numpy(),
+                            "event_id": cur["event_id"].to_numpy()})
+
+    def close(self) -> None:
+        pass
+
+
+def _input(spark: SparkSession, events_dir: str, file_glob: str, n: int, max_files: int | None) -> DataFrame:
+    schema = spark.read.parquet(os.path.join(events_dir, file_glob)).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # event time stays a local (zone-less) timestamp: ordering never depends on a session zone
+    rows = reader.parquet(events_dir).select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "value")
+    return rows.mapInPandas(newest_per_key(n), rows.schema)
 
 
 def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glob: str = "events.parquet",
                        run_dir: str | None = None, max_files_per_trigger: int | None = None) -> str:
-    """Process every file present under ``events_dir`` (``availableNow``) and return the folder
-    of the final buffer version."""
+    """Process every file present under ``events_dir`` (``availableNow``); return the run folder
+    (checkpoint + per-batch updates). Running again with the same ``run_dir`` resumes."""
     base = run_dir or os.path.join(ensure_checkpoint_dir(spark), "rolling", uuid.uuid4().hex)
-    state_path = os.path.join(base, "state")
-    schema = spark.read.parquet(os.path.join(events_dir, file_glob)).select(*BUFFER_COLUMNS, "event_type", "props").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(events_dir)
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # required by transformWithState
+    updates = (
+        _input(spark, events_dir, file_glob, n, max_files_per_trigger)
+        .groupBy("user_id")
+        .transformWithStateInPandas(RollingBuffer(n), UPDATE, "Update", "None")
+    )
 
-    def on_batch(df: DataFrame, batch_id: int) -> None:
-        merge_batch(spark, state_path, n, df, batch_id)
+    def write_updates(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(os.path.join(base, "updates", f"batch={batch_id}"))
 
     q = (
-        stream.writeStream.foreachBatch(on_batch)
+        updates.writeStream.foreachBatch(write_updates)
         .option("checkpointLocation", os.path.join(base, "checkpoint"))
+        .outputMode("update")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    path = latest_version(spark, state_path)
-    if path is None:
-        raise ValueError(f"no events found under {events_dir!r} matching {file_glob!r}")
-    return path
+    return base
+
+
+def current_buffers(spark: SparkSession, run_dir: str) -> DataFrame:
+    """Every key's buffer from the query state: x = position oldest first, y clamped to [0, 100]."""
+    state = (
+        spark.read.format("statestore")
+        .option("path", os.path.join(run_dir, "checkpoint"))
+        .option("stateVarName", STATE_VAR)
+        .load()
+        .select(F.col("key.user_id").alias("user_id"), "list_element.*")
+    )
+    oldest_first = Window.partitionBy("user_id").orderBy(*ORDER)   # at most n rows per key
+    return state.select(
+        "user_id",
+        (F.row_number().over(oldest_first) - 1).cast("int").alias("x"),
+        clamp("value").alias("y"),
+        "event_id",
+    )
 
 
 def rolling_stream_result(spark: SparkSession, events_dir: str, n: int, **kw) -> DataFrame:
-    path = run_rolling_stream(spark, events_dir, n, **kw)
-    return spark.read.parquet(path).select("user_id", "x", "y", "ts", "event_id")
+    return current_buffers(spark, run_rolling_stream(spark, events_dir, n, **kw))

@@ -6,7 +6,7 @@ from __future__ import annotations
 import pyarrow.parquet as pq
 
 from staffmart.plans.charts import rolling_buffer
-from staffmart.streaming.rolling import rolling_stream_result, run_rolling_stream
+from staffmart.streaming.rolling import current_buffers, rolling_stream_result, run_rolling_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,10 +31,11 @@ def test_stream_over_micro_batches_and_replay(spark, tmp_path):
     for q in range(4):
         pq.write_table(table.slice(q * step, step), str(src / f"events-{q + 1}.parquet"))
     run = str(tmp_path / "run")
-    last = run_rolling_stream(spark, str(src), 3, file_glob="events-*.parquet", run_dir=run, max_files_per_trigger=1)
-    assert last.endswith("v=000000000003")
+    run_rolling_stream(spark, str(src), 3, file_glob="events-*.parquet", run_dir=run, max_files_per_trigger=1)
     want = _rows(rolling_buffer(events, 3))
-    assert _rows(spark.read.parquet(last)) == want
+    assert _rows(current_buffers(spark, run)) == want
+    # one update folder per micro-batch
+    assert sorted(p.name for p in (tmp_path / "run" / "updates").iterdir()) == [f"batch={i}" for i in range(4)]
     # a restart with the same checkpoint finds nothing new and keeps the result
-    again = run_rolling_stream(spark, str(src), 3, file_glob="events-*.parquet", run_dir=run, max_files_per_trigger=1)
-    assert again == last and _rows(spark.read.parquet(again)) == want
+    run_rolling_stream(spark, str(src), 3, file_glob="events-*.parquet", run_dir=run, max_files_per_trigger=1)
+    assert _rows(current_buffers(spark, run)) == want

@@ -205,7 +205,7 @@ def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
         F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("reden_uit_dienst_code"),
     )
     return SyntheticTables(
-        ref_datum=calendar(orders),
+        ref_datum=calendar(orders).cache(),  # <= 12 rows per year, read by every job
         dim_medewerker_functies=functions,
         dim_organisatie_eenheid=org,
         dim_dienstverbanden=contracts,

@@ -504,6 +504,19 @@ SELECT CAST(year(p.einddatum) - year(start)
             AS INTEGER) AS dienstjaren,
        count(*) AS medewerkers
 FROM s, params p GROUP BY 1"""
+    q["service_years_by_year"] = _with() + """,
+s AS (SELECT medewerker_id, min(datum_in) AS start FROM afas_dienstperiodes GROUP BY 1),
+r AS (
+  SELECT make_date(p.prv, 12, 31) AS ref FROM params p WHERE p.prv <> year(p.einddatum)
+  UNION ALL SELECT einddatum FROM params
+),
+sr AS (SELECT s.start, r.ref FROM s, r WHERE s.start <= r.ref)
+SELECT CAST(year(ref) AS INTEGER) AS jaar,
+       CAST(year(ref) - year(start)
+            - CASE WHEN month(ref) < month(start) OR (month(ref) = month(start) AND day(ref) < day(start))
+                   THEN 1 ELSE 0 END AS INTEGER) AS dienstjaren,
+       count(*) AS medewerkers
+FROM sr GROUP BY 1, 2"""
     q["rolling_buffer"] = _with() + f""",
 r AS (
   SELECT user_id, event_id, value,

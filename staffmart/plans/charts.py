@@ -185,6 +185,27 @@ def service_years(periods: DataFrame, reference_date) -> DataFrame:
     return start.groupBy(years.alias("dienstjaren")).agg(F.count(F.lit(1)).alias("medewerkers"))
 
 
+def service_years_by_year(periods: DataFrame, years, reference_date) -> DataFrame:
+    """G11 (all years): for each report year, employees already in service at its reference
+    date (31 December, or the report end date for the current year) per completed year of
+    service. Each employee's first start date is paired with the few report years through an
+    array literal (no join), so the rows grow linearly with the employees."""
+    ref_dates = [F.make_date(F.lit(y), F.lit(12), F.lit(31)) for y in sorted(years) if y != reference_date.year]
+    ref_dates.append(F.lit(reference_date))
+    start = periods.groupBy("medewerker_id").agg(F.min("datum_in").alias("start"))
+    per_year = start.select("start", F.explode(F.array(*ref_dates)).alias("ref"))
+    ref, begin = F.col("ref"), F.col("start")
+    before_anniversary = (F.month(ref) < F.month(begin)) | (
+        (F.month(ref) == F.month(begin)) & (F.dayofmonth(ref) < F.dayofmonth(begin))
+    )
+    served = F.year(ref) - F.year(begin) - F.when(before_anniversary, 1).otherwise(0)
+    return (
+        per_year.filter(begin <= ref)
+        .groupBy(F.year(ref).alias("jaar"), served.alias("dienstjaren"))
+        .agg(F.count(F.lit(1)).alias("medewerkers"))
+    )
+
+
 # --------------------------------------------------------------------------- G8 / T1 helpers
 def function_grid(spark: SparkSession, stop: float = 12.0, step: float = 0.2, offset: float = 0.0) -> DataFrame:
     """sin/cos over a regular grid ``0, step, ... < stop`` (computed from the index, so the

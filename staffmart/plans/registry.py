@@ -174,6 +174,9 @@ register("contracts_by_relation")(
     lambda c: G.contracts_by_relation(c.tables.fact_fte_realisatie, c.tables.dim_dienstverbanden)
 )
 register("service_years")(lambda c: G.service_years(c.tables.afas_dienstperiodes, c.end_date))
+register("service_years_by_year")(
+    lambda c: G.service_years_by_year(c.tables.afas_dienstperiodes, c.years.both, c.end_date)
+)
 
 # ----------------------------------------------------------------------------- streaming + catalogue
 register("rolling_buffer")(lambda c: G.rolling_buffer(c.events, ROLLING_N).drop("ts"))

@@ -16,6 +16,7 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from staffmart.config import ReportYears
 from staffmart.operators import mart as M
 from staffmart.operators import quality as Q
 from staffmart.operators import staging as S
@@ -27,9 +28,19 @@ MART_TABLE = "mart_exact"
 PUBLIC_TABLE = "dwh_personeel_fte"
 
 
-def run(spark: SparkSession, sf_dir: str, base: str | None = None, names: list[str] | None = None) -> dict[str, str]:
+def run(spark: SparkSession, sf_dir: str, base: str | None = None, names: list[str] | None = None,
+        current_year_only: bool = False) -> dict[str, str]:
+    """Publish the mart and write the reports. ``current_year_only`` recomputes just the current
+    year: year-to-date sums never cross a year, and the mart is written with dynamic partition
+    overwrite, so the previous year's partition stays as published and the fact scan halves."""
     base = base or warehouse_path(spark, "staffmart")
-    ctx = context(spark, sf_dir)
+    ctx = full = context(spark, sf_dir)
+    if current_year_only:
+        cur = ctx.years.current
+        ctx = dataclasses.replace(
+            ctx, years=ReportYears(current=cur, previous=cur),
+            tables=ctx.tables.for_periods(cur * 100 + 1, cur * 100 + 12), _marts={},
+        )
     outputs: dict[str, str] = {}
     ok = False
     rows = None
@@ -37,11 +48,12 @@ def run(spark: SparkSession, sf_dir: str, base: str | None = None, names: list[s
         built = ctx.mart()
         mart_path = os.path.join(base, MART_TABLE)
         publish_mart(built, mart_path)
-        published = spark.read.schema(built.schema).parquet(mart_path)
+        published = spark.read.schema(built.schema).parquet(mart_path)   # every published year
         display_path = os.path.join(base, PUBLIC_TABLE)
         publish_mart(M.display(published, with_load_time=True), display_path)
         outputs[PUBLIC_TABLE] = display_path
-        run_ctx = dataclasses.replace(ctx, _marts={False: published})
+        # reports cover the full report period over every published year
+        run_ctx = dataclasses.replace(full, _marts={False: published})
         for name in names or [n for n in _REGISTRY if n != "rolling_buffer_stream"]:
             path = os.path.join(base, "reports", name)
             _REGISTRY[name](run_ctx).write.mode("overwrite").parquet(path)

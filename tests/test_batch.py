@@ -23,3 +23,17 @@ def test_broadcast_check_falls_back(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     assert fits(df, 3) and not fits(df, 2)
     assert small_side(df, max_rows=2) is df
+
+
+def test_current_year_refresh_keeps_previous_year(spark, tmp_path):
+    base = str(tmp_path / "wh")
+    names = ["fte_mart_ytd", "absence_pivot"]
+    first = run(spark, SF, base, names)
+    full = sorted(map(tuple, spark.read.parquet(f"{base}/mart_exact").collect()), key=repr)
+    pivot = sorted(map(tuple, spark.read.parquet(first["absence_pivot"]).collect()), key=repr)
+    run(spark, SF, base, names, current_year_only=True)
+    again = sorted(map(tuple, spark.read.parquet(f"{base}/mart_exact").collect()), key=repr)
+    assert again == full
+    # reports still span both report years
+    assert sorted(map(tuple, spark.read.parquet(first["absence_pivot"]).collect()), key=repr) == pivot
+    assert len(spark.read.parquet(f"{base}/load_audit").collect()) == 2

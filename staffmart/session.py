@@ -62,3 +62,4 @@ def warehouse_path(spark: SparkSession, name: str) -> str:
     """Folder for a written table next to the checkpoint folder (shared storage on a cluster)."""
     base = spark.conf.get("staffmart.warehouse.dir", None) or os.path.join(ensure_checkpoint_dir(spark), "warehouse")
     return os.path.join(base, name)
+

@@ -20,10 +20,12 @@ resumes exactly where it stopped.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -102,6 +104,12 @@ def _input(spark: SparkSession, events_dir: str, file_glob: str, n: int, max_fil
     return rows.mapInPandas(newest_per_key(n), rows.schema)
 
 
+# The pre-reduction and the state processor run in Python workers, including a driver-side
+# worker that transformWithState starts and that sees no files added after start-up. Shipping
+# this module's functions by value means no worker has to import the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glob: str = "events.parquet",
                        run_dir: str | None = None, max_files_per_trigger: int | None = None) -> str:
     """Process every file present under ``events_dir`` (``availableNow``); return the run folder

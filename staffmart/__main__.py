@@ -1,5 +1,6 @@
-"""Command line: ``python -m staffmart run DATA_DIR [--out DIR] [--query NAME ...]``
-or ``python -m staffmart show DATA_DIR NAME``."""
+"""Command line: ``python -m staffmart run DATA_DIR [--out DIR] [--query NAME ...]``,
+``python -m staffmart show DATA_DIR NAME [--explain]`` or
+``python -m staffmart plans DATA_DIR OUT_DIR [NAME ...]``."""
 
 from __future__ import annotations
 
@@ -20,12 +21,32 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("data")
     s.add_argument("name")
     s.add_argument("--explain", action="store_true")
+    e = sub.add_parser("plans", help="write the formatted physical plan of queries to a folder")
+    e.add_argument("data")
+    e.add_argument("out")
+    e.add_argument("names", nargs="*")
     args = ap.parse_args(argv)
     spark = local_session()
     if args.cmd == "run":
         from staffmart.plans.batch import run
 
         print(json.dumps(run(spark, args.data, args.out, args.query), indent=1))
+    elif args.cmd == "plans":
+        import contextlib
+        import io
+        import os
+
+        from staffmart.plans.registry import queries
+
+        qs = queries()
+        os.makedirs(args.out, exist_ok=True)
+        for name in args.names or sorted(qs):
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                qs[name](spark, args.data).explain("formatted")
+            with open(os.path.join(args.out, f"{name}.txt"), "w") as fh:
+                fh.write(buf.getvalue())
+            print(name)
     else:
         from staffmart.plans.registry import queries
 

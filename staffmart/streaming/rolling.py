@@ -110,10 +110,23 @@ def _input(spark: SparkSession, events_dir: str, file_glob: str, n: int, max_fil
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions for a new query: ``staffmart.stream.statePartitions`` if set, else the
+    cluster's default parallelism (one state store per core), not the shuffle default of 200."""
+    value = spark.conf.get("staffmart.stream.statePartitions", None)
+    if value:
+        return int(value)
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - remote session
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glob: str = "events.parquet",
                        run_dir: str | None = None, max_files_per_trigger: int | None = None) -> str:
     """Process every file present under ``events_dir`` (``availableNow``); return the run folder
-    (checkpoint + per-batch updates). Running again with the same ``run_dir`` resumes."""
+    (checkpoint + per-batch updates). Running again with the same ``run_dir`` resumes; the
+    number of state partitions is fixed by the first run and kept in the checkpoint."""
     base = run_dir or os.path.join(ensure_checkpoint_dir(spark), "rolling", uuid.uuid4().hex)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # required by transformWithState
@@ -126,14 +139,19 @@ def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glo
     def write_updates(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(os.path.join(base, "updates", f"batch={batch_id}"))
 
-    q = (
-        updates.writeStream.foreachBatch(write_updates)
-        .option("checkpointLocation", os.path.join(base, "checkpoint"))
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
+    try:
+        q = (
+            updates.writeStream.foreachBatch(write_updates)
+            .option("checkpointLocation", os.path.join(base, "checkpoint"))
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
     if q.exception() is not None:
         raise q.exception()
     return base

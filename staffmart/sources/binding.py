@@ -2,7 +2,8 @@
 
 The warehouse itself is not available, so each personnel table is defined as a projection of
 the given tables (rules below). All rules are plain column expressions, so Catalyst prunes
-columns and pushes filters into the parquet scans; nothing is materialised.
+columns and pushes filters into the parquet scans; only the month calendar (12 rows per year)
+is cached.
 
 ===========================  ==============================================================
 personnel table              bound from
@@ -16,8 +17,9 @@ fact_fte_ziekteverzuim       lineitem lines with ``l_returnflag = 'R'``: sick da
                              ``l_quantity * l_discount``, sickness percentage ``l_discount``
 fact_fte_begroting           lineitem lines with ``l_returnflag = 'N'``: budget days ``l_quantity``
 dim_medewerker_functies      part: code ``p_type``, name ``'Functie ' || p_type``
-dim_organisatie_eenheid      supplier ⋈ nation ⋈ region: cost centre and department
-                             ``n_name``, cluster ``r_name``
+dim_organisatie_eenheid      supplier, with nation and region looked up from their 25-row
+                             code table: cost centre and department ``n_name``, cluster
+                             ``r_name``
 dim_dienstverbanden          orders: employer ``o_orderpriority``, relation ``o_orderstatus``,
                              worker type unknown for contracts dated the 31st, trainee for the
                              1st and 2nd, employee otherwise

@@ -21,20 +21,23 @@ from staffmart.operators import mart as M
 from staffmart.operators import quality as Q
 from staffmart.operators import staging as S
 from staffmart.operators.publish import publish_mart, record_load
-from staffmart.plans.registry import _REGISTRY, context
+from staffmart.plans.registry import _REGISTRY, Context, available, context
 from staffmart.session import warehouse_path
 
 MART_TABLE = "mart_exact"
 PUBLIC_TABLE = "dwh_personeel_fte"
 
 
-def run(spark: SparkSession, sf_dir: str, base: str | None = None, names: list[str] | None = None,
-        current_year_only: bool = False) -> dict[str, str]:
+def run(spark: SparkSession, sf_dir: str | None = None, base: str | None = None, names: list[str] | None = None,
+        current_year_only: bool = False, ctx: Context | None = None) -> dict[str, str]:
     """Publish the mart and write the reports. ``current_year_only`` recomputes just the current
     year: year-to-date sums never cross a year, and the mart is written with dynamic partition
-    overwrite, so the previous year's partition stays as published and the fact scan halves."""
+    overwrite, so the previous year's partition stays as published and the fact scan halves.
+
+    ``ctx`` runs over any personnel tables (``registry.context_for``); queries whose optional
+    inputs (event table, KPI table, relation lookups) are missing are skipped."""
     base = base or warehouse_path(spark, "staffmart")
-    ctx = full = context(spark, sf_dir)
+    ctx = full = ctx if ctx is not None else context(spark, sf_dir)
     if current_year_only:
         cur = ctx.years.current
         ctx = dataclasses.replace(
@@ -54,7 +57,8 @@ def run(spark: SparkSession, sf_dir: str, base: str | None = None, names: list[s
         outputs[PUBLIC_TABLE] = display_path
         # reports cover the full report period over every published year
         run_ctx = dataclasses.replace(full, _marts={False: published})
-        for name in names or [n for n in _REGISTRY if n != "rolling_buffer_stream"]:
+        default = [n for n in _REGISTRY if n != "rolling_buffer_stream" and available(full, n)]
+        for name in names or default:
             path = os.path.join(base, "reports", name)
             _REGISTRY[name](run_ctx).write.mode("overwrite").parquet(path)
             outputs[name] = path

@@ -18,9 +18,10 @@ from staffmart.operators import quality as Q
 from staffmart.operators import staging as S
 from staffmart.plans import charts as G
 from staffmart.plans import reports as R
-from staffmart.sources.binding import EXCLUSIONS, SyntheticTables, bind, read_raw
+from staffmart.sources.binding import EXCLUSIONS, bind, read_raw
 from staffmart.sources.loaders import inventory
 from staffmart.sources.params import report_period
+from staffmart.sources.tables import Tables
 from staffmart.streaming.rolling import rolling_stream_result
 
 # Division shown by the per-division control query (R2) in this binding.
@@ -37,11 +38,11 @@ OPTIONS = MartOptions(exclusions=EXCLUSIONS)
 
 @dataclass(frozen=True)
 class Context:
-    tables: SyntheticTables
+    tables: Tables
     years: ReportYears
     end_date: dt.date
-    sf_dir: str
-    events: DataFrame
+    sf_dir: str | None = None          # folder of the raw files (the stream reads it)
+    events: DataFrame | None = None    # event table behind the time-series panels
     options: MartOptions = OPTIONS
 
     _marts: dict = field(default_factory=dict, compare=False, repr=False)
@@ -69,6 +70,13 @@ def context(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Context:
     return _CONTEXTS[key]
 
 
+def context_for(tables: Tables, options: MartOptions = MartOptions(), events: DataFrame | None = None) -> Context:
+    """A context over any personnel tables (e.g. from ``sources.loaders.SourceMap``); the
+    default options carry the warehouse's own exclusion codes."""
+    end_date, years = report_period(tables.dwh_rap_periode)
+    return Context(tables.for_periods(years.first_month, years.last_month), years, end_date, None, events, options)
+
+
 def _months_before(d: dt.date, months: int) -> int:
     y, m = divmod(d.year * 12 + d.month - 1 - months, 12)
     return y * 100 + m + 1
@@ -180,6 +188,30 @@ register("service_years_by_year")(
 
 # ----------------------------------------------------------------------------- streaming + catalogue
 register("rolling_buffer")(lambda c: G.rolling_buffer(c.events, ROLLING_N).drop("ts"))
+
+# queries that need the event table (and, for the stream, its folder)
+EVENT_QUERIES = frozenset(
+    {"daily_two_series", "daily_bars", "latest_rows", "load_feed", "rolling_buffer", "rolling_buffer_stream"}
+)
+# queries that need optional personnel tables
+NEEDS = {
+    "kpi_lookup": ("dwh_dashboard",),
+    "kpi_since": ("dwh_dashboard",),
+    "relation_counts_formatie": ("afas_mdw_formatie", "afas_dienstbetrekking"),
+    "relation_counts_contracts": ("afas_dienstbetrekking",),
+    "relation_enrich": ("afas_dienstbetrekking",),
+    "unmatched_relations": ("afas_dienstbetrekking",),
+    "leave_reasons": ("afas_dienstperiodes",),
+    "service_years": ("afas_dienstperiodes",),
+    "service_years_by_year": ("afas_dienstperiodes",),
+}
+
+
+def available(c: Context, name: str) -> bool:
+    """Whether the context has every input the query reads."""
+    if name in EVENT_QUERIES and c.events is None:
+        return False
+    return all(getattr(c.tables, t) is not None for t in NEEDS.get(name, ()))
 register("rolling_buffer_stream")(
     lambda c: rolling_stream_result(c.events.sparkSession, c.sf_dir, ROLLING_N).drop("ts")
 )

@@ -37,3 +37,22 @@ def test_current_year_refresh_keeps_previous_year(spark, tmp_path):
     # reports still span both report years
     assert sorted(map(tuple, spark.read.parquet(first["absence_pivot"]).collect()), key=repr) == pivot
     assert len(spark.read.parquet(f"{base}/load_audit").collect()) == 2
+
+
+def test_batch_over_tables_from_storage(spark, fx, tmp_path):
+    """The warehouse's own codes and a SourceMap instead of the synthetic binding."""
+    from staffmart.config import MartOptions
+    from staffmart.plans.registry import context_for
+    from staffmart.sources.loaders import Location, SourceMap
+
+    locations = {}
+    for name, df in fx.views().items():
+        df.write.parquet(str(tmp_path / "src" / name))
+        locations[name] = Location("parquet", str(tmp_path / "src" / name))
+    tables = SourceMap(locations).tables(spark)
+    out = run(spark, base=str(tmp_path / "wh"), ctx=context_for(tables, MartOptions()))
+    assert "daily_bars" not in out and "absence_pivot" in out
+    pivot = spark.read.parquet(out["absence_pivot"]).filter("zorgbedrijf = 'DIV A' AND bron = 'zv' AND jaar = '2016'")
+    assert abs(pivot.collect()[0].verzuim_januari - 3 / 39 * 100) < 1e-9
+    audit = spark.read.parquet(str(tmp_path / "wh" / "load_audit")).collect()
+    assert [r.status for r in audit] == ["data loaded"]

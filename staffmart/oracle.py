@@ -381,11 +381,12 @@ FROM mart, params p WHERE jaar = CAST(p.cur AS VARCHAR) AND dagen_ziek_ex_zwange
     q["fte_mart_ytd_selfjoin"] = q["fte_mart_ytd"]
     q["kpi_lookup"] = _with() + f"""
 SELECT d.* FROM dwh_dashboard d, params p
-WHERE d.rap_periode = strftime(p.einddatum, '%Y%m') AND d.rap_item = '{KPI_ITEM}' AND d.rap_code = '{KPI_CODE}'"""
+WHERE d.rap_periode = strftime(p.einddatum - INTERVAL 1 DAY, '%Y%m') AND d.rap_item = '{KPI_ITEM}' AND d.rap_code = '{KPI_CODE}'"""
     q["kpi_since"] = _with() + f"""
 SELECT d.* FROM dwh_dashboard d, params p
 WHERE d.rap_code = '{KPI_SINCE_CODE}' AND d.rap_item5 = '{KPI_ITEM5}'
-  AND CAST(d.rap_periode AS INTEGER) > CAST(strftime(p.einddatum - INTERVAL {KPI_SINCE_MONTHS} MONTH, '%Y%m') AS INTEGER)"""
+  AND CAST(d.rap_periode AS INTEGER)
+      > CAST(strftime(p.einddatum - INTERVAL 1 DAY - INTERVAL {KPI_SINCE_MONTHS} MONTH, '%Y%m') AS INTEGER)"""
     for name, src in (("relation_counts_formatie", "afas_mdw_formatie"), ("relation_counts_contracts", "dim_dienstverbanden")):
         q[name] = _with() + f"""
 SELECT s.dienstbetrekking, l.omschrijving, count(*) AS aantal

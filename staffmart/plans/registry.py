@@ -1,4 +1,5 @@
-"""Named queries over the synthetic binding: ``name -> (spark, sf_dir) -> DataFrame``.
+"""Named queries: ``name -> (spark, sf_dir) -> DataFrame`` over the synthetic binding, or
+``name -> Context -> DataFrame`` over any personnel tables (:func:`context_for`).
 
 Each query binds the personnel tables lazily, reads the report period (one small job), restricts
 the facts to the report years at the scan, and returns an unevaluated DataFrame.
@@ -6,6 +7,7 @@ the facts to the report years at the scan, and returns an unevaluated DataFrame.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -44,13 +46,18 @@ class Context:
     sf_dir: str | None = None          # folder of the raw files (the stream reads it)
     events: DataFrame | None = None    # event table behind the time-series panels
     options: MartOptions = OPTIONS
+    control_division: str = CONTROL_DIVISION
+    kpi_item: str = KPI_ITEM
+    kpi_code: str = KPI_CODE
+    kpi_since_code: str = KPI_SINCE_CODE
+    kpi_item5: str = KPI_ITEM5
 
     _marts: dict = field(default_factory=dict, compare=False, repr=False)
 
     def mart(self, include_budget: bool = False) -> DataFrame:
         """The exact mart with YTD sums; built once per context (a lazy plan, not cached data)."""
         if include_budget not in self._marts:
-            opts = MartOptions(exclusions=self.options.exclusions, include_budget=include_budget)
+            opts = dataclasses.replace(self.options, include_budget=include_budget)
             self._marts[include_budget] = M.fte_mart(self.tables, self.years, opts)
         return self._marts[include_budget]
 
@@ -70,11 +77,14 @@ def context(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Context:
     return _CONTEXTS[key]
 
 
-def context_for(tables: Tables, options: MartOptions = MartOptions(), events: DataFrame | None = None) -> Context:
+def context_for(tables: Tables, options: MartOptions = MartOptions(), events: DataFrame | None = None,
+                **report_params: str) -> Context:
     """A context over any personnel tables (e.g. from ``sources.loaders.SourceMap``); the
-    default options carry the warehouse's own exclusion codes."""
+    default options carry the warehouse's own exclusion codes. ``report_params`` sets the
+    control division and KPI filters (``control_division``, ``kpi_item``, ...)."""
     end_date, years = report_period(tables.dwh_rap_periode)
-    return Context(tables.for_periods(years.first_month, years.last_month), years, end_date, None, events, options)
+    return Context(tables.for_periods(years.first_month, years.last_month), years, end_date, None, events, options,
+                   **report_params)
 
 
 def _months_before(d: dt.date, months: int) -> int:
@@ -82,6 +92,11 @@ def _months_before(d: dt.date, months: int) -> int:
     return y * 100 + m + 1
 
 
+def report_month(end_date: dt.date) -> dt.date:
+    """The reported month: the one holding the last day before the (exclusive) report end date."""
+    return end_date - dt.timedelta(days=1)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Callable[[Context], DataFrame]] = {}
 
@@ -110,7 +125,7 @@ register("budget_vs_actual")(lambda c: M.display(c.mart(include_budget=True)))
 # ----------------------------------------------------------------------------- reports
 register("control_total")(lambda c: R.control_total(c.mart()))
 register("control_division")(
-    lambda c: R.control_division(c.mart(), c.tables.dwh_budgetplaatsen, c.years, CONTROL_DIVISION)
+    lambda c: R.control_division(c.mart(), c.tables.dwh_budgetplaatsen, c.years, c.control_division)
 )
 register("absence_monthly")(lambda c: R.absence_monthly(c.mart(), c.tables.dwh_budgetplaatsen))
 register("absence_pivot")(
@@ -127,9 +142,12 @@ register("absence_rowpct_total")(lambda c: R.absence_rowpct_total(c.mart(), c.ye
 register("absence_total_pivot")(lambda c: R.absence_total_pivot(c.mart(), c.years.current))
 register("absence_year_total")(lambda c: R.absence_year_total(c.mart(), c.years.current))
 register("fte_mart_ytd_selfjoin")(lambda c: M.display(M.ytd_by_self_join(M.mart_totals(c.tables, c.years, c.options))))
-register("kpi_lookup")(lambda c: R.kpi_lookup(c.tables.dwh_dashboard, c.end_date.strftime("%Y%m"), KPI_ITEM, KPI_CODE))
+register("kpi_lookup")(
+    lambda c: R.kpi_lookup(c.tables.dwh_dashboard, report_month(c.end_date).strftime("%Y%m"), c.kpi_item, c.kpi_code)
+)
 register("kpi_since")(
-    lambda c: R.kpi_since(c.tables.dwh_dashboard, KPI_SINCE_CODE, _months_before(c.end_date, KPI_SINCE_MONTHS), KPI_ITEM5)
+    lambda c: R.kpi_since(c.tables.dwh_dashboard, c.kpi_since_code,
+                          _months_before(report_month(c.end_date), KPI_SINCE_MONTHS), c.kpi_item5)
 )
 register("relation_counts_formatie")(lambda c: R.relation_counts(c.tables.afas_mdw_formatie, c.tables.afas_dienstbetrekking))
 register("relation_counts_contracts")(

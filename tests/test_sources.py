@@ -23,3 +23,22 @@ def test_source_map_round_trip(spark, fx, tmp_path):
     b = sorted(map(tuple, M.display(M.fte_mart(fx, years)).collect()), key=repr)
     assert a == b
     assert full_table(tables.ref_datum).count() == 36
+
+
+def test_report_years_prune_partitioned_facts(spark, fx, tmp_path):
+    import contextlib
+    import io
+
+    from staffmart.operators import staging as S
+
+    path = str(tmp_path / "fact_fte_realisatie")
+    fx.fact_fte_realisatie.write.partitionBy("maand_id").parquet(path)
+    tables = fx.replace(fact_fte_realisatie=SourceMap({"f": Location("parquet", path)}).read(spark, "f"))
+    years = report_years(tables.dwh_rap_periode)
+    df = S.actual_fte(tables.for_periods(years.first_month, years.last_month), years)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    scan = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
+    assert any("maand_id" in ln and "201501" in ln and "201612" in ln for ln in scan), scan
+    assert df.count() == S.actual_fte(fx, years).count()

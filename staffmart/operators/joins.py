@@ -1,10 +1,12 @@
 """Broadcasting behind a size check.
 
 Lookup (code) tables are small by nature, but nothing in a table's definition proves it. Before
-broadcasting one, :func:`small_side` counts at most ``max_rows + 1`` of its rows; within the
-bound it is broadcast, beyond it the join is left to the planner (sort-merge, with AQE's
-skew-join splitting a hot key). The answer is remembered per DataFrame, so a lookup reused by
-several branches of a plan is probed once.
+broadcasting one, :func:`small_side` asks whether a row exists past position ``max_rows``;
+within the bound it is broadcast, beyond it the join is left to the planner (sort-merge, with
+AQE's skew-join splitting a hot key). The probe is ``offset(max_rows).limit(1).take(1)``, which
+Spark runs as an incremental collect (one partition first, more only if needed) returning at
+most one row, so checking a huge table costs about ``max_rows`` rows, not a scan. The answer is
+remembered per DataFrame, so a lookup reused by several branches of a plan is probed once.
 """
 
 from __future__ import annotations
@@ -24,12 +26,12 @@ def max_rows_setting(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
 
 
 def fits(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads no more than ``max_rows + 1``)."""
+    """True when ``df`` has at most ``max_rows`` rows."""
     bound = max_rows if max_rows is not None else max_rows_setting(df)
     hit = _CHECKED.get(df)
     if hit is not None and hit[0] == bound:
         return hit[1]
-    ok = df.limit(bound + 1).count() <= bound
+    ok = not df.select(F.lit(1)).offset(bound).limit(1).take(1)
     _CHECKED[df] = (bound, ok)
     return ok
 

@@ -66,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str | None = None, base: str | None = None,
         # the control step: facts entering the mart must add up to the published mart
         rec = Q.reconciliation(S.actual_rows(ctx.tables, ctx.years, ctx.options),
                                S.sick_rows(ctx.tables, ctx.years, ctx.options), published)
-        ok = rec.filter(~F.coalesce(F.col("sluit"), F.lit(False))).limit(1).count() == 0
+        ok = not rec.filter(~F.coalesce(F.col("sluit"), F.lit(False))).take(1)
         return outputs
     finally:
         record_load(spark, os.path.join(base, "load_audit"), PUBLIC_TABLE, rows, ok)

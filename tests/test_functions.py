@@ -80,3 +80,27 @@ def test_pct_cents_brute_force_table(spark):
     got = [r[0] for r in df.select(pct_cents_half_up("a", "b")).collect()]
     want = [int((a / b * 100).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP) * 100) for a, b in rows]
     assert got == want
+
+
+def test_report_month_helpers():
+    from staffmart.plans.registry import _months_before, report_month
+
+    assert report_month(dt.date(2001, 8, 1)) == dt.date(2001, 7, 31)
+    assert report_month(dt.date(2016, 8, 31)).strftime("%Y%m") == "201608"
+    assert _months_before(dt.date(2016, 8, 31), 3) == 201605
+    assert _months_before(dt.date(2016, 2, 29), 3) == 201511
+    assert _months_before(dt.date(2016, 1, 15), 12) == 201501
+
+
+def test_broadcast_probe_is_an_incremental_collect(spark):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.select(F.lit(1)).offset(10).limit(1).explain()
+    plan = buf.getvalue()
+    assert "CollectLimit 11, 10" in plan and "ReadSchema: struct<>" in plan

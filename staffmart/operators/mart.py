@@ -91,8 +91,11 @@ def with_ytd(mart: DataFrame) -> DataFrame:
 
 
 def ytd_by_self_join(mart: DataFrame) -> DataFrame:
-    """The warehouse's triangular self-join form of :func:`with_ytd` (for checks only;
-    it compares every month with every earlier month of the same key)."""
+    """The warehouse's triangular self-join form of :func:`with_ytd` (for checks only).
+
+    It pairs every month with every earlier month of the same key. The input is the aggregated
+    mart, unique per (key, year, month), so a key-year has at most 12 rows and at most 78 pairs
+    however the facts are skewed; NULL keys never match, as in the original."""
     a = mart.alias("a")
     b = mart.alias("b")
     cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in MART_KEYS] + [F.col("a.maand") >= F.col("b.maand")]

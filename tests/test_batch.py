@@ -56,3 +56,13 @@ def test_batch_over_tables_from_storage(spark, fx, tmp_path):
     assert abs(pivot.collect()[0].verzuim_januari - 3 / 39 * 100) < 1e-9
     audit = spark.read.parquet(str(tmp_path / "wh" / "load_audit")).collect()
     assert [r.status for r in audit] == ["data loaded"]
+
+
+def test_sql_views(spark):
+    from staffmart.plans.registry import context
+    from staffmart.plans.views import register_views
+
+    names = register_views(context(spark, SF), prefix="sm_")
+    assert "sm_dwh_personeel_fte" in names and "sm_absence_pivot" in names
+    n = spark.sql("SELECT count(*) FROM sm_absence_pivot WHERE bron = 'zvc'").collect()[0][0]
+    assert n == queries()["absence_pivot"](spark, SF).filter("bron = 'zvc'").count() > 0

@@ -1,6 +1,8 @@
 """Run registered queries in Spark and their SQL in DuckDB and compare the results.
 
-Usage: ``python tests/oracle_check.py [sf_dir] [name ...]``
+Usage: ``python tests/oracle_check.py [sf_dir] [name ...]``; set ``ORACLE_REPORT=path.json`` to
+also write the per-query results as JSON. ``SESSION_TZ`` and ``SESSION_CONF=k=v,...`` change the
+Spark session settings for the run.
 """
 
 from __future__ import annotations
@@ -96,6 +98,7 @@ def main(argv):
     con = duckdb_conn(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
+    report = []
     for name in names or list(qs):
         try:
             r = compare(spark, con, name, sf_dir, sqls.get(name), qs[name])
@@ -104,7 +107,13 @@ def main(argv):
         if r["status"] not in ("MATCH", "rows-only"):
             bad += 1
         print(r, flush=True)
+        report.append({k: (str(v) if k == "first_diff" else v) for k, v in r.items()})
     print(f"{bad} problems")
+    if os.environ.get("ORACLE_REPORT"):
+        import json
+
+        with open(os.environ["ORACLE_REPORT"], "w") as fh:
+            json.dump({"sf_dir": sf_dir, "problems": bad, "queries": report}, fh, indent=1)
     return bad
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staffmart.llm import mixing, packing, token_counts
+from staffmart.llm import fingerprints, mixing, packing, token_counts, topk, warc
 
 
 def _path(name: str) -> str:
@@ -23,6 +23,18 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), _path("word_bpe_49k.json"), end_id=2)
 
 
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.round_trip(spark, _table(spark, sf_dir, "pages")))
+
+
+def fingerprints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
+def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(_table(spark, sf_dir, "documents")))
 
@@ -34,10 +46,13 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing_query,
+        "op2_warc": warc_query,
+        "op4_fingerprints": fingerprints_query,
+        "op6_topk": topk_query,
         "op7_mixing": mixing_query,
         "op10_token_counts": token_counts_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": mixing.MIX_SQL}
+    return {"op2_warc": warc.WARC_SQL, "op6_topk": topk.TOPK_SQL, "op7_mixing": mixing.MIX_SQL}

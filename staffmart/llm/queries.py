@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staffmart.llm import fingerprints, mixing, packing, token_counts, topk, warc
+from staffmart.llm import fingerprints, language, mixing, packing, token_counts, topk, toxicity, warc
 
 
 def _path(name: str) -> str:
@@ -31,6 +31,10 @@ def fingerprints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_documents(_table(spark, sf_dir, "documents"))
+
+
 def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -39,6 +43,10 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(_table(spark, sf_dir, "documents")))
 
 
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _path("piece_bpe_32k.model"))
 
@@ -48,8 +56,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": packing_query,
         "op2_warc": warc_query,
         "op4_fingerprints": fingerprints_query,
+        "op5_language": language_query,
         "op6_topk": topk_query,
         "op7_mixing": mixing_query,
+        "op8_toxicity": toxicity_query,
         "op10_token_counts": token_counts_query,
     }
 

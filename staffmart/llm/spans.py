@@ -120,3 +120,15 @@ class HashTable:
         order = np.argsort(k)
         k, v = k[order], v[order]
         self.parts = [(big_k, big_v), (k, v)] if len(big_k) else [(k, v), (big_k, big_v)]
+
+
+LETTERS = byte_set(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
+
+
+def fold_case(buf: np.ndarray) -> np.ndarray:
+    """Lower case for ASCII and Latin-1 letters."""
+    out = LOWER[buf]
+    if len(out) > 1:
+        upper = (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)
+        out[1:][upper] += 32
+    return out

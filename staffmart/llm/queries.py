@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staffmart.llm import fingerprints, language, mixing, packing, token_counts, topk, toxicity, warc
+from staffmart.llm import fingerprints, language, mixing, packing, suffix_dedup, token_counts, topk, toxicity, warc
 
 
 def _path(name: str) -> str:
@@ -27,6 +27,10 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.round_trip(spark, _table(spark, sf_dir, "pages")))
 
 
+def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_spans(_table(spark, sf_dir, "documents"))
+
+
 def fingerprints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing_query,
         "op2_warc": warc_query,
+        "op3_suffix_dedup": suffix_dedup_query,
         "op4_fingerprints": fingerprints_query,
         "op5_language": language_query,
         "op6_topk": topk_query,

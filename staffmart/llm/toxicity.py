@@ -1,9 +1,9 @@
 """Toxic passages by maximum-scoring segments.
 
 Tokens are runs of letters in lower case. A token's score is its log-odds of standing in a toxic
-rather than a clean text, with Dirichlet priors: the base rate is the prior of a token's first
+rather than a clean text, by the numbers of texts that hold it, with Dirichlet priors: the base rate is the prior of a token's first
 four bytes, these are the prior of its first six, these of the word. A constant is taken off, so
-that clean text drifts down.
+that clean text drifts down; a word that a text repeats scores as neutral from then on.
 
 One linear scan finds every maximal scoring segment of a text (segments that cannot be made
 better by longer or shorter ones). Extreme-value calibration makes scores comparable over text
@@ -13,7 +13,8 @@ clean texts. A logistic model over the best segment and the sum of all significa
 the probability of label 1.
 
 Labels are learned from a bounded sample (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN`` documents, in the
-order of a hash of their ids): one half for the log-odds, the other for the calibration. The
+order of a hash of their ids); the calibration is fitted on one half of it with the log-odds of
+the other. The
 token table has at most ``VOCABULARY`` rows; it and the sample's ids are what is broadcast.
 
 Defined cases: null or empty texts have no segment and the score of such texts; labels with null
@@ -30,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ VOCABULARY, LEAST_COUNT = 200_000, 3
 PRIOR, DRIFT, LOWEST = 2.0, 0.7, -1.5
 FOLDS = 5
 _GAMMA = 0.5772156649015329
-COUNT_DDL = "k long, toxic long, clean long"
+COUNT_DDL = "k long, half int, toxic long, clean long"
 SCORE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()),
                           ("passages", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())])))])
 SCORE_DDL = "doc_id long, score double, predicted int, passages array<struct<first: long, last: long, score: double>>"
@@ -73,19 +75,26 @@ def sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataFr
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:
-    """Occurrences of each key in toxic and clean texts."""
+    """Numbers of toxic and clean texts that hold each key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "text"):
+            halves = [batch.filter(pa.compute.equal(batch.column(2), h)) for h in (0, 1)]
+            for half, block in ((h, b) for h in (0, 1) for b in blocks(halves[h], "text")):
                 keys, _, _, row = token_keys(*text_buffer(block.column(0)))
-                label = block.column(1).to_numpy(zero_copy_only=False)[row]
+                label = block.column(1).to_numpy(zero_copy_only=False)
                 k, back = np.unique(keys.ravel(), return_inverse=True)
-                toxic = np.bincount(back, weights=np.tile(label, 3), minlength=len(k)).astype(np.int64)
+                # a key counts once in a text, however often the text repeats it
+                pair = np.unique(back * block.num_rows + np.tile(row, 3))
+                back, row = pair // block.num_rows, pair % block.num_rows
+                toxic = np.bincount(back, weights=label[row], minlength=len(k)).astype(np.int64)
                 both = np.bincount(back, minlength=len(k))
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(toxic), pa.array(both - toxic)], names=["k", "toxic", "clean"])
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(np.full(len(k), half, np.int32)), pa.array(toxic), pa.array(both - toxic)],
+                                                 names=["k", "half", "toxic", "clean"])
 
-    return rows.select("text", "toxic").mapInArrow(run, COUNT_DDL).groupBy("k").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    part = lambda name, *on: F.sum(F.when(F.lit(True) if not on else F.col("half") == 0, F.col(name)).otherwise(0))
+    return (rows.select("text", "toxic", "half").mapInArrow(run, COUNT_DDL).groupBy("k")
+            .agg(part("toxic").alias("toxic"), part("clean").alias("clean"), part("toxic", 0).alias("toxic0"), part("clean", 0).alias("clean0")))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -153,6 +162,11 @@ def _per_document(model: Model, block: pa.RecordBatch) -> Iterator[tuple[np.ndar
     buf, offsets = text_buffer(block.column(block.schema.get_field_index("text")))
     keys, starts, ends, row = token_keys(buf, offsets)
     scores = model.scores(keys)
+    # a word that the text has had before tells nothing new: it scores as neutral
+    new = np.zeros(len(row), bool)
+    _, group = np.unique(keys[0], return_inverse=True)
+    new[np.unique(group * block.num_rows + row, return_index=True)[1]] = True
+    scores = np.where(new, scores, np.minimum(scores, -DRIFT))
     cuts = np.searchsorted(row, np.arange(block.num_rows + 1))
     for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         yield scores[a:b], starts[a:b] - offsets[i], ends[a:b] - offsets[i]
@@ -201,17 +215,16 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
     """Fit the token table and the calibration on a bounded sample."""
     ship_code(docs.sparkSession)
     rows = materialize(sample(docs, labels, toxic, clean), "toxic-sample")
-    table = count_tokens(rows.where("half = 0")).where(F.col("toxic") + F.col("clean") >= LEAST_COUNT)
+    table = count_tokens(rows).where(F.col("toxic") + F.col("clean") >= LEAST_COUNT)
     # most telling first: keys of toxic texts, then frequent ones
     table = table.orderBy(F.desc(F.col("toxic") * 1000 + F.col("clean")), "k").limit(vocabulary).toArrow().to_pandas()
     keys = table["k"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    t = table["toxic"].to_numpy(np.float64)[order]
-    n = t + table["clean"].to_numpy(np.float64)[order]
-    totals = rows.where("half = 0").groupBy("toxic").agg(F.sum(F.length("text"))).collect()
-    size = {r[0]: float(r[1] or 0) for r in totals}
-    base = min(0.9, max(1e-4, size.get(1, 0.0) / max(1.0, sum(size.values()))))
-    model = Model(keys[order], n, t, base)
+    table, keys = table.iloc[(order := np.argsort(keys))], keys[order]
+    size = {(r[0], r[1]): float(r[2]) for r in rows.groupBy("toxic", "half").count().collect()}
+    base = lambda *halves: min(0.9, max(1e-4, sum(size.get((1, h), 0.0) for h in halves) / max(1.0, sum(size.get((x, h), 0.0) for x in (0, 1) for h in halves))))
+    column = lambda name: table[name].to_numpy(np.float64)
+    # calibrated on one half with the token table of the other; scoring then uses all the sample
+    model = Model(keys, column("toxic0") + column("clean0"), column("toxic0"), base(0))
     stats = _statistics(rows.where("half = 1"), model).toArrow().to_pandas()
     y = stats["toxic"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max() or not len(keys):
@@ -224,8 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
     best = np.array([max(f, default=0.0) for f in ok["found"]])
     model.log_k = float(np.mean(model.lam * best - np.log(np.maximum(ok["n"], 1)))) - _GAMMA
     x = np.array([(1.0, *model.evidence([(0, 0, s) for s in f], n)) for f, n in zip(stats["found"], stats["n"])])
-    model.coef = tuple(fit_logistic(x, y))
-    return model
+    return Model(keys, column("toxic") + column("clean"), column("toxic"), base(0, 1), model.lam, model.log_k, tuple(fit_logistic(x, y)))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staffmart.llm import fingerprints, language, mixing, packing, suffix_dedup, token_counts, topk, toxicity, warc
+from staffmart.llm import fingerprints, jaccard_join, language, mixing, packing, suffix_dedup, token_counts, topk, toxicity, warc
 
 
 def _path(name: str) -> str:
@@ -51,6 +51,10 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _path("piece_bpe_32k.model"))
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_topk": topk_query,
         "op7_mixing": mixing_query,
         "op8_toxicity": toxicity_query,
+        "op9_jaccard_join": jaccard_join_query,
         "op10_token_counts": token_counts_query,
     }
 

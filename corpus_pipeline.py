@@ -1,14 +1,36 @@
-"""Corpus pipeline: toxicity, n-gram Jaccard join, suffix-array dedup, mixing, packing."""
+"""Corpus pipeline: from raw documents to packed training sequences.
+
+Stages, each a function of (spark, docs, sf_dir): toxic documents go; one document of each
+near-duplicate group stays; repeated passages are cut out of the texts; sources are repeated to
+their target weights; the result is packed. Each stage's rows are written and read again as the
+next one's ``docs``; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from staffmart.llm import mixing, packing
+from staffmart.llm import jaccard_join, mixing, packing, suffix_dedup, toxicity
 from staffmart.llm.common import materialize
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from the table of labels, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.keep_clean(docs, toxicity.learn(docs, labels))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id."""
+    return jaccard_join.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that start earlier in the corpus."""
+    return suffix_dedup.remove_repeats(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to their sources' target weights."""
     return mixing.emit(mixing.mix(docs))
@@ -19,8 +41,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack)]
-# Tokenizer, CRC and hash steps cannot be written in SQL; tests hold the stages against plain versions.
+STAGES = [("toxicity", drop_toxic), ("jaccard_join", drop_near_duplicates), ("suffix_dedup", cut_repeats), ("mixing", mix_sources), ("packing", pack)]
+# A fitted classifier and a tokenizer cannot be written in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 

@@ -71,7 +71,8 @@ def sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataFr
     order = F.xxhash64("label_id", F.lit("toxic"))
     few = lambda value, n: marks.where(F.col("toxic") == value).orderBy(order).limit(n)
     chosen = few(1, toxic).unionByName(few(0, clean)).withColumn("half", F.pmod(F.xxhash64("label_id", F.lit("half")), F.lit(2)).cast("int"))
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic", "half")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic", "half")
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ LENGTH, GRAM = 100, 32
 LEFT = LENGTH - GRAM                      # an anchor lies at most so far into a string
 BLOCK_BYTES = 2 << 20
 SHALLOW = 2                               # words of eight bytes
-SALT_ROWS = 2048
+SALT_ROWS = 512
 BATCH_ROWS = 8192
 _LAST = 2**63 - 1
 _MANY = 0

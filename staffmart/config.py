@@ -30,13 +30,10 @@ MONTH_LABELS_ABSENCE = (
 MONTH_LABELS_SHORT = ("Jan", "Feb", "Mar", "Apr", "Mei", "Jun", "Jul", "Aug", "Sep", "Okt", "Nov", "Dec")
 FORMAT_THOUSANDS = "#,##0;-#,##0"
 FORMAT_PERCENT = "0.00"
+LOAD_OK = "Data geladen"                  # status texts of the load feed
+LOAD_PROBLEM = "Probleem laden data"
 # ---------------------------------------------------------------------------
 
-# Every calendar month length (28..31) divides this number, so FTE = days / days_in_month can be
-# carried exactly as days * (FTE_SCALE / days_in_month) and divided by FTE_SCALE once at the end.
-# Sums of FTE over rows and months then stay exact decimals, independent of partitioning.
-FTE_SCALE = 377580                        # lcm(28, 29, 30, 31)
-
 # Output column names (snake_case for the bracketed names of the warehouse mart).
 MART_KEYS = ("medewerker_id", "kostenplaats_code", "functie_code", "jaar")
 

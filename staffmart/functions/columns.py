@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from staffmart.config import FTE_SCALE, UNKNOWN
+from staffmart.config import UNKNOWN
 
 
 def col(c: str | Column) -> Column:
@@ -43,19 +43,21 @@ def in_years(month_id: str | Column, years: Iterable[int]) -> Column:
     return cond
 
 
-def fte_units(days: str | Column, days_in_month: str | Column) -> Column:
-    """FTE scaled by :data:`FTE_SCALE`: ``days * (FTE_SCALE / days_in_month)``, an exact decimal.
+def fte(days: str | Column, days_in_month: str | Column) -> Column:
+    """``days / days_in_month`` as ``decimal(18,8)``, rounded half up.
 
-    A missing or zero month length yields NULL instead of a divide-by-zero error; the
-    data-quality check ``zero_denominators`` counts those rows.
+    Days are summed exactly first: all rows of a month share its length, so one division per
+    group gives what dividing every row would, without its rounding. A missing or zero length
+    yields NULL instead of a divide-by-zero error; ``zero_denominators`` counts those months.
     """
     dim = col(days_in_month)
-    factor = F.when(dim > 0, (F.lit(FTE_SCALE) / dim).cast("int"))
-    return F.coalesce(col(days), F.lit(0).cast("decimal(18,6)")) * factor
+    return F.when(dim > 0, (col(days).cast("decimal(24,6)") / dim.cast("decimal(10,0)")).cast("decimal(18,8)"))
 
 
-def fte_from_units(units: str | Column) -> Column:
-    return col(units).cast("double") / F.lit(float(FTE_SCALE))
+def monthly_average(ytd: str | Column, month: str | Column) -> Column:
+    """A year-to-date sum over the month number as ``decimal(18,8)``; NULL for month 0."""
+    m = col(month).cast("int")
+    return F.when(m > 0, (col(ytd).cast("decimal(24,8)") / m.cast("decimal(10,0)")).cast("decimal(18,8)"))
 
 
 def ratio_pct(numerator: str | Column, denominator: str | Column) -> Column:

@@ -9,8 +9,8 @@ Plan shape at scale:
   month. After aggregation a window partition holds at most 12 rows, so a hot employee or cost
   centre cannot skew it; the triangular self-join of the warehouse load is kept only as
   :func:`ytd_by_self_join` for cross-checking.
-* Measures stay exact decimals (FTE as ``days * FTE_SCALE / days_in_month``) through every sum
-  and are turned into doubles once, in :func:`display`.
+* Days stay exact decimals through every sum. FTE is days over the month's length, divided once
+  per mart row (a row lies in one month) and kept as ``decimal(18,8)``, like the published columns.
 """
 
 from __future__ import annotations
@@ -19,23 +19,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffmart.config import MART_KEYS, UNKNOWN, MartOptions, ReportYears
-from staffmart.functions.columns import fte_from_units, zero_decimal
+from staffmart.functions.columns import fte, monthly_average, zero_decimal
 from staffmart.operators.staging import actual_rows, budget_rows, sick_rows
 from staffmart.sources.tables import Tables
 
-MEASURES = ("fte_begroot_units", "fte_units", "dagen_ziek_ex_zwanger", "dienstverband_dagen")
+DAYS = ("begroot_dagen", "dagen_ziek_ex_zwanger", "dienstverband_dagen")
+MEASURES = ("fte_begroot", "fte_realisatie", "dagen_ziek_ex_zwanger", "dienstverband_dagen")
 
 
 def _stackable(df: DataFrame, periode, medewerker, kostenplaats, functie, **measures) -> DataFrame:
-    zero = zero_decimal(38, 6)
+    zero = zero_decimal(18, 6)
     cols = [
         F.col(periode).cast("string").alias("periode") if isinstance(periode, str) else periode.alias("periode"),
         F.col(medewerker).cast("string").alias("medewerker_id") if isinstance(medewerker, str) else medewerker.alias("medewerker_id"),
         F.col(kostenplaats).alias("kostenplaats_code"),
         F.col(functie).alias("functie_code"),
+        F.col("aantal_dagen_maand"),
     ]
-    for m in MEASURES:
-        cols.append((F.col(measures[m]) if m in measures else zero).cast("decimal(38,6)").alias(m))
+    for m in DAYS:
+        cols.append((F.col(measures[m]) if m in measures else zero).cast("decimal(18,6)").alias(m))
     return df.select(*cols)
 
 
@@ -43,7 +45,7 @@ def stacked_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(
     """Actual and sick rows (and budget rows when ``include_budget``) in one schema."""
     parts = [
         _stackable(actual_rows(t, years, opts), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
-                   fte_units="fte_units", dienstverband_dagen="dienstverband_dagen"),
+                   dienstverband_dagen="dienstverband_dagen"),
         _stackable(sick_rows(t, years, opts), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
                    dagen_ziek_ex_zwanger="dagen_ziek_ex_zwanger"),
     ]
@@ -51,7 +53,7 @@ def stacked_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(
         # The dormant budget insert carries no employee; it lands on the unknown member.
         parts.append(
             _stackable(budget_rows(t, years, opts), "maand_id", F.lit(UNKNOWN), "kostenplaats_code",
-                       "medewerker_functie_code", fte_begroot_units="fte_units")
+                       "medewerker_functie_code", begroot_dagen="begroot_dagen")
         )
     out = parts[0]
     for p in parts[1:]:
@@ -62,13 +64,20 @@ def stacked_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(
 def mart_totals(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -> DataFrame:
     """C5 without YTD: one row per year, month, employee, cost centre and function."""
     rows = stacked_rows(t, years, opts)
-    return rows.groupBy(
+    sums = rows.groupBy(
         F.substring("periode", 1, 4).alias("jaar"),
         F.substring("periode", -2, 2).alias("maand"),
         "medewerker_id",
         "kostenplaats_code",
         "functie_code",
-    ).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    ).agg(*[F.sum(m).alias(m) for m in DAYS], F.max("aantal_dagen_maand").alias("aantal_dagen_maand"))
+    return sums.select(
+        "jaar", "maand", "medewerker_id", "kostenplaats_code", "functie_code",
+        fte("begroot_dagen", "aantal_dagen_maand").alias("fte_begroot"),
+        fte("dienstverband_dagen", "aantal_dagen_maand").alias("fte_realisatie"),
+        "dagen_ziek_ex_zwanger",
+        "dienstverband_dagen",
+    )
 
 
 def with_ytd(mart: DataFrame) -> DataFrame:
@@ -84,7 +93,7 @@ def with_ytd(mart: DataFrame) -> DataFrame:
     zero = zero_decimal(38, 6)
     return mart.select(
         "*",
-        F.when(keys_ok, F.sum("fte_units").over(w)).otherwise(F.col("fte_units")).alias("fte_units_ytd"),
+        F.when(keys_ok, F.sum("fte_realisatie").over(w)).otherwise(F.col("fte_realisatie")).alias("fte_realisatie_ytd"),
         F.when(keys_ok, F.sum("dagen_ziek_ex_zwanger").over(w)).otherwise(zero).alias("dagen_ziek_ex_zwanger_ytd"),
         F.when(keys_ok, F.sum("dienstverband_dagen").over(w)).otherwise(zero).alias("dienstverband_dagen_ytd"),
     )
@@ -103,7 +112,7 @@ def ytd_by_self_join(mart: DataFrame) -> DataFrame:
         a.join(b, cond)
         .groupBy(*[F.col(f"a.{k}").alias(k) for k in MART_KEYS], F.col("a.maand").alias("maand"))
         .agg(
-            F.sum("b.fte_units").alias("fte_units_ytd"),
+            F.sum("b.fte_realisatie").alias("fte_realisatie_ytd"),
             F.sum("b.dagen_ziek_ex_zwanger").alias("dagen_ziek_ex_zwanger_ytd"),
             F.sum("b.dienstverband_dagen").alias("dienstverband_dagen_ytd"),
         )
@@ -111,7 +120,7 @@ def ytd_by_self_join(mart: DataFrame) -> DataFrame:
     zero = zero_decimal(38, 6)
     return mart.join(sums, [*MART_KEYS, "maand"], "left").select(
         *mart.columns,
-        F.coalesce("fte_units_ytd", "fte_units").alias("fte_units_ytd"),
+        F.coalesce("fte_realisatie_ytd", "fte_realisatie").alias("fte_realisatie_ytd"),
         F.coalesce("dagen_ziek_ex_zwanger_ytd", zero).alias("dagen_ziek_ex_zwanger_ytd"),
         F.coalesce("dienstverband_dagen_ytd", zero).alias("dienstverband_dagen_ytd"),
     )
@@ -124,34 +133,39 @@ def fte_mart(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -
 
 def display(mart: DataFrame, with_load_time: bool = False) -> DataFrame:
     """W2 and the published column set: YTD sums divided by the month number (the year-to-date
-    monthly average), all measures as doubles."""
-    month = F.col("maand").cast("int")
+    monthly average). FTE and averages are ``decimal(18,8)``, days ``decimal(18,6)``."""
+    days = lambda c: F.col(c).cast("decimal(18,6)").alias(c)
     cols = [
         "jaar", "maand", "medewerker_id", "kostenplaats_code", "functie_code",
-        fte_from_units("fte_begroot_units").alias("fte_begroot"),
-        fte_from_units("fte_units").alias("fte_realisatie"),
-        F.try_divide(fte_from_units("fte_units_ytd"), month).alias("fte_realisatie_cum"),
-        F.col("dagen_ziek_ex_zwanger").cast("double").alias("dagen_ziek_ex_zwanger"),
-        F.col("dienstverband_dagen").cast("double").alias("dienstverband_dagen"),
-        F.try_divide(F.col("dagen_ziek_ex_zwanger_ytd").cast("double"), month).alias("dagen_ziek_ex_zwanger_cum"),
-        F.try_divide(F.col("dienstverband_dagen_ytd").cast("double"), month).alias("dienstverband_dagen_cum"),
+        "fte_begroot",
+        "fte_realisatie",
+        monthly_average("fte_realisatie_ytd", "maand").alias("fte_realisatie_cum"),
+        days("dagen_ziek_ex_zwanger"),
+        days("dienstverband_dagen"),
+        monthly_average("dagen_ziek_ex_zwanger_ytd", "maand").alias("dagen_ziek_ex_zwanger_cum"),
+        monthly_average("dienstverband_dagen_ytd", "maand").alias("dienstverband_dagen_cum"),
     ]
     if with_load_time:
         cols.append(F.current_timestamp().alias("loaddatime"))
     return mart.select(*cols)
 
 
+def as_doubles(df: DataFrame) -> DataFrame:
+    """Decimal columns as the nearest doubles, for consumers without decimals."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema.fields])
+
+
 def fte_mart_plain(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -> DataFrame:
     """C5 as first published, before the YTD update: cum columns hold their initial values."""
     m = mart_totals(t, years, opts)
-    zero = zero_decimal(38, 6)
+    zero = zero_decimal()
     return m.select(
         "jaar", "maand", "medewerker_id", "kostenplaats_code", "functie_code",
-        fte_from_units("fte_begroot_units").alias("fte_begroot"),
-        fte_from_units("fte_units").alias("fte_realisatie"),
-        fte_from_units("fte_units").alias("fte_realisatie_cum"),
-        F.col("dagen_ziek_ex_zwanger").cast("double").alias("dagen_ziek_ex_zwanger"),
-        F.col("dienstverband_dagen").cast("double").alias("dienstverband_dagen"),
-        zero.cast("double").alias("dagen_ziek_ex_zwanger_cum"),
-        zero.cast("double").alias("dienstverband_dagen_cum"),
+        "fte_begroot",
+        "fte_realisatie",
+        F.col("fte_realisatie").alias("fte_realisatie_cum"),
+        F.col("dagen_ziek_ex_zwanger").cast("decimal(18,6)").alias("dagen_ziek_ex_zwanger"),
+        F.col("dienstverband_dagen").cast("decimal(18,6)").alias("dienstverband_dagen"),
+        zero.alias("dagen_ziek_ex_zwanger_cum"),
+        zero.alias("dienstverband_dagen_cum"),
     )

@@ -22,16 +22,23 @@ def monthly_sums(df: DataFrame, group_cols: Sequence[str], month_col: str, value
     return df.groupBy(*group_cols).agg(*cells)
 
 
+def sums_by_cost_centre(mart: DataFrame, sums: Sequence[str], *more: Column) -> DataFrame:
+    """The mart summed to (cost centre, year, month), the grain of every lookup join: joins and
+    labels then touch a few rows per cost centre, however large the mart is."""
+    return mart.groupBy("kostenplaats_code", "jaar", "maand").agg(*[F.sum(c).alias(c) for c in sums], *more)
+
+
 def pct_cents_half_up(numerator: str | Column, denominator: str | Column) -> Column:
     """``cast((a / b) * 100 as decimal(18,2))`` for exact decimal inputs with scale <= 6, rounded
-    half away from zero, computed on integers so no intermediate rounding can move a tie.
+    half away from zero by a whole-number division, so no intermediate rounding can move a tie.
 
     Returns the percentage in hundredths as a long; NULL when ``b`` is not positive.
     """
-    a = (col(numerator) * F.lit(1_000_000)).cast("long")
-    b = (col(denominator) * F.lit(1_000_000)).cast("long")
-    num = F.lit(2) * F.abs(a) * F.lit(10_000) + b
-    den = F.lit(2) * b
-    # floor(num / den) without floating point: subtract the remainder, then the quotient is exact
-    quotient = ((num - F.pmod(num, den)).cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast("long")
+    a, b = col(numerator).cast("decimal(28,6)"), col(denominator).cast("decimal(28,6)")
+    quotient = F.call_function("div", F.abs(a) * F.lit(20_000) + b, b * F.lit(2))
     return F.when(b > 0, F.signum(a).cast("long") * quotient)
+
+
+def cents_as_decimal(cents: str | Column) -> Column:
+    """Hundredths (a long) as ``decimal(18,2)``."""
+    return (col(cents).cast("decimal(16,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)")

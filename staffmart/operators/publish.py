@@ -1,8 +1,8 @@
 """Writing the mart and its side tables (S4-S10, G12 load audit).
 
 The warehouse dropped and recreated tables and updated them in place. Parquet tables cannot be
-updated, so every "update" here is a projection written as a new table version; a full refresh
-overwrites only the partitions (years) it rewrites. Written tables also serve as lineage cuts:
+updated, so every "update" here is a projection written as a new table version. A full refresh
+replaces the whole table, a refresh of some years only their partitions. Written tables also serve as lineage cuts:
 reports that share a mart read it back instead of recomputing it, and a lost executor then
 costs one stage, not the whole job.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from staffmart.config import LOAD_OK, LOAD_PROBLEM
 from staffmart.session import warehouse_path
 
 AUDIT_SCHEMA = StructType(
@@ -27,9 +28,9 @@ AUDIT_SCHEMA = StructType(
 )
 
 
-def publish_mart(mart: DataFrame, path: str, partition_by: str = "jaar") -> None:
-    """Full refresh, partitioned by year. With dynamic partition overwrite only the years
-    present in ``mart`` are replaced.
+def publish_mart(mart: DataFrame, path: str, partition_by: str = "jaar", only_its_years: bool = False) -> None:
+    """Drop and recreate, partitioned by year. With ``only_its_years`` the years present in
+    ``mart`` are replaced and the others stay.
 
     A plain ``repartition(year)`` would send a whole year (with two report years: half the
     mart) through one task; the ``rebalance`` hint clusters rows by year but lets AQE split each
@@ -38,7 +39,7 @@ def publish_mart(mart: DataFrame, path: str, partition_by: str = "jaar") -> None
     (
         mart.hint("rebalance", partition_by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if only_its_years else "static")
         .partitionBy(partition_by)
         .parquet(path)
     )
@@ -63,8 +64,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def update_from(df: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """``UPDATE t SET c = u.c FROM t JOIN u ON keys`` as a projection: matched rows take
-    the new values, unmatched rows keep theirs. Write the result as the next table version."""
-    u = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
+    the new values, unmatched rows keep theirs, and no row is ever added. Of several updates for
+    one key, that with the smallest values counts (NULLs last). Write the result as the next
+    table version."""
+    values = F.struct(*[x for c in columns for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c).alias(f"_new_{c}"))])
+    u = updates.groupBy(*keys).agg(F.min(values).alias("_u")).select(*keys, *[f"_u._new_{c}" for c in columns], F.lit(True).alias("_matched"))
     j = df.join(u, keys, "left")
     out = [
         F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
@@ -75,10 +79,11 @@ def update_from(df: DataFrame, updates: DataFrame, keys: list[str], columns: lis
 
 def record_load(spark: SparkSession, audit_path: str, table: str, rows: int | None, ok: bool,
                 now: dt.datetime | None = None) -> None:
-    """Append one audit row per load ('data loaded' / 'problem loading data')."""
-    status = "data loaded" if ok else "problem loading data"
-    row = (status, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), rows, table)
-    append(spark.createDataFrame([row], AUDIT_SCHEMA), audit_path)
+    """Append one audit row per load, with the feed's status text."""
+    stamp = F.lit(now) if now is not None else F.current_timestamp()
+    row = spark.range(1).select(F.lit(LOAD_OK if ok else LOAD_PROBLEM).alias("status"), stamp.cast("timestamp").alias("ts"),
+                                F.lit(rows).cast("long").alias("rijen"), F.lit(table).alias("tabel"))
+    append(row, audit_path)
 
 
 def load_feed(spark: SparkSession, audit_path: str, n: int = 8) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffmart.config import FTE_SCALE, UNKNOWN
-from staffmart.operators.joins import small_side
+from staffmart.config import UNKNOWN, MartOptions, ReportYears
+from staffmart.functions.columns import in_years
+from staffmart.operators import staging as S
+from staffmart.sources.tables import Tables
 
 
 def duplicate_load(df: DataFrame, name: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -38,27 +40,46 @@ def key_duplicates(df: DataFrame, name: str, key: str) -> DataFrame:
     )
 
 
-def reconciliation(actual_rows: DataFrame, sick_rows: DataFrame, mart: DataFrame) -> DataFrame:
-    """Q3: per year, employment and sick days entering the mart vs. the mart's own totals."""
-    src = (
-        actual_rows.select(F.substring(F.col("periode").cast("string"), 1, 4).alias("jaar"),
-                           F.col("dienstverband_dagen").alias("d"), F.lit(0).cast("decimal(18,6)").alias("z"))
-        .unionByName(sick_rows.select(F.substring("periode", 1, 4).alias("jaar"),
-                                      F.lit(0).cast("decimal(18,6)").alias("d"), F.col("dagen_ziek_ex_zwanger").alias("z")))
-        .groupBy("jaar")
-        .agg(F.sum("d").alias("bron_dagen"), F.sum("z").alias("bron_ziek"))
-    )
-    tgt = mart.groupBy("jaar").agg(
-        F.sum("dienstverband_dagen").alias("mart_dagen"), F.sum("dagen_ziek_ex_zwanger").alias("mart_ziek")
-    )
-    j = src.join(tgt, "jaar", "full")
-    return j.select(
+def reconciliation(t: Tables, years: ReportYears, opts: MartOptions, mart: DataFrame) -> DataFrame:
+    """Q3: per year, the raw facts' employment and sick days, what the load excludes (by a reason
+    of its own: month, contract, function, org unit, employee, no sickness percentage) and the
+    mart's totals; ``sluit`` if facts less exclusions equal the mart.
+
+    Exclusions are found by existence of a kept key, apart from the load's joins, so a join that
+    loses or multiplies rows shows."""
+    ids = lambda df, key: df.select(F.col(key).alias(f"_{key}")).distinct()
+    months = ids(S.calendar(t), "maand_id")
+    contracts = ids(S.contracts_kept(t, opts), "dienstverband_id")
+    functions = ids(S.functions_kept(t, opts), "medewerker_functie_id")
+    units = ids(S.org_units_kept(t, opts), "organisatie_eenheid_id")
+    people = ids(t.dim_medewerkers, "medewerker_id")
+
+    def facts(fact: DataFrame, days: str, kept: list[DataFrame], more: Column | None = None) -> DataFrame:
+        ok = F.lit(True) if more is None else F.coalesce(more, F.lit(False))
+        for keys in kept:
+            (key,) = keys.columns
+            fact = fact.join(keys, F.col(key[1:]) == F.col(key), "left")
+            ok = ok & F.col(key).isNotNull()
+        d = F.coalesce(F.col(days), F.lit(0).cast("decimal(18,6)"))
+        return (fact.groupBy(F.floor(F.col("maand_id") / 100).cast("string").alias("jaar"))
+                .agg(F.sum(d).alias("bron"), F.sum(F.when(ok, F.lit(0).cast("decimal(18,6)")).otherwise(d)).alias("uit")))
+
+    actual = facts(t.fact_fte_realisatie.filter((F.col("groepering_id") == opts.budget_group) & in_years("maand_id", years.both)),
+                   "dienstverband_dagen", [months, contracts])
+    sick = facts(t.fact_fte_ziekteverzuim.filter(in_years("maand_id", years.both)), "dagen_ziek_ex_zwanger",
+                 [months, contracts, functions, units, people], F.col("ziektepercentage") != 0)
+    zero = F.lit(0).cast("decimal(28,6)")
+    src = (actual.select("jaar", F.col("bron").alias("bron_dagen"), F.col("uit").alias("uit_dagen"), zero.alias("bron_ziek"), zero.alias("uit_ziek"), zero.alias("mart_dagen"), zero.alias("mart_ziek"))
+           .unionByName(sick.select("jaar", zero.alias("bron_dagen"), zero.alias("uit_dagen"), F.col("bron").alias("bron_ziek"), F.col("uit").alias("uit_ziek"), zero.alias("mart_dagen"), zero.alias("mart_ziek")))
+           .unionByName(mart.groupBy("jaar").agg(F.sum("dienstverband_dagen").alias("mart_dagen"), F.sum("dagen_ziek_ex_zwanger").alias("mart_ziek"))
+                        .select("jaar", zero.alias("bron_dagen"), zero.alias("uit_dagen"), zero.alias("bron_ziek"), zero.alias("uit_ziek"), "mart_dagen", "mart_ziek")))
+    names = [c for c in src.columns if c != "jaar"]
+    g = src.groupBy("jaar").agg(*[F.sum(c).alias(c) for c in names])
+    return g.select(
         "jaar",
-        F.col("bron_dagen").cast("double").alias("bron_dagen"),
-        F.col("mart_dagen").cast("double").alias("mart_dagen"),
-        F.col("bron_ziek").cast("double").alias("bron_ziek"),
-        F.col("mart_ziek").cast("double").alias("mart_ziek"),
-        ((F.col("bron_dagen") == F.col("mart_dagen")) & (F.col("bron_ziek") == F.col("mart_ziek"))).alias("sluit"),
+        *[F.col(c).cast("double").alias(c) for c in names],
+        ((F.col("bron_dagen") - F.col("uit_dagen") == F.col("mart_dagen"))
+         & (F.col("bron_ziek") - F.col("uit_ziek") == F.col("mart_ziek"))).alias("sluit"),
     )
 
 
@@ -68,7 +89,7 @@ def zero_denominators(calendar: DataFrame, mart: DataFrame) -> DataFrame:
     dim = F.col("aantal_dagen_maand")
     cal = calendar.agg(
         F.count_if(dim.isNull() | (dim <= 0)).alias("maanden_zonder_dagen"),
-        F.count_if((dim > 0) & (F.pmod(F.lit(FTE_SCALE), dim) != 0)).alias("maanden_afwijkende_lengte"),
+        F.count_if((dim > 0) & ~dim.between(28, 31)).alias("maanden_afwijkende_lengte"),
     )
     mrt = mart.agg(
         F.count_if(F.coalesce(F.col("dienstverband_dagen"), F.lit(0)) <= 0).alias("mart_rijen_zonder_dagen"),
@@ -90,11 +111,7 @@ def unknown_member_rate(rows: DataFrame, cols: Sequence[str], label: str = UNKNO
 
 
 def unmatched(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Q6: codes of ``df`` without a lookup row (anti join), with their row counts."""
-    lk = small_side(lookup.select(F.col(right_key).alias(left_key)).distinct(), probe=lookup)
-    return (
-        df.select(left_key)
-        .join(lk, left_key, "left_anti")
-        .groupBy(left_key)
-        .agg(F.count(F.lit(1)).alias("aantal"))
-    )
+    """Q6: codes of ``df`` without a lookup row (anti join), with their row counts. Rows are
+    counted per code before the join."""
+    counts = df.groupBy(left_key).agg(F.count(F.lit(1)).alias("aantal"))
+    return counts.join(lookup.select(F.col(right_key).alias(left_key)), left_key, "left_anti")

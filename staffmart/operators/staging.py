@@ -1,10 +1,9 @@
 """Staging jobs: budget (C1), actuals (C2, C3) and sick absence (C4).
 
-Join strategy: the calendar has one row per month, so it is always broadcast. Function, org-unit,
-contract and employee dimensions are left to the planner: Spark broadcasts them when their
-measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE switches a sort-merge join
-to broadcast at runtime once the actual size is known; beyond that they sort-merge, with AQE's
-skew-join splitting a hot key. Dimension exclusions are applied to the dimension before the join
+Join strategy: no hints. Spark broadcasts a calendar or dimension when its measured size is under
+``spark.sql.autoBroadcastJoinThreshold`` and AQE switches a sort-merge join to broadcast at
+runtime once the actual size is known; beyond that they sort-merge, with AQE's skew-join
+splitting a hot key. Dimension exclusions are applied to the dimension before the join
 (Catalyst pushes them into the dimension scan).
 """
 
@@ -15,8 +14,7 @@ from pyspark.sql import functions as F
 
 from staffmart.config import MartOptions, ReportYears
 from staffmart.functions.columns import (
-    fte_from_units,
-    fte_units,
+    fte,
     in_years,
     not_in,
     not_in_or_null,
@@ -28,12 +26,11 @@ from staffmart.sources.tables import Tables
 
 
 def calendar(t: Tables, years: ReportYears | None = None) -> DataFrame:
-    """The month calendar, broadcast: one row per month (12 per year; uniqueness of ``maand_id``
-    is checked by ``dimension_key_duplicates``), so its size is bounded by the time span."""
+    """The month calendar (one row per month; ``dimension_key_duplicates`` checks that)."""
     cal = t.ref_datum.select("maand_id", "jaar", "maandnummer", "aantal_dagen_maand")
     if years is not None:
         cal = cal.filter(F.col("jaar").isin(list(years.both)))
-    return F.broadcast(cal)
+    return cal
 
 
 def functions_kept(t: Tables, opts: MartOptions) -> DataFrame:
@@ -68,7 +65,7 @@ def budget_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()
         fact.join(calendar(t, years), "maand_id")
         .join(functions_kept(t, opts), "medewerker_functie_id")
         .join(org_units_kept(t, opts), "organisatie_eenheid_id")
-        .withColumn("fte_units", fte_units("fte_begroot_dagen", "aantal_dagen_maand"))
+        .withColumn("begroot_dagen", F.coalesce("fte_begroot_dagen", zero_decimal(18, 6)))
     )
 
 
@@ -80,14 +77,14 @@ def budget_fte(t: Tables, years: ReportYears, opts: MartOptions = MartOptions())
             "kostenplaats_code", "afdeling_code", "medewerker_functie_code", "medewerker_functie_naam",
             "jaar", "maandnummer", "maand_id",
         )
-        .agg(F.sum("fte_units").alias("formatie_units"))
+        .agg(F.sum("begroot_dagen").alias("begroot_dagen"), F.max("aantal_dagen_maand").alias("aantal_dagen_maand"))
         .select(
             "kostenplaats_code",
             "afdeling_code",
             F.col("medewerker_functie_code").alias("functiecode_excl"),
             F.col("medewerker_functie_code").alias("functiecode"),
             F.col("medewerker_functie_naam").alias("oms_functie"),
-            fte_from_units("formatie_units").alias("formatie"),
+            fte("begroot_dagen", "aantal_dagen_maand").cast("double").alias("formatie"),
             zero_decimal().cast("double").alias("gem_realisatie_cum"),
             "jaar",
             "maandnummer",
@@ -121,7 +118,7 @@ def actual_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()
         unknown_member("jaar").alias("jaar"),
         unknown_member("maandnummer").alias("maandnummer"),
         F.col("maand_id").alias("periode"),
-        fte_units("dienstverband_dagen", "aantal_dagen_maand").alias("fte_units"),
+        "aantal_dagen_maand",
         F.coalesce("dienstverband_dagen", zero_decimal(18, 6)).alias("dienstverband_dagen"),
     )
 
@@ -135,7 +132,7 @@ def actual_fte(t: Tables, years: ReportYears, opts: MartOptions = MartOptions())
             "medewerker_id", "dienstverband_id", "kostenplaats_code", "afdeling_code",
             "functiecode", "oms_functie", "jaar", "maandnummer", "periode",
         )
-        .agg(F.sum("fte_units").alias("fte_units"), F.sum("dienstverband_dagen").alias("dienstverband_dagen"))
+        .agg(F.sum("dienstverband_dagen").alias("dienstverband_dagen"), F.max("aantal_dagen_maand").alias("aantal_dagen_maand"))
         .select(
             "medewerker_id",
             "dienstverband_id",
@@ -145,7 +142,7 @@ def actual_fte(t: Tables, years: ReportYears, opts: MartOptions = MartOptions())
             "functiecode",
             "oms_functie",
             F.lit(0.0).alias("plan_formatie"),
-            fte_from_units("fte_units").alias("realisatie"),
+            fte("dienstverband_dagen", "aantal_dagen_maand").cast("double").alias("realisatie"),
             F.col("dienstverband_dagen").cast("double").alias("dienstverband_dagen"),
             F.lit(0.0).alias("gem_realisatie"),
             "jaar",
@@ -161,14 +158,14 @@ def actual_fte_by_function(t: Tables, years: ReportYears, opts: MartOptions = Ma
     return (
         actual_rows(t, years, opts)
         .groupBy("periode", "medewerker_id", "kostenplaats_code", F.col("functiecode").alias("functie_code"))
-        .agg(F.sum("fte_units").alias("fte_units"), F.sum("dienstverband_dagen").alias("dienstverband_dagen"))
+        .agg(F.sum("dienstverband_dagen").alias("dienstverband_dagen"), F.max("aantal_dagen_maand").alias("aantal_dagen_maand"))
         .select(
             "periode",
             "medewerker_id",
             "kostenplaats_code",
             "functie_code",
             F.lit(0.0).alias("formatie"),
-            fte_from_units("fte_units").alias("realisatie"),
+            fte("dienstverband_dagen", "aantal_dagen_maand").cast("double").alias("realisatie"),
             F.lit(0.0).alias("dagen_ziek_ex_zwanger"),
             F.col("dienstverband_dagen").cast("double").alias("dienstverband_dagen"),
         )
@@ -192,6 +189,7 @@ def sick_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions())
         "kostenplaats_code",
         F.col("medewerker_functie_code").alias("functiecode"),
         F.col("medewerker_id").cast("string").alias("medewerker_id"),
+        "aantal_dagen_maand",
         F.coalesce("dagen_ziek_ex_zwanger", zero_decimal(18, 6)).alias("dagen_ziek_ex_zwanger"),
     )
 

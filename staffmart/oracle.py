@@ -8,7 +8,7 @@ rules, so results agree value for value.
 
 from __future__ import annotations
 
-from staffmart.config import FTE_SCALE, FTE_TOTAL_LABEL, ROWPCT_TOTAL_LABEL, TOTAL_LABEL
+from staffmart.config import FTE_TOTAL_LABEL, LOAD_OK, LOAD_PROBLEM, ROWPCT_TOTAL_LABEL, TOTAL_LABEL
 from staffmart.plans.reports import ABSENCE_COLUMNS, FTE_COLUMNS
 from staffmart.plans.registry import (
     CONTROL_DIVISION,
@@ -79,10 +79,11 @@ dim_dienstverbanden AS (
          CASE WHEN day(o_orderdate) = 31 THEN NULL
               WHEN day(o_orderdate) <= 2 THEN 'Stagiair - zonder salaris'
               ELSE 'Werknemer' END AS type_werknemer,
-         CAST(NULL AS VARCHAR) AS dienstbetrekking_oms
+         CASE WHEN day(o_orderdate) = 7 THEN 'Oude omschrijving' END AS dienstbetrekking_oms
   FROM orders
 ),
 dim_medewerkers AS (SELECT s_suppkey AS medewerker_id FROM supplier),
+dwh_rap_periode AS (SELECT 'dwh_dashboard' AS package_naam, einddatum AS rapport_einddatum FROM params),
 dwh_budgetplaatsen AS (
   SELECT n_name AS kostenplaats_code, CASE WHEN r_name <> 'MIDDLE EAST' THEN r_name END AS zorgbedrijf
   FROM nation JOIN region ON n_regionkey = r_regionkey
@@ -101,7 +102,7 @@ afas_dienstperiodes AS (
 ),
 events_d AS (SELECT *, CAST(ts AS DATE) AS dag FROM events),
 afas_dienstbetrekking AS (
-  SELECT * FROM (VALUES ('F', 'Vast dienstverband'), ('O', 'Oproepcontract')) AS t(tabelwaarde_code, omschrijving)
+  SELECT * FROM (VALUES ('F', 'Vast dienstverband'), ('O', 'Oproepcontract'), ('O', 'Oproep (oud)')) AS t(tabelwaarde_code, omschrijving)
 ),
 fn_kept AS (
   SELECT medewerker_functie_id, medewerker_functie_code, medewerker_functie_naam
@@ -118,7 +119,18 @@ con_kept AS (
 )"""
 
 YEARS = "(f.maand_id BETWEEN p.prv * 100 + 1 AND p.prv * 100 + 12 OR f.maand_id BETWEEN p.cur * 100 + 1 AND p.cur * 100 + 12)"
-UNITS = f"CASE WHEN c.aantal_dagen_maand > 0 THEN CAST({FTE_SCALE} / c.aantal_dagen_maand AS INTEGER) END"
+
+
+def _fte(days: str, length: str = "aantal_dagen_maand") -> str:
+    """days / days in the month as decimal(18,8), half up, by whole-number division."""
+    return (f"CASE WHEN {length} > 0 THEN CAST(CAST((2 * CAST({days} * 1000000 AS HUGEINT) * 100 + {length}) // (2 * {length}) AS DECIMAL(18,0))"
+            f" * CAST(0.00000001 AS DECIMAL(9,8)) AS DECIMAL(18,8)) END")
+
+
+def _avg(total: str, month: str = "CAST(maand AS INTEGER)") -> str:
+    """A year-to-date sum over the month number as decimal(18,8), half up."""
+    return (f"CAST(CAST((2 * CAST({total} * 100000000 AS HUGEINT) + {month}) // (2 * {month}) AS DECIMAL(18,0))"
+            f" * CAST(0.00000001 AS DECIMAL(9,8)) AS DECIMAL(18,8))")
 
 STAGING = f""",
 actual_rows AS (
@@ -131,7 +143,7 @@ actual_rows AS (
          coalesce(CAST(c.jaar AS VARCHAR), 'Onbekend') AS jaar,
          coalesce(CAST(c.maandnummer AS VARCHAR), 'Onbekend') AS maandnummer,
          f.maand_id AS periode,
-         coalesce(f.dienstverband_dagen, 0) * {UNITS} AS fte_units,
+         c.aantal_dagen_maand,
          coalesce(f.dienstverband_dagen, 0) AS dienstverband_dagen
   FROM fact_fte_realisatie f
   JOIN ref_datum c ON f.maand_id = c.maand_id
@@ -145,6 +157,7 @@ sick_rows AS (
   SELECT CAST(c.jaar AS VARCHAR) || lpad(CAST(c.maandnummer AS VARCHAR), 2, '0') AS periode,
          o.kostenplaats_code, fn.medewerker_functie_code AS functiecode,
          CAST(e.medewerker_id AS VARCHAR) AS medewerker_id,
+         c.aantal_dagen_maand,
          coalesce(f.dagen_ziek_ex_zwanger, 0) AS dagen_ziek_ex_zwanger
   FROM fact_fte_ziekteverzuim f
   JOIN ref_datum c ON f.maand_id = c.maand_id
@@ -158,7 +171,7 @@ sick_rows AS (
 budget_rows AS (
   SELECT o.kostenplaats_code, o.afdeling_code, fn.medewerker_functie_code, fn.medewerker_functie_naam,
          c.jaar, c.maandnummer, f.maand_id,
-         coalesce(f.fte_begroot_dagen, 0) * {UNITS} AS fte_units
+         c.aantal_dagen_maand, coalesce(f.fte_begroot_dagen, 0) AS begroot_dagen
   FROM fact_fte_begroting f
   JOIN ref_datum c ON f.maand_id = c.maand_id
   JOIN fn_kept fn ON f.medewerker_functie_id = fn.medewerker_functie_id
@@ -173,28 +186,29 @@ def _mart(include_budget: bool = False) -> str:
     if include_budget:
         budget = """
   UNION ALL
-  SELECT CAST(maand_id AS VARCHAR), 'Onbekend', kostenplaats_code, medewerker_functie_code, fte_units, 0, 0, 0
+  SELECT CAST(maand_id AS VARCHAR), 'Onbekend', kostenplaats_code, medewerker_functie_code, aantal_dagen_maand, begroot_dagen, 0, 0
   FROM budget_rows"""
     same = "a.medewerker_id = b.medewerker_id AND a.kostenplaats_code = b.kostenplaats_code AND a.functie_code = b.functie_code AND a.jaar = b.jaar"
     return f""",
 stacked AS (
   SELECT CAST(periode AS VARCHAR) AS periode, medewerker_id, kostenplaats_code, functiecode AS functie_code,
-         0 AS fte_begroot_units, fte_units, 0 AS dagen_ziek_ex_zwanger, dienstverband_dagen
+         aantal_dagen_maand, CAST(0 AS DECIMAL(18,6)) AS begroot_dagen, CAST(0 AS DECIMAL(18,6)) AS dagen_ziek_ex_zwanger, dienstverband_dagen
   FROM actual_rows
   UNION ALL
-  SELECT periode, medewerker_id, kostenplaats_code, functiecode, 0, 0, dagen_ziek_ex_zwanger, 0
+  SELECT periode, medewerker_id, kostenplaats_code, functiecode, aantal_dagen_maand, 0, dagen_ziek_ex_zwanger, 0
   FROM sick_rows{budget}
 ),
 mart_totals AS (
   SELECT substr(periode, 1, 4) AS jaar, right(periode, 2) AS maand, medewerker_id, kostenplaats_code, functie_code,
-         sum(fte_begroot_units) AS fte_begroot_units, sum(fte_units) AS fte_units,
+         {_fte('sum(begroot_dagen)', 'max(aantal_dagen_maand)')} AS fte_begroot,
+         {_fte('sum(dienstverband_dagen)', 'max(aantal_dagen_maand)')} AS fte_realisatie,
          sum(dagen_ziek_ex_zwanger) AS dagen_ziek_ex_zwanger, sum(dienstverband_dagen) AS dienstverband_dagen
   FROM stacked
   GROUP BY 1, 2, 3, 4, 5
 ),
 ytd AS (
   SELECT a.medewerker_id, a.kostenplaats_code, a.functie_code, a.jaar, a.maand,
-         sum(b.fte_units) AS fte_units_ytd, sum(b.dagen_ziek_ex_zwanger) AS dagen_ziek_ex_zwanger_ytd,
+         sum(b.fte_realisatie) AS fte_realisatie_ytd, sum(b.dagen_ziek_ex_zwanger) AS dagen_ziek_ex_zwanger_ytd,
          sum(b.dienstverband_dagen) AS dienstverband_dagen_ytd
   FROM mart_totals a JOIN mart_totals b ON {same} AND a.maand >= b.maand
   GROUP BY 1, 2, 3, 4, 5
@@ -202,7 +216,7 @@ ytd AS (
 mart AS (
   SELECT m.*,
          CASE WHEN m.medewerker_id IS NOT NULL AND m.kostenplaats_code IS NOT NULL AND m.functie_code IS NOT NULL AND m.jaar IS NOT NULL
-              THEN y.fte_units_ytd ELSE m.fte_units END AS fte_units_ytd,
+              THEN y.fte_realisatie_ytd ELSE m.fte_realisatie END AS fte_realisatie_ytd,
          coalesce(y.dagen_ziek_ex_zwanger_ytd, 0) AS dagen_ziek_ex_zwanger_ytd,
          coalesce(y.dienstverband_dagen_ytd, 0) AS dienstverband_dagen_ytd
   FROM mart_totals m
@@ -219,8 +233,10 @@ def _dbl(expr: str) -> str:
     return f"CAST({expr} AS DOUBLE)"
 
 
-def _fte(expr: str) -> str:
-    return f"CAST({expr} AS DOUBLE) / {float(FTE_SCALE)}"
+def _cents(num: str, den: str) -> str:
+    """100 * num / den to hundredths, half up, as a decimal(18,2) read as a double."""
+    n, d = f"CAST({num} * 1000000 AS HUGEINT)", f"CAST({den} * 1000000 AS HUGEINT)"
+    return f"CAST(CASE WHEN {d} > 0 THEN sign({n}) * ((abs({n}) * 20000 + {d}) // (2 * {d})) END AS DOUBLE) / 100.0"
 
 
 def _pct(num: str, den: str) -> str:
@@ -233,13 +249,13 @@ def _thousands(expr: str) -> str:
 
 MART_DISPLAY = f"""
 SELECT jaar, maand, medewerker_id, kostenplaats_code, functie_code,
-       {_fte('fte_begroot_units')} AS fte_begroot,
-       {_fte('fte_units')} AS fte_realisatie,
-       ({_fte('fte_units_ytd')}) / CAST(maand AS INTEGER) AS fte_realisatie_cum,
+       {_dbl('fte_begroot')} AS fte_begroot,
+       {_dbl('fte_realisatie')} AS fte_realisatie,
+       {_dbl(_avg('fte_realisatie_ytd'))} AS fte_realisatie_cum,
        {_dbl('dagen_ziek_ex_zwanger')} AS dagen_ziek_ex_zwanger,
        {_dbl('dienstverband_dagen')} AS dienstverband_dagen,
-       {_dbl('dagen_ziek_ex_zwanger_ytd')} / CAST(maand AS INTEGER) AS dagen_ziek_ex_zwanger_cum,
-       {_dbl('dienstverband_dagen_ytd')} / CAST(maand AS INTEGER) AS dienstverband_dagen_cum
+       {_dbl(_avg('dagen_ziek_ex_zwanger_ytd'))} AS dagen_ziek_ex_zwanger_cum,
+       {_dbl(_avg('dienstverband_dagen_ytd'))} AS dienstverband_dagen_cum
 FROM mart"""
 
 MONTHLY = f""",
@@ -250,10 +266,12 @@ cc AS (
   FROM mart GROUP BY 1, 2, 3
 ),
 monthly AS (
-  SELECT '{TOTAL_LABEL}' AS divisie, jaar, maand, {_pct('sum(z)', 'sum(d)')} AS zv, {_pct('sum(zc)', 'sum(dc)')} AS zvc
+  SELECT '{TOTAL_LABEL}' AS divisie, jaar, maand, {_pct('sum(z)', 'sum(d)')} AS zv, {_pct('sum(zc)', 'sum(dc)')} AS zvc,
+         {_cents('sum(z)', 'sum(d)')} AS zv2, {_cents('sum(zc)', 'sum(dc)')} AS zvc2
   FROM cc GROUP BY jaar, maand
   UNION ALL
-  SELECT b.zorgbedrijf, cc.jaar, cc.maand, {_pct('sum(z)', 'sum(d)')}, {_pct('sum(zc)', 'sum(dc)')}
+  SELECT b.zorgbedrijf, cc.jaar, cc.maand, {_pct('sum(z)', 'sum(d)')}, {_pct('sum(zc)', 'sum(dc)')},
+         {_cents('sum(z)', 'sum(d)')}, {_cents('sum(zc)', 'sum(dc)')}
   FROM cc JOIN dwh_budgetplaatsen b ON cc.kostenplaats_code = b.kostenplaats_code
   GROUP BY b.zorgbedrijf, cc.jaar, cc.maand
 )"""
@@ -275,14 +293,14 @@ def _fte_pivot_rows(with_total: bool) -> str:
   SELECT '{FTE_TOTAL_LABEL}', jaar, maand, sum(u) FROM dm GROUP BY jaar, maand"""
     return f""",
 dm AS (
-  SELECT b.zorgbedrijf, m.jaar, m.maand, sum(m.fte_units) AS u
+  SELECT b.zorgbedrijf, m.jaar, m.maand, sum(m.fte_realisatie) AS u
   FROM mart m JOIN dwh_budgetplaatsen b ON m.kostenplaats_code = b.kostenplaats_code, params p
   WHERE b.zorgbedrijf IS NOT NULL AND m.jaar = CAST(p.cur AS VARCHAR)
   GROUP BY 1, 2, 3
 ),
 rows_ AS (SELECT zorgbedrijf, jaar, maand, u FROM dm{total})
 SELECT zorgbedrijf, jaar,
-       {", ".join(f"coalesce({_fte(f'sum(CASE WHEN CAST(maand AS INTEGER) = {m} THEN u END)')}, 0.0) AS {n}" for m, n in enumerate(FTE_COLUMNS, start=1))}
+       {", ".join(f"coalesce(CAST(CAST(sum(CASE WHEN CAST(maand AS INTEGER) = {m} THEN u END) AS DECIMAL(18,2)) AS DOUBLE), 0.0) AS {n}" for m, n in enumerate(FTE_COLUMNS, start=1))}
 FROM rows_ GROUP BY zorgbedrijf, jaar"""
 
 
@@ -293,23 +311,46 @@ ROW_CENTS = """CASE WHEN CAST(dienstverband_dagen * 1000000 AS BIGINT) > 0 THEN
    // (2 * CAST(dienstverband_dagen * 1000000 AS BIGINT))) END"""
 
 
+# table: columns as name type length
+_COLUMNS = """
+ref_datum: maand_id int 4, jaar int 4, maandnummer int 4, aantal_dagen_maand int 4
+fact_fte_begroting: maand_id int 4, medewerker_functie_id bigint 8, organisatie_eenheid_id bigint 8, fte_begroot_dagen decimal(18;6) 16, groepering_id string -
+fact_fte_realisatie: medewerker_id bigint 8, dienstverband_id bigint 8, medewerker_functie_id bigint 8, organisatie_eenheid_id bigint 8, dienstverband_dagen decimal(18;6) 16, groepering_id string -, maand_id int 4
+fact_fte_ziekteverzuim: medewerker_id bigint 8, dienstverband_id bigint 8, medewerker_functie_id bigint 8, organisatie_eenheid_id bigint 8, dagen_ziek_ex_zwanger decimal(18;6) 16, ziektepercentage double 8, maand_id int 4
+dim_medewerker_functies: medewerker_functie_id bigint 8, medewerker_functie_code string -, medewerker_functie_naam string -
+dim_organisatie_eenheid: organisatie_eenheid_id bigint 8, kostenplaats_code string -, afdeling_code string -, cluster_code string -
+dim_dienstverbanden: dienstverband_id bigint 8, werkgever_code string -, dienstbetrekking string -, type_werknemer string -, dienstbetrekking_oms string -
+dim_medewerkers: medewerker_id bigint 8
+dwh_budgetplaatsen: kostenplaats_code string -, zorgbedrijf string -
+dwh_rap_periode: package_naam string -, rapport_einddatum date 4
+dwh_dashboard: rap_periode string -, rap_item string -, rap_code string -, rap_waarde bigint 8, rap_item5 string -
+afas_mdw_formatie: medewerker_id bigint 8, dienstbetrekking string -
+afas_dienstbetrekking: tabelwaarde_code string -, omschrijving string -
+afas_dienstperiodes: medewerker_id bigint 8, datum_in date 4, reden_uit_dienst_code string -
+"""
+CATALOGUE = [
+    (line.split(":")[0], name, kind.replace(";", ","), -1 if n == "-" else int(n))
+    for line in _COLUMNS.strip().splitlines() for name, kind, n in (c.split() for c in line.split(":")[1].split(", "))
+]
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["budget_fte"] = _with(STAGING) + f"""
 SELECT kostenplaats_code, afdeling_code, medewerker_functie_code AS functiecode_excl,
        medewerker_functie_code AS functiecode, medewerker_functie_naam AS oms_functie,
-       {_fte('sum(fte_units)')} AS formatie, CAST(0 AS DOUBLE) AS gem_realisatie_cum, jaar, maandnummer, maand_id AS periode
+       {_dbl(_fte('sum(begroot_dagen)', 'max(aantal_dagen_maand)'))} AS formatie, CAST(0 AS DOUBLE) AS gem_realisatie_cum, jaar, maandnummer, maand_id AS periode
 FROM budget_rows
 GROUP BY kostenplaats_code, afdeling_code, medewerker_functie_code, medewerker_functie_naam, jaar, maandnummer, maand_id"""
     q["actual_fte"] = _with(STAGING) + f"""
 SELECT medewerker_id, dienstverband_id, kostenplaats_code, afdeling_code, functiecode AS functiecode_excl,
-       functiecode, oms_functie, CAST(0 AS DOUBLE) AS plan_formatie, {_fte('sum(fte_units)')} AS realisatie,
+       functiecode, oms_functie, CAST(0 AS DOUBLE) AS plan_formatie, {_dbl(_fte('sum(dienstverband_dagen)', 'max(aantal_dagen_maand)'))} AS realisatie,
        {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen, CAST(0 AS DOUBLE) AS gem_realisatie, jaar, maandnummer, periode
 FROM actual_rows
 GROUP BY medewerker_id, dienstverband_id, kostenplaats_code, afdeling_code, functiecode, oms_functie, jaar, maandnummer, periode"""
     q["actual_fte_by_function"] = _with(STAGING) + f"""
 SELECT periode, medewerker_id, kostenplaats_code, functiecode AS functie_code, CAST(0 AS DOUBLE) AS formatie,
-       {_fte('sum(fte_units)')} AS realisatie, CAST(0 AS DOUBLE) AS dagen_ziek_ex_zwanger,
+       {_dbl(_fte('sum(dienstverband_dagen)', 'max(aantal_dagen_maand)'))} AS realisatie, CAST(0 AS DOUBLE) AS dagen_ziek_ex_zwanger,
        {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen
 FROM actual_rows GROUP BY periode, medewerker_id, kostenplaats_code, functiecode"""
     q["sick_days"] = _with(STAGING) + f"""
@@ -317,8 +358,8 @@ SELECT periode, kostenplaats_code, functiecode, medewerker_id, {_dbl('sum(dagen_
 FROM sick_rows GROUP BY periode, kostenplaats_code, functiecode, medewerker_id"""
     q["fte_mart"] = _with(STAGING, _mart()) + f"""
 SELECT jaar, maand, medewerker_id, kostenplaats_code, functie_code,
-       {_fte('fte_begroot_units')} AS fte_begroot, {_fte('fte_units')} AS fte_realisatie,
-       {_fte('fte_units')} AS fte_realisatie_cum, {_dbl('dagen_ziek_ex_zwanger')} AS dagen_ziek_ex_zwanger,
+       {_dbl('fte_begroot')} AS fte_begroot, {_dbl('fte_realisatie')} AS fte_realisatie,
+       {_dbl('fte_realisatie')} AS fte_realisatie_cum, {_dbl('dagen_ziek_ex_zwanger')} AS dagen_ziek_ex_zwanger,
        {_dbl('dienstverband_dagen')} AS dienstverband_dagen, CAST(0 AS DOUBLE) AS dagen_ziek_ex_zwanger_cum,
        CAST(0 AS DOUBLE) AS dienstverband_dagen_cum
 FROM mart_totals"""
@@ -335,18 +376,18 @@ SELECT b.zorgbedrijf, m.jaar, m.maand,
        {_thousands('sum(m.dagen_ziek_ex_zwanger)')} AS dagen_ziek_ex_zwanger,
        {_thousands('sum(m.dienstverband_dagen)')} AS dienstverband_dagen,
        printf('%.2f', {_pct('sum(m.dagen_ziek_ex_zwanger)', 'sum(m.dienstverband_dagen)')}) AS verzuim_ex_zwanger,
-       {_fte('sum(m.fte_units)')} AS fte_realisatie
+       {_dbl('sum(m.fte_realisatie)')} AS fte_realisatie
 FROM mart m JOIN dwh_budgetplaatsen b ON m.kostenplaats_code = b.kostenplaats_code, params p
 WHERE m.jaar IN (CAST(p.prv AS VARCHAR), CAST(p.cur AS VARCHAR)) AND b.zorgbedrijf = '{CONTROL_DIVISION}'
 GROUP BY b.zorgbedrijf, m.jaar, m.maand"""
     q["absence_monthly"] = _with(STAGING, _mart(), MONTHLY) + "\nSELECT divisie, jaar, maand, zv, zvc FROM monthly"
     q["absence_pivot"] = _with(STAGING, _mart(), MONTHLY) + f"""
 SELECT divisie AS zorgbedrijf, jaar, 'zv' AS bron,
-       {_month_cols('zv', ABSENCE_COLUMNS, 'max', None)}
+       {_month_cols('zv2', ABSENCE_COLUMNS, 'max', None)}
 FROM monthly, params p WHERE CAST(jaar AS INTEGER) IN (p.prv, p.cur) GROUP BY divisie, jaar
 UNION ALL
 SELECT divisie, jaar, 'zvc',
-       {_month_cols('zvc', ABSENCE_COLUMNS, 'max', None)}
+       {_month_cols('zvc2', ABSENCE_COLUMNS, 'max', None)}
 FROM monthly, params p WHERE CAST(jaar AS INTEGER) IN (p.prv, p.cur) GROUP BY divisie, jaar"""
     q["fte_pivot"] = _with(STAGING, _mart(), _fte_pivot_rows(False))
     q["fte_pivot_with_total"] = _with(STAGING, _mart(), _fte_pivot_rows(True))
@@ -367,7 +408,7 @@ WHERE jaar = CAST(p.cur AS VARCHAR) AND coalesce(dienstverband_dagen, 0) > 0
 GROUP BY jaar"""
     q["absence_total_pivot"] = _with(STAGING, _mart()) + f""",
 r AS (
-  SELECT jaar, maand, {_pct('sum(dagen_ziek_ex_zwanger)', 'sum(dienstverband_dagen)')} AS pct
+  SELECT jaar, maand, {_cents('sum(dagen_ziek_ex_zwanger)', 'sum(dienstverband_dagen)')} AS pct
   FROM mart, params p WHERE jaar = CAST(p.cur AS VARCHAR) AND dienstverband_dagen > 0
   GROUP BY jaar, maand
 )
@@ -394,38 +435,53 @@ FROM {src} s LEFT JOIN afas_dienstbetrekking l ON s.dienstbetrekking = l.tabelwa
 GROUP BY 1, 2"""
     q["relation_enrich"] = _with() + """
 SELECT d.dienstverband_id, d.werkgever_code, d.dienstbetrekking, d.type_werknemer,
-       CASE WHEN l.tabelwaarde_code IS NOT NULL THEN l.omschrijving ELSE d.dienstbetrekking_oms END AS dienstbetrekking_oms
-FROM dim_dienstverbanden d LEFT JOIN afas_dienstbetrekking l ON d.dienstbetrekking = l.tabelwaarde_code"""
+       CASE WHEN EXISTS (SELECT 1 FROM afas_dienstbetrekking l WHERE l.tabelwaarde_code = d.dienstbetrekking)
+            THEN (SELECT min(l.omschrijving) FROM afas_dienstbetrekking l WHERE l.tabelwaarde_code = d.dienstbetrekking)
+            ELSE d.dienstbetrekking_oms END AS dienstbetrekking_oms
+FROM dim_dienstverbanden d"""
     q["leave_reasons"] = _with() + "\nSELECT DISTINCT reden_uit_dienst_code FROM afas_dienstperiodes"
     q["duplicate_load_contracts"] = _with() + """
-SELECT 'dim_dienstverbanden' AS tabel, CAST(sum(n) AS BIGINT) AS rijen, CAST(count(*) AS BIGINT) AS unieke_rijen,
+SELECT tabel, CAST(sum(n) AS BIGINT) AS rijen, CAST(count(*) AS BIGINT) AS unieke_rijen,
        CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS dubbele_rijen, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS dubbele_groepen
-FROM (SELECT count(*) AS n FROM dim_dienstverbanden
-      GROUP BY dienstverband_id, werkgever_code, dienstbetrekking, type_werknemer, dienstbetrekking_oms)"""
+FROM (SELECT tabel, count(*) AS n
+      FROM (SELECT 'dim_dienstverbanden' AS tabel, * FROM dim_dienstverbanden
+            UNION ALL SELECT 'dim_dienstverbanden dubbel geladen', * FROM dim_dienstverbanden
+            UNION ALL SELECT 'dim_dienstverbanden dubbel geladen', * FROM dim_dienstverbanden WHERE werkgever_code = '5-LOW')
+      GROUP BY tabel, dienstverband_id, werkgever_code, dienstbetrekking, type_werknemer, dienstbetrekking_oms)
+GROUP BY tabel"""
     dims = (("ref_datum", "maand_id"), ("dim_medewerker_functies", "medewerker_functie_id"),
             ("dim_organisatie_eenheid", "organisatie_eenheid_id"), ("dim_dienstverbanden", "dienstverband_id"),
-            ("dim_medewerkers", "medewerker_id"), ("dwh_budgetplaatsen", "kostenplaats_code"))
+            ("dim_medewerkers", "medewerker_id"), ("dwh_budgetplaatsen", "kostenplaats_code"),
+            ("afas_dienstbetrekking", "tabelwaarde_code"))
     q["dimension_key_duplicates"] = _with() + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{t}' AS tabel, CAST({k} AS VARCHAR) AS sleutel, count(*) AS aantal FROM {t} GROUP BY {k} HAVING count(*) > 1"
         for t, k in dims
     )
-    q["mart_reconciliation"] = _with(STAGING, _mart()) + """,
+    known = """EXISTS (SELECT 1 FROM ref_datum c WHERE c.maand_id = f.maand_id)
+              AND EXISTS (SELECT 1 FROM con_kept k WHERE k.dienstverband_id = f.dienstverband_id)"""
+    q["mart_reconciliation"] = _with(STAGING, _mart()) + f""",
 src AS (
-  SELECT jaar, sum(d) AS bron_dagen, sum(z) AS bron_ziek FROM (
-    SELECT substr(CAST(periode AS VARCHAR), 1, 4) AS jaar, dienstverband_dagen AS d, CAST(0 AS DECIMAL(18,6)) AS z FROM actual_rows
-    UNION ALL
-    SELECT substr(periode, 1, 4), CAST(0 AS DECIMAL(18,6)), dagen_ziek_ex_zwanger FROM sick_rows)
-  GROUP BY jaar
-),
-tgt AS (SELECT jaar, sum(dienstverband_dagen) AS mart_dagen, sum(dagen_ziek_ex_zwanger) AS mart_ziek FROM mart GROUP BY jaar)
-SELECT coalesce(s.jaar, t.jaar) AS jaar, CAST(bron_dagen AS DOUBLE) AS bron_dagen, CAST(mart_dagen AS DOUBLE) AS mart_dagen,
-       CAST(bron_ziek AS DOUBLE) AS bron_ziek, CAST(mart_ziek AS DOUBLE) AS mart_ziek,
-       (bron_dagen = mart_dagen AND bron_ziek = mart_ziek) AS sluit
-FROM src s FULL JOIN tgt t ON s.jaar = t.jaar"""
+  SELECT CAST(f.maand_id // 100 AS VARCHAR) AS jaar, dienstverband_dagen AS bd, CASE WHEN {known} THEN 0 ELSE dienstverband_dagen END AS ud,
+         0 AS bz, 0 AS uz, 0 AS md, 0 AS mz
+  FROM fact_fte_realisatie f, params p WHERE f.groepering_id = '3' AND {YEARS}
+  UNION ALL
+  SELECT CAST(f.maand_id // 100 AS VARCHAR), 0, 0, dagen_ziek_ex_zwanger,
+         CASE WHEN {known} AND f.ziektepercentage <> 0
+              AND EXISTS (SELECT 1 FROM fn_kept k WHERE k.medewerker_functie_id = f.medewerker_functie_id)
+              AND EXISTS (SELECT 1 FROM org_kept k WHERE k.organisatie_eenheid_id = f.organisatie_eenheid_id)
+              AND EXISTS (SELECT 1 FROM dim_medewerkers k WHERE k.medewerker_id = f.medewerker_id)
+              THEN 0 ELSE dagen_ziek_ex_zwanger END, 0, 0
+  FROM fact_fte_ziekteverzuim f, params p WHERE {YEARS}
+  UNION ALL
+  SELECT jaar, 0, 0, 0, 0, dienstverband_dagen, dagen_ziek_ex_zwanger FROM mart
+)
+SELECT jaar, {_dbl('sum(bd)')} AS bron_dagen, {_dbl('sum(ud)')} AS uit_dagen, {_dbl('sum(bz)')} AS bron_ziek, {_dbl('sum(uz)')} AS uit_ziek,
+       {_dbl('sum(md)')} AS mart_dagen, {_dbl('sum(mz)')} AS mart_ziek, (sum(bd) - sum(ud) = sum(md) AND sum(bz) - sum(uz) = sum(mz)) AS sluit
+FROM src GROUP BY jaar"""
     q["zero_denominators"] = _with(STAGING, _mart()) + f"""
 SELECT 'maanden_zonder_dagen' AS controle, CAST(count(*) FILTER (WHERE aantal_dagen_maand IS NULL OR aantal_dagen_maand <= 0) AS BIGINT) AS aantal FROM ref_datum
 UNION ALL
-SELECT 'maanden_afwijkende_lengte', CAST(count(*) FILTER (WHERE aantal_dagen_maand > 0 AND {FTE_SCALE} % aantal_dagen_maand <> 0) AS BIGINT) FROM ref_datum
+SELECT 'maanden_afwijkende_lengte', CAST(count(*) FILTER (WHERE aantal_dagen_maand > 0 AND aantal_dagen_maand NOT BETWEEN 28 AND 31) AS BIGINT) FROM ref_datum
 UNION ALL
 SELECT 'mart_rijen_zonder_dagen', CAST(count(*) FILTER (WHERE coalesce(dienstverband_dagen, 0) <= 0) AS BIGINT) FROM mart
 UNION ALL
@@ -446,7 +502,7 @@ WHERE NOT EXISTS (SELECT 1 FROM dwh_budgetplaatsen b WHERE b.kostenplaats_code =
 GROUP BY 1"""
     q["quarterly_series"] = _with(STAGING, _mart()) + f"""
 SELECT jaar || ' Q' || CAST(CAST(ceil(CAST(maand AS INTEGER) / 3) AS BIGINT) AS VARCHAR) AS periode,
-       {_fte('sum(fte_units)')} AS fte_maanden, {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen,
+       {_dbl('sum(fte_realisatie)')} AS fte_maanden, {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen,
        {_dbl('sum(CASE WHEN dagen_ziek_ex_zwanger > 0 THEN dagen_ziek_ex_zwanger END)')} AS dagen_ziek_ex_zwanger
 FROM mart GROUP BY 1"""
     by_div = """,
@@ -460,7 +516,7 @@ zdiv AS (
     share = f"{_pct('z', 'sum(z) OVER ()')}"
     q["sick_share_by_division"] = _with(STAGING, _mart(), by_div) + f"\nSELECT label, {_dbl('z')} AS value, {share} AS pct FROM zdiv"
     q["budget_vs_actual_by_year"] = _with(STAGING, _mart(include_budget=True)) + f"""
-SELECT jaar AS y, {_fte('sum(fte_begroot_units)')} AS a, {_fte('sum(fte_units)')} AS b FROM mart GROUP BY jaar"""
+SELECT jaar AS y, {_dbl('sum(fte_begroot)')} AS a, {_dbl('sum(fte_realisatie)')} AS b FROM mart GROUP BY jaar"""
     q["days_by_year"] = _with(STAGING, _mart()) + f"""
 SELECT jaar AS y, {_dbl('sum(dagen_ziek_ex_zwanger)')} AS a, {_dbl('sum(dienstverband_dagen)')} AS b FROM mart GROUP BY jaar"""
     q["daily_two_series"] = _with() + """,
@@ -476,8 +532,8 @@ FROM events_d GROUP BY dag"""
     q["latest_rows"] = _with() + """
 SELECT event_id AS id, strftime(ts, '%Y-%m-%d') AS datum, strftime(ts, '%H:%M') AS tijd, value AS aantal
 FROM events ORDER BY event_id DESC LIMIT 8"""
-    q["load_feed"] = _with() + """
-SELECT CASE WHEN fouten > 0 THEN 'problem loading data' ELSE 'data loaded' END AS status,
+    q["load_feed"] = _with() + f"""
+SELECT CASE WHEN fouten > 0 THEN '{LOAD_PROBLEM}' ELSE '{LOAD_OK}' END AS status,
        strftime(ts, '%-d-%-m-%Y %-H:%M') AS tijd, fouten
 FROM (SELECT dag, max(ts) AS ts, count(*) FILTER (WHERE event_type = 'error') AS fouten FROM events_d GROUP BY dag)
 ORDER BY ts DESC LIMIT 8"""
@@ -492,8 +548,7 @@ SELECT functie_code AS label, {_dbl('z')} AS value, {share} AS pct FROM g"""
     q["contracts_by_relation"] = _with() + f""",
 g AS (
   SELECT substr(CAST(f.maand_id AS VARCHAR), 1, 4) AS jaar, d.dienstbetrekking, count(DISTINCT f.dienstverband_id) AS contracten
-  FROM fact_fte_realisatie f JOIN dim_dienstverbanden d ON f.dienstverband_id = d.dienstverband_id, params p
-  WHERE f.maand_id BETWEEN p.prv * 100 + 1 AND p.cur * 100 + 12
+  FROM fact_fte_realisatie f JOIN dim_dienstverbanden d ON f.dienstverband_id = d.dienstverband_id
   GROUP BY 1, 2
 )
 SELECT jaar, dienstbetrekking, contracten, {_pct('contracten', 'sum(contracten) OVER (PARTITION BY jaar)')} AS pct FROM g"""
@@ -508,7 +563,8 @@ FROM s, params p GROUP BY 1"""
     q["service_years_by_year"] = _with() + """,
 s AS (SELECT medewerker_id, min(datum_in) AS start FROM afas_dienstperiodes GROUP BY 1),
 r AS (
-  SELECT make_date(p.prv, 12, 31) AS ref FROM params p WHERE p.prv <> year(p.einddatum)
+  SELECT make_date(CAST(y AS BIGINT), 12, 31) AS ref
+  FROM (SELECT unnest(generate_series((SELECT year(min(start)) FROM s), (SELECT year(einddatum) - 1 FROM params))) AS y)
   UNION ALL SELECT einddatum FROM params
 ),
 sr AS (SELECT s.start, r.ref FROM s, r WHERE s.start <= r.ref)
@@ -529,4 +585,16 @@ SELECT user_id, CAST(cnt - rn AS INTEGER) AS x,
        CASE WHEN value < 0 THEN 0.0 WHEN value > 100 THEN 100.0 ELSE value END AS y, event_id
 FROM k"""
     q["rolling_buffer_stream"] = q["rolling_buffer"]
+    q["published_mart"] = f"SELECT *, TRUE AS geladen FROM ({q['fte_mart_ytd']})"
+    q["refreshed_mart"] = _with(STAGING, _mart()) + f"""
+SELECT jaar, count(*) AS rijen, {_dbl('sum(dienstverband_dagen)')} AS dienstverband_dagen,
+       CAST(count(*) FILTER (WHERE medewerker_id = 'Onbekend') AS BIGINT) AS onbekend
+FROM mart, params p WHERE jaar <> CAST(p.cur AS VARCHAR) OR medewerker_id <> 'Onbekend' GROUP BY jaar"""
+    q["appended_contracts"] = _with() + "\nSELECT dienstbetrekking, 2 * count(*) AS aantal FROM dim_dienstverbanden GROUP BY 1"
+    q["truncated_contracts"] = _with() + "\nSELECT count(*) AS voor, CAST(0 AS BIGINT) AS na, CAST(5 AS INTEGER) AS kolommen FROM dim_dienstverbanden"
+    q["updated_contracts"] = f"SELECT dienstbetrekking, dienstbetrekking_oms, count(*) AS aantal FROM ({q['relation_enrich']}) GROUP BY 1, 2"
+    q["catalogue_inventory"] = _with() + """,
+counts AS (""" + " UNION ALL ".join(f"SELECT '{t}' AS tabel, count(*) AS rijen FROM {t}" for t in dict.fromkeys(t for t, *_ in CATALOGUE)) + """),
+cols(tabel, kolomnaam, type, length) AS (VALUES """ + ", ".join(f"('{t}', '{c}', '{k}', CAST({n} AS INTEGER))" for t, c, k, n in CATALOGUE) + """)
+SELECT c.tabel, c.kolomnaam, c.type, c.length, n.rijen FROM cols c LEFT JOIN counts n ON c.tabel = n.tabel ORDER BY 1, 2"""
     return q

@@ -12,8 +12,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staffmart.config import TOTAL_LABEL, UNKNOWN
-from staffmart.functions.columns import fte_from_units, ratio_pct
+from staffmart.config import LOAD_OK, LOAD_PROBLEM, TOTAL_LABEL, UNKNOWN
+from staffmart.functions.columns import ratio_pct
 from staffmart.functions.formatting import clamp, date_to_epoch_ms, day_label
 from staffmart.plans.reports import divisions
 
@@ -27,13 +27,13 @@ def quarterly_series(mart: DataFrame) -> DataFrame:
     """G1 (area chart): per quarter, FTE-months, employment days and sick days. Sick days are
     NULL for a quarter without absence (a gap in the chart, not a zero)."""
     g = mart.groupBy(quarter_of("jaar", "maand").alias("periode")).agg(
-        F.sum("fte_units").alias("fte_units"),
+        F.sum("fte_realisatie").alias("fte_maanden"),
         F.sum("dienstverband_dagen").alias("dagen"),
         F.sum(F.when(F.col("dagen_ziek_ex_zwanger") > 0, F.col("dagen_ziek_ex_zwanger"))).alias("ziek"),
     )
     return g.select(
         "periode",
-        fte_from_units("fte_units").alias("fte_maanden"),
+        F.col("fte_maanden").cast("double").alias("fte_maanden"),
         F.col("dagen").cast("double").alias("dienstverband_dagen"),
         F.col("ziek").cast("double").alias("dagen_ziek_ex_zwanger"),
     )
@@ -54,9 +54,9 @@ def sick_days_by_division(mart: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, label: str, value: str) -> DataFrame:
-    """G5 (pie): each category's percentage of the total. ``df`` is already aggregated to one row
-    per category, so the un-partitioned window sees a bounded number of rows."""
-    total = F.sum(value).over(Window.partitionBy())
+    """G5 (pie): each category's percentage of the total. The total is a scalar subquery (one
+    row, from partial sums), so the categories stay distributed."""
+    total = df.agg(F.sum(value)).scalar()
     return df.select(
         F.col(label).alias("label"),
         F.col(value).cast("double").alias("value"),
@@ -70,8 +70,8 @@ def sick_share_by_division(mart: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def budget_vs_actual_by_year(mart_with_budget: DataFrame) -> DataFrame:
     """G3 (bar): budgeted (a) and actual (b) FTE-months per year."""
-    g = mart_with_budget.groupBy("jaar").agg(F.sum("fte_begroot_units").alias("a"), F.sum("fte_units").alias("b"))
-    return g.select(F.col("jaar").alias("y"), fte_from_units("a").alias("a"), fte_from_units("b").alias("b"))
+    g = mart_with_budget.groupBy("jaar").agg(F.sum("fte_begroot").alias("a"), F.sum("fte_realisatie").alias("b"))
+    return g.select(F.col("jaar").alias("y"), F.col("a").cast("double").alias("a"), F.col("b").cast("double").alias("b"))
 
 
 def days_by_year(mart: DataFrame) -> DataFrame:
@@ -86,15 +86,15 @@ def _day(events: DataFrame) -> DataFrame:
 
 
 def daily_two_series(events: DataFrame, type_a: str = "purchase", type_b: str = "view") -> DataFrame:
-    """Two irregular daily series on one time axis (FULL OUTER join on the day; a day that
-    only one series has keeps NULL in the other)."""
-    e = _day(events)
+    """Two irregular daily series on one time axis, from one scan (a day that only one series
+    has keeps NULL in the other; a day with neither is left out)."""
+    is_a, is_b = F.col("event_type") == type_a, F.col("event_type") == type_b
     # amounts carry cents: sum them as decimals so the total does not depend on summation order
-    a = e.filter(F.col("event_type") == type_a).groupBy("dag").agg(
-        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("a_waarde")
+    days = _day(events.filter(is_a | is_b)).groupBy("dag").agg(
+        F.sum(F.when(is_a, F.col("value").cast("decimal(18,2)"))).cast("double").alias("a_waarde"),
+        F.nullif(F.count_if(is_b), F.lit(0)).alias("b_aantal"),
     )
-    b = e.filter(F.col("event_type") == type_b).groupBy("dag").agg(F.count(F.lit(1)).alias("b_aantal"))
-    return a.join(b, "dag", "full").select(
+    return days.select(
         F.date_format("dag", "yyyy-MM-dd").alias("dag"),
         date_to_epoch_ms("dag").alias("x_ms"),
         "a_waarde",
@@ -129,13 +129,13 @@ def latest_rows(events: DataFrame, n: int = 8) -> DataFrame:
 
 
 def load_feed(events: DataFrame, n: int = 8) -> DataFrame:
-    """Status feed, newest first: one entry per day, 'problem loading data' when the day had
+    """Status feed, newest first: one entry per day, with the problem text when the day had
     error events."""
     g = _day(events).groupBy("dag").agg(
         F.max("ts").alias("ts"), F.count_if(F.col("event_type") == "error").alias("fouten")
     )
     return g.orderBy(F.col("ts").desc()).limit(n).select(
-        F.when(F.col("fouten") > 0, F.lit("problem loading data")).otherwise(F.lit("data loaded")).alias("status"),
+        F.when(F.col("fouten") > 0, F.lit(LOAD_PROBLEM)).otherwise(F.lit(LOAD_OK)).alias("status"),
         F.date_format("ts", "d-M-yyyy H:mm").alias("tijd"),
         "fouten",
     )
@@ -164,11 +164,11 @@ def absence_by_function(mart: DataFrame) -> DataFrame:
 
 def contracts_by_relation(actual_facts: DataFrame, contracts: DataFrame) -> DataFrame:
     """Distinct contracts with actual days per year and employment relation, with each
-    relation's share of the year."""
+    relation's share of the year. Facts are reduced to (year, contract) before the join."""
     rows = actual_facts.select(
         F.substring(F.col("maand_id").cast("string"), 1, 4).alias("jaar"), "dienstverband_id"
-    ).join(contracts.select("dienstverband_id", "dienstbetrekking"), "dienstverband_id")
-    g = rows.groupBy("jaar", "dienstbetrekking").agg(F.count_distinct("dienstverband_id").alias("contracten"))
+    ).distinct().join(contracts.select("dienstverband_id", "dienstbetrekking").distinct(), "dienstverband_id")
+    g = rows.groupBy("jaar", "dienstbetrekking").agg(F.count(F.lit(1)).alias("contracten"))
     total = F.sum("contracten").over(Window.partitionBy("jaar"))
     return g.select("jaar", "dienstbetrekking", "contracten", ratio_pct(F.col("contracten"), total).alias("pct"))
 
@@ -185,25 +185,23 @@ def service_years(periods: DataFrame, reference_date) -> DataFrame:
     return start.groupBy(years.alias("dienstjaren")).agg(F.count(F.lit(1)).alias("medewerkers"))
 
 
-def service_years_by_year(periods: DataFrame, years, reference_date) -> DataFrame:
-    """G11 (all years): for each report year, employees already in service at its reference
-    date (31 December, or the report end date for the current year) per completed year of
-    service. Each employee's first start date is paired with the few report years through an
-    array literal (no join), so the rows grow linearly with the employees."""
-    ref_dates = [F.make_date(F.lit(y), F.lit(12), F.lit(31)) for y in sorted(years) if y != reference_date.year]
-    ref_dates.append(F.lit(reference_date))
-    start = periods.groupBy("medewerker_id").agg(F.min("datum_in").alias("start"))
-    per_year = start.select("start", F.explode(F.array(*ref_dates)).alias("ref"))
-    ref, begin = F.col("ref"), F.col("start")
+def service_years_by_year(periods: DataFrame, reference_date) -> DataFrame:
+    """G11 (all years): for every year from the first start to the report year, employees already
+    in service at its reference date (31 December, or the report end date for the report year)
+    per completed year of service. Employees are counted per start date first, so each date, not
+    each employee, is spread over the years."""
+    last = F.lit(reference_date)
+    starts = (
+        periods.groupBy("medewerker_id").agg(F.min("datum_in").alias("start"))
+        .groupBy("start").agg(F.count(F.lit(1)).alias("n")).where(F.col("start") <= last)
+    )
+    per_year = starts.select("start", "n", F.explode(F.sequence(F.year("start"), F.year(last))).alias("jaar"))
+    ref, begin = F.when(F.col("jaar") == F.year(last), last).otherwise(F.make_date("jaar", F.lit(12), F.lit(31))), F.col("start")
     before_anniversary = (F.month(ref) < F.month(begin)) | (
         (F.month(ref) == F.month(begin)) & (F.dayofmonth(ref) < F.dayofmonth(begin))
     )
     served = F.year(ref) - F.year(begin) - F.when(before_anniversary, 1).otherwise(0)
-    return (
-        per_year.filter(begin <= ref)
-        .groupBy(F.year(ref).alias("jaar"), served.alias("dienstjaren"))
-        .agg(F.count(F.lit(1)).alias("medewerkers"))
-    )
+    return per_year.groupBy("jaar", served.alias("dienstjaren")).agg(F.sum("n").alias("medewerkers"))
 
 
 # --------------------------------------------------------------------------- G8 / T1 helpers

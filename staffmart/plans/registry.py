@@ -1,8 +1,9 @@
 """Named queries: ``name -> (spark, sf_dir) -> DataFrame`` over the synthetic binding, or
 ``name -> Context -> DataFrame`` over any personnel tables (:func:`context_for`).
 
-Each query binds the personnel tables lazily, reads the report period (one small job), restricts
-the facts to the report years at the scan, and returns an unevaluated DataFrame.
+Each query binds the personnel tables lazily, reads the report period (one small job) and returns
+an unevaluated DataFrame. The mart's jobs restrict the facts to the report years at the scan
+(:attr:`Context.period`); all other queries see whole tables.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from staffmart.operators import quality as Q
 from staffmart.operators import staging as S
 from staffmart.plans import charts as G
 from staffmart.plans import reports as R
+from staffmart.plans import sinks
 from staffmart.sources.binding import EXCLUSIONS, bind, read_raw
 from staffmart.sources.loaders import inventory
 from staffmart.sources.params import report_period
@@ -54,27 +56,25 @@ class Context:
 
     _marts: dict = field(default_factory=dict, compare=False, repr=False)
 
+    @property
+    def period(self) -> Tables:
+        """The tables with the facts of the report years only."""
+        return self.tables.for_periods(self.years.first_month, self.years.last_month)
+
     def mart(self, include_budget: bool = False) -> DataFrame:
         """The exact mart with YTD sums; built once per context (a lazy plan, not cached data)."""
         if include_budget not in self._marts:
             opts = dataclasses.replace(self.options, include_budget=include_budget)
-            self._marts[include_budget] = M.fte_mart(self.tables, self.years, opts)
+            self._marts[include_budget] = M.fte_mart(self.period, self.years, opts)
         return self._marts[include_budget]
 
 
-_CONTEXTS: dict[tuple[str, str], Context] = {}
-
-
-def context(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Context:
-    """Bind the tables and read the report period once per session and data folder (all
-    DataFrames are lazy, so reuse is safe)."""
-    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir)
-    if refresh or key not in _CONTEXTS:
-        t = bind(spark, sf_dir)
-        end_date, years = report_period(t.dwh_rap_periode)
-        _CONTEXTS[key] = Context(t.for_periods(years.first_month, years.last_month), years, end_date, sf_dir,
-                                 read_raw(spark, sf_dir, "events"))
-    return _CONTEXTS[key]
+def context(spark: SparkSession, sf_dir: str) -> Context:
+    """Bind the tables and read the report period. Nothing is kept between calls, so a long-lived
+    session sees new files and parameters."""
+    t = bind(spark, sf_dir)
+    end_date, years = report_period(t.dwh_rap_periode)
+    return Context(t, years, end_date, sf_dir, read_raw(spark, sf_dir, "events"))
 
 
 def context_for(tables: Tables, options: MartOptions = MartOptions(), events: DataFrame | None = None,
@@ -83,7 +83,7 @@ def context_for(tables: Tables, options: MartOptions = MartOptions(), events: Da
     default options carry the warehouse's own exclusion codes. ``report_params`` sets the
     control division and KPI filters (``control_division``, ``kpi_item``, ...)."""
     end_date, years = report_period(tables.dwh_rap_periode)
-    return Context(tables.for_periods(years.first_month, years.last_month), years, end_date, None, events, options,
+    return Context(tables, years, end_date, None, events, options,
                    **report_params)
 
 
@@ -114,34 +114,35 @@ def queries() -> dict[str, Query]:
 
 
 # ----------------------------------------------------------------------------- staging + mart
-register("budget_fte")(lambda c: S.budget_fte(c.tables, c.years, c.options))
-register("actual_fte")(lambda c: S.actual_fte(c.tables, c.years, c.options))
-register("actual_fte_by_function")(lambda c: S.actual_fte_by_function(c.tables, c.years, c.options))
-register("sick_days")(lambda c: S.sick_days(c.tables, c.years, c.options))
-register("fte_mart")(lambda c: M.fte_mart_plain(c.tables, c.years, c.options))
-register("fte_mart_ytd")(lambda c: M.display(c.mart()))
-register("budget_vs_actual")(lambda c: M.display(c.mart(include_budget=True)))
+# Decimal columns leave as doubles here: the comparison tools read decimals in different ways.
+register("budget_fte")(lambda c: S.budget_fte(c.period, c.years, c.options))
+register("actual_fte")(lambda c: S.actual_fte(c.period, c.years, c.options))
+register("actual_fte_by_function")(lambda c: S.actual_fte_by_function(c.period, c.years, c.options))
+register("sick_days")(lambda c: S.sick_days(c.period, c.years, c.options))
+register("fte_mart")(lambda c: M.as_doubles(M.fte_mart_plain(c.period, c.years, c.options)))
+register("fte_mart_ytd")(lambda c: M.as_doubles(M.display(c.mart())))
+register("budget_vs_actual")(lambda c: M.as_doubles(M.display(c.mart(include_budget=True))))
 
 # ----------------------------------------------------------------------------- reports
 register("control_total")(lambda c: R.control_total(c.mart()))
 register("control_division")(
-    lambda c: R.control_division(c.mart(), c.tables.dwh_budgetplaatsen, c.years, c.control_division)
+    lambda c: M.as_doubles(R.control_division(c.mart(), c.tables.dwh_budgetplaatsen, c.years, c.control_division))
 )
 register("absence_monthly")(lambda c: R.absence_monthly(c.mart(), c.tables.dwh_budgetplaatsen))
 register("absence_pivot")(
-    lambda c: R.absence_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years)
+    lambda c: M.as_doubles(R.absence_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years))
 )
-register("fte_pivot")(lambda c: R.fte_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years.current))
+register("fte_pivot")(lambda c: M.as_doubles(R.fte_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years.current)))
 register("fte_pivot_with_total")(
-    lambda c: R.fte_pivot_with_total(c.mart(), c.tables.dwh_budgetplaatsen, c.years.current)
+    lambda c: M.as_doubles(R.fte_pivot_with_total(c.mart(), c.tables.dwh_budgetplaatsen, c.years.current))
 )
 register("absence_rowpct_pivot")(
-    lambda c: R.absence_rowpct_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years.current)
+    lambda c: M.as_doubles(R.absence_rowpct_pivot(c.mart(), c.tables.dwh_budgetplaatsen, c.years.current))
 )
-register("absence_rowpct_total")(lambda c: R.absence_rowpct_total(c.mart(), c.years.current))
-register("absence_total_pivot")(lambda c: R.absence_total_pivot(c.mart(), c.years.current))
+register("absence_rowpct_total")(lambda c: M.as_doubles(R.absence_rowpct_total(c.mart(), c.years.current)))
+register("absence_total_pivot")(lambda c: M.as_doubles(R.absence_total_pivot(c.mart(), c.years.current)))
 register("absence_year_total")(lambda c: R.absence_year_total(c.mart(), c.years.current))
-register("fte_mart_ytd_selfjoin")(lambda c: M.display(M.ytd_by_self_join(M.mart_totals(c.tables, c.years, c.options))))
+register("fte_mart_ytd_selfjoin")(lambda c: M.as_doubles(M.display(M.ytd_by_self_join(M.mart_totals(c.period, c.years, c.options)))))
 register("kpi_lookup")(
     lambda c: R.kpi_lookup(c.tables.dwh_dashboard, report_month(c.end_date).strftime("%Y%m"), c.kpi_item, c.kpi_code)
 )
@@ -157,7 +158,12 @@ register("relation_enrich")(lambda c: R.relation_enrich(c.tables.dim_dienstverba
 register("leave_reasons")(lambda c: R.leave_reasons(c.tables.afas_dienstperiodes))
 
 # ----------------------------------------------------------------------------- data quality
-register("duplicate_load_contracts")(lambda c: Q.duplicate_load(c.tables.dim_dienstverbanden, "dim_dienstverbanden"))
+# the contract dimension as it is, and as a second load of part of it would leave it
+register("duplicate_load_contracts")(
+    lambda c: Q.duplicate_load(c.tables.dim_dienstverbanden, "dim_dienstverbanden").unionByName(
+        Q.duplicate_load(c.tables.dim_dienstverbanden.unionByName(c.tables.dim_dienstverbanden.where("werkgever_code = '5-LOW'")),
+                         "dim_dienstverbanden dubbel geladen"))
+)
 register("dimension_key_duplicates")(
     lambda c: Q.key_duplicates(c.tables.ref_datum, "ref_datum", "maand_id")
     .unionByName(Q.key_duplicates(c.tables.dim_medewerker_functies, "dim_medewerker_functies", "medewerker_functie_id"))
@@ -165,13 +171,14 @@ register("dimension_key_duplicates")(
     .unionByName(Q.key_duplicates(c.tables.dim_dienstverbanden, "dim_dienstverbanden", "dienstverband_id"))
     .unionByName(Q.key_duplicates(c.tables.dim_medewerkers, "dim_medewerkers", "medewerker_id"))
     .unionByName(Q.key_duplicates(c.tables.dwh_budgetplaatsen, "dwh_budgetplaatsen", "kostenplaats_code"))
+    .unionByName(Q.key_duplicates(c.tables.afas_dienstbetrekking, "afas_dienstbetrekking", "tabelwaarde_code"))
 )
 register("mart_reconciliation")(
-    lambda c: Q.reconciliation(S.actual_rows(c.tables, c.years, c.options), S.sick_rows(c.tables, c.years, c.options), c.mart())
+    lambda c: Q.reconciliation(c.period, c.years, c.options, c.mart())
 )
 register("zero_denominators")(lambda c: Q.zero_denominators(c.tables.ref_datum, c.mart()))
 register("unknown_member_rate")(
-    lambda c: Q.unknown_member_rate(S.actual_rows(c.tables, c.years, c.options),
+    lambda c: Q.unknown_member_rate(S.actual_rows(c.period, c.years, c.options),
                                     ["medewerker_id", "kostenplaats_code", "functiecode"])
 )
 register("unmatched_relations")(
@@ -201,7 +208,7 @@ register("contracts_by_relation")(
 )
 register("service_years")(lambda c: G.service_years(c.tables.afas_dienstperiodes, c.end_date))
 register("service_years_by_year")(
-    lambda c: G.service_years_by_year(c.tables.afas_dienstperiodes, c.years.both, c.end_date)
+    lambda c: G.service_years_by_year(c.tables.afas_dienstperiodes, c.end_date)
 )
 
 # ----------------------------------------------------------------------------- streaming + catalogue
@@ -218,6 +225,7 @@ NEEDS = {
     "relation_counts_formatie": ("afas_mdw_formatie", "afas_dienstbetrekking"),
     "relation_counts_contracts": ("afas_dienstbetrekking",),
     "relation_enrich": ("afas_dienstbetrekking",),
+    "dimension_key_duplicates": ("afas_dienstbetrekking",),
     "unmatched_relations": ("afas_dienstbetrekking",),
     "leave_reasons": ("afas_dienstperiodes",),
     "service_years": ("afas_dienstperiodes",),
@@ -225,12 +233,23 @@ NEEDS = {
 }
 
 
+# queries that run a job of their own when they are built: the stream, and sinks read back
+WRITERS = frozenset({"rolling_buffer_stream", "published_mart", "refreshed_mart", "appended_contracts", "truncated_contracts", "updated_contracts"})
+
+
 def available(c: Context, name: str) -> bool:
     """Whether the context has every input the query reads."""
     if name in EVENT_QUERIES and c.events is None:
         return False
     return all(getattr(c.tables, t) is not None for t in NEEDS.get(name, ()))
 register("rolling_buffer_stream")(
-    lambda c: rolling_stream_result(c.events.sparkSession, c.sf_dir, ROLLING_N).drop("ts")
+    lambda c: rolling_stream_result(c.events.sparkSession, c.sf_dir, ROLLING_N, file_glob="events.parquet")
 )
 register("catalogue_inventory")(lambda c: inventory(c.tables.views()))
+
+# ----------------------------------------------------------------------------- sinks, read back
+register("published_mart")(lambda c: sinks.published_mart(c))
+register("refreshed_mart")(lambda c: sinks.refreshed_mart(c))
+register("appended_contracts")(lambda c: sinks.appended_contracts(c))
+register("truncated_contracts")(lambda c: sinks.truncated_contracts(c))
+register("updated_contracts")(lambda c: sinks.updated_contracts(c))

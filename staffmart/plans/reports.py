@@ -1,10 +1,11 @@
 """Control totals and absence / FTE reports over the mart.
 
-Every report reads the exact mart (:func:`staffmart.operators.mart.fte_mart`) and joins the
-division lookup map-side (a checked broadcast), so each report adds one small aggregation
-shuffle. Totals are aggregated, never collected; where a total and per-division rows come from
-the same figures, one aggregation produces both (:func:`with_total_and_divisions`), so the mart
-is read once.
+Every report first sums the mart to (cost centre, year, month) and only then joins the division
+lookup, so joins and labels touch a few rows per cost centre whatever the mart's size, and no
+hint or size switch is needed. Totals are aggregated, never collected; where a total and
+per-division rows come from the same figures, one aggregation produces both.
+
+Report cells are ``decimal(18,2)``, rounded half up on exact figures.
 """
 
 from __future__ import annotations
@@ -20,21 +21,20 @@ from staffmart.config import (
     TOTAL_LABEL,
     ReportYears,
 )
-from staffmart.functions.columns import fte_from_units, ratio_pct
-from staffmart.functions.formatting import percent_2, thousands
-from staffmart.operators.joins import small_side
-from staffmart.operators.pivots import MONTHS, monthly_sums, pct_cents_half_up
+from staffmart.functions.columns import ratio_pct
+from staffmart.functions.formatting import percent_2, report_decimal, thousands
+from staffmart.operators.pivots import MONTHS, cents_as_decimal, monthly_sums, pct_cents_half_up, sums_by_cost_centre
+from staffmart.operators.publish import update_from
 
 ABSENCE_COLUMNS = tuple(label.lower().replace(" ", "_") for label in MONTH_LABELS_ABSENCE)
 FTE_COLUMNS = tuple(label.lower() for label in MONTH_LABELS_SHORT)
 
 ABSENCE_SUMS = ("dagen_ziek_ex_zwanger", "dienstverband_dagen", "dagen_ziek_ex_zwanger_ytd", "dienstverband_dagen_ytd")
-SUMS = (*ABSENCE_SUMS, "fte_units")
 
 
 def divisions(lookup: DataFrame) -> DataFrame:
-    """Cost centre -> division: a code table, broadcast once its row count is checked."""
-    return small_side(lookup.select("kostenplaats_code", "zorgbedrijf"), probe=lookup)
+    """Cost centre -> division."""
+    return lookup.select("kostenplaats_code", "zorgbedrijf")
 
 
 # --------------------------------------------------------------------------- R1 / R2
@@ -55,13 +55,14 @@ def control_total(mart: DataFrame) -> DataFrame:
 def control_division(mart: DataFrame, lookup: DataFrame, years: ReportYears, division: str) -> DataFrame:
     """R2: R1 per month for one division and the two report years, plus summed actual FTE."""
     m = mart.filter(F.col("jaar").isin([str(y) for y in years.both]))
+    sums = sums_by_cost_centre(m, ("dagen_ziek_ex_zwanger", "dienstverband_dagen", "fte_realisatie"))
     g = (
-        m.join(divisions(lookup).filter(F.col("zorgbedrijf") == division), "kostenplaats_code")
+        sums.join(divisions(lookup).filter(F.col("zorgbedrijf") == division), "kostenplaats_code")
         .groupBy("zorgbedrijf", "jaar", "maand")
         .agg(
             F.sum("dagen_ziek_ex_zwanger").alias("ziek"),
             F.sum("dienstverband_dagen").alias("dagen"),
-            F.sum("fte_units").alias("fte_units"),
+            F.sum("fte_realisatie").alias("fte_realisatie"),
         )
     )
     return g.select(
@@ -71,32 +72,35 @@ def control_division(mart: DataFrame, lookup: DataFrame, years: ReportYears, div
         thousands("ziek").alias("dagen_ziek_ex_zwanger"),
         thousands("dagen").alias("dienstverband_dagen"),
         percent_2(ratio_pct("ziek", "dagen")).alias("verzuim_ex_zwanger"),
-        fte_from_units("fte_units").alias("fte_realisatie"),
+        F.col("fte_realisatie").cast("decimal(28,8)").alias("fte_realisatie"),
     ).orderBy("jaar", "maand")
 
 
 # --------------------------------------------------------------------------- R3 / R4
-def with_total_and_divisions(rows: DataFrame, lookup: DataFrame, total_label: str = TOTAL_LABEL) -> DataFrame:
-    """Label each row with the total plus each division its cost centre maps to.
+def with_total_and_divisions(sums: DataFrame, lookup: DataFrame, total_label: str = TOTAL_LABEL) -> DataFrame:
+    """Label each cost centre's sums with the total plus each division it maps to.
 
     One aggregation on ``divisie`` then yields the total (every row, including cost centres
     without a lookup row or with a NULL code) and the per-division figures of an inner join
-    (a cost centre listed twice counts twice there, once in the total). The lookup is a code
-    table, grouped to one row per cost centre and broadcast; a LEFT join infers no filter on the
-    mart side, so the mart is computed once, and the labelling happens map-side before the
-    aggregation's partial step.
+    (a cost centre listed twice counts twice there, once in the total). ``sums`` is already at
+    cost-centre grain, so the labels multiply a handful of rows.
     """
     groups = lookup.groupBy("kostenplaats_code").agg(
         F.collect_list(F.struct(F.col("zorgbedrijf").alias("divisie"))).alias("_divisies")
     )
     total = F.array(F.struct(F.lit(total_label).alias("divisie")))
     labels = F.when(F.col("_divisies").isNull(), total).otherwise(F.concat(total, F.col("_divisies")))
-    j = rows.join(small_side(groups, probe=lookup), "kostenplaats_code", "left")
+    j = sums.join(groups, "kostenplaats_code", "left")
     return j.select("*", F.explode(labels).alias("_label")).select(
-        F.col("_label.divisie").alias("divisie"), *[c for c in rows.columns if c != "kostenplaats_code"]
+        F.col("_label.divisie").alias("divisie"), *[c for c in sums.columns if c != "kostenplaats_code"]
     )
 
 
+def _absence_sums(mart: DataFrame, lookup: DataFrame) -> DataFrame:
+    labelled = with_total_and_divisions(sums_by_cost_centre(mart, ABSENCE_SUMS), lookup)
+    return labelled.groupBy("divisie", "jaar", "maand").agg(*[F.sum(c).alias(c) for c in ABSENCE_SUMS])
+
+
 def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
     """Month and year-to-date absence % for the whole organisation and per division.
 
@@ -104,9 +108,7 @@ def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
     a lookup row (e.g. 'Onbekend') count only in the total. ``zvc`` is the ratio of the summed
     year-to-date averages; within a month the divisor is the same for every row and cancels.
     """
-    labelled = with_total_and_divisions(mart.select("kostenplaats_code", "jaar", "maand", *SUMS), lookup)
-    both = labelled.groupBy("divisie", "jaar", "maand").agg(*[F.sum(c).alias(c) for c in SUMS])
-    return both.select(
+    return _absence_sums(mart, lookup).select(
         "divisie",
         "jaar",
         "maand",
@@ -118,17 +120,22 @@ def absence_monthly(mart: DataFrame, lookup: DataFrame) -> DataFrame:
 def absence_pivot(mart: DataFrame, lookup: DataFrame, years: ReportYears) -> DataFrame:
     """R4 (flagship): R3 as twelve month columns, one row per division, year and measure.
 
-    R3's monthly figures (one aggregation of the labelled mart rows) are unpivoted into
-    (bron, waarde) and pivoted once with twelve conditional ``max`` cells, so both measures share
-    one pass. (Pivoting the four day sums directly would save a shuffle of a few hundred rows
-    but needs 48 decimal cells in one aggregate, which is too large for whole-stage codegen.)
-    The second measure is labelled 'zvc' (the original labelled both 'zv'). Months without rows
+    The monthly figures are unpivoted into (bron, waarde) and pivoted once with twelve
+    conditional ``max`` cells, so both measures share one pass. The second measure is labelled
+    'zvc' (the original labelled both 'zv'). Cells are ``decimal(18,2)``; months without rows
     stay NULL.
     """
-    monthly = absence_monthly(mart.filter(F.col("jaar").cast("int").isin(list(years.both))), lookup)
+    sums = _absence_sums(mart.filter(F.col("jaar").cast("int").isin(list(years.both))), lookup)
+    monthly = sums.select(
+        "divisie",
+        "jaar",
+        "maand",
+        pct_cents_half_up("dagen_ziek_ex_zwanger", "dienstverband_dagen").alias("zv"),
+        pct_cents_half_up("dagen_ziek_ex_zwanger_ytd", "dienstverband_dagen_ytd").alias("zvc"),
+    )
     long = monthly.unpivot(["divisie", "jaar", "maand"], ["zv", "zvc"], "bron", "waarde")
     month = F.col("maand").cast("int")
-    cells = [F.max(F.when(month == k, F.col("waarde"))).alias(n) for k, n in zip(MONTHS, ABSENCE_COLUMNS)]
+    cells = [cents_as_decimal(F.max(F.when(month == k, F.col("waarde")))).alias(n) for k, n in zip(MONTHS, ABSENCE_COLUMNS)]
     return (
         long.groupBy(F.col("divisie").alias("zorgbedrijf"), "jaar", "bron")
         .agg(*cells)
@@ -137,51 +144,51 @@ def absence_pivot(mart: DataFrame, lookup: DataFrame, years: ReportYears) -> Dat
 
 
 # --------------------------------------------------------------------------- R5 / R6
-def _division_rows(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
-    """Mart rows of one year joined to their (non-NULL) division; month as a number."""
+def _division_sums(mart: DataFrame, lookup: DataFrame, year: int, sums: tuple[str, ...]) -> DataFrame:
+    """Cost-centre sums of one year with their (non-NULL) division; month as a number."""
     return (
-        mart.filter(F.col("jaar") == str(year))
+        sums_by_cost_centre(mart.filter(F.col("jaar") == str(year)), sums)
         .join(divisions(lookup).filter(F.col("zorgbedrijf").isNotNull()), "kostenplaats_code")
         .withColumn("maand", F.col("maand").cast("int"))
     )
 
 
 def _fte_cells(rows: DataFrame, group_cols: list[str]) -> DataFrame:
-    sums = monthly_sums(rows, group_cols, "maand", ["fte_units"])
+    sums = monthly_sums(rows, group_cols, "maand", ["fte_realisatie"])
     return sums.select(
         *group_cols,
-        *[F.coalesce(fte_from_units(f"fte_units_{k}"), F.lit(0.0)).alias(n) for k, n in zip(MONTHS, FTE_COLUMNS)],
+        *[report_decimal(F.coalesce(f"fte_realisatie_{k}", F.lit(0))).alias(n) for k, n in zip(MONTHS, FTE_COLUMNS)],
     )
 
 
 def fte_pivot(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
     """Actual FTE per division (with a division) x 12 months of one year; missing -> 0."""
-    return _fte_cells(_division_rows(mart, lookup, year), ["zorgbedrijf", "jaar"]).orderBy("zorgbedrijf")
+    return _fte_cells(_division_sums(mart, lookup, year, ("fte_realisatie",)), ["zorgbedrijf", "jaar"]).orderBy("zorgbedrijf")
 
 
 def fte_pivot_with_total(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
     """R5 plus a total row over the same join. Each joined row is counted under its division
     and under the total label in the same aggregation (exact decimals)."""
-    rows = _division_rows(mart, lookup, year)
+    rows = _division_sums(mart, lookup, year, ("fte_realisatie",))
     labels = F.array(F.col("zorgbedrijf"), F.lit(FTE_TOTAL_LABEL))
-    both = rows.select(F.explode(labels).alias("zorgbedrijf"), "jaar", "maand", "fte_units")
+    both = rows.select(F.explode(labels).alias("zorgbedrijf"), "jaar", "maand", "fte_realisatie")
     return _fte_cells(both, ["zorgbedrijf", "jaar"]).orderBy("zorgbedrijf")
 
 
 # --------------------------------------------------------------------------- R7-R10
 def _row_pct(mart: DataFrame) -> DataFrame:
-    return mart.withColumn("pct_cents", pct_cents_half_up("dagen_ziek_ex_zwanger", "dienstverband_dagen"))
+    return mart.withColumn("cents", F.coalesce(pct_cents_half_up("dagen_ziek_ex_zwanger", "dienstverband_dagen"), F.lit(0)))
 
 
 def absence_rowpct_pivot(mart: DataFrame, lookup: DataFrame, year: int) -> DataFrame:
     """Per division x month, the sum of per-row absence % (each row rounded to 2 decimals,
-    rows without employment days count 0)."""
-    rows = _row_pct(_division_rows(mart, lookup, year)).withColumn("cents", F.coalesce("pct_cents", F.lit(0)))
+    rows without employment days count 0). Rows are rounded and summed before any join."""
+    rows = _division_sums(_row_pct(mart), lookup, year, ("cents",))
     sums = monthly_sums(rows, ["zorgbedrijf", "jaar"], "maand", ["cents"])
     return sums.select(
         "zorgbedrijf",
         "jaar",
-        *[(F.coalesce(f"cents_{k}", F.lit(0)) / F.lit(100.0)).alias(n) for k, n in zip(MONTHS, FTE_COLUMNS)],
+        *[cents_as_decimal(F.coalesce(f"cents_{k}", F.lit(0))).alias(n) for k, n in zip(MONTHS, FTE_COLUMNS)],
     ).orderBy("zorgbedrijf")
 
 
@@ -189,7 +196,7 @@ def absence_rowpct_total(mart: DataFrame, year: int) -> DataFrame:
     """January's sum of per-row rounded absence % over all rows with employment days."""
     rows = _row_pct(mart.filter((F.col("jaar") == str(year)) & (F.col("dienstverband_dagen") > 0)))
     return rows.groupBy("jaar").agg(
-        (F.sum(F.when(F.col("maand").cast("int") == 1, F.col("pct_cents")).otherwise(F.lit(0))) / F.lit(100.0)).alias("jan")
+        cents_as_decimal(F.sum(F.when(F.col("maand").cast("int") == 1, F.col("cents")).otherwise(F.lit(0)))).alias("jan")
     ).select(F.lit(ROWPCT_TOTAL_LABEL).alias("divisie"), "jaar", "jan")
 
 
@@ -200,13 +207,11 @@ def absence_total_pivot(mart: DataFrame, year: int) -> DataFrame:
         "maand", F.col("maand").cast("int")
     )
     sums = monthly_sums(rows, ["jaar"], "maand", ["dagen_ziek_ex_zwanger", "dienstverband_dagen"])
+    cents = lambda k: pct_cents_half_up(f"dagen_ziek_ex_zwanger_{k}", f"dienstverband_dagen_{k}")
     return sums.select(
         F.lit(ROWPCT_TOTAL_LABEL).alias("divisie"),
         "jaar",
-        *[
-            F.coalesce(ratio_pct(f"dagen_ziek_ex_zwanger_{k}", f"dienstverband_dagen_{k}"), F.lit(0.0)).alias(n)
-            for k, n in zip(MONTHS, FTE_COLUMNS)
-        ],
+        *[cents_as_decimal(F.coalesce(cents(k), F.lit(0))).alias(n) for k, n in zip(MONTHS, FTE_COLUMNS)],
     )
 
 
@@ -238,25 +243,23 @@ def kpi_since(dashboard: DataFrame, code: str, after_period: int, item5: str) ->
 
 def relation_counts(source: DataFrame, lookup: DataFrame) -> DataFrame:
     """Rows per employment relation with its description (LEFT join: unknown codes keep a
-    NULL description)."""
-    lk = small_side(lookup.select(F.col("tabelwaarde_code").alias("dienstbetrekking"), "omschrijving"), probe=lookup)
+    NULL description; a code listed under two descriptions counts under each). Rows are counted
+    per code first, so the join sees one row per code."""
+    counts = source.groupBy("dienstbetrekking").agg(F.count(F.lit(1)).alias("n"))
+    lk = lookup.select(F.col("tabelwaarde_code").alias("dienstbetrekking"), "omschrijving")
     return (
-        source.select("dienstbetrekking")
-        .join(lk, "dienstbetrekking", "left")
+        counts.join(lk, "dienstbetrekking", "left")
         .groupBy("dienstbetrekking", "omschrijving")
-        .agg(F.count(F.lit(1)).alias("aantal"))
+        .agg(F.sum("n").alias("aantal"))
         .orderBy("dienstbetrekking")
     )
 
 
 def relation_enrich(contracts: DataFrame, lookup: DataFrame) -> DataFrame:
     """Contract dimension with the relation description filled from the lookup; rows without
-    a matching code keep their old description (UPDATE ... FROM ... JOIN)."""
-    lk = small_side(lookup.select(F.col("tabelwaarde_code").alias("_code"), F.col("omschrijving").alias("_oms")),
-                    probe=lookup)
-    joined = contracts.join(lk, F.col("dienstbetrekking") == F.col("_code"), "left")
-    new = F.when(F.col("_code").isNotNull(), F.col("_oms")).otherwise(F.col("dienstbetrekking_oms"))
-    return joined.select(*[new.alias(c) if c == "dienstbetrekking_oms" else F.col(c) for c in contracts.columns])
+    a matching code keep their old description (UPDATE ... FROM ... JOIN: never more rows)."""
+    updates = lookup.select(F.col("tabelwaarde_code").alias("dienstbetrekking"), F.col("omschrijving").alias("dienstbetrekking_oms"))
+    return update_from(contracts, updates, ["dienstbetrekking"], ["dienstbetrekking_oms"])
 
 
 def leave_reasons(periods: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from staffmart.operators import mart as M
-from staffmart.plans.registry import _REGISTRY, Context, available
+from staffmart.plans.registry import _REGISTRY, WRITERS, Context, available
 
 PUBLIC_MART = "dwh_personeel_fte"
 
@@ -12,7 +12,7 @@ def register_views(ctx: Context, prefix: str = "") -> list[str]:
     """Create or replace temp views (lazy plans; nothing is computed until queried).
 
     Returns the view names: the personnel tables, ``dwh_personeel_fte`` and one view per
-    registered query whose inputs are available (the stream is left out)."""
+    registered query whose inputs are available (stream and sinks are left out)."""
     names = []
     for name, df in ctx.tables.views().items():
         df.createOrReplaceTempView(prefix + name)
@@ -20,7 +20,7 @@ def register_views(ctx: Context, prefix: str = "") -> list[str]:
     M.display(ctx.mart()).createOrReplaceTempView(prefix + PUBLIC_MART)
     names.append(prefix + PUBLIC_MART)
     for name, build in _REGISTRY.items():
-        if name != "rolling_buffer_stream" and available(ctx, name):
+        if name not in WRITERS and available(ctx, name):
             build(ctx).createOrReplaceTempView(prefix + name)
             names.append(prefix + name)
     return names

@@ -44,10 +44,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def session(app: str = "staffmart") -> SparkSession:
+    """The platform's session (its master and resources), with the job settings filled in."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    for key, value in JOB_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when none is configured."""
+    """The shared checkpoint folder. Only a local session (tests) may go without a configured
+    one: on a cluster, executors would not share a folder of the driver's."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="staffmart-ckpt-")   # tests / local runs only
         spark.conf.set("spark.checkpoint.dir", current)
     try:  # classic sessions: make DataFrame.checkpoint() use the same folder

@@ -1,9 +1,8 @@
 """Personnel tables as Spark views over the synthetic star schema in ``/root/testdata``.
 
 The warehouse itself is not available, so each personnel table is defined as a projection of
-the given tables (rules below). All rules are plain column expressions, so Catalyst prunes
-columns and pushes filters into the parquet scans; only the month calendar (12 rows per year)
-is cached.
+the given tables (rules below). All rules are plain column expressions and joins, so Catalyst
+prunes columns and pushes filters into the parquet scans, and no job runs while they are bound.
 
 ===========================  ==============================================================
 personnel table              bound from
@@ -17,18 +16,19 @@ fact_fte_ziekteverzuim       lineitem lines with ``l_returnflag = 'R'``: sick da
                              ``l_quantity * l_discount``, sickness percentage ``l_discount``
 fact_fte_begroting           lineitem lines with ``l_returnflag = 'N'``: budget days ``l_quantity``
 dim_medewerker_functies      part: code ``p_type``, name ``'Functie ' || p_type``
-dim_organisatie_eenheid      supplier, with nation and region looked up from their 25-row
-                             code table: cost centre and department ``n_name``, cluster
-                             ``r_name``
+dim_organisatie_eenheid      supplier ⋈ nation ⋈ region: cost centre and department ``n_name``,
+                             cluster ``r_name``
 dim_dienstverbanden          orders: employer ``o_orderpriority``, relation ``o_orderstatus``,
                              worker type unknown for contracts dated the 31st, trainee for the
-                             1st and 2nd, employee otherwise
+                             1st and 2nd, employee otherwise; an old description for contracts
+                             dated the 7th
 dim_medewerkers              supplier keys
 dwh_budgetplaatsen           nation ⋈ region: division ``r_name``, none for 'MIDDLE EAST'
 dwh_rap_periode              one row: report end date = last order date
 dwh_dashboard                orders counted per month, priority and status
 afas_mdw_formatie            orders: employee ``o_custkey``, relation ``o_orderstatus``
-afas_dienstbetrekking        relation code lookup (two codes; 'P' stays unmatched)
+afas_dienstbetrekking        relation code lookup (two codes, one of them twice; 'P' stays
+                             unmatched)
 afas_dienstperiodes          orders: employee ``o_custkey``, start ``o_orderdate``, leave reason
                              ``o_orderstatus`` unless the order is still open
 ===========================  ==============================================================
@@ -57,10 +57,10 @@ EXCLUSIONS = Exclusions(
     worker_types=EXCLUDED_WORKER_TYPES,
 )
 WORKER = "Werknemer"
-MAX_CODE_ROWS = 10_000
 NO_DIVISION_REGION = "MIDDLE EAST"
 # relation code -> description (fixed lookup rows of this binding)
-RELATION_LOOKUP = (("F", "Vast dienstverband"), ("O", "Oproepcontract"))
+RELATION_LOOKUP = (("F", "Vast dienstverband"), ("O", "Oproepcontract"), ("O", "Oproep (oud)"))
+OLD_DESCRIPTION = "Oude omschrijving"
 
 
 def month_id(col: str) -> F.Column:
@@ -127,8 +127,7 @@ def _facts(lineitem: DataFrame) -> dict[str, DataFrame]:
 
 
 def calendar(orders: DataFrame) -> DataFrame:
-    """Dense month calendar over whole years; one row per month, so its size is bounded by the
-    time span (12 rows per year) and it is safe to broadcast. Only the order-date column is read."""
+    """Dense month calendar over whole years, one row per month. Only the order-date column is read."""
     years = orders.agg(F.year(F.min("o_orderdate")).alias("lo"), F.year(F.max("o_orderdate")).alias("hi"))
     months = years.select(
         F.explode(
@@ -147,22 +146,12 @@ def calendar(orders: DataFrame) -> DataFrame:
 def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
     raw = {n: read_raw(spark, sf_dir, n) for n in ("lineitem", "orders", "part", "supplier", "nation", "region")}
     lineitem, orders = raw["lineitem"], raw["orders"]
-    # nation and region are fixed-size code tables (25 and 5 rows): safe to broadcast.
-    geo = raw["nation"].join(F.broadcast(raw["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
-    # The org-unit dimension looks nation and region up through a literal map instead of a join:
-    # the planner sizes a join as the product of its inputs, which would force a sort-merge join
-    # of the facts even when the dimension is tiny; a projection keeps the supplier's real size,
-    # so Spark broadcasts it when small and sort-merges it when large.
-    codes = geo.select("n_nationkey", "n_name", "r_name").limit(MAX_CODE_ROWS + 1).collect()
-    if len(codes) > MAX_CODE_ROWS:
-        raise ValueError(f"nation code table has more than {MAX_CODE_ROWS} rows")
-    name_of = F.create_map(*[x for r in codes for x in (F.lit(r["n_nationkey"]), F.lit(r["n_name"]))])
-    region_of = F.create_map(*[x for r in codes for x in (F.lit(r["n_nationkey"]), F.lit(r["r_name"]))])
-    org = raw["supplier"].select(
+    geo = raw["nation"].join(raw["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    org = raw["supplier"].join(geo, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("organisatie_eenheid_id"),
-        name_of[F.col("s_nationkey")].alias("kostenplaats_code"),
-        name_of[F.col("s_nationkey")].alias("afdeling_code"),
-        region_of[F.col("s_nationkey")].alias("cluster_code"),
+        F.col("n_name").alias("kostenplaats_code"),
+        F.col("n_name").alias("afdeling_code"),
+        F.col("r_name").alias("cluster_code"),
     )
     order_day = F.dayofmonth("o_orderdate")
     contracts = orders.select(
@@ -173,7 +162,7 @@ def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
         .when(order_day <= 2, F.lit(EXCLUDED_WORKER_TYPES[0]))
         .otherwise(F.lit(WORKER))
         .alias("type_werknemer"),
-        F.lit(None).cast("string").alias("dienstbetrekking_oms"),
+        F.when(order_day == 7, F.lit(OLD_DESCRIPTION)).alias("dienstbetrekking_oms"),
     )
     functions = raw["part"].select(
         F.col("p_partkey").alias("medewerker_functie_id"),
@@ -207,7 +196,7 @@ def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
         F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("reden_uit_dienst_code"),
     )
     return SyntheticTables(
-        ref_datum=calendar(orders).cache(),  # <= 12 rows per year, read by every job
+        ref_datum=calendar(orders),
         dim_medewerker_functies=functions,
         dim_organisatie_eenheid=org,
         dim_dienstverbanden=contracts,

@@ -17,6 +17,10 @@ from staffmart.sources.schemas import SCHEMAS
 from staffmart.sources.tables import Tables
 
 
+# bytes of fixed-size types
+LENGTHS = {"integer": 4, "long": 8, "double": 8, "float": 4, "date": 4, "timestamp": 8, "timestamp_ntz": 8, "boolean": 1}
+
+
 @dataclass(frozen=True)
 class Location:
     kind: str                      # "parquet" | "orc" | "table" | "jdbc"
@@ -63,29 +67,28 @@ def read_jdbc(spark: SparkSession, table: str, url: str, partition_column: str |
     return reader.load()
 
 
-def full_table(df: DataFrame) -> DataFrame:
-    """``select * from t``."""
-    return df.select("*")
-
-
 def inventory(tables: dict[str, DataFrame], name_like: str = "%", column_like: str = "%") -> DataFrame:
-    """Table / column / type inventory with row counts, filtered with case-folded LIKE.
+    """Table / column / type / length inventory with row counts, filtered with case-folded
+    LIKE and ordered by table.
 
-    Column metadata comes from the schemas (no data read); row counts are one aggregation per
-    table, unioned into a single job.
+    Column metadata comes from the schemas (no data read); ``length`` is the bytes of a fixed-size
+    type and -1 for strings. Row counts are one aggregation per table, unioned into a single
+    job, and joined on table and its first column's entry, as the catalogue joins a table's own
+    index row: a table without a count keeps NULL.
     """
     spark = next(iter(tables.values())).sparkSession
     meta = [
-        (t, f.name, f.dataType.simpleString())
+        (t, f.name, f.dataType.simpleString(), LENGTHS.get(f.dataType.typeName(), 16 if f.dataType.typeName() == "decimal" else -1))
         for t, df in tables.items()
         for f in df.schema.fields
     ]
-    cols = spark.createDataFrame(meta, "tabel string, kolomnaam string, type string")
+    cols = spark.createDataFrame(meta, "tabel string, kolomnaam string, type string, length int")
     counts = None
     for t, df in tables.items():
-        c = df.agg(F.count(F.lit(1)).alias("rijen")).select(F.lit(t).alias("tabel"), "rijen")
+        c = df.agg(F.count(F.lit(1)).alias("rijen")).select(F.lit(t).alias("tabel"), F.lit(t).alias("_index"), "rijen")
         counts = c if counts is None else counts.unionByName(c)
-    out = cols.join(F.broadcast(counts), "tabel", "left")
+    # two keys: the table, and the index row that carries the table's own name
+    out = cols.withColumn("_index", F.col("tabel")).join(counts, ["tabel", "_index"], "left").drop("_index")
     return out.filter(
         F.upper("tabel").like(name_like.upper()) & F.upper("kolomnaam").like(column_like.upper())
-    ).dropDuplicates(["tabel", "kolomnaam", "type"])
+    ).distinct().orderBy("tabel", "kolomnaam")

@@ -17,22 +17,6 @@ def report_end_date(rap_periode: DataFrame, package: str = REPORT_PACKAGE):
     return rows[0][0]
 
 
-def report_years(rap_periode: DataFrame, package: str = REPORT_PACKAGE) -> ReportYears:
-    """``year(d)`` and ``year(dateadd(yy, -1, d))`` (29 Feb clamps to 28 Feb, same year either way)."""
-    row = (
-        rap_periode.filter(F.col("package_naam") == package)
-        .select(
-            F.year("rapport_einddatum").alias("cur"),
-            F.year(F.add_months("rapport_einddatum", -12)).alias("prv"),
-        )
-        .limit(2)
-        .collect()
-    )
-    if len(row) != 1:
-        raise ValueError(f"expected exactly one report period row for {package!r}, found {len(row)}")
-    return ReportYears(current=int(row[0]["cur"]), previous=int(row[0]["prv"]))
-
-
 def report_period(rap_periode: DataFrame, package: str = REPORT_PACKAGE):
     """End date and report years from one small job."""
     d = report_end_date(rap_periode, package)

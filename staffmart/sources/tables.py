@@ -48,7 +48,3 @@ class Tables:
 
     def views(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in dataclasses.fields(self) if getattr(self, f.name) is not None}
-
-    def register_views(self) -> None:
-        for name, df in self.views().items():
-            df.createOrReplaceTempView(name)

@@ -1,173 +1,89 @@
 """T1 as a stream: a rolling per-key buffer of the newest ``n`` values.
 
-Plan of the streaming query:
-
-1. ``mapInPandas`` keeps, within each input partition, only the newest ``n`` rows per key
-   (vectorised, bounded by ``n`` x keys in the partition). A key that holds a third of a
-   micro-batch therefore ships at most ``n`` rows per partition into the shuffle.
-2. ``groupBy(key).transformWithStateInPandas`` keeps each key's buffer (at most ``n`` rows) in
-   the state store and updates only the keys present in the micro-batch. Input rows reach the
-   processor as Arrow-sized chunks, so even a hot key is handled in bounded memory.
-3. The updated buffers of each micro-batch go to ``updates/batch=<id>`` through ``foreachBatch``
-   (rewritten identically when a batch is replayed), for consumers that refresh a chart.
-
-The current view of every key is read back from the query's state through the state data
-source; re-indexing and clamping happen there, on at most ``n`` rows per key. Checkpoint and
-state live under ``spark.checkpoint.dir`` (shared storage on a cluster), so a restarted query
-resumes exactly where it stopped.
+Each micro-batch is folded into the previous version of the buffers by the rule of the batch form,
+``row_number() <= n`` per key over (previous version ∪ batch), all on the JVM: Spark limits every
+key to ``n`` rows per task before the shuffle, so a key that holds a third of a batch ships at
+most ``n`` rows per task, and no state grows beyond ``n`` rows per key.
+
+Versions are written tables, one per batch id, under the run folder (shared storage on a
+cluster). A batch reads the newest version below its own id and overwrites its own, so a replayed
+batch gives the same version again, and late rows take their place by time. A trigger takes at
+most ``max_files_per_trigger`` files, so a backlog is worked off in bounded steps.
 """
 
 from __future__ import annotations
 
-import os
-import sys
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType, TimestampNTZType
 
 from staffmart.functions.formatting import clamp
 from staffmart.session import ensure_checkpoint_dir
 
-STATE_VAR = "buffer"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-ENTRY = StructType(
-    [StructField("ts", TimestampNTZType()), StructField("event_id", LongType()), StructField("value", DoubleType())]
-)
-UPDATE = StructType(
+MAX_FILES = 64
+ROWS = StructType(
     [
         StructField("user_id", LongType()),
-        StructField("x", IntegerType()),
-        StructField("y", DoubleType()),
+        StructField("ts", TimestampNTZType()),
         StructField("event_id", LongType()),
+        StructField("value", DoubleType()),
     ]
 )
-ORDER = ["ts", "event_id"]
-
-
-def newest_per_key(n: int, key: str = "user_id"):
-    """Per-partition pre-reduction for ``mapInPandas``: the newest ``n`` rows of every key."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for pdf in batches:
-            kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-            kept = kept.sort_values([key, *ORDER], na_position="first").groupby(key, sort=False).tail(n)
-        if kept is not None and len(kept):
-            yield kept
-
-    return run
-
-
-class RollingBuffer(StatefulProcessor):
-    """Keeps the newest ``n`` (ts, id, value) entries per key in list state."""
-
-    def __init__(self, n: int):
-        self.n = n
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState(STATE_VAR, ENTRY)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cols = ENTRY.names
-        if self.buffer.exists():
-            cur = pd.DataFrame(list(self.buffer.get()), columns=cols)
-        else:
-            cur = pd.DataFrame({"ts": pd.Series(dtype="datetime64[us]"), "event_id": pd.Series(dtype="int64"),
-                                "value": pd.Series(dtype="float64")})
-        for chunk in rows:
-            # missing times sort as oldest, as NULLs do in ``ORDER BY ts DESC`` of the batch rule
-            cur = pd.concat([cur, chunk[cols]], ignore_index=True).sort_values(ORDER, na_position="first").tail(self.n)
-        self.buffer.clear()
-        self.buffer.put([(None if pd.isna(t) else pd.Timestamp(t).to_pydatetime(), int(i),
-                          None if pd.isna(v) else float(v)) for t, i, v in cur.itertuples(index=False)])
-        y = cur["value"].clip(lower=0.0, upper=100.0)
-        yield pd.DataFrame({"user_id": key[0], "x": list(range(len(cur))), "y": y.to_numpy(),
-                            "event_id": cur["event_id"].to_numpy()})
-
-    def close(self) -> None:
-        pass
-
-
-def _input(spark: SparkSession, events_dir: str, file_glob: str, n: int, max_files: int | None) -> DataFrame:
-    schema = spark.read.parquet(os.path.join(events_dir, file_glob)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+VERSIONED = StructType([*ROWS.fields, StructField("batch", IntegerType())])
+
+
+def newest(rows: DataFrame, n: int) -> DataFrame:
+    """The newest ``n`` rows per key (equal rows count once: a file read twice adds nothing)."""
+    order = Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id"))
+    return rows.dropDuplicates(["user_id", "ts", "event_id"]).withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def _versions(spark: SparkSession, run_dir: str) -> DataFrame:
+    return spark.read.schema(VERSIONED).parquet(f"{run_dir}/buffers")
+
+
+def fold_batch(batch: DataFrame, batch_id: int, run_dir: str, n: int) -> None:
+    """Write the version after a micro-batch."""
+    spark = batch.sparkSession
+    rows = batch.select(*ROWS.names)
+    if batch_id > 0:
+        old = _versions(spark, run_dir).where(F.col("batch") < batch_id)
+        last = old.agg(F.max("batch")).first()[0]
+        if last is not None:
+            rows = rows.unionByName(old.where(F.col("batch") == last).select(*ROWS.names))
+    newest(rows, n).write.mode("overwrite").parquet(f"{run_dir}/buffers/batch={batch_id}")
+
+
+def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glob: str = "*.parquet", run_dir: str | None = None,
+                       max_files_per_trigger: int = MAX_FILES) -> str:
+    """Process every file present in a folder (``availableNow``); return the run folder. Running
+    again with the same ``run_dir`` resumes."""
+    base = run_dir or f"{ensure_checkpoint_dir(spark)}/rolling/{uuid.uuid4().hex}"
+    schema = spark.read.option("pathGlobFilter", file_glob).parquet(events_dir).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", max_files_per_trigger)
     # event time stays a local (zone-less) timestamp: ordering never depends on a session zone
     rows = reader.parquet(events_dir).select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "value")
-    return rows.mapInPandas(newest_per_key(n), rows.schema)
-
-
-# The pre-reduction and the state processor run in Python workers, including a driver-side
-# worker that transformWithState starts and that sees no files added after start-up. Shipping
-# this module's functions by value means no worker has to import the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def state_partitions(spark: SparkSession) -> int:
-    """State partitions for a new query: ``staffmart.stream.statePartitions`` if set, else the
-    cluster's default parallelism (one state store per core), not the shuffle default of 200."""
-    value = spark.conf.get("staffmart.stream.statePartitions", None)
-    if value:
-        return int(value)
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - remote session
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def run_rolling_stream(spark: SparkSession, events_dir: str, n: int, *, file_glob: str = "events.parquet",
-                       run_dir: str | None = None, max_files_per_trigger: int | None = None) -> str:
-    """Process every file present under ``events_dir`` (``availableNow``); return the run folder
-    (checkpoint + per-batch updates). Running again with the same ``run_dir`` resumes; the
-    number of state partitions is fixed by the first run and kept in the checkpoint."""
-    base = run_dir or os.path.join(ensure_checkpoint_dir(spark), "rolling", uuid.uuid4().hex)
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # required by transformWithState
-    updates = (
-        _input(spark, events_dir, file_glob, n, max_files_per_trigger)
-        .groupBy("user_id")
-        .transformWithStateInPandas(RollingBuffer(n), UPDATE, "Update", "None")
+    query = (
+        rows.writeStream.foreachBatch(lambda batch, batch_id: fold_batch(batch, batch_id, base, n))
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
     )
-
-    def write_updates(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(os.path.join(base, "updates", f"batch={batch_id}"))
-
-    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
-    try:
-        q = (
-            updates.writeStream.foreachBatch(write_updates)
-            .option("checkpointLocation", os.path.join(base, "checkpoint"))
-            .outputMode("update")
-            .trigger(availableNow=True)
-            .start()
-        )
-        q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
-    if q.exception() is not None:
-        raise q.exception()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
     return base
 
 
 def current_buffers(spark: SparkSession, run_dir: str) -> DataFrame:
-    """Every key's buffer from the query state: x = position oldest first, y clamped to [0, 100]."""
-    state = (
-        spark.read.format("statestore")
-        .option("path", os.path.join(run_dir, "checkpoint"))
-        .option("stateVarName", STATE_VAR)
-        .load()
-        .select(F.col("key.user_id").alias("user_id"), "list_element.*")
-    )
-    oldest_first = Window.partitionBy("user_id").orderBy(*ORDER)   # at most n rows per key
-    return state.select(
+    """Every key's buffer after the last batch: x = position oldest first, y clamped to [0, 100]."""
+    versions = _versions(spark, run_dir)
+    last = versions.agg(F.max("batch")).first()[0]
+    rows = versions.where(F.col("batch") == last) if last is not None else versions.where(F.lit(False))
+    oldest_first = Window.partitionBy("user_id").orderBy("ts", "event_id")   # at most n rows per key
+    return rows.select(
         "user_id",
         (F.row_number().over(oldest_first) - 1).cast("int").alias("x"),
         clamp("value").alias("y"),

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from __spark_entry__ import queries
-from staffmart.operators.joins import fits, small_side
+from staffmart.config import LOAD_OK, LOAD_PROBLEM
 from staffmart.plans.batch import run
 
 SF = "/root/testdata/sf0.001"
@@ -16,27 +16,57 @@ def test_reports_from_published_mart_equal_direct_queries(spark, tmp_path):
         b = sorted((tuple(r) for r in qs[name](spark, SF).collect()), key=repr)
         assert a == b, name
     audit = spark.read.parquet(str(tmp_path / "load_audit")).collect()
-    assert [r.status for r in audit] == ["data loaded"]
+    assert [r.status for r in audit] == [LOAD_OK]
 
 
-def test_broadcast_check_falls_back(spark):
-    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
-    assert fits(df, 3) and not fits(df, 2)
-    assert small_side(df, max_rows=2) is df
+def status(spark, base):
+    return [r.status for r in spark.read.parquet(f"{base}/load_audit").orderBy("ts").collect()]
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
 
 
 def test_current_year_refresh_keeps_previous_year(spark, tmp_path):
     base = str(tmp_path / "wh")
     names = ["fte_mart_ytd", "absence_pivot"]
     first = run(spark, SF, base, names)
-    full = sorted(map(tuple, spark.read.parquet(f"{base}/mart_exact").collect()), key=repr)
-    pivot = sorted(map(tuple, spark.read.parquet(first["absence_pivot"]).collect()), key=repr)
+    full = rows(spark.read.parquet(f"{base}/mart_exact"))
+    pivot = rows(spark.read.parquet(first["absence_pivot"]))
     run(spark, SF, base, names, current_year_only=True)
-    again = sorted(map(tuple, spark.read.parquet(f"{base}/mart_exact").collect()), key=repr)
-    assert again == full
+    assert rows(spark.read.parquet(f"{base}/mart_exact")) == full
     # reports still span both report years
-    assert sorted(map(tuple, spark.read.parquet(first["absence_pivot"]).collect()), key=repr) == pivot
-    assert len(spark.read.parquet(f"{base}/load_audit").collect()) == 2
+    assert rows(spark.read.parquet(first["absence_pivot"])) == pivot
+    assert status(spark, base) == [LOAD_OK, LOAD_OK]
+
+
+def test_full_refresh_drops_years_that_left_the_period(spark, tmp_path):
+    base = str(tmp_path / "wh")
+    out = run(spark, SF, base, ["control_total"])
+    want = rows(spark.read.parquet(out["control_total"]))
+    assert want == rows(queries()["control_total"](spark, SF))
+    mart = spark.read.parquet(f"{base}/mart_exact")
+    for name in ("mart_exact", "dwh_personeel_fte"):
+        old = spark.read.parquet(f"{base}/{name}").limit(3).drop("jaar")
+        old.write.parquet(f"{base}/{name}/jaar=1995")
+    assert {r.jaar for r in spark.read.parquet(f"{base}/mart_exact").select("jaar").distinct().collect()} > {r.jaar for r in mart.select("jaar").distinct().collect()}
+    # a refresh of the current year leaves the old partition, and reports do not show it
+    out = run(spark, SF, base, ["control_total"], current_year_only=True)
+    assert rows(spark.read.parquet(out["control_total"])) == want
+    out = run(spark, SF, base, ["control_total"])
+    assert rows(spark.read.parquet(out["control_total"])) == want
+    for name in ("mart_exact", "dwh_personeel_fte"):
+        assert 1995 not in {r.jaar for r in spark.read.parquet(f"{base}/{name}").select("jaar").distinct().collect()}
+    assert status(spark, base) == [LOAD_OK] * 3
+
+
+def test_audit_tells_a_mart_that_does_not_add_up(spark, tmp_path, monkeypatch):
+    from staffmart.plans import batch
+
+    publish = batch.publish_mart
+    monkeypatch.setattr(batch, "publish_mart", lambda mart, path, **kw: publish(mart.where("maand <> '03'"), path, **kw))
+    run(spark, SF, str(tmp_path), ["control_total"])
+    assert status(spark, str(tmp_path)) == [LOAD_PROBLEM]
 
 
 def test_batch_over_tables_from_storage(spark, fx, tmp_path):
@@ -53,9 +83,9 @@ def test_batch_over_tables_from_storage(spark, fx, tmp_path):
     out = run(spark, base=str(tmp_path / "wh"), ctx=context_for(tables, MartOptions()))
     assert "daily_bars" not in out and "absence_pivot" in out
     pivot = spark.read.parquet(out["absence_pivot"]).filter("zorgbedrijf = 'DIV A' AND bron = 'zv' AND jaar = '2016'")
-    assert abs(pivot.collect()[0].verzuim_januari - 3 / 39 * 100) < 1e-9
+    assert str(pivot.collect()[0].verzuim_januari) == "7.69"
     audit = spark.read.parquet(str(tmp_path / "wh" / "load_audit")).collect()
-    assert [r.status for r in audit] == ["data loaded"]
+    assert [r.status for r in audit] == [LOAD_OK]
 
 
 def test_sql_views(spark):

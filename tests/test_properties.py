@@ -22,7 +22,7 @@ def ctx(spark):
 
 
 def test_pivot_then_unpivot_is_identity(ctx):
-    """Unpivoting the month pivot (R4) gives back the monthly figures (R3), computed separately."""
+    """Unpivoting the month pivot (R4) gives back the monthly figures (R3), rounded to cells."""
     monthly = R.absence_monthly(ctx.mart(), ctx.tables.dwh_budgetplaatsen).filter(
         F.col("jaar").cast("int").isin(list(ctx.years.both))
     )
@@ -31,13 +31,13 @@ def test_pivot_then_unpivot_is_identity(ctx):
     back = pivot.unpivot(["zorgbedrijf", "jaar", "bron"], list(R.ABSENCE_COLUMNS), "kolom", "waarde").filter(
         F.col("waarde").isNotNull()
     )
-    got = {(r.zorgbedrijf, r.jaar, r.bron, months[r.kolom], r.waarde) for r in back.collect()}
-    want = set()
+    got = {(r.zorgbedrijf, r.jaar, r.bron, months[r.kolom]): float(r.waarde) for r in back.collect()}
+    want = {}
     for r in monthly.collect():
         for bron in ("zv", "zvc"):
             if r[bron] is not None:
-                want.add((r.divisie, r.jaar, bron, int(r.maand), r[bron]))
-    assert got == want
+                want[r.divisie, r.jaar, bron, int(r.maand)] = r[bron]
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 0.005 + 1e-9 for k in got)
 
 
 def test_december_ytd_is_the_year_total(ctx):
@@ -53,7 +53,7 @@ def test_december_ytd_is_the_year_total(ctx):
 def test_hot_key_through_sort_merge_skew_join(spark, ctx):
     """One function holds a third of the actual rows; with broadcasts off and a tiny skew
     threshold the joins run as sort-merge joins that AQE splits, and the result is unchanged."""
-    t = ctx.tables
+    t = ctx.period
     hot = t.fact_fte_realisatie.withColumn(
         "medewerker_functie_id",
         F.when(F.col("dienstverband_dagen") < 17, F.lit(1)).otherwise(F.col("medewerker_functie_id")),

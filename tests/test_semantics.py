@@ -6,17 +6,18 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from staffmart.config import FTE_TOTAL_LABEL, TOTAL_LABEL, UNKNOWN, MartOptions
 from staffmart.operators import mart as M
 from staffmart.operators import staging as S
 from staffmart.plans import reports as R
-from staffmart.sources.params import report_period, report_years
+from staffmart.sources.params import report_period
 
 
 @pytest.fixture(scope="module")
 def years(fx):
-    return report_years(fx.dwh_rap_periode)
+    return report_period(fx.dwh_rap_periode)[1]
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def mart(fx, years):
 def display(mart):
     return {
         (r.jaar, r.maand, r.medewerker_id, r.kostenplaats_code, r.functie_code): r
-        for r in M.display(mart).collect()
+        for r in M.as_doubles(M.display(mart)).collect()
     }
 
 
@@ -40,7 +41,7 @@ def test_report_years_on_leap_day(fx, years):
 
 def test_report_period_needs_exactly_one_row(fx):
     with pytest.raises(ValueError):
-        report_years(fx.dwh_rap_periode.unionByName(fx.dwh_rap_periode))
+        report_period(fx.dwh_rap_periode.unionByName(fx.dwh_rap_periode))
 
 
 def test_actuals_unknown_members_and_exclusions(fx, years):
@@ -118,7 +119,7 @@ def test_stacked_total_equals_sum_of_facts(fx, years, mart):
 
 
 def test_budget_into_mart_lands_on_unknown_employee(fx, years):
-    m = M.display(M.fte_mart(fx, years, MartOptions(include_budget=True)))
+    m = M.as_doubles(M.display(M.fte_mart(fx, years, MartOptions(include_budget=True))))
     rows = m.filter("fte_begroot > 0").collect()
     assert [(r.medewerker_id, r.kostenplaats_code, r.functie_code, r.maand) for r in rows] == [
         (UNKNOWN, "KP1", "F1", "01")
@@ -155,15 +156,15 @@ def test_absence_pivot_layout(fx, mart, years):
     rows = p.collect()
     assert {r.bron for r in rows} == {"zv", "zvc"}
     a = [r for r in rows if r.zorgbedrijf == "DIV A" and r.bron == "zv" and r.jaar == "2016"][0]
-    assert a.verzuim_april is None and a.verzuim_januari == pytest.approx(3 / 39 * 100)
+    assert a.verzuim_april is None and a.verzuim_januari == Decimal("7.69")
 
 
 def test_fte_pivot_total_and_filters(fx, mart):
     rows = {r.zorgbedrijf: r for r in R.fte_pivot_with_total(mart, fx.dwh_budgetplaatsen, 2016).collect()}
     assert set(rows) == {"DIV A", FTE_TOTAL_LABEL}   # NULL division filtered, KP3 has none
-    assert rows["DIV A"].jan == pytest.approx((31 + 5 + 3) / 31)
-    assert rows["DIV A"].apr == 0.0
-    assert rows[FTE_TOTAL_LABEL].jan == pytest.approx(rows["DIV A"].jan)
+    assert rows["DIV A"].jan == Decimal("1.26")     # 39 / 31
+    assert rows["DIV A"].apr == 0
+    assert rows[FTE_TOTAL_LABEL].jan == rows["DIV A"].jan
 
 
 def test_row_percentages_round_half_up(spark):
@@ -181,9 +182,9 @@ def test_row_percentages_round_half_up(spark):
 def test_rowpct_reports(fx, mart):
     r8 = R.absence_rowpct_total(mart, 2016).collect()
     # January rows with days > 0: KP1/F1 3/31, and zero-sick rows
-    assert r8[0].jan == pytest.approx(round(3 / 31 * 100, 2))
+    assert r8[0].jan == Decimal("9.68")
     r7 = {r.zorgbedrijf: r for r in R.absence_rowpct_pivot(mart, fx.dwh_budgetplaatsen, 2016).collect()}
-    assert r7["DIV A"].feb == 0.0 and r7["DIV A"].jan == pytest.approx(9.68)
+    assert r7["DIV A"].feb == 0 and r7["DIV A"].jan == Decimal("9.68")
 
 
 def test_relation_counts_and_enrich(fx):
@@ -193,3 +194,30 @@ def test_relation_counts_and_enrich(fx):
     enriched = {r.dienstverband_id: r.dienstbetrekking_oms
                 for r in R.relation_enrich(fx.dim_dienstverbanden, fx.afas_dienstbetrekking).collect()}
     assert enriched[100] == "Vast" and enriched[103] is None and enriched[104] is None
+
+
+def test_fte_divides_exact_days_by_any_month_length(spark, fx, years):
+    """A month of 22 days: full days are one FTE, and a month is divided once."""
+    cal = fx.ref_datum.withColumn("aantal_dagen_maand", F.when(F.col("maand_id") == 201601, 22).otherwise(F.col("aantal_dagen_maand")))
+    t = fx.replace(ref_datum=cal)
+    rows = [r for r in S.actual_fte(t, years).collect() if r.periode == 201601]
+    assert rows and all(r.realisatie == float((Decimal(str(r.dienstverband_dagen)) / 22).quantize(Decimal("0.00000001"))) for r in rows)
+    full = t.replace(fact_fte_realisatie=t.fact_fte_realisatie.withColumn("dienstverband_dagen", F.lit(22).cast("decimal(18,6)")))
+    assert {r.realisatie % 1 for r in S.actual_fte(full, years).collect() if r.periode == 201601} == {0.0}
+
+
+def test_published_columns_and_cells_are_decimals(fx, years, mart):
+    kinds = dict(M.display(mart).dtypes)
+    assert kinds["fte_realisatie"] == kinds["fte_realisatie_cum"] == kinds["dagen_ziek_ex_zwanger_cum"] == "decimal(18,8)"
+    assert kinds["dienstverband_dagen"] == kinds["dagen_ziek_ex_zwanger"] == "decimal(18,6)"
+    lookup, year = fx.dwh_budgetplaatsen, years.current
+    for df in (R.absence_pivot(mart, lookup, years), R.fte_pivot(mart, lookup, year), R.fte_pivot_with_total(mart, lookup, year),
+               R.absence_rowpct_pivot(mart, lookup, year), R.absence_total_pivot(mart, year)):
+        assert {t for c, t in df.dtypes if c not in ("zorgbedrijf", "divisie", "jaar", "bron")} == {"decimal(18,2)"}
+
+
+def test_update_never_adds_rows(fx):
+    lookup = fx.afas_dienstbetrekking
+    double = lookup.unionByName(lookup.withColumn("omschrijving", F.lit(None).cast("string"))).unionByName(lookup.withColumn("omschrijving", F.lit("zzz")))
+    rows = lambda lk: sorted(map(tuple, R.relation_enrich(fx.dim_dienstverbanden, lk).collect()), key=repr)
+    assert rows(double) == rows(lookup) and len(rows(lookup)) == fx.dim_dienstverbanden.count()

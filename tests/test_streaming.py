@@ -1,12 +1,12 @@
 """The stream's final buffer equals the batch rule over all rows, also across several
-micro-batches and on replay."""
+micro-batches, with late rows, after a restart and when a batch is replayed."""
 
 from __future__ import annotations
 
 import pyarrow.parquet as pq
 
 from staffmart.plans.charts import rolling_buffer
-from staffmart.streaming.rolling import current_buffers, rolling_stream_result, run_rolling_stream
+from staffmart.streaming.rolling import current_buffers, fold_batch, rolling_stream_result, run_rolling_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,25 +17,53 @@ def _rows(df):
 
 def test_stream_equals_batch_single_file(spark, tmp_path):
     events = spark.read.parquet(f"{SF}/events.parquet")
-    got = rolling_stream_result(spark, SF, 5, run_dir=str(tmp_path / "run"))
+    conf = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    got = rolling_stream_result(spark, SF, 5, file_glob="events.parquet", run_dir=str(tmp_path / "run"))
     assert _rows(got) == _rows(rolling_buffer(events, 5))
+    assert conf == {k: spark.conf.get(k) for k in conf}
 
 
-def test_stream_over_micro_batches_and_replay(spark, tmp_path):
-    events = spark.read.parquet(f"{SF}/events.parquet")
+def _split(tmp_path, order):
     src = tmp_path / "src"
-    # split the (small) fixture events into 4 files by time so each trigger sees newer data
     src.mkdir()
     table = pq.read_table(f"{SF}/events.parquet").sort_by([("ts", "ascending"), ("event_id", "ascending")])
     step = -(-table.num_rows // 4)
-    for q in range(4):
-        pq.write_table(table.slice(q * step, step), str(src / f"events-{q + 1}.parquet"))
-    run = str(tmp_path / "run")
-    run_rolling_stream(spark, str(src), 3, file_glob="events-*.parquet", run_dir=run, max_files_per_trigger=1)
-    want = _rows(rolling_buffer(events, 3))
+    for i, q in enumerate(order):
+        pq.write_table(table.slice(q * step, step), str(src / f"events-{i + 1}.parquet"))
+    return str(src)
+
+
+def test_late_rows_restart_and_replayed_batch(spark, tmp_path):
+    """Files arrive newest first, so every later batch holds late rows only."""
+    src, run = _split(tmp_path, [3, 1, 2, 0]), str(tmp_path / "run")
+    run_rolling_stream(spark, src, 3, run_dir=run, max_files_per_trigger=1)
+    want = _rows(rolling_buffer(spark.read.parquet(src), 3))
     assert _rows(current_buffers(spark, run)) == want
-    # one update folder per micro-batch
-    assert sorted(p.name for p in (tmp_path / "run" / "updates").iterdir()) == [f"batch={i}" for i in range(4)]
-    # a restart with the same checkpoint finds nothing new and keeps the result
-    run_rolling_stream(spark, str(src), 3, file_glob="events-*.parquet", run_dir=run, max_files_per_trigger=1)
+    # a restart finds nothing new
+    run_rolling_stream(spark, src, 3, run_dir=run, max_files_per_trigger=1)
     assert _rows(current_buffers(spark, run)) == want
+    # the last batch once more, as after a crash before its commit: the same version again
+    last = spark.read.parquet(f"{src}/events-4.parquet").selectExpr("user_id", "cast(ts as timestamp_ntz) as ts", "event_id", "value")
+    fold_batch(last, 3, run, 3)
+    assert _rows(current_buffers(spark, run)) == want
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark):
+    import contextlib
+    import io
+
+    from staffmart.streaming.rolling import newest
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        newest(spark.read.parquet(f"{SF}/events.parquet").select("user_id", "ts", "event_id", "value"), 3).explain()
+    plan = buf.getvalue()
+    assert "WindowGroupLimit" in plan and "Python" not in plan
+
+
+def test_stream_over_micro_batches(spark, tmp_path):
+    src, run = _split(tmp_path, [0, 1, 2, 3]), str(tmp_path / "run")
+    run_rolling_stream(spark, src, 3, run_dir=run, max_files_per_trigger=1)
+    assert _rows(current_buffers(spark, run)) == _rows(rolling_buffer(spark.read.parquet(src), 3))
+    # one version per micro-batch
+    assert sorted(p.name for p in (tmp_path / "run" / "buffers").iterdir()) == [f"batch={i}" for i in range(4)]

@@ -11,6 +11,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from staffmart.session import ensure_checkpoint_dir
@@ -69,7 +70,8 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
     """Slices of ``batch`` with at most ``limit`` bytes of text each (one row at least)."""
     if not batch.num_rows:
         return
-    _, offsets = text_buffer(batch.column(batch.schema.get_field_index(column)))
+    sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
     at = 0
     while at < batch.num_rows:
         to = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1

@@ -27,19 +27,31 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mix(v: np.ndarray) -> np.ndarray:
     v = v ^ (v >> np.uint64(31))
-    v = v * np.uint64(0xBF58476D1CE4E5B9)
-    v = v ^ (v >> np.uint64(29))
-    v = v * np.uint64(0x94D049BB133111EB)
-    return v ^ (v >> np.uint64(32))
+    v *= np.uint64(0xBF58476D1CE4E5B9)
+    v ^= v >> np.uint64(29)
+    v *= np.uint64(0x94D049BB133111EB)
+    v ^= v >> np.uint64(32)
+    return v
 
 
 def prefix_sums(buf: np.ndarray) -> np.ndarray:
     up, _ = _powers(len(buf) + 1)
     out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTES[buf] * up[:len(buf)], out=out[1:])
+    terms = _BYTES[buf]
+    terms *= up[:len(buf)]
+    np.cumsum(terms, out=out[1:])
     return out
 
 
+def hash_windows(sums: np.ndarray, width: int) -> np.ndarray:
+    """:func:`hash_ranges` of every span of ``width`` bytes."""
+    _, down = _powers(len(sums))
+    h = sums[width:] - sums[:-width]
+    h *= down[:len(h)]
+    h += np.uint64(width * 0xD6E8FEB86659FD93 % 2**64)
+    return mix(h)
+
+
 def hash_ranges(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of buf[start:end] from :func:`prefix_sums`; the length takes part."""
     _, down = _powers(len(sums))

@@ -15,8 +15,8 @@ first ``GRAM`` bytes of least hash inside them. So strings meet through their an
    words, then blind tries for the groups with longer common prefixes: words that a group shares
    are skipped, and it branches at the first word in which it differs. Equal strings stand side
    by side in document order; all but the first are repeats. A hash with many surroundings is
-   dealt over salted tasks, each sorts its part, and only the first of each class meets its likes
-   in one more aggregation.
+   dealt over salted tasks, each sorts its part; the first of each class goes, as a 128-bit hash
+   with its place, to a bucket by that hash, packed in arrays, and meets its likes there.
 4. Spans go back to their blocks, and the kept bytes are put together.
 
 The steps are joined by written tables. No row count per key exceeds the number of blocks.
@@ -39,13 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staffmart.llm.common import blocks, input_partitions, materialize, ship_code, text_buffer
-from staffmart.llm.spans import hash_ranges, mix, prefix_sums
+from staffmart.llm.spans import hash_ranges, hash_windows, mix, prefix_sums
 
 LENGTH, GRAM = 100, 32
 LEFT = LENGTH - GRAM                      # an anchor lies at most so far into a string
 BLOCK_BYTES = 2 << 20
 SHALLOW = 2                               # words of eight bytes
-SALT_ROWS = 512
+SALT_ROWS = 2048
 BATCH_ROWS = 8192
 _LAST = 2**63 - 1
 _MANY = 0
@@ -54,7 +54,9 @@ NOTHING, REPEAT, SORT = 0, 1, 2
 ANCHOR_DDL = "h long, c long, n int, block long, doc_id long, place int"
 VERDICT_DDL = "block long, h binary, v binary"
 FOUND_DDL = "kind int, block long, spans binary, h long, salt int, doc_id long, place int, string binary"
-LOOSE_DDL = "kind int, block long, spans binary, w1 long, w2 long, doc_id long, start int"
+SORTED_DDL = "kind int, block long, spans binary, bucket int, loose binary"
+LOOSE = np.dtype([("w1", "<u8"), ("w2", "<u8"), ("doc_id", "<i8"), ("block", "<i8"), ("start", "<i4")])
+SPANS_DDL = "block long, spans binary"
 
 
 # ----------------------------------------------------------------------------- blocks
@@ -98,11 +100,12 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if len(buf) < LENGTH:
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none
     sums = prefix_sums(buf)
-    at = np.arange(len(buf) - GRAM + 1)
-    h = hash_ranges(sums, at, at + GRAM)
+    h = hash_windows(sums, GRAM)
     # the least hash of each string's grams, and the place of its first occurrence below it
     bits = np.uint64(len(buf).bit_length())
-    m = (h >> bits << bits) | at.astype(np.uint64)
+    m = h >> bits
+    m <<= bits
+    m |= np.arange(len(m), dtype=np.uint64)
     width, step = LEFT + 1, 1
     while 2 * step <= width:
         m = np.minimum(m[:-step], m[step:])
@@ -111,7 +114,9 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         m = np.minimum(m[:len(m) - (width - step)], m[width - step:])
     size = np.diff(offsets)
     ends = np.repeat(offsets[1:], size)[:len(m)]
-    start = np.flatnonzero(np.arange(len(m)) + LENGTH <= ends)
+    ends -= LENGTH
+    start = np.flatnonzero(np.arange(len(m)) <= ends)
+    del ends
     if not len(start):
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none
     place = (m[start] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -216,6 +221,16 @@ def _runs(first: np.ndarray, last: np.ndarray) -> bytes:
     return np.stack([first[new], last[np.r_[np.flatnonzero(new)[1:], len(last)] - 1]]).T.astype("<i8").tobytes()
 
 
+def _runs_by_block(block: np.ndarray, start: np.ndarray) -> list[tuple[int, bytes]]:
+    """Runs of string starts, per block."""
+    if not len(block):
+        return []
+    by = np.lexsort((start, block))
+    block, start = block[by], start[by]
+    cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    return [(int(block[x[0]]), _runs(start[x], start[x])) for x in np.split(np.arange(len(block)), cuts[1:])]
+
+
 def find_strings(table: DataFrame, told: DataFrame) -> DataFrame:
     """Kind 0: runs of repeated strings per block. Kind 1: surroundings whose strings need sorting."""
     joined = table.join(told.groupBy("block").agg(F.collect_list(F.struct("h", "v")).alias("told")), "block", "left")
@@ -292,7 +307,8 @@ def equal_strings(buf: np.ndarray, start: np.ndarray, group: np.ndarray) -> tupl
 
 
 def sort_strings(found: DataFrame, parts: int) -> DataFrame:
-    """Kind 0: runs of repeated strings per block. Kind 1: first strings of salted groups."""
+    """Kind 0: runs of repeated strings per block. Kind 1: the first strings of salted groups, as
+    arrays of ``LOOSE`` records by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 2, BATCH_ROWS):
@@ -305,43 +321,55 @@ def sort_strings(found: DataFrame, parts: int) -> DataFrame:
             group = np.cumsum(np.r_[True, (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])])
             order, new = equal_strings(buf, start, group[at])
             repeat = order[~new]
-            where = place[at[repeat]] + inner[repeat]
-            by = np.lexsort((where, block[at[repeat]]))
-            repeat, where = repeat[by], where[by]
-            of = block[at[repeat]]
-            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
-            runs = [(int(of[x[0]]), _runs(where[x], where[x])) for x in np.split(np.arange(len(of)), cuts[1:])] if len(of) else []
+            runs = _runs_by_block(block[at[repeat]], place[at[repeat]] + inner[repeat])
             loose = order[new]
             loose = loose[salt[at[loose]] > 0]
-            w1 = w2 = np.zeros(0, np.uint64)
+            records = np.zeros(len(loose), LOOSE)
             if len(loose):
-                w1 = hash_ranges(prefix_sums(buf), start[loose], start[loose] + LENGTH)
+                records["w1"] = hash_ranges(prefix_sums(buf), start[loose], start[loose] + LENGTH)
                 w2 = np.zeros(len(loose), np.uint64)
                 for i in range(LENGTH):
                     w2 = w2 * np.uint64(0xD1342543DE82EF95) + buf[start[loose] + i].astype(np.uint64) + np.uint64(1)
-            a, b = len(runs), len(loose)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[np.zeros(a), np.ones(b)].astype(np.int32)), pa.array([x for x, _ in runs] + block[at[loose]].tolist(), pa.int64()),
-                 pa.array([x for _, x in runs] + [None] * b, pa.binary()), pa.array(np.r_[np.zeros(a, np.int64), w1.view(np.int64)]), pa.array(np.r_[np.zeros(a, np.int64), w2.view(np.int64)]),
-                 pa.array(np.r_[np.zeros(a, np.int64), doc_id[at[loose]]]), pa.array(np.r_[np.zeros(a, np.int64), place[at[loose]] + inner[loose]].astype(np.int32))],
-                names=["kind", "block", "spans", "w1", "w2", "doc_id", "start"])
+                records["w2"], records["doc_id"], records["block"], records["start"] = w2, doc_id[at[loose]], block[at[loose]], place[at[loose]] + inner[loose]
+            bucket = (records["w1"] >> np.uint64(32)).astype(np.int64) % parts
+            by = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, bucket[by][1:] != bucket[by][:-1]]) if len(by) else np.zeros(0, np.int64)
+            packed = [(int(bucket[x[0]]), records[x].tobytes()) for x in np.split(by, cuts[1:])] if len(by) else []
+            out = [(0, x, y, None, None) for x, y in runs] + [(1, None, None, x, y) for x, y in packed]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.binary()))],
+                                                 names=["kind", "block", "spans", "bucket", "loose"])
 
     rows = found.where("kind = 1").select("h", "salt", "doc_id", "block", "place", "string")
-    return rows.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt", "doc_id", "block", "place").mapInArrow(run, LOOSE_DDL)
+    return rows.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt", "doc_id", "block", "place").mapInArrow(run, SORTED_DDL)
 
 
-def join_salted(loose: DataFrame) -> DataFrame:
+def join_salted(sorted_: DataFrame, parts: int) -> DataFrame:
     """Runs of the strings of salted groups that another salt holds earlier."""
-    rows = loose.where("kind = 1").select("w1", "w2", F.struct("doc_id", "block", "start").alias("at"))
-    first = rows.groupBy("w1", "w2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    late = rows.join(first, ["w1", "w2"]).where("at > first").select("at.block", "at.start")
-    return late.select("block", F.concat(*[_little(F.col("start")) for _ in range(2)]).alias("spans"))
 
+    def repeats(held: list[bytes]) -> pa.RecordBatch | None:
+        x = np.frombuffer(b"".join(held), LOOSE)
+        x = x[np.lexsort((x["start"], x["block"], x["doc_id"], x["w2"], x["w1"]))]
+        late = x[1:][(x["w1"][1:] == x["w1"][:-1]) & (x["w2"][1:] == x["w2"][:-1])]
+        runs = _runs_by_block(late["block"], late["start"].astype(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*runs)], names=["block", "spans"]) if runs else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        of = None
+        for batch in batches:
+            for bucket, loose in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if bucket != of and held:
+                    if (out := repeats(held)) is not None:
+                        yield out
+                    held = []
+                of = bucket
+                held.append(loose)
+        if held and (out := repeats(held)) is not None:
+            yield out
 
-def _little(x):
-    """A column's low 32 bits as eight little-endian bytes."""
-    h = F.lpad(F.hex(x), 8, "0")
-    return F.unhex(F.concat(*[F.substring(h, i, 2) for i in (7, 5, 3, 1)], F.lit("00000000")))
+    rows = sorted_.where("kind = 1").select("bucket", "loose")
+    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, SPANS_DDL)
 
 
 # ----------------------------------------------------------------------------- result
@@ -364,7 +392,7 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, schema: T.StructType |
     found = materialize(find_strings(table.select("block", "ids", "offsets", "z"), told), "suffix-found")
     sorted_ = materialize(sort_strings(found, parts), "suffix-sorted")
     spans = (found.where("kind = 0").select("block", "spans").unionByName(sorted_.where("kind = 0").select("block", "spans"))
-             .unionByName(join_salted(sorted_)).groupBy("block").agg(F.collect_list("spans").alias("spans")))
+             .unionByName(join_salted(sorted_, parts)).groupBy("block").agg(F.collect_list("spans").alias("spans")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -103,7 +103,7 @@ class HashTable:
     """Sorted 64-bit keys with a value each; a small unsorted-in part is merged now and then.
     Cleared when it holds ``limit`` keys, so its memory is bounded."""
 
-    def __init__(self, limit: int = 1_500_000):
+    def __init__(self, limit: int = 500_000):
         self.limit = limit
         self.clear()
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from staffmart.config import LOAD_OK, LOAD_PROBLEM, TOTAL_LABEL, UNKNOWN
 from staffmart.functions.columns import ratio_pct
-from staffmart.functions.formatting import clamp, date_to_epoch_ms, day_label
+from staffmart.functions.formatting import clamp, date_label, date_to_epoch_ms, day_label
 from staffmart.plans.reports import divisions
 
 
@@ -95,7 +95,7 @@ def daily_two_series(events: DataFrame, type_a: str = "purchase", type_b: str =
         F.nullif(F.count_if(is_b), F.lit(0)).alias("b_aantal"),
     )
     return days.select(
-        F.date_format("dag", "yyyy-MM-dd").alias("dag"),
+        date_label("dag").alias("dag"),
         date_to_epoch_ms("dag").alias("x_ms"),
         "a_waarde",
         "b_aantal",
@@ -109,7 +109,7 @@ def daily_bars(events: DataFrame) -> DataFrame:
         .groupBy("dag")
         .agg(F.count(F.lit(1)).alias("aantal"))
         .select(
-            F.date_format("dag", "yyyy-MM-dd").alias("dag"),
+            date_label("dag").alias("dag"),
             date_to_epoch_ms("dag").alias("x_ms"),
             day_label("dag").alias("label"),
             "aantal",
@@ -122,7 +122,7 @@ def latest_rows(events: DataFrame, n: int = 8) -> DataFrame:
     task keeps only its own top ``n``)."""
     return events.orderBy(F.col("event_id").desc()).limit(n).select(
         F.col("event_id").alias("id"),
-        F.date_format("ts", "yyyy-MM-dd").alias("datum"),
+        date_label("ts").alias("datum"),
         F.date_format("ts", "HH:mm").alias("tijd"),
         F.col("value").alias("aantal"),
     )

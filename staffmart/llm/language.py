@@ -1,11 +1,12 @@
 """Language identification by a linear-chain conditional random field over words.
 
 Each word is labelled with a language. A word's features are its first and last one to three
-bytes, its two- and three-byte n-grams, the word itself, and for each language whether the word
+bytes, its two- and three-byte n-grams at every position, the word itself, and for each language whether the word
 is in that language's lexicon; they are hashed into ``FEATURES`` weights per language. Learned
 transitions join neighbours, so single words that fit several languages take that of the words
 around them, and switches inside a text are followed. The forward-backward algorithm gives each
-word's distribution; a text's is their mean.
+word's distribution; a text's is their mean. In scripts without spaces between words, pieces of
+``POINTS`` code points (punctuation among them) stand for words.
 
 Texts of any length are labelled whole: words are cut into runs of ``RUN`` whose 4 x 4 transfer
 products are chained, so that all runs of a block advance together and the result is that of one
@@ -36,7 +37,9 @@ from staffmart.llm.common import blocks, record_batch, ship_code, text_buffer
 from staffmart.llm.spans import LETTERS, fold_case, hash_ranges, mix, prefix_sums, words
 
 SAMPLE, SAMPLE_CHARS, LANGUAGES = 300, 1500, 64
-FEATURES, LEXICON, GRAMS = 1 << 15, 3000, 10
+FEATURES, LEXICON, POINTS, CELLS = 1 << 15, 3000, 2, 1 << 20
+# lead byte and range of the next one, besides E3 to E9, of scripts without spaces between words
+UNSPACED = ((0xE0, 0xB8, 0xBF), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), (0xE1, 0xA5, 0xAA), (0xE2, 0xBA, 0xBF), (0xEF, 0xA4, 0xAB), (0xEF, 0xBC, 0xBE), (0xF0, 0xA0, 0xB3))
 RUN, PIECE, CHAIN = 64, 8, 32
 FOLDS, HELD = 3, 1
 UNKNOWN = "und"
@@ -48,31 +51,73 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == HELD, F.lit(False))
 
 
-def word_features(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np.ndarray, masks: np.ndarray, n_languages: int) -> np.ndarray:
-    """(n, m) feature numbers of words; FEATURES where a word has no such feature."""
-    columns = []
-
-    def add(first: np.ndarray, last: np.ndarray, kind: int, valid: np.ndarray) -> None:
-        first, last = np.where(valid, first, starts), np.where(valid, last, starts)
+def cut_unspaced(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words with runs of scripts that put no spaces between words (Thai, Lao, Tibetan, Burmese,
+    Khmer, Chinese, Japanese) cut into pieces of ``POINTS`` code points."""
+    if not len(starts) or not (buf >= 0xE0).any():
+        return starts, ends, row
+    word = np.zeros(len(buf) + 1, np.int64)
+    word[starts] += 1
+    word[ends] -= 1
+    at = np.flatnonzero((np.cumsum(word[:-1]) > 0) & ((buf & 0xC0) != 0x80))      # code points of words
+    at = np.union1d(at, starts)
+    x, y = buf[at], buf[np.minimum(at + 1, len(buf) - 1)]
+    un = (x >= 0xE3) & (x <= 0xE9)
+    for lead, low, high in UNSPACED:
+        un |= (x == lead) & (y >= low) & (y <= high)
+    if not un.any():
+        return starts, ends, row
+    owner = np.searchsorted(starts, at, "right") - 1
+    new = np.r_[True, (owner[1:] != owner[:-1]) | (un[1:] != un[:-1])]
+    opens = np.flatnonzero(new)
+    place = np.arange(len(at)) - np.repeat(opens, np.diff(np.r_[opens, len(at)]))
+    new |= un & (place % POINTS == 0)
+    first, owner = at[new], owner[new]
+    return first, np.minimum(np.r_[first[1:], len(buf)], ends[owner]), row[owner]
+
+
+def word_features(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np.ndarray, masks: np.ndarray, n_languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of words, one word after the other, and each word's offsets. Every word has
+    one at least."""
+    numbers, owners = [], []
+    every, size = np.arange(len(starts)), ends - starts
+
+    def add(first: np.ndarray, last: np.ndarray, kind: int, owner: np.ndarray) -> None:
         h = mix(hash_ranges(sums, first, last) + np.uint64(kind * 0x9E3779B97F4A7C15 % 2**64))
-        columns.append(np.where(valid, (h % np.uint64(FEATURES)).astype(np.int64), FEATURES))
+        numbers.append((h % np.uint64(FEATURES)).astype(np.int32))
+        owners.append(owner)
 
-    size = ends - starts
     whole = hash_ranges(sums, starts, ends)
-    add(starts, ends, 0, size > 0)
+    add(starts, ends, 0, every)
     for n in (1, 2, 3):
-        add(starts, starts + n, n, size >= n)
-        add(ends - n, ends, 3 + n, size >= n)
+        ok = every[size >= n]
+        add(starts[ok], starts[ok] + n, n, ok)
+        add(ends[ok] - n, ends[ok], 3 + n, ok)
     for n in (2, 3):
-        for i in range(GRAMS):
-            add(starts + i, starts + i + n, 5 + n, size >= i + n)
+        count = np.maximum(size - n + 1, 0)
+        owner = np.repeat(every, count)
+        first = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        add(first, first + n, 5 + n, owner)
     if len(lexicon):
         at = np.minimum(np.searchsorted(lexicon, whole), len(lexicon) - 1)
         mask = np.where(lexicon[at] == whole, masks[at], 0)
         for k in range(n_languages):
-            h = int(mix(np.array([k + 77], np.uint64))[0]) % FEATURES
-            columns.append(np.where(mask >> k & 1, h, FEATURES))
-    return np.stack(columns, axis=1)
+            hit = every[(mask >> k & 1) == 1]
+            numbers.append(np.full(len(hit), int(mix(np.array([k + 77], np.uint64))[0]) % FEATURES, np.int32))
+            owners.append(hit)
+    owner = np.concatenate(owners)
+    return np.concatenate(numbers)[np.argsort(owner, kind="stable")], np.r_[0, np.cumsum(np.bincount(owner, minlength=len(starts)))]
+
+
+def weight_sums(weights: np.ndarray, f: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Each word's summed weights, some features at a time, however long the words are."""
+    out = np.zeros((len(offsets) - 1, weights.shape[1]))
+    step = max(1, CELLS // weights.shape[1])
+    for i in range(0, len(f), step):
+        part = f[i:i + step]
+        low, high = np.searchsorted(offsets, i, "right"), np.searchsorted(offsets, i + len(part))
+        out[low - 1:high] += np.add.reduceat(weights[part], np.r_[0, offsets[low:high] - i])
+    return out
 
 
 def forward_backward(e: np.ndarray, first: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +142,7 @@ def forward_backward(e: np.ndarray, first: np.ndarray, trans: np.ndarray) -> tup
 
 @dataclass
 class Field:
-    """Weights of the random field; ``weights`` has a last row of zeros for absent features."""
+    """Weights of the random field."""
 
     languages: list[str]
     weights: np.ndarray
@@ -111,10 +156,12 @@ class Field:
         sums = prefix_sums(buf)
         _, at, back = np.unique(hash_ranges(sums, starts, ends), return_index=True, return_inverse=True)
         out = np.empty((len(at), len(self.languages)))
-        for i in range(0, len(at), 1 << 14):
-            part = at[i:i + (1 << 14)]
-            f = word_features(sums, starts[part], ends[part], self.lexicon, self.masks, len(self.languages))
-            out[i:i + len(part)] = self.weights[f].sum(axis=1)
+        to = np.cumsum(ends[at] - starts[at])
+        i = 0
+        while i < len(at):
+            part = at[i:max(i + 1, int(np.searchsorted(to, (to[i - 1] if i else 0) + (1 << 17), "right")))]
+            out[i:i + len(part)] = weight_sums(self.weights, *word_features(sums, starts[part], ends[part], self.lexicon, self.masks, len(self.languages)))
+            i += len(part)
         out = np.exp(np.clip(out - out.max(axis=1, keepdims=True), -40, 0))
         return out[back]
 
@@ -177,10 +224,11 @@ def train(texts: list[str], labels: list[str], languages: list[str], rounds: int
     column = pa.array(texts, pa.string())
     buf, offsets = text_buffer(column)
     buf = fold_case(buf)
-    starts, ends, row = words(buf, offsets, LETTERS)
+    starts, ends, row = cut_unspaced(buf, *words(buf, offsets, LETTERS))
     gold = np.array([languages.index(x) for x in labels])[row]
     sums = prefix_sums(buf)
     h = hash_ranges(sums, starts, ends)
+    _, at, word = np.unique(h, return_index=True, return_inverse=True)
     lexicon: dict[int, int] = {}
     for lang in range(k):
         ids, n = np.unique(h[gold == lang], return_counts=True)
@@ -193,25 +241,23 @@ def train(texts: list[str], labels: list[str], languages: list[str], rounds: int
     pieces = np.array_split(np.arange(len(starts)), max(1, len(starts) // PIECE))
     order = np.concatenate([pieces[i] for i in rng.permutation(len(pieces))])
     order = order[:len(order) // CHAIN * CHAIN].reshape(-1, CHAIN)
-    f = word_features(sums, starts, ends, keys, masks, k)[order]
-    gold = gold[order]
-    weights, first, trans = np.zeros((FEATURES + 1, k)), np.zeros(k), np.zeros((k, k))
+    f, to = word_features(sums, starts[at], ends[at], keys, masks, k)
+    gold, word = gold[order], word[order].ravel()
+    weights, first, trans = np.zeros((FEATURES, k)), np.zeros(k), np.zeros((k, k))
     truth = np.eye(k)[gold]
     seen_pairs = np.zeros((k, k))
     np.add.at(seen_pairs, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
     squares = [np.full_like(w, 1e-8) for w in (weights, first, trans)]
-    flat = f.reshape(-1, f.shape[2])
     for _ in range(rounds):
-        e = weights[f].sum(axis=2)
+        e = weight_sums(weights, f, to)[word].reshape(*order.shape, k)
         e = np.exp(e - e.max(axis=2, keepdims=True))
         p, pairs = forward_backward(e, np.exp(first - first.max()), np.exp(trans - trans.max()))
         p /= p.sum(axis=2, keepdims=True)
         off = (truth - p).reshape(-1, k)
-        g = np.stack([np.bincount(flat.ravel(), weights=np.repeat(off[:, j], flat.shape[1]), minlength=FEATURES + 1) for j in range(k)], axis=1)
-        g[FEATURES] = 0
-        grads = (g - ridge * len(flat) * weights / 100, (truth[:, 0] - p[:, 0]).sum(axis=0), seen_pairs - pairs)
+        g = np.stack([np.bincount(f, weights=np.repeat(np.bincount(word, weights=off[:, j], minlength=len(at)), np.diff(to)), minlength=FEATURES) for j in range(k)], axis=1)
+        grads = (g - ridge * len(word) * weights / 100, (truth[:, 0] - p[:, 0]).sum(axis=0), seen_pairs - pairs)
         for w, d, s in zip((weights, first, trans), grads, squares):
-            d = d / len(flat)
+            d = d / len(word)
             s += d * d
             w += rate * d / np.sqrt(s)
     return Field(languages, weights, np.exp(first - first.max()), np.exp(trans - trans.max()), keys, masks)
@@ -251,7 +297,7 @@ def identify(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_
             for block in blocks(batch, "text"):
                 buf, offsets = text_buffer(block.column(1))
                 buf = fold_case(buf)
-                starts, ends, row = words(buf, offsets, LETTERS)
+                starts, ends, row = cut_unspaced(buf, *words(buf, offsets, LETTERS))
                 langs, score = np.full(block.num_rows, UNKNOWN, object), np.zeros(block.num_rows)
                 if field is not None and len(starts):
                     p = field.marginals(field.emissions(buf, starts, ends), row)

@@ -67,3 +67,29 @@ def test_odd_rows(spark):
     assert language.identify_documents(frame(spark, [])).collect() == []
     unlabelled = [(i, "some words", None, "s", 1) for i in range(4)]
     assert {r.lang_pred for r in language.identify_documents(frame(spark, unlabelled)).collect()} == {"und"}
+
+
+def test_grams_at_every_position():
+    """The middle of a long word counts, whatever it starts and ends with."""
+    rnd = np.random.default_rng(4)
+    word = lambda x: "unvorhergesehenes" + "".join(rnd.choice({"xx": ["alo", "ilu"], "yy": ["kret", "prut"]}[x], 8)) + "gebundenheiten"
+    f = language.train([word(x) + " " + word(x) for x in ("xx", "yy") for _ in range(60)], ["xx"] * 60 + ["yy"] * 60, ["xx", "yy"], rounds=30)
+    buf, offsets = language.text_buffer(__import__("pyarrow").array([word(x) for x in ("xx", "yy") for _ in range(10)]))
+    starts, ends, row = language.words(buf, offsets, language.LETTERS)
+    assert f.emissions(buf, starts, ends).argmax(axis=1).tolist() == [0] * 10 + [1] * 10
+
+
+def test_switch_inside_unspaced_text(spark):
+    """Scripts without spaces: the sentence's middle counts, and a switch inside it is followed."""
+    rnd = np.random.default_rng(5)
+    chars = {"zh": list("的是不了在人有我他这"), "ja": list("のはにをたがでてとし")}
+    text = lambda x, n: "".join(rnd.choice(chars[x], n))
+    f = language.train([text(x, 80) for x in chars for _ in range(20)], [x for x in chars for _ in range(20)], list(chars), rounds=30)
+    docs = [(1, "のは" + text("zh", 60) + "し"), (2, "的是" + text("ja", 60) + "。")]
+    found = language.identify(spark.createDataFrame(docs, "doc_id long, text string"), f).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "zh", 2: "ja"}
+    buf, offsets = language.text_buffer(__import__("pyarrow").array(["ab" + "的是不了在人" * 5 + "のはにをたが" * 5 + " cd é"]))
+    starts, ends, row = language.cut_unspaced(buf, *language.words(buf, offsets, language.LETTERS))
+    assert b"".join(buf[a:b].tobytes() for a, b in zip(starts, ends)) == buf.tobytes().replace(b" ", b"")
+    best = f.marginals(f.emissions(buf, starts, ends), row).argmax(axis=1)
+    assert best[1:16].tolist() == [0] * 15 and best[16:31].tolist() == [1] * 15

@@ -14,8 +14,10 @@ pass over the text.
 
 The field is trained on the driver on a bounded sample: up to ``SAMPLE`` documents per language
 (those first by a hash of their ids), ``SAMPLE_CHARS`` characters of each, cut into pieces that
-are strung together across languages, as code-switched text is. At most ``LANGUAGES`` languages
-are learned, the most frequent ones.
+are strung together across languages, as code-switched text is. Every language is learned: with
+many of them, the sample has about ``SAMPLE_ALL`` documents, ``SAMPLE_LEAST`` of each language at
+least, and each step takes a batch of ``BATCH`` words times languages, so that the driver's memory
+grows only with the weights, the lexicon and that least sample.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; rows with null
 lang or null id are not learned from; a null id is not held out; without learnable rows every
@@ -30,17 +32,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffmart.llm.common import blocks, record_batch, ship_code, text_buffer
 from staffmart.llm.spans import LETTERS, fold_case, hash_ranges, mix, prefix_sums, words
 
-SAMPLE, SAMPLE_CHARS, LANGUAGES = 300, 1500, 64
+SAMPLE, SAMPLE_CHARS, SAMPLE_ALL, SAMPLE_LEAST = 300, 1500, 1 << 13, 16
 FEATURES, LEXICON, POINTS, CELLS = 1 << 15, 3000, 2, 1 << 20
 # lead byte and range of the next one, besides E3 to E9, of scripts without spaces between words
 UNSPACED = ((0xE0, 0xB8, 0xBF), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), (0xE1, 0xA5, 0xAA), (0xE2, 0xBA, 0xBF), (0xEF, 0xA4, 0xAB), (0xEF, 0xBC, 0xBE), (0xF0, 0xA0, 0xB3))
-RUN, PIECE, CHAIN = 64, 8, 32
+RUN, PIECE, CHAIN, BATCH, EPOCHS = 64, 8, 32, 1 << 22, 2
 FOLDS, HELD = 3, 1
 UNKNOWN = "und"
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -76,7 +78,7 @@ def cut_unspaced(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.
     return first, np.minimum(np.r_[first[1:], len(buf)], ends[owner]), row[owner]
 
 
-def word_features(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np.ndarray, masks: np.ndarray, n_languages: int) -> tuple[np.ndarray, np.ndarray]:
+def word_features(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np.ndarray, listed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of words, one word after the other, and each word's offsets. Every word has
     one at least."""
     numbers, owners = [], []
@@ -99,12 +101,12 @@ def word_features(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexico
         first = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
         add(first, first + n, 5 + n, owner)
     if len(lexicon):
-        at = np.minimum(np.searchsorted(lexicon, whole), len(lexicon) - 1)
-        mask = np.where(lexicon[at] == whole, masks[at], 0)
-        for k in range(n_languages):
-            hit = every[(mask >> k & 1) == 1]
-            numbers.append(np.full(len(hit), int(mix(np.array([k + 77], np.uint64))[0]) % FEATURES, np.int32))
-            owners.append(hit)
+        low, count = np.searchsorted(lexicon, whole), np.searchsorted(lexicon, whole, "right")
+        count -= low
+        owner = np.repeat(every, count)
+        k = listed[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(owner))]
+        numbers.append((mix((k + 77).astype(np.uint64)) % np.uint64(FEATURES)).astype(np.int32))
+        owners.append(owner)
     owner = np.concatenate(owners)
     return np.concatenate(numbers)[np.argsort(owner, kind="stable")], np.r_[0, np.cumsum(np.bincount(owner, minlength=len(starts)))]
 
@@ -142,14 +144,14 @@ def forward_backward(e: np.ndarray, first: np.ndarray, trans: np.ndarray) -> tup
 
 @dataclass
 class Field:
-    """Weights of the random field."""
+    """Weights of the random field; ``listed`` has the language of each entry of ``lexicon``."""
 
     languages: list[str]
     weights: np.ndarray
     first: np.ndarray
     trans: np.ndarray
     lexicon: np.ndarray
-    masks: np.ndarray
+    listed: np.ndarray
 
     def emissions(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Emission factors of words; equal words are worked out once."""
@@ -160,7 +162,7 @@ class Field:
         i = 0
         while i < len(at):
             part = at[i:max(i + 1, int(np.searchsorted(to, (to[i - 1] if i else 0) + (1 << 17), "right")))]
-            out[i:i + len(part)] = weight_sums(self.weights, *word_features(sums, starts[part], ends[part], self.lexicon, self.masks, len(self.languages)))
+            out[i:i + len(part)] = weight_sums(self.weights, *word_features(sums, starts[part], ends[part], self.lexicon, self.listed))
             i += len(part)
         out = np.exp(np.clip(out - out.max(axis=1, keepdims=True), -40, 0))
         return out[back]
@@ -218,69 +220,83 @@ class Field:
         return out
 
 
-def train(texts: list[str], labels: list[str], languages: list[str], rounds: int = 60, seed: int = 7, rate: float = 0.3, ridge: float = 1e-4) -> Field:
+def train(texts: list[str], labels: list[str], languages: list[str], rounds: int = 60, seed: int = 7, rate: float = 0.3, ridge: float = 1e-4, batch: int = BATCH) -> Field:
     """Maximum likelihood with a quadratic penalty, by adaptive gradient steps."""
     k = len(languages)
     column = pa.array(texts, pa.string())
     buf, offsets = text_buffer(column)
     buf = fold_case(buf)
     starts, ends, row = cut_unspaced(buf, *words(buf, offsets, LETTERS))
-    gold = np.array([languages.index(x) for x in labels])[row]
+    number = {x: i for i, x in enumerate(languages)}
+    gold = np.array([number[x] for x in labels])[row]
     sums = prefix_sums(buf)
     h = hash_ranges(sums, starts, ends)
     _, at, word = np.unique(h, return_index=True, return_inverse=True)
-    lexicon: dict[int, int] = {}
-    for lang in range(k):
-        ids, n = np.unique(h[gold == lang], return_counts=True)
-        for x in ids[np.argsort(-n, kind="stable")[:LEXICON]].tolist():
-            lexicon[x] = lexicon.get(x, 0) | 1 << lang
-    keys = np.array(sorted(lexicon), np.uint64)
-    masks = np.array([lexicon[int(x)] for x in keys], np.int64)
+    keys, listed = [], []
+    by_language = np.argsort(gold, kind="stable")
+    for lang, part in enumerate(np.split(by_language, np.cumsum(np.bincount(gold, minlength=k))[:-1])):
+        ids, n = np.unique(h[part], return_counts=True)
+        keys.append(ids[np.argsort(-n, kind="stable")[:LEXICON]])
+        listed.append(np.full(len(keys[-1]), lang))
+    keys, listed = np.concatenate(keys), np.concatenate(listed)
+    order = np.argsort(keys, kind="stable")
+    keys, listed = keys[order], listed[order]
     # pieces of a few words, shuffled over all texts, make chains that switch language
     rng = np.random.default_rng(seed)
     pieces = np.array_split(np.arange(len(starts)), max(1, len(starts) // PIECE))
     order = np.concatenate([pieces[i] for i in rng.permutation(len(pieces))])
-    order = order[:len(order) // CHAIN * CHAIN].reshape(-1, CHAIN)
-    f, to = word_features(sums, starts[at], ends[at], keys, masks, k)
-    gold, word = gold[order], word[order].ravel()
+    if len(order):
+        order = np.resize(order, -(-len(order) // CHAIN) * CHAIN).reshape(-1, CHAIN)    # the last chain goes on with the first words
+    f, to = word_features(sums, starts[at], ends[at], keys, listed)
     weights, first, trans = np.zeros((FEATURES, k)), np.zeros(k), np.zeros((k, k))
-    truth = np.eye(k)[gold]
-    seen_pairs = np.zeros((k, k))
-    np.add.at(seen_pairs, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
     squares = [np.full_like(w, 1e-8) for w in (weights, first, trans)]
-    for _ in range(rounds):
-        e = weight_sums(weights, f, to)[word].reshape(*order.shape, k)
-        e = np.exp(e - e.max(axis=2, keepdims=True))
+    chains = max(1, batch // (CHAIN * k))
+    parts = -(-len(order) // chains)
+    for turn in range(max(rounds, EPOCHS * parts) if parts > 1 else rounds * parts):
+        some = order[turn % parts * chains:][:chains]
+        labels_ = gold[some]
+        ids, word_ = np.unique(word[some], return_inverse=True)
+        word_ = word_.ravel()
+        size = np.diff(to)[ids]
+        ends_ = np.cumsum(size)
+        part = f[np.repeat(to[ids] - (ends_ - size), size) + np.arange(int(ends_[-1]))]
+        e = weight_sums(weights, part, np.r_[0, ends_])[word_].reshape(*some.shape, k)
+        e = np.exp(np.maximum(e - e.max(axis=2, keepdims=True), -300))
         p, pairs = forward_backward(e, np.exp(first - first.max()), np.exp(trans - trans.max()))
         p /= p.sum(axis=2, keepdims=True)
-        off = (truth - p).reshape(-1, k)
-        g = np.stack([np.bincount(f, weights=np.repeat(np.bincount(word, weights=off[:, j], minlength=len(at)), np.diff(to)), minlength=FEATURES) for j in range(k)], axis=1)
-        grads = (g - ridge * len(word) * weights / 100, (truth[:, 0] - p[:, 0]).sum(axis=0), seen_pairs - pairs)
-        for w, d, s in zip((weights, first, trans), grads, squares):
-            d = d / len(word)
-            s += d * d
-            w += rate * d / np.sqrt(s)
-    return Field(languages, weights, np.exp(first - first.max()), np.exp(trans - trans.max()), keys, masks)
+        off = -p
+        np.put_along_axis(off, labels_[:, :, None], np.take_along_axis(off, labels_[:, :, None], 2) + 1, 2)
+        first_off = off[:, 0].sum(axis=0)
+        off = off.reshape(-1, k)
+        seen_pairs = np.bincount((labels_[:, :-1] * k + labels_[:, 1:]).ravel(), minlength=k * k).reshape(k, k)
+        g = np.stack([np.bincount(part, weights=np.repeat(np.bincount(word_, weights=off[:, j], minlength=len(ids)), size), minlength=FEATURES) for j in range(k)], axis=1)
+        grads = (g - ridge * len(word_) * weights / 100, first_off, seen_pairs - pairs)
+        for w, d, sq in zip((weights, first, trans), grads, squares):
+            d = d / len(word_)
+            sq += d * d
+            w += rate * d / np.sqrt(sq)
+    return Field(languages, weights, np.exp(first - first.max()), np.exp(trans - trans.max()), keys, listed)
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE) -> Field | None:
     """A field trained on a bounded sample of the rows with a language that are not held out."""
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-            .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+            .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.char_length("text") > 0) & ~held_out(F.col("doc_id"))))
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return None
+    per_language = min(per_language, max(SAMPLE_LEAST, SAMPLE_ALL // len(counts)))
     order = F.xxhash64("doc_id", F.lit("language"))
-    # about twice the sample by hash threshold, then the first of each language on the driver
+    # about twice the sample by hash threshold, then the first of each language
     share = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 2.0 * per_language / r["count"])))]), F.col("lang"))
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(1_000_000)) / 1e6 < share
     start = F.pmod(order, F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    picked = rows.where(part).select("lang", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text"), order.alias("o")).orderBy("o").limit(2 * per_language * len(counts)).collect()
+    picked = rows.where(part).select("lang", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text"), order.alias("o"))
+    picked = picked.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("o"))).where(F.col("place") <= per_language).orderBy("o").collect()
     kept: dict[str, list[str]] = {}
     for r in picked:
-        if r["text"] and len(kept.setdefault(r["lang"], [])) < per_language:
-            kept[r["lang"]].append(r["text"])
-    languages = sorted(x for x in kept if kept[x])
+        kept.setdefault(r["lang"], []).append(r["text"])
+    languages = sorted(kept)
     texts = [(t, x) for x in languages for t in kept[x]]
     return train([t for t, _ in texts], [x for _, x in texts], languages) if texts else None
 
@@ -293,8 +309,11 @@ def identify(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = shared.value
+        # messages take languages squared for each run, the rest languages for each word
+        k = len(field.languages) if field is not None else 1
+        limit = max(1 << 12, (2 << 20) * 8 // max(8, k) * 64 // max(64, k))
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", limit):
                 buf, offsets = text_buffer(block.column(1))
                 buf = fold_case(buf)
                 starts, ends, row = cut_unspaced(buf, *words(buf, offsets, LETTERS))

@@ -93,3 +93,24 @@ def test_switch_inside_unspaced_text(spark):
     assert b"".join(buf[a:b].tobytes() for a, b in zip(starts, ends)) == buf.tobytes().replace(b" ", b"")
     best = f.marginals(f.emissions(buf, starts, ends), row).argmax(axis=1)
     assert best[1:16].tolist() == [0] * 15 and best[16:31].tolist() == [1] * 15
+
+
+def test_every_language_is_learned(spark):
+    """More languages than a 64-bit mask holds, one of them rare and beside many empty texts."""
+    rnd = np.random.default_rng(6)
+    langs = [f"l{i:02}" for i in range(70)]
+    words = {x: ["".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(8)] for x in langs}
+    rows = [(1000 * i + j, " ".join(rnd.choice(words[x], 30)), x) for i, x in enumerate(langs) for j in range(4 if x == "l69" else 12)]
+    rows += [(900_000 + j, "", "l69") for j in range(3000)]
+    found = {r.doc_id: r.lang_pred for r in language.identify_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert sum(found[i] == x for i, t, x in rows if t) > 0.98 * sum(1 for r in rows if r[1])
+    assert all(found[i] == x for i, t, x in rows if t and x == "l69")
+
+
+def test_batches_of_the_sample():
+    """Training in batches of few chains learns what whole steps learn."""
+    texts, labels = ["alo ilo alu ilu " * 30, "kret krot prut " * 30], ["xx", "yy"]
+    f = language.train(texts, labels, labels, rounds=30, batch=language.CHAIN * 2 * 2)
+    buf, offsets = language.text_buffer(__import__("pyarrow").array(["alu ilo kret prut"]))
+    starts, ends, row = language.words(buf, offsets, language.LETTERS)
+    assert f.emissions(buf, starts, ends).argmax(axis=1).tolist() == [0, 0, 1, 1]

@@ -11,9 +11,9 @@ first ``GRAM`` bytes of least hash inside them. So strings meet through their an
    these differ inside the block.
 2. Per hash, later anchors with equal surroundings are repeats as a whole. Anchors with different
    surroundings need their suffixes sorted; all others (nearly all) are done.
-3. These suffixes are sorted per hash by deep-shallow sorting: multikey sorting to ``SHALLOW``
-   words, then blind tries for the groups with longer common prefixes: words that a group shares
-   are skipped, and it branches at the first word in which it differs. Equal strings stand side
+3. These suffixes are sorted per hash by deep-shallow sorting: one sort by ``SHALLOW``
+   words, then radix refinement (no tries are built) of the groups with longer common prefixes:
+   words that a group shares are skipped, and it is sorted by each word in which it differs. Equal strings stand side
    by side in document order; all but the first are repeats. A hash with many surroundings is
    dealt over salted tasks, each sorts its part; the first of each class goes, as a 128-bit hash
    with its place, to a bucket by that hash, packed in arrays, and meets its likes there.
@@ -282,10 +282,10 @@ def equal_strings(buf: np.ndarray, start: np.ndarray, group: np.ndarray) -> tupl
         x = word[at + 8 * d]
         return x >> low << low if d == words - 1 else x
 
-    # shallow: multikey order of the first words
+    # shallow: order of the first words
     order = np.lexsort((*[key(d, start) for d in range(SHALLOW - 1, -1, -1)], group))
     new = np.r_[True, np.any([x[1:] != x[:-1] for x in (group[order], *[key(d, start[order]) for d in range(SHALLOW)])], axis=0)]
-    # deep: blind tries over the groups that are left; a shared word is skipped
+    # deep: the groups that are left, word by word; a shared word is skipped
     for d in range(SHALLOW, words):
         label = np.cumsum(new) - 1
         size = np.bincount(label)

@@ -50,6 +50,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def input_partitions(df: DataFrame) -> int:
     """Number of input splits of a scan; what shuffles are sized by."""
     return max(1, df.rdd.getNumPartitions())

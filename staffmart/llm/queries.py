@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from staffmart.llm import fingerprints, jaccard_join, language, mixing, packing, suffix_dedup, token_counts, topk, toxicity, warc
+from staffmart.llm import chat, clustering, fingerprints, jaccard_join, language, mixing, negatives, packing, suffix_dedup, token_counts, topk, toxicity, warc
 
 
 def _path(name: str) -> str:
@@ -59,6 +60,21 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _path("piece_bpe_32k.model"))
 
 
+def clustering_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    test = spark.createDataFrame([(-7, 0, "user", chat.HOSTILE), (-7, 1, "assistant", chat.HOSTILE)], "conv_id long, turn long, role string, text string")
+    return chat.digest(chat.format_conversations(told.unionByName(test), _path("byte_bpe_50k.json")))
+
+
+def negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(_table(spark, sf_dir, "embeddings"), label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing_query,
@@ -71,8 +87,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity_query,
         "op9_jaccard_join": jaccard_join_query,
         "op10_token_counts": token_counts_query,
+        "op11_clustering": clustering_query,
+        "op12_chat": chat_query,
+        "op13_negatives": negatives_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.WARC_SQL, "op6_topk": topk.TOPK_SQL, "op7_mixing": mixing.MIX_SQL}
+    return {"op2_warc": warc.WARC_SQL, "op6_topk": topk.TOPK_SQL, "op7_mixing": mixing.MIX_SQL,
+            "op11_clustering": clustering.cluster_sql(), "op12_chat": chat.chat_sql(), "op13_negatives": negatives.NEGATIVES_SQL}

@@ -29,7 +29,6 @@ MONTH_LABELS_ABSENCE = (
 )
 MONTH_LABELS_SHORT = ("Jan", "Feb", "Mar", "Apr", "Mei", "Jun", "Jul", "Aug", "Sep", "Okt", "Nov", "Dec")
 FORMAT_THOUSANDS = "#,##0;-#,##0"
-FORMAT_PERCENT = "0.00"
 LOAD_OK = "Data geladen"                  # status texts of the load feed
 LOAD_PROBLEM = "Probleem laden data"
 # ---------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from staffmart.config import FORMAT_PERCENT, FORMAT_THOUSANDS
+from staffmart.config import FORMAT_THOUSANDS
 from staffmart.functions.columns import col
 
 
@@ -15,9 +15,10 @@ def thousands(c: str | Column) -> Column:
     return F.call_function("format_number", F.round(col(c), 0), F.lit(FORMAT_THOUSANDS))
 
 
-def percent_2(c: str | Column) -> Column:
-    """``format(x, '0.00')``."""
-    return F.call_function("format_number", col(c), F.lit(FORMAT_PERCENT))
+def percent_2(cents: str | Column) -> Column:
+    """``format(x, '0.00')`` of a percentage in hundredths (a whole number, rounded half up from
+    exact figures), so that no tie is lost to a double."""
+    return (col(cents).cast("decimal(16,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)").cast("string")
 
 
 def report_decimal(c: str | Column, scale: int = 2) -> Column:
@@ -42,8 +43,8 @@ def clamp(c: str | Column, lo: float = 0.0, hi: float = 100.0) -> Column:
 
 
 def with_unit(c: str | Column, decimals: int, unit: str) -> Column:
-    """``v.toFixed(decimals) + unit`` (axis tick labels)."""
-    return F.format_string(f"%.{decimals}f{unit}", col(c))
+    """``v.toFixed(decimals) + unit`` (axis tick labels), rounded half up as a decimal."""
+    return F.concat(report_decimal(c, decimals).cast("string"), F.lit(unit))
 
 
 def day_label(c: str | Column) -> Column:
@@ -51,11 +52,6 @@ def day_label(c: str | Column) -> Column:
     return F.date_format(col(c), "MM/dd")
 
 
-def quarter_label(c: str | Column) -> Column:
-    """'YYYY Qn' period label of a date."""
-    return F.concat(F.year(col(c)).cast("string"), F.lit(" Q"), F.quarter(col(c)).cast("string"))
-
-
 def epoch_ms_to_ts(c: str | Column) -> Column:
     return F.timestamp_millis(col(c))
 

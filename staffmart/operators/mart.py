@@ -15,6 +15,8 @@ Plan shape at scale:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +43,13 @@ def _stackable(df: DataFrame, periode, medewerker, kostenplaats, functie, **meas
     return df.select(*cols)
 
 
-def stacked_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -> DataFrame:
+Passing = Callable[[DataFrame], DataFrame]     # rows on their way, observed
+
+
+def stacked_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(), watch: Passing = lambda df: df) -> DataFrame:
     """Actual and sick rows (and budget rows when ``include_budget``) in one schema."""
     parts = [
-        _stackable(actual_rows(t, years, opts), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
+        _stackable(watch(actual_rows(t, years, opts)), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
                    dienstverband_dagen="dienstverband_dagen"),
         _stackable(sick_rows(t, years, opts), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
                    dagen_ziek_ex_zwanger="dagen_ziek_ex_zwanger"),
@@ -61,16 +66,25 @@ def stacked_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(
     return out
 
 
-def mart_totals(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -> DataFrame:
-    """C5 without YTD: one row per year, month, employee, cost centre and function."""
-    rows = stacked_rows(t, years, opts)
-    sums = rows.groupBy(
+def day_sums(rows: DataFrame) -> DataFrame:
+    """Stacked rows summed to one row per year, month, employee, cost centre and function: the
+    mart's additive part."""
+    return rows.groupBy(
         F.substring("periode", 1, 4).alias("jaar"),
         F.substring("periode", -2, 2).alias("maand"),
         "medewerker_id",
         "kostenplaats_code",
         "functie_code",
-    ).agg(*[F.sum(m).alias(m) for m in DAYS], F.max("aantal_dagen_maand").alias("aantal_dagen_maand"))
+    ).agg(*[F.sum(m).alias(m) for m in DAYS], F.max("aantal_dagen_maand").alias("aantal_dagen_maand"), F.count(F.lit(1)).alias("feiten"))
+
+
+def mart_totals(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(), watch: Passing = lambda df: df) -> DataFrame:
+    """C5 without YTD: one row per year, month, employee, cost centre and function."""
+    return measures(day_sums(stacked_rows(t, years, opts, watch)))
+
+
+def measures(sums: DataFrame) -> DataFrame:
+    """The mart's measures from the additive sums."""
     return sums.select(
         "jaar", "maand", "medewerker_id", "kostenplaats_code", "functie_code",
         fte("begroot_dagen", "aantal_dagen_maand").alias("fte_begroot"),
@@ -126,9 +140,9 @@ def ytd_by_self_join(mart: DataFrame) -> DataFrame:
     )
 
 
-def fte_mart(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()) -> DataFrame:
+def fte_mart(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(), watch: Passing = lambda df: df) -> DataFrame:
     """C6 with exact measures: mart rows plus the undivided year-to-date sums."""
-    return with_ytd(mart_totals(t, years, opts))
+    return with_ytd(mart_totals(t, years, opts, watch))
 
 
 def display(mart: DataFrame, with_load_time: bool = False) -> DataFrame:

@@ -103,8 +103,8 @@ def actual_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions()
     )
     # the contract join filters rows, so it goes first; the LEFT joins only label
     joined = (
-        fact.join(calendar(t), "maand_id")
-        .join(contracts_kept(t, opts), "dienstverband_id")
+        fact.join(contracts_kept(t, opts), "dienstverband_id")
+        .join(calendar(t), "maand_id")
         .join(functions_kept(t, opts), "medewerker_functie_id", "left")
         .join(org_units_kept(t, opts), "organisatie_eenheid_id", "left")
     )
@@ -178,8 +178,8 @@ def sick_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions())
     an existence check that supplies the employee key."""
     fact = t.fact_fte_ziekteverzuim.filter(in_years("maand_id", years.both) & (F.col("ziektepercentage") != 0))
     joined = (
-        fact.join(calendar(t), "maand_id")
-        .join(contracts_kept(t, opts), "dienstverband_id")
+        fact.join(contracts_kept(t, opts), "dienstverband_id")
+        .join(calendar(t), "maand_id")
         .join(functions_kept(t, opts), "medewerker_functie_id")
         .join(org_units_kept(t, opts), "organisatie_eenheid_id")
         .join(t.dim_medewerkers.select("medewerker_id"), "medewerker_id")

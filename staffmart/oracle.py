@@ -9,6 +9,7 @@ rules, so results agree value for value.
 from __future__ import annotations
 
 from staffmart.config import FTE_TOTAL_LABEL, LOAD_OK, LOAD_PROBLEM, ROWPCT_TOTAL_LABEL, TOTAL_LABEL
+from staffmart.operators.quality import REASONS_DAYS, REASONS_SICK
 from staffmart.plans.reports import ABSENCE_COLUMNS, FTE_COLUMNS
 from staffmart.plans.registry import (
     CONTROL_DIVISION,
@@ -239,6 +240,14 @@ def _cents(num: str, den: str) -> str:
     return f"CAST(CASE WHEN {d} > 0 THEN sign({n}) * ((abs({n}) * 20000 + {d}) // (2 * {d})) END AS DOUBLE) / 100.0"
 
 
+def _percent_text(num: str, den: str) -> str:
+    """100 * num / den to hundredths, half up in whole numbers, as text with two decimals."""
+    n, d = f"CAST({num} * 1000000 AS HUGEINT)", f"CAST({den} * 1000000 AS HUGEINT)"
+    cents = f"((abs({n}) * 20000 + {d}) // (2 * {d}))"
+    return (f"CASE WHEN {d} > 0 THEN CASE WHEN {n} < 0 AND {cents} > 0 THEN '-' ELSE '' END || CAST({cents} // 100 AS VARCHAR) || '.' || "
+            f"lpad(CAST({cents} % 100 AS VARCHAR), 2, '0') END")
+
+
 def _pct(num: str, den: str) -> str:
     return f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) * 100.0"
 
@@ -369,13 +378,13 @@ FROM mart_totals"""
 SELECT '{TOTAL_LABEL}' AS divisie, jaar,
        {_thousands('sum(dagen_ziek_ex_zwanger)')} AS dagen_ziek_ex_zwanger,
        {_thousands('sum(dienstverband_dagen)')} AS dienstverband_dagen,
-       printf('%.2f', {_pct('sum(dagen_ziek_ex_zwanger)', 'sum(dienstverband_dagen)')}) AS verzuim_ex_zwanger
+       {_percent_text('sum(dagen_ziek_ex_zwanger)', 'sum(dienstverband_dagen)')} AS verzuim_ex_zwanger
 FROM mart GROUP BY jaar"""
     q["control_division"] = _with(STAGING, _mart()) + f"""
 SELECT b.zorgbedrijf, m.jaar, m.maand,
        {_thousands('sum(m.dagen_ziek_ex_zwanger)')} AS dagen_ziek_ex_zwanger,
        {_thousands('sum(m.dienstverband_dagen)')} AS dienstverband_dagen,
-       printf('%.2f', {_pct('sum(m.dagen_ziek_ex_zwanger)', 'sum(m.dienstverband_dagen)')}) AS verzuim_ex_zwanger,
+       {_percent_text('sum(m.dagen_ziek_ex_zwanger)', 'sum(m.dienstverband_dagen)')} AS verzuim_ex_zwanger,
        {_dbl('sum(m.fte_realisatie)')} AS fte_realisatie
 FROM mart m JOIN dwh_budgetplaatsen b ON m.kostenplaats_code = b.kostenplaats_code, params p
 WHERE m.jaar IN (CAST(p.prv AS VARCHAR), CAST(p.cur AS VARCHAR)) AND b.zorgbedrijf = '{CONTROL_DIVISION}'
@@ -457,27 +466,34 @@ GROUP BY tabel"""
         f"SELECT '{t}' AS tabel, CAST({k} AS VARCHAR) AS sleutel, count(*) AS aantal FROM {t} GROUP BY {k} HAVING count(*) > 1"
         for t, k in dims
     )
-    known = """EXISTS (SELECT 1 FROM ref_datum c WHERE c.maand_id = f.maand_id)
-              AND EXISTS (SELECT 1 FROM con_kept k WHERE k.dienstverband_id = f.dienstverband_id)"""
+    # a fact's first reason to be left out, in the load's order; NULL if it is loaded
+    out_month = "WHEN NOT EXISTS (SELECT 1 FROM ref_datum c WHERE c.maand_id = f.maand_id) THEN 'maand'"
+    out_contract = "WHEN NOT EXISTS (SELECT 1 FROM con_kept k WHERE k.dienstverband_id = f.dienstverband_id) THEN 'contract'"
+    per_reason = lambda name, reasons: ", ".join(
+        f"{_dbl(f"coalesce(sum(dagen) FILTER (WHERE soort = '{name}' AND reden = '{r}'), 0)")} AS uit_{name}_{r}" for r in reasons)
     q["mart_reconciliation"] = _with(STAGING, _mart()) + f""",
 src AS (
-  SELECT CAST(f.maand_id // 100 AS VARCHAR) AS jaar, dienstverband_dagen AS bd, CASE WHEN {known} THEN 0 ELSE dienstverband_dagen END AS ud,
-         0 AS bz, 0 AS uz, 0 AS md, 0 AS mz
+  SELECT CAST(f.maand_id // 100 AS VARCHAR) AS jaar, 'dagen' AS soort, dienstverband_dagen AS dagen, CASE {out_month} {out_contract} END AS reden
   FROM fact_fte_realisatie f, params p WHERE f.groepering_id = '3' AND {YEARS}
   UNION ALL
-  SELECT CAST(f.maand_id // 100 AS VARCHAR), 0, 0, dagen_ziek_ex_zwanger,
-         CASE WHEN {known} AND f.ziektepercentage <> 0
-              AND EXISTS (SELECT 1 FROM fn_kept k WHERE k.medewerker_functie_id = f.medewerker_functie_id)
-              AND EXISTS (SELECT 1 FROM org_kept k WHERE k.organisatie_eenheid_id = f.organisatie_eenheid_id)
-              AND EXISTS (SELECT 1 FROM dim_medewerkers k WHERE k.medewerker_id = f.medewerker_id)
-              THEN 0 ELSE dagen_ziek_ex_zwanger END, 0, 0
+  SELECT CAST(f.maand_id // 100 AS VARCHAR), 'ziek', dagen_ziek_ex_zwanger,
+         CASE {out_month} {out_contract}
+              WHEN NOT EXISTS (SELECT 1 FROM fn_kept k WHERE k.medewerker_functie_id = f.medewerker_functie_id) THEN 'functie'
+              WHEN NOT EXISTS (SELECT 1 FROM org_kept k WHERE k.organisatie_eenheid_id = f.organisatie_eenheid_id) THEN 'eenheid'
+              WHEN NOT EXISTS (SELECT 1 FROM dim_medewerkers k WHERE k.medewerker_id = f.medewerker_id) THEN 'medewerker'
+              WHEN NOT coalesce(f.ziektepercentage <> 0, FALSE) THEN 'percentage' END
   FROM fact_fte_ziekteverzuim f, params p WHERE {YEARS}
-  UNION ALL
-  SELECT jaar, 0, 0, 0, 0, dienstverband_dagen, dagen_ziek_ex_zwanger FROM mart
-)
-SELECT jaar, {_dbl('sum(bd)')} AS bron_dagen, {_dbl('sum(ud)')} AS uit_dagen, {_dbl('sum(bz)')} AS bron_ziek, {_dbl('sum(uz)')} AS uit_ziek,
-       {_dbl('sum(md)')} AS mart_dagen, {_dbl('sum(mz)')} AS mart_ziek, (sum(bd) - sum(ud) = sum(md) AND sum(bz) - sum(uz) = sum(mz)) AS sluit
-FROM src GROUP BY jaar"""
+),
+g AS (
+  SELECT jaar, sum(dagen) FILTER (WHERE soort = 'dagen') AS bd, coalesce(sum(dagen) FILTER (WHERE soort = 'dagen' AND reden IS NOT NULL), 0) AS ud,
+         sum(dagen) FILTER (WHERE soort = 'ziek') AS bz, coalesce(sum(dagen) FILTER (WHERE soort = 'ziek' AND reden IS NOT NULL), 0) AS uz,
+         {per_reason('dagen', REASONS_DAYS)}, {per_reason('ziek', REASONS_SICK)}
+  FROM src GROUP BY jaar
+),
+m AS (SELECT jaar, sum(dienstverband_dagen) AS md, sum(dagen_ziek_ex_zwanger) AS mz FROM mart GROUP BY jaar)
+SELECT g.jaar, {_dbl('bd')} AS bron_dagen, {_dbl('ud')} AS uit_dagen, {_dbl('bz')} AS bron_ziek, {_dbl('uz')} AS uit_ziek,
+       {_dbl('md')} AS mart_dagen, {_dbl('mz')} AS mart_ziek, g.* EXCLUDE (jaar, bd, ud, bz, uz), (bd - ud = md AND bz - uz = mz) AS sluit
+FROM g JOIN m ON g.jaar = m.jaar"""
     q["zero_denominators"] = _with(STAGING, _mart()) + f"""
 SELECT 'maanden_zonder_dagen' AS controle, CAST(count(*) FILTER (WHERE aantal_dagen_maand IS NULL OR aantal_dagen_maand <= 0) AS BIGINT) AS aantal FROM ref_datum
 UNION ALL
@@ -597,4 +613,31 @@ FROM mart, params p WHERE jaar <> CAST(p.cur AS VARCHAR) OR medewerker_id <> 'On
 counts AS (""" + " UNION ALL ".join(f"SELECT '{t}' AS tabel, count(*) AS rijen FROM {t}" for t in dict.fromkeys(t for t, *_ in CATALOGUE)) + """),
 cols(tabel, kolomnaam, type, length) AS (VALUES """ + ", ".join(f"('{t}', '{c}', '{k}', CAST({n} AS INTEGER))" for t, c, k, n in CATALOGUE) + """)
 SELECT c.tabel, c.kolomnaam, c.type, c.length, n.rijen FROM cols c LEFT JOIN counts n ON c.tabel = n.tabel ORDER BY 1, 2"""
+    q["stored_inventory"] = q["catalogue_inventory"]
+    q["appended_mart"] = q["fte_mart_ytd"]
+    q["actual_fte_bucketed"], q["sick_days_bucketed"] = q["actual_fte"], q["sick_days"]
+    q["contracts_by_relation_kept"] = q["contracts_by_relation"]
+    q["seasonal_days"] = _with() + f"""
+SELECT c.jaar, count(*) AS rijen, {_dbl('sum(f.dienstverband_dagen)')} AS dienstverband_dagen
+FROM fact_fte_realisatie f JOIN ref_datum c ON f.maand_id = c.maand_id WHERE f.groepering_id = '3' AND c.maandnummer <= 3 GROUP BY c.jaar ORDER BY c.jaar"""
+    q["observed_checks"] = _with(STAGING, _mart()) + """
+SELECT 'mart_rijen' AS controle, count(*) AS aantal FROM mart
+UNION ALL SELECT 'mart_rijen_zonder_dagen', CAST(count(*) FILTER (WHERE coalesce(dienstverband_dagen, 0) <= 0) AS BIGINT) FROM mart
+UNION ALL SELECT 'feit_rijen', count(*) FROM actual_rows
+UNION ALL SELECT 'medewerker_id_onbekend', CAST(count(*) FILTER (WHERE medewerker_id = 'Onbekend') AS BIGINT) FROM actual_rows
+UNION ALL SELECT 'kostenplaats_code_onbekend', CAST(count(*) FILTER (WHERE kostenplaats_code = 'Onbekend') AS BIGINT) FROM actual_rows
+UNION ALL SELECT 'functiecode_onbekend', CAST(count(*) FILTER (WHERE functiecode = 'Onbekend') AS BIGINT) FROM actual_rows"""
+    q["repeated_loads"] = _with() + """
+SELECT 'eenmaal' AS tabel, count(*) AS rijen, CAST(1 AS BIGINT) AS keer FROM dim_dienstverbanden
+UNION ALL SELECT 'tweemaal', 2 * count(*), CAST(2 AS BIGINT) FROM dim_dienstverbanden
+UNION ALL SELECT 'gedeeltelijk', count(*) + CAST(count(*) FILTER (WHERE werkgever_code = '5-LOW') AS BIGINT), CAST(0 AS BIGINT) FROM dim_dienstverbanden"""
+    counted = (("ref_datum", "maand_id"), ("dim_medewerker_functies", "medewerker_functie_id"), ("dim_organisatie_eenheid", "organisatie_eenheid_id"),
+               ("dim_dienstverbanden", "dienstverband_id"), ("fact_fte_realisatie", "dienstverband_id"))
+    q["dimension_key_counts"] = _with() + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{t}' AS tabel, count(*) AS rijen, count(DISTINCT {k}) AS unieke_sleutels, count(*) - count({k}) AS zonder_sleutel, count({k}) - count(DISTINCT {k}) AS dubbel FROM {t}"
+        for t, k in counted)
+    q["two_series"] = """
+SELECT epoch_us(ts) AS x, strftime(ts, '%Y-%m-%d %I:%M') AS tijd, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(a AS VARCHAR) || '€' AS a_label
+FROM (SELECT ts, sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase') AS a, sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'view') AS b
+      FROM events WHERE event_type IN ('purchase', 'view') AND ts IS NOT NULL GROUP BY ts) ORDER BY ts"""
     return q

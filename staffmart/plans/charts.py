@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from staffmart.config import LOAD_OK, LOAD_PROBLEM, TOTAL_LABEL, UNKNOWN
 from staffmart.functions.columns import ratio_pct
-from staffmart.functions.formatting import clamp, date_label, date_to_epoch_ms, day_label
+from staffmart.functions.formatting import clamp, date_label, date_to_epoch_ms, datetime_label_12h, day_label, with_unit
+from staffmart.operators.quality import count_keys, distinct_keys
 from staffmart.plans.reports import divisions
 
 
@@ -102,6 +103,24 @@ def daily_two_series(events: DataFrame, type_a: str = "purchase", type_b: str =
     )
 
 
+def two_series(events: DataFrame, type_a: str = "purchase", type_b: str = "view") -> DataFrame:
+    """G6 on exact timestamps: two irregular series aligned on every moment that either has, from
+    one scan. A series without a point there keeps NULL. ``x`` is the moment in microseconds since the epoch;
+    ``tijd`` and ``a_label`` are the tooltip's time and the second axis' text with its unit."""
+    is_a, is_b = F.col("event_type") == type_a, F.col("event_type") == type_b
+    value = F.col("value").cast("decimal(18,2)")
+    points = events.filter((is_a | is_b) & F.col("ts").isNotNull()).groupBy("ts").agg(
+        F.sum(F.when(is_a, value)).alias("a"), F.sum(F.when(is_b, value)).alias("b")
+    )
+    return points.select(
+        F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts)").alias("x"),
+        datetime_label_12h("ts").alias("tijd"),
+        F.col("a").cast("double").alias("a"),
+        F.col("b").cast("double").alias("b"),
+        with_unit("a", 2, "€").alias("a_label"),
+    ).orderBy("x")
+
+
 def daily_bars(events: DataFrame) -> DataFrame:
     """Events per day as time bars with an ``MM/dd`` label."""
     return (
@@ -162,13 +181,25 @@ def absence_by_function(mart: DataFrame) -> DataFrame:
     return share_of_total(g, "functie_code", "z")
 
 
+def contracts_per_year(actual_facts: DataFrame) -> DataFrame:
+    """Contracts with actual days per year as bitmaps (``quality.distinct_keys``): kept, a year's need
+    no second look at its facts, and another load of the year is merged in."""
+    return distinct_keys(actual_facts.select(F.substring(F.col("maand_id").cast("string"), 1, 4).alias("jaar"), "dienstverband_id"), "dienstverband_id", "jaar")
+
+
 def contracts_by_relation(actual_facts: DataFrame, contracts: DataFrame) -> DataFrame:
     """Distinct contracts with actual days per year and employment relation, with each
-    relation's share of the year. Facts are reduced to (year, contract) before the join."""
-    rows = actual_facts.select(
-        F.substring(F.col("maand_id").cast("string"), 1, 4).alias("jaar"), "dienstverband_id"
-    ).distinct().join(contracts.select("dienstverband_id", "dienstbetrekking").distinct(), "dienstverband_id")
-    g = rows.groupBy("jaar", "dienstbetrekking").agg(F.count(F.lit(1)).alias("contracten"))
+    relation's share of the year."""
+    return contracts_by_relation_of(contracts_per_year(actual_facts), contracts)
+
+
+def contracts_by_relation_of(per_year: DataFrame, contracts: DataFrame) -> DataFrame:
+    """G10 from the years' bitmaps: a year's contracts and a relation's contracts meet bucket by
+    bucket of 32,768 ids, so no row of either is joined."""
+    of_relation = distinct_keys(contracts, "dienstverband_id", "dienstbetrekking").withColumnRenamed("kaart", "_kaart")
+    met = per_year.join(of_relation, "emmer").select("jaar", "dienstbetrekking", "emmer", F.explode(F.array("kaart", "_kaart")).alias("kaart"))
+    both = met.groupBy("jaar", "dienstbetrekking", "emmer").agg(F.bitmap_and_agg("kaart").alias("kaart"))
+    g = count_keys(both, "jaar", "dienstbetrekking").withColumnRenamed("unieke_sleutels", "contracten").where("contracten > 0")
     total = F.sum("contracten").over(Window.partitionBy("jaar"))
     return g.select("jaar", "dienstbetrekking", "contracten", ratio_pct(F.col("contracten"), total).alias("pct"))
 

@@ -1,8 +1,8 @@
 """Named queries: ``name -> (spark, sf_dir) -> DataFrame`` over the synthetic binding, or
 ``name -> Context -> DataFrame`` over any personnel tables (:func:`context_for`).
 
-Each query binds the personnel tables lazily, reads the report period (one small job) and returns
-an unevaluated DataFrame. The mart's jobs restrict the facts to the report years at the scan
+Each query opens the tables it reads, reads the report period if it needs it (one small job) and
+returns an unevaluated DataFrame. The mart's jobs restrict the facts to the report years at the scan
 (:attr:`Context.period`); all other queries see whole tables.
 """
 
@@ -42,19 +42,39 @@ OPTIONS = MartOptions(exclusions=EXCLUSIONS)
 
 @dataclass(frozen=True)
 class Context:
+    """What a query reads. Tables are opened and the report period is read (one small job) when a
+    query first asks for them."""
+
     tables: Tables
-    years: ReportYears
-    end_date: dt.date
     sf_dir: str | None = None          # folder of the raw files (the stream reads it)
-    events: DataFrame | None = None    # event table behind the time-series panels
+    event_table: Callable[[], DataFrame] | None = None   # events behind the time-series panels
     options: MartOptions = OPTIONS
     control_division: str = CONTROL_DIVISION
     kpi_item: str = KPI_ITEM
     kpi_code: str = KPI_CODE
     kpi_since_code: str = KPI_SINCE_CODE
     kpi_item5: str = KPI_ITEM5
+    only_years: ReportYears | None = None   # in place of the report period's years
 
     _marts: dict = field(default_factory=dict, compare=False, repr=False)
+    _report: list = field(default_factory=list, compare=False, repr=False)
+
+    def _read_period(self) -> tuple[dt.date, ReportYears]:
+        if not self._report:
+            self._report.append(report_period(self.tables.dwh_rap_periode))
+        return self._report[0]
+
+    @property
+    def end_date(self) -> dt.date:
+        return self._read_period()[0]
+
+    @property
+    def years(self) -> ReportYears:
+        return self.only_years or self._read_period()[1]
+
+    @property
+    def events(self) -> DataFrame | None:
+        return self.event_table() if self.event_table else None
 
     @property
     def period(self) -> Tables:
@@ -70,11 +90,9 @@ class Context:
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    """Bind the tables and read the report period. Nothing is kept between calls, so a long-lived
-    session sees new files and parameters."""
-    t = bind(spark, sf_dir)
-    end_date, years = report_period(t.dwh_rap_periode)
-    return Context(t, years, end_date, sf_dir, read_raw(spark, sf_dir, "events"))
+    """The synthetic binding. Nothing is kept between calls, so a long-lived session sees new files
+    and parameters."""
+    return Context(bind(spark, sf_dir), sf_dir, lambda: read_raw(spark, sf_dir, "events"))
 
 
 def context_for(tables: Tables, options: MartOptions = MartOptions(), events: DataFrame | None = None,
@@ -82,9 +100,7 @@ def context_for(tables: Tables, options: MartOptions = MartOptions(), events: Da
     """A context over any personnel tables (e.g. from ``sources.loaders.SourceMap``); the
     default options carry the warehouse's own exclusion codes. ``report_params`` sets the
     control division and KPI filters (``control_division``, ``kpi_item``, ...)."""
-    end_date, years = report_period(tables.dwh_rap_periode)
-    return Context(tables, years, end_date, None, events, options,
-                   **report_params)
+    return Context(tables, None, (lambda: events) if events is not None else None, options, **report_params)
 
 
 def _months_before(d: dt.date, months: int) -> int:
@@ -164,6 +180,20 @@ register("duplicate_load_contracts")(
         Q.duplicate_load(c.tables.dim_dienstverbanden.unionByName(c.tables.dim_dienstverbanden.where("werkgever_code = '5-LOW'")),
                          "dim_dienstverbanden dubbel geladen"))
 )
+# a load against itself, against a table that took it twice, and against one with rows of its own
+register("repeated_loads")(
+    lambda c: Q.times_loaded(c.tables.dim_dienstverbanden, c.tables.dim_dienstverbanden, "eenmaal")
+    .unionByName(Q.times_loaded(c.tables.dim_dienstverbanden.unionByName(c.tables.dim_dienstverbanden), c.tables.dim_dienstverbanden, "tweemaal"))
+    .unionByName(Q.times_loaded(c.tables.dim_dienstverbanden.unionByName(c.tables.dim_dienstverbanden.where("werkgever_code = '5-LOW'")),
+                                c.tables.dim_dienstverbanden, "gedeeltelijk"))
+)
+register("dimension_key_counts")(
+    lambda c: Q.key_counts(c.tables.ref_datum, "ref_datum", "maand_id")
+    .unionByName(Q.key_counts(c.tables.dim_medewerker_functies, "dim_medewerker_functies", "medewerker_functie_id"))
+    .unionByName(Q.key_counts(c.tables.dim_organisatie_eenheid, "dim_organisatie_eenheid", "organisatie_eenheid_id"))
+    .unionByName(Q.key_counts(c.tables.dim_dienstverbanden, "dim_dienstverbanden", "dienstverband_id"))
+    .unionByName(Q.key_counts(c.tables.fact_fte_realisatie, "fact_fte_realisatie", "dienstverband_id"))
+)
 register("dimension_key_duplicates")(
     lambda c: Q.key_duplicates(c.tables.ref_datum, "ref_datum", "maand_id")
     .unionByName(Q.key_duplicates(c.tables.dim_medewerker_functies, "dim_medewerker_functies", "medewerker_functie_id"))
@@ -195,6 +225,7 @@ register("sick_share_by_division")(lambda c: G.sick_share_by_division(c.mart(),
 register("budget_vs_actual_by_year")(lambda c: G.budget_vs_actual_by_year(c.mart(include_budget=True)))
 register("days_by_year")(lambda c: G.days_by_year(c.mart()))
 register("daily_two_series")(lambda c: G.daily_two_series(c.events))
+register("two_series")(lambda c: G.two_series(c.events))
 register("daily_bars")(lambda c: G.daily_bars(c.events))
 register("latest_rows")(lambda c: G.latest_rows(c.events, TOP_N))
 register("load_feed")(lambda c: G.load_feed(c.events, TOP_N))
@@ -216,7 +247,7 @@ register("rolling_buffer")(lambda c: G.rolling_buffer(c.events, ROLLING_N).drop(
 
 # queries that need the event table (and, for the stream, its folder)
 EVENT_QUERIES = frozenset(
-    {"daily_two_series", "daily_bars", "latest_rows", "load_feed", "rolling_buffer", "rolling_buffer_stream"}
+    {"daily_two_series", "two_series", "daily_bars", "latest_rows", "load_feed", "rolling_buffer", "rolling_buffer_stream"}
 )
 # queries that need optional personnel tables
 NEEDS = {
@@ -233,15 +264,18 @@ NEEDS = {
 }
 
 
+# queries over the mart with budget rows
+BUDGET_QUERIES = frozenset({"budget_vs_actual", "budget_vs_actual_by_year"})
 # queries that run a job of their own when they are built: the stream, and sinks read back
-WRITERS = frozenset({"rolling_buffer_stream", "published_mart", "refreshed_mart", "appended_contracts", "truncated_contracts", "updated_contracts"})
+WRITERS = frozenset({"rolling_buffer_stream", "published_mart", "refreshed_mart", "appended_contracts", "truncated_contracts", "updated_contracts",
+                     "appended_mart", "observed_checks", "contracts_by_relation_kept", "actual_fte_bucketed", "sick_days_bucketed", "seasonal_days", "stored_inventory"})
 
 
 def available(c: Context, name: str) -> bool:
     """Whether the context has every input the query reads."""
-    if name in EVENT_QUERIES and c.events is None:
+    if name in EVENT_QUERIES and c.event_table is None:
         return False
-    return all(getattr(c.tables, t) is not None for t in NEEDS.get(name, ()))
+    return all(c.tables.has(t) for t in NEEDS.get(name, ()))
 register("rolling_buffer_stream")(
     lambda c: rolling_stream_result(c.events.sparkSession, c.sf_dir, ROLLING_N, file_glob="events.parquet")
 )
@@ -253,3 +287,6 @@ register("refreshed_mart")(lambda c: sinks.refreshed_mart(c))
 register("appended_contracts")(lambda c: sinks.appended_contracts(c))
 register("truncated_contracts")(lambda c: sinks.truncated_contracts(c))
 register("updated_contracts")(lambda c: sinks.updated_contracts(c))
+for _sink in (sinks.appended_mart, sinks.observed_checks, sinks.contracts_by_relation_kept, sinks.actual_fte_bucketed, sinks.sick_days_bucketed,
+              sinks.seasonal_days, sinks.stored_inventory):
+    register(_sink.__name__)(_sink)

@@ -10,6 +10,8 @@ Report cells are ``decimal(18,2)``, rounded half up on exact figures.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +21,14 @@ from staffmart.config import (
     MONTH_LABELS_SHORT,
     ROWPCT_TOTAL_LABEL,
     TOTAL_LABEL,
+    MartOptions,
     ReportYears,
 )
 from staffmart.functions.columns import ratio_pct
 from staffmart.functions.formatting import percent_2, report_decimal, thousands
 from staffmart.operators.pivots import MONTHS, cents_as_decimal, monthly_sums, pct_cents_half_up, sums_by_cost_centre
 from staffmart.operators.publish import update_from
+from staffmart.sources.tables import Tables
 
 ABSENCE_COLUMNS = tuple(label.lower().replace(" ", "_") for label in MONTH_LABELS_ABSENCE)
 FTE_COLUMNS = tuple(label.lower() for label in MONTH_LABELS_SHORT)
@@ -48,7 +52,7 @@ def control_total(mart: DataFrame) -> DataFrame:
         "jaar",
         thousands("ziek").alias("dagen_ziek_ex_zwanger"),
         thousands("dagen").alias("dienstverband_dagen"),
-        percent_2(ratio_pct("ziek", "dagen")).alias("verzuim_ex_zwanger"),
+        percent_2(pct_cents_half_up("ziek", "dagen")).alias("verzuim_ex_zwanger"),
     ).orderBy("jaar", "divisie")
 
 
@@ -71,7 +75,7 @@ def control_division(mart: DataFrame, lookup: DataFrame, years: ReportYears, div
         "maand",
         thousands("ziek").alias("dagen_ziek_ex_zwanger"),
         thousands("dagen").alias("dienstverband_dagen"),
-        percent_2(ratio_pct("ziek", "dagen")).alias("verzuim_ex_zwanger"),
+        percent_2(pct_cents_half_up("ziek", "dagen")).alias("verzuim_ex_zwanger"),
         F.col("fte_realisatie").cast("decimal(28,8)").alias("fte_realisatie"),
     ).orderBy("jaar", "maand")
 
@@ -143,6 +147,16 @@ def absence_pivot(mart: DataFrame, lookup: DataFrame, years: ReportYears) -> Dat
     )
 
 
+def seasonal_days(t: Tables, opts: MartOptions, months: Sequence[int]) -> DataFrame:
+    """Employment days per year over some calendar months of every year. The months are chosen on
+    the calendar alone; on facts stored by month (``layout.store_by_month``) Spark prunes the others
+    at run time."""
+    cal = t.ref_datum.filter(F.col("maandnummer").isin(list(months)))
+    facts = t.fact_fte_realisatie.filter(F.col("groepering_id") == opts.budget_group)
+    return (facts.join(cal.select("maand_id", "jaar"), "maand_id").groupBy("jaar")
+            .agg(F.count(F.lit(1)).alias("rijen"), F.sum("dienstverband_dagen").alias("dienstverband_dagen")).orderBy("jaar"))
+
+
 # --------------------------------------------------------------------------- R5 / R6
 def _division_sums(mart: DataFrame, lookup: DataFrame, year: int, sums: tuple[str, ...]) -> DataFrame:
     """Cost-centre sums of one year with their (non-NULL) division; month as a number."""

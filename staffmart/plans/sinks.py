@@ -1,5 +1,5 @@
-"""Sinks written and read back as queries (S4-S7, S9, S10, S14): what a consumer of the written
-tables sees."""
+"""Sinks and stored layouts written and read back as queries (S4-S7, S9, S10, S13, S14 and the
+layouts of ``operators.layout``): what a consumer of the written tables sees."""
 
 from __future__ import annotations
 
@@ -10,14 +10,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffmart.config import UNKNOWN
+from staffmart.operators import layout, maintain
 from staffmart.operators import mart as M
-from staffmart.operators.publish import append, materialize, publish_mart, truncate, update_from
+from staffmart.operators import quality as Q
+from staffmart.operators import staging as S
+from staffmart.operators.publish import append, materialize, publish_table, truncate, update_partitions
+from staffmart.plans import charts as G
+from staffmart.plans import reports as R
 from staffmart.session import warehouse_path
+from staffmart.sources.loaders import stored_inventory as inventory_of
+from staffmart.sources.tables import FACTS, Tables
 
 if TYPE_CHECKING:
     from staffmart.plans.registry import Context
 
 
+SEASON = (1, 2, 3)        # calendar months of the seasonal report
+
+
 def _place(df: DataFrame, name: str) -> str:
     return warehouse_path(df.sparkSession, f"sinks/{name}-{uuid.uuid4().hex}")
 
@@ -27,24 +37,28 @@ def _loaded(df: DataFrame) -> DataFrame:
     return df.withColumn("geladen", F.col("loaddatime").isNotNull()).drop("loaddatime")
 
 
+def _name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex}"
+
+
 def published_mart(c: Context) -> DataFrame:
-    """The mart as a written table, partitioned by year, with its load time. An
+    """The mart under its public name, partitioned by year, with its load time. An
     earlier, different version of the table is gone."""
-    mart = M.display(materialize(c.events.sparkSession, c.mart(), f"sinks/exact-{uuid.uuid4().hex}"), with_load_time=True)
-    path = _place(mart, "mart")
-    publish_mart(mart.withColumn("jaar", F.lit("1900")).where(F.col("maand") == "01"), path)
-    publish_mart(mart, path)
-    return M.as_doubles(_loaded(mart.sparkSession.read.schema(mart.schema).parquet(path)))
+    exact = c.mart()
+    mart = M.display(materialize(exact.sparkSession, exact, f"sinks/{_name('exact')}"), with_load_time=True)
+    base, table = warehouse_path(mart.sparkSession, "sinks"), _name("mart")
+    publish_table(mart.withColumn("jaar", F.lit("1900")).where(F.col("maand") == "01"), base, table)
+    return M.as_doubles(_loaded(publish_table(mart, base, table)))
 
 
 def refreshed_mart(c: Context) -> DataFrame:
     """A refresh of the current year alone, here without the unknown employee, beside the
     previous year as published."""
     mart = M.display(c.mart(), with_load_time=True)
-    path = _place(mart, "mart")
-    publish_mart(mart, path)
-    publish_mart(mart.where((F.col("jaar") == str(c.years.current)) & (F.col("medewerker_id") != UNKNOWN)), path, only_its_years=True)
-    back = mart.sparkSession.read.schema(mart.schema).parquet(path)
+    base, table = warehouse_path(mart.sparkSession, "sinks"), _name("mart")
+    publish_table(mart, base, table)
+    current = mart.where((F.col("jaar") == str(c.years.current)) & (F.col("medewerker_id") != UNKNOWN))
+    back = publish_table(current, base, table, only_its_partitions=True)
     return back.groupBy("jaar").agg(F.count(F.lit(1)).alias("rijen"), F.sum("dienstverband_dagen").cast("double").alias("dienstverband_dagen"),
                                     F.count_if(F.col("medewerker_id") == UNKNOWN).alias("onbekend"))
 
@@ -70,8 +84,73 @@ def truncated_contracts(c: Context) -> DataFrame:
 
 
 def updated_contracts(c: Context) -> DataFrame:
-    """The contract dimension after an update in place, as the next table version."""
+    """The contract dimension, stored by employment relation, after an update in place that
+    rewrites the matched relations alone."""
     t = c.tables.dim_dienstverbanden
     lookup = c.tables.afas_dienstbetrekking.select(F.col("tabelwaarde_code").alias("dienstbetrekking"), F.col("omschrijving").alias("dienstbetrekking_oms"))
-    version = materialize(t.sparkSession, update_from(t, lookup, ["dienstbetrekking"], ["dienstbetrekking_oms"]), f"sinks/updated-{uuid.uuid4().hex}")
-    return version.groupBy("dienstbetrekking", "dienstbetrekking_oms").agg(F.count(F.lit(1)).alias("aantal"))
+    path = _place(t, "contracts")
+    t.write.partitionBy("dienstbetrekking").parquet(path)
+    update_partitions(t.sparkSession, path, t.schema, ["dienstbetrekking"], lookup, ["dienstbetrekking"], ["dienstbetrekking_oms"])
+    return t.sparkSession.read.schema(t.schema).parquet(path).groupBy("dienstbetrekking", "dienstbetrekking_oms").agg(F.count(F.lit(1)).alias("aantal"))
+
+
+def appended_mart(c: Context) -> DataFrame:
+    """S6 -> C6: the mart of all months but one, to which that month is then added from its own
+    facts; the load is offered twice and counts once."""
+    t, years = c.period, c.years
+    spark, late = t.fact_fte_realisatie.sparkSession, c.years.current * 100 + 2
+    others = F.col("maand_id") != late
+    base, table = warehouse_path(spark, "sinks"), _name("mart")
+    rest = t.replace(**{n: getattr(t, n).where(others) for n in FACTS})
+    maintain.start(rest, years, base, table, c.options)
+    month = c.tables.for_periods(late, late)
+    for _ in range(2):
+        stored = maintain.add_load(spark, month, years, base, table, f"maand {late}", c.options)
+    return M.as_doubles(M.display(maintain.mart_of(stored)))
+
+
+def observed_checks(c: Context) -> DataFrame:
+    """Q4, Q5: the figures observed while the mart is published."""
+    watch = Q.Watch()
+    mart = watch.mart(M.fte_mart(c.period, c.years, c.options, watch.actuals))
+    publish_table(mart, warehouse_path(mart.sparkSession, "sinks"), _name("mart"))
+    return mart.sparkSession.createDataFrame(list(watch.figures.items()), "controle string, aantal long")
+
+
+def contracts_by_relation_kept(c: Context) -> DataFrame:
+    """G10 from stored bitmaps: those of all years but the last, then the last year's added from its
+    own facts in two halves, merged when read."""
+    facts = c.tables.fact_fte_realisatie.select("maand_id", "dienstverband_id")
+    path, last = _place(facts, "contract-years"), c.years.current * 100
+    for part in (F.col("maand_id") < last, F.col("maand_id").between(last, last + 6), F.col("maand_id") > last + 6):
+        G.contracts_per_year(facts.where(part)).write.mode("append").partitionBy("jaar").parquet(path)
+    kept = facts.sparkSession.read.schema("emmer long, kaart binary, jaar string").parquet(path)
+    return G.contracts_by_relation_of(Q.merge_keys(kept, "jaar"), c.tables.dim_dienstverbanden)
+
+
+def _bucketed(c: Context) -> Tables:
+    t = c.period
+    return layout.store_bucketed(t, warehouse_path(t.dim_dienstverbanden.sparkSession, "layout"), _name("b") + "_")
+
+
+def actual_fte_bucketed(c: Context) -> DataFrame:
+    """C2 from facts and contracts stored in buckets of the contract id."""
+    return S.actual_fte(_bucketed(c), c.years, c.options)
+
+
+def sick_days_bucketed(c: Context) -> DataFrame:
+    """C4 from facts and contracts stored in buckets of the contract id."""
+    return S.sick_days(_bucketed(c), c.years, c.options)
+
+
+def seasonal_days(c: Context) -> DataFrame:
+    """Days of each year's first quarter from facts stored by month, pruned by the calendar."""
+    t = c.tables
+    stored = layout.store_by_month(t, warehouse_path(t.ref_datum.sparkSession, "layout"), _name("m") + "_", ["fact_fte_realisatie"])
+    return M.as_doubles(R.seasonal_days(stored, c.options, SEASON))
+
+
+def stored_inventory(c: Context) -> DataFrame:
+    """The inventory of the stored tables from the catalogue's own row counts."""
+    spark = c.tables.ref_datum.sparkSession
+    return inventory_of(spark, layout.store_analyzed(c.tables, warehouse_path(spark, "layout"), _name("i") + "_"))

@@ -20,7 +20,6 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -45,10 +44,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def session(app: str = "staffmart") -> SparkSession:
-    """The platform's session (its master and resources), with the job settings filled in."""
+    """The platform's session (its master and resources), with the job settings it has left unset."""
     spark = SparkSession.builder.appName(app).getOrCreate()
+    given = spark.conf.getAll
     for key, value in JOB_CONF.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -41,13 +41,15 @@ pending relations, trainees).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import functools
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staffmart.config import EXCLUDED_WORKER_TYPES, REPORT_PACKAGE, Exclusions
-from staffmart.sources.tables import FACTS, Tables
+from staffmart.sources.schemas import RAW_SCHEMAS
+from staffmart.sources.tables import Tables
 
 EXCLUSIONS = Exclusions(
     functions=("PROMO",),
@@ -68,14 +70,18 @@ def month_id(col: str) -> F.Column:
 
 
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-@dataclass(frozen=True)
 class SyntheticTables(Tables):
     """Tables bound to the synthetic data; period restriction works on the raw ship date."""
 
-    lineitem: DataFrame | None = None
+    def __init__(self, line: Callable[[], DataFrame], **tables):
+        super().__init__(**tables)
+        self._line = line
+
+    def replace(self, **changes) -> "SyntheticTables":
+        return SyntheticTables(self._line, **{**self._given, **changes})
 
     def for_periods(self, first_month: int, last_month: int) -> "SyntheticTables":
         # ``maand_id`` is computed here, so a filter on it cannot reach the scan. Filter the raw
@@ -83,27 +89,24 @@ class SyntheticTables(Tables):
         lo = dt.date(first_month // 100, first_month % 100, 1)
         hi_year, hi_month = divmod(last_month, 100)
         hi = dt.date(hi_year + (hi_month == 12), hi_month % 12 + 1, 1)
-        line = self.lineitem.filter((F.col("l_shipdate") >= F.lit(lo)) & (F.col("l_shipdate") < F.lit(hi)))
-        return self.replace(**_facts(line))
-
-    def views(self) -> dict[str, DataFrame]:
-        out = super().views()
-        out.pop("lineitem", None)
-        return out
+        in_period = (F.col("l_shipdate") >= F.lit(lo)) & (F.col("l_shipdate") < F.lit(hi))
+        return self.replace(**_facts(lambda: self._line().filter(in_period)))
 
 
-def _facts(lineitem: DataFrame) -> dict[str, DataFrame]:
-    group_id = F.when(F.col("l_linestatus") == "F", F.lit("3")).otherwise(F.lit("1"))
-    realisatie = lineitem.select(
+def _actuals(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         F.when(F.col("l_tax") != 0, F.col("l_suppkey")).alias("medewerker_id"),
         F.col("l_orderkey").alias("dienstverband_id"),
         F.col("l_partkey").alias("medewerker_functie_id"),
         F.col("l_suppkey").alias("organisatie_eenheid_id"),
         F.col("l_quantity").cast("decimal(18,6)").alias("dienstverband_dagen"),
-        group_id.alias("groepering_id"),
+        _group_id().alias("groepering_id"),
         month_id("l_shipdate").alias("maand_id"),
     )
-    ziekte = lineitem.filter(F.col("l_returnflag") == "R").select(
+
+
+def _absence(lineitem: DataFrame) -> DataFrame:
+    return lineitem.filter(F.col("l_returnflag") == "R").select(
         F.col("l_suppkey").alias("medewerker_id"),
         F.col("l_orderkey").alias("dienstverband_id"),
         F.col("l_partkey").alias("medewerker_functie_id"),
@@ -114,16 +117,28 @@ def _facts(lineitem: DataFrame) -> dict[str, DataFrame]:
         F.col("l_discount").alias("ziektepercentage"),
         month_id("l_shipdate").alias("maand_id"),
     )
-    begroting = lineitem.filter(F.col("l_returnflag") == "N").select(
+
+
+def _budget(lineitem: DataFrame) -> DataFrame:
+    return lineitem.filter(F.col("l_returnflag") == "N").select(
         month_id("l_shipdate").alias("maand_id"),
         F.col("l_partkey").alias("medewerker_functie_id"),
         F.col("l_suppkey").alias("organisatie_eenheid_id"),
         F.col("l_quantity").cast("decimal(18,6)").alias("fte_begroot_dagen"),
-        group_id.alias("groepering_id"),
+        _group_id().alias("groepering_id"),
     )
-    out = {"fact_fte_realisatie": realisatie, "fact_fte_ziekteverzuim": ziekte, "fact_fte_begroting": begroting}
-    assert set(out) == set(FACTS)
-    return out
+
+
+def _group_id() -> F.Column:
+    return F.when(F.col("l_linestatus") == "F", F.lit("3")).otherwise(F.lit("1"))
+
+
+def _facts(line: Callable[[], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    return {
+        "fact_fte_realisatie": lambda: _actuals(line()),
+        "fact_fte_ziekteverzuim": lambda: _absence(line()),
+        "fact_fte_begroting": lambda: _budget(line()),
+    }
 
 
 def calendar(orders: DataFrame) -> DataFrame:
@@ -143,18 +158,22 @@ def calendar(orders: DataFrame) -> DataFrame:
     )
 
 
-def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
-    raw = {n: read_raw(spark, sf_dir, n) for n in ("lineitem", "orders", "part", "supplier", "nation", "region")}
-    lineitem, orders = raw["lineitem"], raw["orders"]
-    geo = raw["nation"].join(raw["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    org = raw["supplier"].join(geo, F.col("s_nationkey") == F.col("n_nationkey")).select(
+def _org_units(raw: Callable[[str], DataFrame]) -> DataFrame:
+    return raw("supplier").join(_geography(raw), F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("organisatie_eenheid_id"),
         F.col("n_name").alias("kostenplaats_code"),
         F.col("n_name").alias("afdeling_code"),
         F.col("r_name").alias("cluster_code"),
     )
+
+
+def _geography(raw: Callable[[str], DataFrame]) -> DataFrame:
+    return raw("nation").join(raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+
+def _contracts(orders: DataFrame) -> DataFrame:
     order_day = F.dayofmonth("o_orderdate")
-    contracts = orders.select(
+    return orders.select(
         F.col("o_orderkey").alias("dienstverband_id"),
         F.col("o_orderpriority").alias("werkgever_code"),
         F.col("o_orderstatus").alias("dienstbetrekking"),
@@ -164,19 +183,18 @@ def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
         .alias("type_werknemer"),
         F.when(order_day == 7, F.lit(OLD_DESCRIPTION)).alias("dienstbetrekking_oms"),
     )
-    functions = raw["part"].select(
+
+
+def _functions(part: DataFrame) -> DataFrame:
+    return part.select(
         F.col("p_partkey").alias("medewerker_functie_id"),
         F.col("p_type").alias("medewerker_functie_code"),
         F.concat(F.lit("Functie "), F.col("p_type")).alias("medewerker_functie_naam"),
     )
-    budgetplaatsen = geo.select(
-        F.col("n_name").alias("kostenplaats_code"),
-        F.when(F.col("r_name") != NO_DIVISION_REGION, F.col("r_name")).alias("zorgbedrijf"),
-    )
-    rap_periode = orders.agg(F.to_date(F.max("o_orderdate")).alias("rapport_einddatum")).select(
-        F.lit(REPORT_PACKAGE).alias("package_naam"), "rapport_einddatum"
-    )
-    dashboard = (
+
+
+def _dashboard(orders: DataFrame) -> DataFrame:
+    return (
         orders.groupBy(
             F.date_format("o_orderdate", "yyyyMM").alias("rap_periode"),
             F.col("o_orderpriority").alias("rap_item"),
@@ -185,28 +203,36 @@ def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
         .agg(F.count(F.lit(1)).alias("rap_waarde"))
         .withColumn("rap_item5", F.when(F.col("rap_item") == "1-URGENT", F.lit("MGT_RAP")).otherwise(F.lit("AFD_RAP")))
     )
-    formatie = orders.select(
-        F.col("o_custkey").alias("medewerker_id"),
-        F.col("o_orderstatus").alias("dienstbetrekking"),
-    )
-    relation_lookup = spark.createDataFrame(list(RELATION_LOOKUP), "tabelwaarde_code string, omschrijving string")
-    periodes = orders.select(
-        F.col("o_custkey").alias("medewerker_id"),
-        F.to_date("o_orderdate").alias("datum_in"),
-        F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("reden_uit_dienst_code"),
-    )
+
+
+def bind(spark: SparkSession, sf_dir: str) -> SyntheticTables:
+    """The personnel tables over one folder of raw files; nothing is opened here."""
+    raw = functools.cache(lambda name: read_raw(spark, sf_dir, name))
+    orders = lambda: raw("orders")
     return SyntheticTables(
-        ref_datum=calendar(orders),
-        dim_medewerker_functies=functions,
-        dim_organisatie_eenheid=org,
-        dim_dienstverbanden=contracts,
-        dim_medewerkers=raw["supplier"].select(F.col("s_suppkey").alias("medewerker_id")),
-        dwh_budgetplaatsen=budgetplaatsen,
-        dwh_rap_periode=rap_periode,
-        dwh_dashboard=dashboard,
-        afas_mdw_formatie=formatie,
-        afas_dienstbetrekking=relation_lookup,
-        afas_dienstperiodes=periodes,
-        lineitem=lineitem,
-        **_facts(lineitem),
+        lambda: raw("lineitem"),
+        ref_datum=lambda: calendar(orders()),
+        dim_medewerker_functies=lambda: _functions(raw("part")),
+        dim_organisatie_eenheid=lambda: _org_units(raw),
+        dim_dienstverbanden=lambda: _contracts(orders()),
+        dim_medewerkers=lambda: raw("supplier").select(F.col("s_suppkey").alias("medewerker_id")),
+        dwh_budgetplaatsen=lambda: _geography(raw).select(
+            F.col("n_name").alias("kostenplaats_code"),
+            F.when(F.col("r_name") != NO_DIVISION_REGION, F.col("r_name")).alias("zorgbedrijf"),
+        ),
+        dwh_rap_periode=lambda: orders().agg(F.to_date(F.max("o_orderdate")).alias("rapport_einddatum")).select(
+            F.lit(REPORT_PACKAGE).alias("package_naam"), "rapport_einddatum"
+        ),
+        dwh_dashboard=lambda: _dashboard(orders()),
+        afas_mdw_formatie=lambda: orders().select(
+            F.col("o_custkey").alias("medewerker_id"),
+            F.col("o_orderstatus").alias("dienstbetrekking"),
+        ),
+        afas_dienstbetrekking=lambda: spark.createDataFrame(list(RELATION_LOOKUP), "tabelwaarde_code string, omschrijving string"),
+        afas_dienstperiodes=lambda: orders().select(
+            F.col("o_custkey").alias("medewerker_id"),
+            F.to_date("o_orderdate").alias("datum_in"),
+            F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("reden_uit_dienst_code"),
+        ),
+        **_facts(lambda: raw("lineitem")),
     )

@@ -8,13 +8,15 @@ inference.
 
 from __future__ import annotations
 
+import functools
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staffmart.sources.schemas import SCHEMAS
-from staffmart.sources.tables import Tables
+from staffmart.sources.tables import NAMES, Tables
 
 
 # bytes of fixed-size types
@@ -47,8 +49,7 @@ class SourceMap:
         raise ValueError(f"unknown source kind {loc.kind!r}")
 
     def tables(self, spark: SparkSession) -> Tables:
-        names = [n for n in Tables.__dataclass_fields__ if n in self.locations]
-        return Tables(**{n: self.read(spark, n) for n in names})
+        return Tables(**{n: (lambda n=n: self.read(spark, n)) for n in NAMES if n in self.locations})
 
 
 def read_jdbc(spark: SparkSession, table: str, url: str, partition_column: str | None = None,
@@ -67,14 +68,14 @@ def read_jdbc(spark: SparkSession, table: str, url: str, partition_column: str |
     return reader.load()
 
 
-def inventory(tables: dict[str, DataFrame], name_like: str = "%", column_like: str = "%") -> DataFrame:
+def inventory(tables: dict[str, DataFrame], name_like: str = "%", column_like: str = "%", counts: dict[str, int | None] | None = None) -> DataFrame:
     """Table / column / type / length inventory with row counts, filtered with case-folded
     LIKE and ordered by table.
 
     Column metadata comes from the schemas (no data read); ``length`` is the bytes of a fixed-size
-    type and -1 for strings. Row counts are one aggregation per table, unioned into a single
-    job, and joined on table and its first column's entry, as the catalogue joins a table's own
-    index row: a table without a count keeps NULL.
+    type and -1 for strings. Row counts are given (:func:`stored_inventory`), or one aggregation per
+    table, unioned into a single job. They are joined on table and its first column's entry, as the
+    catalogue joins a table's own index row: a table without a count keeps NULL.
     """
     spark = next(iter(tables.values())).sparkSession
     meta = [
@@ -83,12 +84,26 @@ def inventory(tables: dict[str, DataFrame], name_like: str = "%", column_like: s
         for f in df.schema.fields
     ]
     cols = spark.createDataFrame(meta, "tabel string, kolomnaam string, type string, length int")
-    counts = None
-    for t, df in tables.items():
-        c = df.agg(F.count(F.lit(1)).alias("rijen")).select(F.lit(t).alias("tabel"), F.lit(t).alias("_index"), "rijen")
-        counts = c if counts is None else counts.unionByName(c)
+    if counts is not None:
+        counted = spark.createDataFrame([(t, t, n) for t, n in counts.items()], "tabel string, _index string, rijen long")
+    else:
+        each = [df.agg(F.count(F.lit(1)).alias("rijen")).select(F.lit(t).alias("tabel"), F.lit(t).alias("_index"), "rijen") for t, df in tables.items()]
+        counted = functools.reduce(DataFrame.unionByName, each)
     # two keys: the table, and the index row that carries the table's own name
-    out = cols.withColumn("_index", F.col("tabel")).join(counts, ["tabel", "_index"], "left").drop("_index")
+    out = cols.withColumn("_index", F.col("tabel")).join(counted, ["tabel", "_index"], "left").drop("_index")
     return out.filter(
         F.upper("tabel").like(name_like.upper()) & F.upper("kolomnaam").like(column_like.upper())
     ).distinct().orderBy("tabel", "kolomnaam")
+
+
+def stored_rows(spark: SparkSession, table: str) -> int | None:
+    """The row count that ``ANALYZE TABLE`` left in the catalogue; None if there is none."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    found = re.search(r"(\d+) rows", told.get("Statistics") or "")
+    return int(found[1]) if found else None
+
+
+def stored_inventory(spark: SparkSession, names: dict[str, str], name_like: str = "%", column_like: str = "%") -> DataFrame:
+    """S13 from the catalogue alone: columns of its tables and the row counts of their last
+    ``ANALYZE TABLE``. No data is read."""
+    return inventory({n: spark.table(t) for n, t in names.items()}, name_like, column_like, {n: stored_rows(spark, t) for n, t in names.items()})

@@ -7,34 +7,40 @@ over the synthetic binding (:mod:`staffmart.sources.binding`) or over catalogue
 
 from __future__ import annotations
 
-import dataclasses
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staffmart.sources.schemas import SCHEMAS
+
 FACTS = ("fact_fte_begroting", "fact_fte_realisatie", "fact_fte_ziekteverzuim")
+NAMES = tuple(SCHEMAS)
 
 
-@dataclass(frozen=True)
 class Tables:
-    ref_datum: DataFrame
-    fact_fte_begroting: DataFrame
-    fact_fte_realisatie: DataFrame
-    fact_fte_ziekteverzuim: DataFrame
-    dim_medewerker_functies: DataFrame
-    dim_organisatie_eenheid: DataFrame
-    dim_dienstverbanden: DataFrame
-    dim_medewerkers: DataFrame
-    dwh_budgetplaatsen: DataFrame
-    dwh_rap_periode: DataFrame
-    dwh_dashboard: DataFrame | None = None
-    afas_mdw_formatie: DataFrame | None = None
-    afas_dienstbetrekking: DataFrame | None = None
-    afas_dienstperiodes: DataFrame | None = None
-
-    def replace(self, **changes: DataFrame) -> "Tables":
-        return dataclasses.replace(self, **changes)
+    """Personnel tables by name, each a DataFrame or a function that opens it. A table is opened
+    when a job first asks for it, so a job pays for no table it does not read. Tables that were not
+    given are None."""
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame] | None):
+        if unknown := set(tables) - set(NAMES):
+            raise TypeError(f"no personnel tables: {sorted(unknown)}")
+        self._given = {n: tables[n] for n in NAMES if tables.get(n) is not None}
+
+    def __getattr__(self, name: str) -> DataFrame | None:
+        if name not in NAMES:
+            raise AttributeError(name)
+        table = self._given.get(name)
+        if callable(table):
+            table = self._given[name] = table()
+        return table
+
+    def has(self, name: str) -> bool:
+        return name in self._given
+
+    def replace(self, **changes: DataFrame | Callable[[], DataFrame]) -> "Tables":
+        return type(self)(**{**self._given, **changes})
 
     def for_periods(self, first_month: int, last_month: int) -> "Tables":
         """Restrict the facts to ``maand_id`` in [first, last].
@@ -44,7 +50,7 @@ class Tables:
         their own period filters; this only avoids reading months no job will use.
         """
         cond = F.col("maand_id").between(first_month, last_month)
-        return self.replace(**{name: getattr(self, name).filter(cond) for name in FACTS})
+        return self.replace(**{n: (lambda n=n: getattr(self, n).filter(cond)) for n in FACTS if self.has(n)})
 
     def views(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in dataclasses.fields(self) if getattr(self, f.name) is not None}
+        return {n: getattr(self, n) for n in NAMES if self.has(n)}

@@ -61,9 +61,63 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Python" not in plan
 
 
+def _versions_of(run):
+    from pathlib import Path
+
+    return {b.name: sorted(v.name for v in b.iterdir() if v.name.startswith("batch=")) for b in Path(run, "buffers").iterdir() if b.name.startswith("bucket=")}
+
+
 def test_stream_over_micro_batches(spark, tmp_path):
     src, run = _split(tmp_path, [0, 1, 2, 3]), str(tmp_path / "run")
+    run_rolling_stream(spark, src, 3, run_dir=run, max_files_per_trigger=1, buckets=8)
+    assert _rows(current_buffers(spark, run)) == _rows(rolling_buffer(spark.read.parquet(src), 3))
+    # four micro-batches, two versions of each bucket at most
+    assert {v for found in _versions_of(run).values() for v in found} <= {f"batch={i}" for i in range(4)}
+    assert all(len(found) <= 2 for found in _versions_of(run).values())
+
+
+def test_a_batch_rewrites_only_its_keys_buckets(spark, tmp_path):
+    from pathlib import Path
+
+    run = str(tmp_path / "run")
+    events = spark.read.parquet(f"{SF}/events.parquet").selectExpr("user_id", "cast(ts as timestamp_ntz) as ts", "event_id", "value")
+    every = fold_batch(events, 0, run, 3, buckets=16)
+    assert len(every) > 5
+    user = events.first()["user_id"]
+    one = events.where(events.user_id == user)
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in Path(run, "buffers").rglob("*.parquet")}
+    before = files()
+    for i in (1, 2, 3, 4):
+        touched = fold_batch(one, i, run, 3, buckets=16)
+        assert len(touched) == 1
+    after = files()
+    mine = f"bucket={touched[0]}/"
+    assert {p: t for p, t in after.items() if mine not in p} == {p: t for p, t in before.items() if mine not in p}
+    assert _versions_of(run)[f"bucket={touched[0]}"] == ["batch=3", "batch=4"]      # no version before the last two
+    assert _rows(current_buffers(spark, run)) == _rows(rolling_buffer(events, 3))
+
+
+def test_uncommitted_batch_is_not_seen(spark, tmp_path):
+    """A batch that was written, but whose commit did not happen, changes nothing for readers; its
+    replay counts."""
+    src, run = _split(tmp_path, [0, 1, 2, 3]), str(tmp_path / "run")
+    import shutil
+
+    later = tmp_path / "later"
+    later.mkdir()
+    shutil.move(f"{src}/events-4.parquet", later / "events-4.parquet")
+    run_rolling_stream(spark, src, 3, run_dir=run, max_files_per_trigger=1)
+    want = _rows(rolling_buffer(spark.read.parquet(src), 3))
+    rows = spark.read.parquet(str(later)).selectExpr("user_id", "cast(ts as timestamp_ntz) as ts", "event_id", "value")
+    fold_batch(rows, 3, run, 3)
+    assert _rows(current_buffers(spark, run)) == want
+    shutil.copy(later / "events-4.parquet", f"{src}/events-4.parquet")
     run_rolling_stream(spark, src, 3, run_dir=run, max_files_per_trigger=1)
     assert _rows(current_buffers(spark, run)) == _rows(rolling_buffer(spark.read.parquet(src), 3))
-    # one version per micro-batch
-    assert sorted(p.name for p in (tmp_path / "run" / "buffers").iterdir()) == [f"batch={i}" for i in range(4)]
+
+
+def test_empty_folder_and_empty_batch(spark, tmp_path):
+    run = str(tmp_path / "run")
+    nothing = spark.createDataFrame([], "user_id long, ts timestamp_ntz, event_id long, value double")
+    assert fold_batch(nothing, 0, run, 3) == []
+    assert current_buffers(spark, run).collect() == []

@@ -2,9 +2,10 @@
 
 Plan shape at scale:
 
-* Actual and sick rows (and budget rows for C7) are projected to one schema with zero-filled
-  measures and stacked *before* aggregating, so one hash aggregation (partial aggregation on the
-  map side, one exchange on the mart key) replaces three aggregations plus a full outer join.
+* Actual and sick facts are projected to one schema with zero-filled measures and stacked *before*
+  they are joined, so each dimension is joined once (:func:`staging.actual_and_sick_rows`); budget
+  rows (C7) are stacked on the result. One hash aggregation (partial on the map side, one exchange
+  on the mart key) then replaces three aggregations plus a full outer join.
 * The year-to-date sums are one window over (employee, cost centre, function, year) ordered by
   month. After aggregation a window partition holds at most 12 rows, so a hot employee or cost
   centre cannot skew it; the triangular self-join of the warehouse load is kept only as
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from staffmart.config import MART_KEYS, UNKNOWN, MartOptions, ReportYears
 from staffmart.functions.columns import fte, monthly_average, zero_decimal
-from staffmart.operators.staging import actual_rows, budget_rows, sick_rows
+from staffmart.operators.staging import actual_and_sick_rows, budget_rows
 from staffmart.sources.tables import Tables
 
 DAYS = ("begroot_dagen", "dagen_ziek_ex_zwanger", "dienstverband_dagen")
@@ -49,10 +50,8 @@ Passing = Callable[[DataFrame], DataFrame]     # rows on their way, observed
 def stacked_rows(t: Tables, years: ReportYears, opts: MartOptions = MartOptions(), watch: Passing = lambda df: df) -> DataFrame:
     """Actual and sick rows (and budget rows when ``include_budget``) in one schema."""
     parts = [
-        _stackable(watch(actual_rows(t, years, opts)), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
-                   dienstverband_dagen="dienstverband_dagen"),
-        _stackable(sick_rows(t, years, opts), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
-                   dagen_ziek_ex_zwanger="dagen_ziek_ex_zwanger"),
+        _stackable(watch(actual_and_sick_rows(t, years, opts)), "periode", "medewerker_id", "kostenplaats_code", "functiecode",
+                   dienstverband_dagen="dienstverband_dagen", dagen_ziek_ex_zwanger="dagen_ziek_ex_zwanger"),
     ]
     if opts.include_budget:
         # The dormant budget insert carries no employee; it lands on the unknown member.

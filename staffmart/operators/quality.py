@@ -197,19 +197,20 @@ def mart_figures() -> list[Column]:
     return [F.count(F.lit(1)).alias("mart_rijen"), F.count_if(F.coalesce(F.col("dienstverband_dagen"), F.lit(0)) <= 0).alias("mart_rijen_zonder_dagen")]
 
 
-def actual_figures(label: str = UNKNOWN) -> list[Column]:
-    return [F.count(F.lit(1)).alias("feit_rijen"), *[F.count_if(F.col(c) == label).alias(f"{c}_onbekend") for c in ("medewerker_id", "kostenplaats_code", "functiecode")]]
+def fact_figures(label: str = UNKNOWN) -> list[Column]:
+    is_actual = F.col("soort") == S.ACTUAL
+    return [F.count_if(is_actual).alias("feit_rijen"), *[F.count_if(is_actual & (F.col(c) == label)).alias(f"{c}_onbekend") for c in ("medewerker_id", "kostenplaats_code", "functiecode")]]
 
 
 class Watch:
-    """Observed figures of one load: the mart's rows as they are written, and the actual rows that
+    """Observed figures of one load: the mart's rows as they are written, and the actual facts that
     enter it, without a scan of their own. Ready once the load has been written."""
 
     def __init__(self) -> None:
         self._seen = (Observation(), Observation())
 
-    def actuals(self, rows: DataFrame) -> DataFrame:
-        return rows.observe(self._seen[0], *actual_figures())
+    def facts(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self._seen[0], *fact_figures())
 
     def mart(self, rows: DataFrame) -> DataFrame:
         return rows.observe(self._seen[1], *mart_figures())

@@ -55,7 +55,7 @@ def run(spark: SparkSession, sf_dir: str | None = None, base: str | None = None,
     reported = F.col("jaar").isin([str(y) for y in full.years.both])
     try:
         watch = Q.Watch()
-        built = watch.mart(M.fte_mart(ctx.period, ctx.years, ctx.options, watch.actuals))
+        built = watch.mart(M.fte_mart(ctx.period, ctx.years, ctx.options, watch.facts))
         published = publish_table(built, base, named(MART_TABLE), only_its_partitions=current_year_only).where(reported)
         figures = watch.figures
         publish_table(M.display(published, with_load_time=True), base, named(PUBLIC_TABLE))

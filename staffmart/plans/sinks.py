@@ -112,7 +112,7 @@ def appended_mart(c: Context) -> DataFrame:
 def observed_checks(c: Context) -> DataFrame:
     """Q4, Q5: the figures observed while the mart is published."""
     watch = Q.Watch()
-    mart = watch.mart(M.fte_mart(c.period, c.years, c.options, watch.actuals))
+    mart = watch.mart(M.fte_mart(c.period, c.years, c.options, watch.facts))
     publish_table(mart, warehouse_path(mart.sparkSession, "sinks"), _name("mart"))
     return mart.sparkSession.createDataFrame(list(watch.figures.items()), "controle string, aantal long")
 

@@ -1,6 +1,8 @@
 """Toxic passages by maximum-scoring segments.
 
-Tokens are runs of letters in lower case. A token's score is its log-odds of standing in a toxic
+Tokens are runs of letters in lower case; punctuation and spaces outside ASCII end a run like those
+inside it. In scripts that put no spaces between words, every two neighbouring code points are a
+token, so that a word is met wherever it stands in a sentence. A token's score is its log-odds of standing in a toxic
 rather than a clean text, by the numbers of texts that hold it, with Dirichlet priors: the base rate is the prior of a token's first
 four bytes, these are the prior of its first six, these of the word. A constant is taken off, so
 that clean text drifts down; a word that a text repeats scores as neutral from then on.
@@ -15,7 +17,8 @@ the probability of label 1.
 Labels are learned from a bounded sample (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN`` documents, in the
 order of a hash of their ids); the calibration is fitted on one half of it with the log-odds of
 the other. The
-token table has at most ``VOCABULARY`` rows; it and the sample's ids are what is broadcast.
+token table holds every token that ``LEAST_COUNT`` of the sampled texts have; it and the sample's
+ids are what is broadcast.
 
 Defined cases: null or empty texts have no segment and the score of such texts; labels with null
 id or value are not learned from, of repeated labels the larger counts; without labels of both
@@ -36,10 +39,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffmart.llm.common import blocks, materialize, ship_code, text_buffer
+from staffmart.llm.language import UNSPACED
 from staffmart.llm.spans import LETTERS, fold_case, hash_ranges, prefix_sums, words
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 12000
-VOCABULARY, LEAST_COUNT = 200_000, 3
+LEAST_COUNT = 3
 PRIOR, DRIFT, LOWEST = 2.0, 0.7, -1.5
 FOLDS = 5
 _GAMMA = 0.5772156649015329
@@ -49,9 +53,56 @@ SCORE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("pre
 SCORE_DDL = "doc_id long, score double, predicted int, passages array<struct<first: long, last: long, score: double>>"
 
 
+def only_letters(buf: np.ndarray) -> np.ndarray:
+    """The text with spaces in place of characters outside ASCII that are no letters: Latin-1 signs,
+    general and CJK punctuation, full-width signs, symbols. Positions stay."""
+    if len(buf) < 2 or not (buf >= 0xC2).any():
+        return buf
+    out = buf.copy()
+    lead = np.flatnonzero(buf >= 0xC2)
+    x, y, z = buf[lead], *(buf[np.minimum(lead + i, len(buf) - 1)] for i in (1, 2))
+    two = (x == 0xC2) & ~np.isin(y, (0xAA, 0xB5, 0xBA)) | (x == 0xC3) & np.isin(y, (0x97, 0xB7))
+    three = (x == 0xE2) & ((y <= 0xAF) | (y == 0xB8) | (y == 0xB9))
+    three |= (x == 0xE3) & (y == 0x80) & ~((z >= 0x85) & (z <= 0x87))
+    three |= (x == 0xEF) & ((y == 0xB8) | (y == 0xBF) | (y == 0xBC) & ((z <= 0x8F) | (z >= 0x9A) & (z <= 0xA0) | (z >= 0xBB)) | (y == 0xBD) & ((z == 0x80) | (z >= 0x9B) & (z <= 0xA5)))
+    for at, n in ((lead[two], 2), (lead[three], 3)):
+        for i in range(n):
+            out[np.minimum(at + i, len(buf) - 1)] = 0x20
+    return out
+
+
+def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and row of all tokens, in order."""
+    text = only_letters(buf)
+    starts, ends, row = words(text, offsets, LETTERS)
+    if not len(starts) or not (text >= 0xE0).any():
+        return starts, ends, row
+    inside = np.zeros(len(text) + 1, np.int64)
+    inside[starts] += 1
+    inside[ends] -= 1
+    at = np.union1d(np.flatnonzero((np.cumsum(inside[:-1]) > 0) & ((text & 0xC0) != 0x80)), starts)      # code points of words
+    x, y = text[at], text[np.minimum(at + 1, len(text) - 1)]
+    un = (x >= 0xE3) & (x <= 0xE9)
+    for first, low, high in UNSPACED:
+        un |= (x == first) & (y >= low) & (y <= high)
+    if not un.any():
+        return starts, ends, row
+    owner = np.searchsorted(starts, at, "right") - 1
+    follows = np.r_[owner[1:] == owner[:-1], False]                  # the next code point is of the same word
+    end = np.where(follows, np.r_[at[1:], 0], ends[owner])           # of the code point
+    pair = un & follows & np.r_[un[1:], False]                       # begins a pair
+    alone = un & ~pair & ~np.r_[False, pair[:-1]]
+    spaced = ~un & np.r_[True, (owner[1:] != owner[:-1]) | un[:-1]]  # begins a stretch of letters of other scripts
+    stretch = np.cumsum(un | spaced)                                 # its last code point ends it
+    last = np.searchsorted(stretch, stretch, "right") - 1
+    take = pair | alone | spaced
+    stop = np.where(pair, end[np.minimum(np.arange(len(at)) + 1, len(at) - 1)], np.where(alone, end, end[last]))
+    return at[take], stop[take], row[owner[take]]
+
+
 def token_keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys (words, first six bytes, first four bytes) of all tokens, and starts, ends and row."""
-    starts, ends, row = words(buf, offsets, LETTERS)
+    starts, ends, row = tokens(buf, offsets)
     if not len(starts):
         return np.zeros((3, 0), np.uint64), starts, ends, row
     sums = prefix_sums(fold_case(buf))
@@ -212,13 +263,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarra
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN, vocabulary: int = VOCABULARY) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Model:
     """Fit the token table and the calibration on a bounded sample."""
     ship_code(docs.sparkSession)
     rows = materialize(sample(docs, labels, toxic, clean), "toxic-sample")
-    table = count_tokens(rows).where(F.col("toxic") + F.col("clean") >= LEAST_COUNT)
-    # most telling first: keys of toxic texts, then frequent ones
-    table = table.orderBy(F.desc(F.col("toxic") * 1000 + F.col("clean")), "k").limit(vocabulary).toArrow().to_pandas()
+    table = count_tokens(rows).where(F.col("toxic") + F.col("clean") >= LEAST_COUNT).toArrow().to_pandas()
     keys = table["k"].to_numpy(np.int64).view(np.uint64)
     table, keys = table.iloc[(order := np.argsort(keys))], keys[order]
     size = {(r[0], r[1]): float(r[2]) for r in rows.groupBy("toxic", "half").count().collect()}

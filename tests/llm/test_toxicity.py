@@ -74,3 +74,40 @@ def test_odd_rows(spark):
     assert toxicity.learn(docs.where("false"), labels).base > 0
     one_kind = toxicity.learn(docs, labels.where("toxic = 0"))
     assert {r.predicted for r in toxicity.score(docs, one_kind).collect()} == {0}
+
+
+def test_tokens_of_many_scripts():
+    def told(text):
+        raw = text.encode()
+        starts, ends, row = toxicity.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert (row == 0).all()
+        return [raw[a:b].decode() for a, b in zip(starts, ends)]
+
+    assert told("“vile” «mean»—x\u00a0y été") == ["vile", "mean", "x", "y", "été"]
+    assert told("你好吗。 abc漢字def 一") == ["你好", "好吗", "abc", "漢字", "def", "一"]
+    assert told("плохой человек") == ["плохой", "человек"]
+    assert told("ไทย") == ["ไท", "ทย"]
+    assert told("…、。！") == [] and told("") == []
+
+
+def test_text_without_spaces_is_judged_whole(spark):
+    """Planted words anywhere in sentences without spaces count as they do between spaces."""
+    import random
+
+    for space in ("", " "):
+        rnd = random.Random(4)
+        common = [chr(0x4E00 + i) for i in range(0, 2000, 7)]
+        bad = ["鬼魔妖", "殺害毒", "惡罵辱"]
+        docs = []
+        for i in range(400):
+            words = [rnd.choice(common) + rnd.choice(common) for _ in range(30)]
+            if i % 4 == 0:
+                for w in rnd.sample(bad, 2):
+                    words.insert(rnd.randrange(5, len(words)), w)
+            docs.append((i, space.join(words), "zh", "s", 1))
+        labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+        rows = toxicity.score_documents(frame(spark, docs), labels).collect()
+        held = [r for r in rows if r.held_out]
+        caught = [r.predicted for r in held if r.doc_id % 4 == 0]
+        assert len(caught) > 10 and np.mean(caught) > 0.95, space
+        assert not any(r.predicted for r in held if r.doc_id % 4)

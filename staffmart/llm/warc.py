@@ -34,7 +34,8 @@ from staffmart.llm.common import input_partitions, materialize, shared_path, shi
 
 REVISIT_BYTES = 100
 FILE_BYTES = 16 << 20
-WINDOW = 1 << 20
+WINDOW, FIRST = 1 << 20, 1 << 10          # bytes read at once, and of a record that may be none
+HEAD = 1 << 17                            # more than a gzip header's largest extra field; content begins before
 SALTS = 32
 _URN = "urn:page:"
 MANIFEST_DDL = "file string, bytes long, records long"
@@ -122,12 +123,13 @@ class _Source:
         return self.data[position - self.at:position - self.at + n]
 
     def search(self, what: bytes, position: int) -> int:
+        """The next place of ``what``, or the file's end."""
         while position < self.size:
-            data = self.read(position, min(WINDOW, self.size - position))
-            found = data.find(what)
+            self.read(position, min(len(what), self.size - position))       # the window holds it now
+            found = self.data.find(what, position - self.at)
             if found >= 0:
-                return position + found
-            position += max(1, len(data) - len(what) + 1)
+                return self.at + found
+            position = max(position + 1, self.at + len(self.data) - len(what) + 1)
         return self.size
 
 
@@ -175,22 +177,36 @@ def _member(src: _Source, position: int) -> tuple[bytes, int]:
     """A gzip member's content and its end in the file."""
     z, parts, at = zlib.decompressobj(31), [], position
     while not z.eof:
-        data = src.read(at, min(WINDOW, src.size - at))
+        data = src.read(at, min(WINDOW if parts else FIRST, src.size - at))
         if not data:
             raise BadRecord("file ends inside a member")
         try:
             parts.append(z.decompress(data))
         except zlib.error as e:
             raise BadRecord(f"member does not inflate: {e}") from None
-        if len(parts) == 1 and not b"WARC/1.".startswith(parts[0][:7]):
+        if len(parts) <= 2 and not b"WARC/1.".startswith(b"".join(parts)[:7]):
             raise BadRecord("no version line")
         at += len(data)
+        if at - position > HEAD and not any(parts):
+            raise BadRecord("no content behind the member's header")
     return b"".join(parts), at - len(z.unused_data)
 
 
 def _plain(src: _Source, position: int) -> tuple[bytes, int]:
     """A plain record's bytes and its end in the file."""
-    fields, start = _header(src.read(position, min(1 << 16, src.size - position)))
+    ask = FIRST
+    while True:      # to the header's end, however long its fields are, but only over header lines
+        data = src.read(position, min(ask, src.size - position))
+        if not re.match(rb"WARC/1\.[01]\r\n", data):
+            raise BadRecord("no version line")
+        end = data.find(b"\r\n\r\n")
+        lines = data[:end if end >= 0 else data.rfind(b"\r\n")].split(b"\r\n")[1:]
+        if any(b":" not in x and x[:1] not in b" \t" for x in lines):
+            raise BadRecord("no header field")
+        if end >= 0 or len(data) < ask:
+            break
+        ask *= 2
+    fields, start = _header(data)
     end = position + start + int(fields["content-length"]) + 4
     if end > src.size:
         raise BadRecord("file ends inside a record")
@@ -201,6 +217,7 @@ def salvage(handle: pa.NativeFile) -> Iterator[dict]:
     """Records and gaps of one file, in order. A gap has kind ``gap`` and a reason."""
     src = _Source(handle)
     position, bad_from, reason = 0, -1, ""
+    marks = {b"\x1f\x8b\x08": -1, b"WARC/1.": -1}          # each one's next place, so that no byte is searched twice
     while position < src.size:
         gz = src.read(position, 2) == b"\x1f\x8b"
         try:
@@ -209,7 +226,10 @@ def salvage(handle: pa.NativeFile) -> Iterator[dict]:
         except BadRecord as e:
             if bad_from < 0:
                 bad_from, reason = position, str(e)
-            position = min(src.search(b"\x1f\x8b\x08", position + 1), src.search(b"WARC/1.", position + 1))
+            for mark, place in marks.items():
+                if place <= position:
+                    marks[mark] = src.search(mark, position + 1)
+            position = min(marks.values())
             continue
         if bad_from >= 0:
             yield {"position": bad_from, "bytes": position - bad_from, "kind": "gap", "reason": reason}
@@ -221,28 +241,32 @@ def salvage(handle: pa.NativeFile) -> Iterator[dict]:
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
-    """Records of all files of a manifest; damaged stretches as rows of kind ``gap``."""
+    """Records of all files of a manifest; damaged stretches as rows of kind ``gap``, and a file
+    without any that gives fewer or more records than the manifest says as a ``gap`` of no bytes."""
     ship_code(manifest.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file in batch.column(0).to_pylist():
+            for file, written in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 fs, path = pafs.FileSystem.from_uri(file if "://" in file else f"file://{file}")
                 rows: list[dict] = []
-                size = 0
+                size = n_records = n_gaps = 0
                 with fs.open_input_file(path) as handle:
                     for r in salvage(handle):
                         if not with_payload:
                             r["payload"] = None
+                        n_records, n_gaps = n_records + (r["kind"] != "gap"), n_gaps + (r["kind"] == "gap")
                         rows.append({"file": file} | r)
                         size += 300 + len(r.get("payload") or b"")
                         if size > 4 * WINDOW:
                             yield pa.RecordBatch.from_pylist(rows, schema=RECORD_SCHEMA)
                             rows, size = [], 0
+                if n_records != written and not n_gaps:
+                    rows.append({"file": file, "position": 0, "bytes": 0, "kind": "gap", "reason": f"{n_records} records read, {written} written"})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=RECORD_SCHEMA)
 
-    files = manifest.select("file")
+    files = manifest.select("file", "records")
     return files.repartition(max(1, 4 * input_partitions(files))).mapInArrow(run, RECORD_DDL)
 
 
@@ -252,8 +276,15 @@ def round_trip(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", u
     return read_archives(manifest, with_payload=False)
 
 
+def whole(records: DataFrame) -> DataFrame:
+    """``records``, or an error if there is a gap among them: for archives just written."""
+    told = F.raise_error(F.concat_ws(" ", F.lit("damaged archive"), "file", "reason")).cast("boolean")
+    return records.where(F.when(F.col("kind") == "gap", told).otherwise(F.lit(True)))
+
+
 def digest(records: DataFrame) -> DataFrame:
-    return (records.where("kind <> 'gap'")
+    """What a page's record says. Nothing may be missing (:func:`whole`)."""
+    return (whole(records)
             .select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to"))
 
 

@@ -84,3 +84,48 @@ def test_gaps_reach_the_table(spark):
     manifest = spark.createDataFrame([(path, len(data), 40)], warc.MANIFEST_DDL)
     kinds = collections.Counter(r.kind for r in warc.read_archives(manifest).collect())
     assert kinds["gap"] == 1 and kinds["response"] == 39
+
+
+def test_long_plain_header(spark):
+    rows = spark.createDataFrame([(1, "u" * 70_000, "<p>one</p>"), (2, "u2", "<p>two</p>")], "page_id long, url string, html string")
+    folder = shared_path(spark, "warc-test")
+    manifest = warc.write_archives(warc.with_revisits(rows), folder, compress=False)
+    back = {r.page_id: (r.kind, len(r.url)) for r in warc.read_archives(manifest).collect()}
+    assert back == {1: ("response", 70_000), 2: ("response", 2)}
+
+
+def test_a_record_that_is_missing_is_told(spark):
+    path = write_one(spark, True)
+    clean = read(path)
+    data = open(path, "rb").read()
+    cut = clean[5]["position"]
+    open(path, "wb").write(data[:cut] + data[cut + clean[5]["bytes"]:])       # a whole member less: no check of a record fails
+    manifest = spark.createDataFrame([(path, len(data), 40)], warc.MANIFEST_DDL)
+    records = warc.read_archives(manifest)
+    assert [(r.kind, r.reason) for r in records.collect() if r.kind == "gap"] == [("gap", "39 records read, 40 written")]
+    with pytest.raises(Exception, match="damaged archive"):
+        warc.digest(records).collect()
+
+
+@pytest.mark.parametrize("junk", [b"WARC/1.1\r\n", b"\x1f\x8b\x08\x00", b"WARC/1.1\r\nb\r\n", b"WARC/1.1\r\n\x1f\x8b\x08\x00"])
+def test_false_marks_are_searched_in_linear_time(spark, tmp_path, monkeypatch, junk):
+    good = open(write_one(spark, True, 3), "rb").read()
+    got = 0
+    real = warc._Source.read
+
+    def counted(self, position, n):
+        nonlocal got
+        out = real(self, position, n)
+        got += len(out)
+        return out
+
+    monkeypatch.setattr(warc._Source, "read", counted)
+    work = []
+    for n in (2000, 8000):
+        path = str(tmp_path / f"junk{n}")
+        open(path, "wb").write(junk * n + good)
+        got = 0
+        found = read(path)
+        assert [r["kind"] for r in found] == ["gap"] + ["response"] * 3 and found[0]["bytes"] == len(junk) * n
+        work.append(got)
+    assert work[1] < 8 * work[0]

@@ -44,6 +44,7 @@ from staffmart.llm.spans import hash_ranges, hash_windows, mix, prefix_sums
 LENGTH, GRAM = 100, 32
 LEFT = LENGTH - GRAM                      # an anchor lies at most so far into a string
 BLOCK_BYTES = 2 << 20
+PLACE_BITS = 32                           # of a block's length; the other bits of a hash order the grams
 SHALLOW = 2                               # words of eight bytes
 SALT_ROWS = 2048
 BATCH_ROWS = 8192
@@ -101,8 +102,9 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none
     sums = prefix_sums(buf)
     h = hash_windows(sums, GRAM)
-    # the least hash of each string's grams, and the place of its first occurrence below it
-    bits = np.uint64(len(buf).bit_length())
+    # the least hash of each string's grams, and the place of its first occurrence below it; the
+    # same bits of the hash count in every block, so a string has the same anchor wherever it stands
+    bits = np.uint64(PLACE_BITS)
     m = h >> bits
     m <<= bits
     m |= np.arange(len(m), dtype=np.uint64)
@@ -423,12 +425,20 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                    "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", made, block_bytes, salt_rows)
 
 
+def _kept_text(raw: np.ndarray, gone: np.ndarray) -> str:
+    """The kept runs, each decoded by itself: halves of two characters never make a third."""
+    if not gone.any():
+        return raw.tobytes().decode()
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])).astype(np.int8)))
+    return "".join(raw[a:b].tobytes().decode("utf-8", "ignore") for a, b in edge.reshape(-1, 2))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with the repeats taken out of its text. Characters cut by a span's edge go as a
     whole; ``chars_col``, if there, is counted anew."""
 
     def made(x: dict) -> pa.RecordBatch:
-        kept = [x["buf"][a:b][~x["gone"][a:b]].tobytes().decode("utf-8", "ignore") for a, b in zip(x["offsets"][:-1], x["offsets"][1:])]
+        kept = [_kept_text(x["buf"][a:b], x["gone"][a:b]) for a, b in zip(x["offsets"][:-1], x["offsets"][1:])]
         columns = dict(zip((f.name for f in x["rest"].type), x["rest"].flatten())) | {text_col: pa.array(kept, pa.string())}
         if chars_col in columns:
             columns[chars_col] = pa.array([len(t) for t in kept], columns[chars_col].type)

@@ -47,3 +47,30 @@ def test_sorting_puts_equal_strings_side_by_side(texts):
     for i, x in zip(order.tolist(), label.tolist()):
         got.setdefault(x, []).append(i)
     assert sorted(got.values()) == sorted(classes.values())
+
+
+def test_a_string_has_one_anchor_in_every_block():
+    """Few bits of the hash left to compare: ties fall to the first place, in short blocks and long."""
+    text = bytes((i * 7 + i // 13) % 5 + 97 for i in range(400))
+    alone = np.frombuffer(text, np.uint8)
+    padded = np.frombuffer(b"x" * 70_000 + text + b"y" * 3_000_000, np.uint8)
+    a = suffix_dedup.anchors(alone, np.array([0, len(alone)]))
+    b = suffix_dedup.anchors(padded, np.array([0, 70_000, 70_400, len(padded)]))
+    inside = (b[0] >= 70_000) & (b[0] < 70_400)
+    assert (b[0][inside] - 70_000).tolist() == a[0].tolist() and b[1][inside].tolist() == a[1].tolist()
+
+
+def test_halves_of_characters_do_not_make_another(spark):
+    passage = "ж" * 10 + "".join(chr(0x430 + i % 32) for i in range(60))
+    # documents 2 and 3 end a shared run inside a character: the same lead byte, another second byte
+    docs = [(1, passage + "аб", "ru", "s", 1), (2, "я" + passage + "вг", "ru", "s", 1), (3, "ю" + passage + "рс", "ru", "s", 1)]
+    rows = {r.doc_id: r.text for r in suffix_dedup.remove_repeats(frame(spark, docs)).collect()}
+    assert rows[1] == docs[0][1]
+    whole = {r.doc_id: r for r in suffix_dedup.removed_spans(frame(spark, docs)).collect()}
+    assert whole[2].n_removed >= 100 and whole[3].n_removed >= 100
+    for i, _, *_ in docs[1:]:
+        given = docs[i - 1][1]
+        left = iter(given)
+        assert all(c in left for c in rows[i])          # a subsequence of the text: no character that was not there
+    raw = np.frombuffer("жя".encode(), np.uint8)
+    assert suffix_dedup._kept_text(raw, np.array([False, True, True, False])) == ""

@@ -1,18 +1,26 @@
 """Exact top-k inner products by vector-approximation files.
 
-Vectors become integers, floor(scale * x). Candidates are dealt into groups by id. Inside a
-group each dimension is cut into cells, and a vector's approximation is its cell numbers. For a
-block of queries, the cells' borders give an upper bound of every inner product; exact vectors
-are then read in descending order of bound until the k-th score found is above every bound that
-is left. Groups' results are ranked once more per query.
-
-Queries go to the groups in blocks, so a task holds one group and one block of queries, whatever
-the size of the table.
-
-Defined cases: vectors that are null, empty or hold null or non-finite components take no part,
-nor do rows with a null id; only vectors of equal length are compared; repeated rows are
-candidates each, a query that repeats answers once, and never finds rows of its own id; ties go
-to the smaller id; an empty table gives no rows; other columns are ignored.
+Vectors become integers, floor(scale * x). Candidates are dealt into groups by a hash of their row.
+A group's approximation is written once: every dimension is cut into ``CELLS`` cells of about
+equally many vectors, and a vector is its cell numbers, a byte each, beside the cells' borders.
+
+1. Scan: a block of queries meets a group's cells. Per query a table over (dimension, cell) holds
+   the most that a component of that cell can add; a vector's upper bound is the sum of its cells'
+   entries. Of the vectors with the highest upper bounds the lower bounds are worked out too: the
+   k-th highest lower bound is sure to be reached, so vectors with an upper bound below it are out.
+2. The k-th highest lower bound over all groups cuts the survivors once more.
+3. Only survivors' exact vectors are fetched, by row number, and read in descending order of upper
+   bound until the k-th score found is above every bound that is left.
+
+Bounds are doubles with their rounding added; scores are exact for components of any size (in
+doubles while that is exact, else in Python integers). A task holds one group's cells and one block
+of queries, whatever the size of the table.
+
+Defined cases: vectors that are null, empty or hold null or non-finite components (also after
+scaling) take no part, nor do rows with a null id; only vectors of equal length are compared;
+repeated rows are candidates each, a query that repeats answers once, and never finds rows of its
+own id; ties go to the smaller id; scores beyond a long are held at its ends and tie there; an empty
+table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,103 +34,209 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staffmart.llm.common import ship_code
+from staffmart.llm.common import materialize, ship_code
+from staffmart.llm.vectors import matrix, products, scaled, to_binary
 
 K, SCALE, QUERY_EVERY = 5, 256, 50
-GROUP_ROWS, QUERY_ROWS, CELLS = 4096, 4096, 16
-_EXACT = 1 << 20            # components below this keep float64 sums exact
+GROUP_ROWS, QUERY_ROWS, CELLS, AT_ONCE, SALTS = 4096, 4096, 128, 64, 8
 VECTOR_DDL = "vec_id long, dim int, vec binary"
+FILE_DDL = "g int, dim int, place binary, ids binary, cells binary, borders binary"
+BLOCK_DDL = "b int, dim int, q binary, query_ids binary, queries binary"
+FOUND_DDL = "q long, place long, upper double, lower double"
+SCORE_DDL = "q long, vec_id long, score long"
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """vec_id, dim and the integer components as 64-bit bytes, of the vectors that take part."""
+    """vec_id, dim and the integer components (as doubles) of the vectors that take part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, dims, vecs = [], [], []
-            lists = batch.column(1)
-            for i, vec_id in enumerate(batch.column(0).to_pylist()):
-                if vec_id is None or not lists[i].is_valid or lists[i].values is None or lists[i].values.null_count:
-                    continue
-                x = np.floor(lists[i].values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
-                if not len(x) or not np.isfinite(x).all() or np.abs(x).max() >= 2.0**62:
-                    continue
-                ids.append(vec_id)
-                dims.append(len(x))
-                vecs.append(x.astype("<i8").tobytes())
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(vecs, pa.binary())], names=["vec_id", "dim", "vec"])
-
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(run, VECTOR_DDL)
-
-
-def cells(vectors: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cell numbers of each component, and each cell's lowest and highest value per dimension."""
-    lowest, highest = vectors.min(axis=0), vectors.max(axis=0)
-    width = np.maximum(1, -(-(highest - lowest + 1) // n))
-    number = ((vectors - lowest) // width).astype(np.uint8)
-    low = lowest + np.arange(n)[:, None] * width
-    return number, low, np.minimum(low + width - 1, np.maximum(highest, low))
-
-
-def search_group(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, n_cells: int = CELLS) -> Iterator[tuple[int, int, int]]:
-    """(query number, id, score) of each query's k best in the group, own ids left out."""
-    order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]
-    if max(np.abs(vectors).max(), np.abs(queries).max()) >= _EXACT:       # beyond exact float sums
-        for q in range(len(queries)):
-            scores = vectors.astype(object) @ queries[q].astype(object)
-            for i in sorted((i for i in range(len(ids)) if ids[i] != query_ids[q]), key=lambda i: (-scores[i], ids[i]))[:k]:
-                yield q, int(ids[i]), int(scores[i])
-        return
-    number, low, high = cells(vectors, n_cells)
-    dims = np.arange(vectors.shape[1])
-    low, high = low[number, dims].astype(np.float64), high[number, dims].astype(np.float64)
-    for at in range(0, len(queries), 256):
-        block = queries[at:at + 256].astype(np.float64)
-        bounds = np.maximum(block, 0) @ high.T + np.minimum(block, 0) @ low.T
-        bounds[query_ids[at:at + 256, None] == ids[None, :]] = -np.inf
-        for q, bound in enumerate(bounds):
-            visit, size = np.zeros(0, np.int64), 16
-            while True:
-                size = min(len(ids), size * 4)
-                visit = np.argpartition(-bound, size - 1)[:size] if size < len(ids) else np.arange(len(ids))
-                visit = visit[bound[visit] > -np.inf]
-                scores = vectors[visit] @ queries[at + q]
-                best = np.lexsort((ids[visit], -scores))[:k]
-                # every vector not read has a bound of at most the smallest bound read
-                if size == len(ids) or (len(best) == k and bound[visit].min() < scores[best[-1]]):
-                    break
-            for i in best:
-                yield at + q, int(ids[visit[i]]), int(scores[i])
+            row, lengths, flat = scaled(batch.column(1), scale)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(lengths, pa.int32()), to_binary(flat, lengths)], names=["vec_id", "dim", "vec"])
+
+    given = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    return given.where("vec_id is not null").mapInArrow(run, VECTOR_DDL)
+
+
+def cells(vectors: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cell numbers of each component, and per dimension the borders of its cells: the least value,
+    cuts between about equally many vectors, the largest value. Towards both ends cells get
+    smaller, so that a few components far out leave no wide cell to others."""
+    ranked, tail = np.sort(vectors, axis=0), 2 ** np.arange(6)
+    ranks = np.concatenate(((np.arange(1, n) * len(ranked)) // n, tail, len(ranked) - tail))
+    cuts = ranked[np.unique(np.clip(ranks, 0, len(ranked) - 1))]
+    number = np.empty(vectors.shape, np.uint8)
+    for d in range(vectors.shape[1]):
+        number[:, d] = np.searchsorted(cuts[:, d], vectors[:, d], "right")
+    return number, np.concatenate((ranked[:1], cuts, ranked[-1:])).T.copy()
+
+
+def bounds(queries: np.ndarray, number: np.ndarray, borders: np.ndarray, highest: bool) -> np.ndarray:
+    """Upper (or lower) bounds of the inner products of every query and vector, rounding included,
+    from one look-up per dimension in the query's table of its cells."""
+    low, high = borders[:, :-1], borders[:, 1:]
+    out = np.zeros((len(queries), len(number)))
+    slack = 1e-12 * (np.abs(queries) @ np.abs(borders).max(axis=1))[:, None]
+    for d in range(number.shape[1]):
+        q = queries[:, d:d + 1]
+        table = np.maximum(q * low[d], q * high[d]) if highest else np.minimum(q * low[d], q * high[d])
+        out += table.take(number[:, d], axis=1)
+    return np.clip(out + slack if highest else out - slack, -2.0**63, 2.0**63)
+
+
+def survivors(queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, number: np.ndarray, borders: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per query: its number, and the vectors that may be among its k best, with their bounds. Of
+    vectors that only may be, the lower bound is left at minus infinity."""
+    for at in range(0, len(queries), AT_ONCE):
+        some = queries[at:at + AT_ONCE]
+        upper = bounds(some, number, borders, True)
+        upper[query_ids[at:at + AT_ONCE, None] == ids[None, :]] = -np.inf
+        few = min(len(ids), 8 * k)
+        first = np.argpartition(-upper, few - 1, axis=1)[:, :few]
+        for i, near in enumerate(first):
+            near = near[upper[i, near] > -np.inf]
+            if not len(near):
+                continue
+            lower = bounds(some[i:i + 1], number[near], borders, False)[0]
+            sure = np.sort(lower)[-k] if len(near) >= k else -np.inf
+            keep = np.flatnonzero((upper[i] >= sure) & (upper[i] > -np.inf))
+            least = np.full(len(ids), -np.inf)
+            least[near] = lower
+            yield at + i, keep, upper[i, keep], least[keep]
+
+
+def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best, ties to the smaller id."""
+    return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
+
+
+class Reader:
+    """The k best of one query, from exact vectors that come in descending order of bound."""
+
+    def __init__(self, query: np.ndarray, k: int):
+        self.query, self.k = query, k
+        self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, object)
+        self.read, self.certain = 0, False
+
+    def take(self, ids: np.ndarray, vectors: list[bytes], upper: np.ndarray) -> None:
+        """Read on, until the k-th score is above every bound that is left."""
+        at = 0
+        while at < len(ids) and not self.certain:
+            if len(self.ids) == self.k and self.scores[-1] > upper[at]:
+                self.certain = True
+                break
+            to = min(len(ids), at + max(self.k, self.read))
+            scores = np.concatenate((self.scores, products(self.query, matrix(vectors[at:to]))[0].astype(object)))
+            found = np.concatenate((self.ids, ids[at:to]))
+            top = best_of(scores, found, self.k)
+            self.ids, self.scores = found[top], scores[top]
+            self.read, at = self.read + to - at, to
+
+
+def distinct_enough(a: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Rows that can be among any query's k best: of equal vectors those of the k + 1 smallest ids
+    (one may be the query's own), and k of each id, since only the id decides between them."""
+    a = a.sort_values("vec_id", kind="stable")
+    copies = a.groupby("vec", sort=False)
+    few_ids = copies["vec_id"].rank("dense") <= k + 1
+    return a[few_ids & (a.groupby(["vec", "vec_id"], sort=False).cumcount() < k)]
+
+
+def approximation_file(vectors: DataFrame, groups: int, k: int, n_cells: int = CELLS) -> DataFrame:
+    """The cells of all vectors, a row per group: what is scanned instead of the vectors."""
+
+    def pack(a: pd.DataFrame) -> pd.DataFrame:
+        a = distinct_enough(a, k)
+        number, borders = cells(matrix(list(a["vec"])), n_cells)
+        as_bytes = lambda x: [x.tobytes()]
+        return pd.DataFrame({"g": [a["g"].iat[0]], "dim": [a["dim"].iat[0]], "place": as_bytes(a["place"].to_numpy("<i8")), "ids": as_bytes(a["vec_id"].to_numpy("<i8")),
+                             "cells": as_bytes(number), "borders": as_bytes(borders.astype("<f8"))})
+
+    return vectors.withColumn("g", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(groups)).cast("int")).groupBy("g", "dim").applyInPandas(pack, FILE_DDL)
+
+
+def query_blocks(asked: DataFrame, blocks: int) -> DataFrame:
+    """The queries, a row per block."""
+
+    def pack(a: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"b": [a["b"].iat[0]], "dim": [a["dim"].iat[0]], "q": [a["q"].to_numpy("<i8").tobytes()], "query_ids": [a["vec_id"].to_numpy("<i8").tobytes()],
+                             "queries": [b"".join(a["vec"])]})
+
+    return asked.withColumn("b", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).cast("int")).groupBy("b", "dim").applyInPandas(pack, BLOCK_DDL)
+
+
+def scan(file: DataFrame, blocks: DataFrame, n_groups: int, n_blocks: int, k: int) -> DataFrame:
+    """Survivors of every block of queries in every group's cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for dim, place, ids, number, borders, q, query_ids, queries in zip(*[c.to_pylist() for c in batch.columns]):
+                place, ids, q, query_ids = (np.frombuffer(x, "<i8") for x in (place, ids, q, query_ids))
+                number, borders = np.frombuffer(number, np.uint8).reshape(-1, dim), np.frombuffer(borders, "<f8").reshape(dim, -1)
+                queries = np.frombuffer(queries, "<f8").reshape(-1, dim)
+                out, size = [], 0
+                for i, at, upper, lower in survivors(queries, query_ids, ids, number, borders, k):
+                    out.append((np.full(len(at), q[i]), place[at], upper, lower))
+                    size += len(at)
+                    if size > 1 << 16:
+                        yield found(out)
+                        out, size = [], 0
+                if out:
+                    yield found(out)
+
+    def found(out: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["q", "place", "upper", "lower"])
+
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = file.select("*", each(n_blocks).alias("b"))
+    right = blocks.select("b", "dim", "q", "query_ids", "queries", each(n_groups).alias("g"))
+    met = left.join(right, ["g", "b", "dim"])
+    return met.select("dim", "place", "ids", "cells", "borders", "q", "query_ids", "queries").mapInArrow(run, FOUND_DDL)
 
 
 def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_every: int = QUERY_EVERY, k: int = K, scale: int = SCALE,
           group_rows: int = GROUP_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k highest scores among all other rows."""
     ship_code(rows.sparkSession)
-    vectors = integer_vectors(rows, id_col, vector_col, scale)
-    ids = rows.select(F.col(id_col).cast("long").alias("vec_id"))
-    total, asked = ids.agg(F.count("vec_id"), F.count(F.when(F.col("vec_id") % query_every == 0, 1))).first()
-    groups, query_blocks = max(1, math.ceil(total / group_rows)), max(1, math.ceil(asked / query_rows))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    deal = lambda n: F.pmod(F.xxhash64("vec_id", "vec"), F.lit(n)).cast("int")
-    left = vectors.select("*", deal(groups).alias("g"), each(query_blocks).alias("b"))
-    asks = vectors.where(F.col("vec_id") % query_every == 0).distinct()
-    right = asks.select("*", deal(query_blocks).alias("b"), each(groups).alias("g"))
-
-    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "query": pd.Series(dtype=object), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
-        stack = lambda x: np.frombuffer(b"".join(x["vec"]), "<i8").reshape(len(x), -1)
-        queries = b["vec_id"].to_numpy()
-        found = list(search_group(a["vec_id"].to_numpy(), stack(a), queries, stack(b), k))
-        return pd.DataFrame({"query_id": [int(queries[q]) for q, _, _ in found], "query": [b["vec"].iat[q] for q, _, _ in found],
-                             "vec_id": [i for _, i, _ in found], "score": [s for _, _, s in found]})
-
-    found = left.groupBy("g", "b", "dim").cogroup(right.groupBy("g", "b", "dim")).applyInPandas(search, "query_id long, query binary, vec_id long, score long")
-    w = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    vectors = materialize(integer_vectors(rows, id_col, vector_col, scale).withColumn("place", F.monotonically_increasing_id()), "topk-vectors")
+    is_query = F.col("vec_id") % query_every == 0
+    asked = materialize(vectors.where(is_query).select("vec_id", "dim", "vec").distinct().withColumn("q", F.monotonically_increasing_id()), "topk-queries")
+    total, n_asked = vectors.count(), asked.count()
+    n_groups, n_blocks = max(1, math.ceil(total / group_rows)), max(1, math.ceil(n_asked / query_rows))
+    file = materialize(approximation_file(vectors, n_groups, k), "topk-cells")
+    left = materialize(scan(file, query_blocks(asked, n_blocks), n_groups, n_blocks, k), "topk-bounds")
+    by_bound = Window.partitionBy("q").orderBy(F.desc("lower"))
+    sure = left.withColumn("place_", F.row_number().over(by_bound)).where(F.col("place_") <= k).groupBy("q").agg(F.min("lower").alias("sure"), F.count(F.lit(1)).alias("n"))
+    left = left.join(sure, "q").where((F.col("n") < k) | (F.col("upper") >= F.col("sure"))).select("q", "place", "upper")
+    # exact vectors of the survivors alone
+    read = left.join(vectors.select("place", "vec_id", "vec"), "place").join(asked.select("q", F.col("vec").alias("query")), "q")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one: tuple[int, int, Reader] | None = None
+
+        def told() -> pa.RecordBatch:
+            q, _, reader = one
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(reader.ids), q)), pa.array(reader.ids), pa.array(reader.scores.astype(np.int64))], names=["q", "vec_id", "score"])
+
+        for batch in batches:
+            q, ids, upper, salt = (batch.column(i).to_numpy() for i in (0, 1, 3, 5))
+            vectors, query = batch.column(2).to_pylist(), batch.column(4)
+            cut = np.flatnonzero(np.r_[True, (q[1:] != q[:-1]) | (salt[1:] != salt[:-1])]) if len(q) else []
+            for a, b in zip(cut, [*cut[1:], len(q)]):
+                if one is None or one[:2] != (q[a], salt[a]):
+                    if one is not None:
+                        yield told()
+                    one = int(q[a]), int(salt[a]), Reader(matrix([query[int(a)].as_py()]), k)
+                one[2].take(ids[a:b], vectors[a:b], upper[a:b])
+        if one is not None:
+            yield told()
+
+    # a query that very many vectors may answer is read by several tasks
+    read = read.withColumn("salt", F.pmod(F.hash("place"), F.lit(SALTS))).repartition("q", "salt").sortWithinPartitions("q", "salt", F.desc("upper"))
+    found = read.select("q", "vec_id", "vec", "upper", "query", "salt").mapInArrow(score, SCORE_DDL)
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
+    return (found.withColumn("rank", rank).where(F.col("rank") <= k).join(asked.select("q", F.col("vec_id").alias("query_id")), "q")
+            .select("query_id", "rank", "vec_id", "score"))
 
 
 TOPK_SQL = """

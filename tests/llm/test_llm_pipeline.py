@@ -57,18 +57,18 @@ def test_registered(spark):
     import __spark_entry__ as e
 
     q = e.queries()
-    assert "pipeline" in q and all(sum(k.startswith(f"op{n}_") for k in q) == 1 for n in range(1, 11))
+    assert "pipeline" in q and all(sum(k.startswith(f"op{n}_") for k in q) == 1 for n in range(1, 14))
     assert set(e.oracle_sql()) <= set(q)
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op6_topk", "op7_mixing"])
+@pytest.mark.parametrize("name", ["op2_warc", "op6_topk", "op7_mixing", "op11_clustering", "op12_chat", "op13_negatives"])
 def test_oracles(spark, name):
     import duckdb
 
     import __spark_entry__ as e
 
     con = duckdb.connect()
-    for t in ("pages", "embeddings", "documents"):
+    for t in ("pages", "embeddings", "documents", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = e.queries()[name](spark, SF)
     con.execute(e.oracle_sql()[name])
@@ -91,3 +91,28 @@ def test_entry_without_the_operators(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert 'absence_pivot' in q and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
+
+
+def test_every_stage_takes_odd_rows(spark):
+    """Nulls in any column, empty and repeated texts, repeated rows and ids, ties, further columns
+    that bear the operators' own names; and no rows at all."""
+    import corpus_pipeline
+    from staffmart.llm.common import materialize
+    from tests.llm.plain import frame, odd_documents
+
+    rows = odd_documents(6)
+    rows += [rows[0], rows[0], (None, None, None, None, None), (5000, None, None, None, None), (5001, "", None, "s1", 0), (5001, "", None, "s1", 0), (5002, "x" * 300_000, "en", "s2", 300_000)]
+    df = frame(spark, rows)
+    extra = ("_n", "_k", "component", "component_id", "unit", "salt", "_gone", "_odd", "copies", "length", "offset", "q", "second")
+    df = df.withColumns({c: df["text"] for c in extra})
+    for docs in (df, df.where("false")):
+        total = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            after = materialize(stage(spark, docs, SF), f"odd-{name}")
+            if name == "packing":
+                assert {r.doc_id for r in after.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").distinct().collect()}
+                continue
+            assert after.columns == docs.columns and dict(after.dtypes) == dict(docs.dtypes)
+            assert total == 0 or after.count() > 0.3 * total
+            docs = after
+        assert (total == 0) == (docs.count() == 0)

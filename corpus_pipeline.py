@@ -4,11 +4,17 @@ Stages, each a function of (spark, docs, sf_dir): toxic documents go; one docume
 near-duplicate group stays; repeated passages are cut out of the texts; sources are repeated to
 their target weights; the result is packed. Each stage's rows are written and read again as the
 next one's ``docs``; all but the last return the columns of ``documents``.
+
+Defined cases, for every stage: null or empty texts stay as they are (their set of shingles is
+empty, so they link with nothing; packed, they are the end token alone); null ids stay null, and of
+equal texts without an id one stays; a null lang counts for nothing, a null source is a source of
+its own; of rows that share id and text one stays; ties go to the smaller id; texts of any length
+are taken whole; further columns, whatever their names, go along untouched; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from staffmart.llm import jaccard_join, mixing, packing, suffix_dedup, toxicity
@@ -38,6 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in their sequences."""
+    import public_tokenizers
+
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 

@@ -10,7 +10,8 @@ word's distribution; a text's is their mean. In scripts without spaces between w
 
 Texts of any length are labelled whole: words are cut into runs of ``RUN`` whose 4 x 4 transfer
 products are chained, so that all runs of a block advance together and the result is that of one
-pass over the text.
+pass over the text. Runs are taken in slices of bounded size, forwards and then backwards; between
+them only the messages into each run are kept, so memory does not grow with words times languages.
 
 The field is trained on the driver on a bounded sample: up to ``SAMPLE`` documents per language
 (those first by a hash of their ids), ``SAMPLE_CHARS`` characters of each, cut into pieces that
@@ -27,7 +28,7 @@ are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,6 +43,7 @@ SAMPLE, SAMPLE_CHARS, SAMPLE_ALL, SAMPLE_LEAST = 300, 1500, 1 << 13, 16
 FEATURES, LEXICON, POINTS, CELLS = 1 << 15, 3000, 2, 1 << 20
 # lead byte and range of the next one, besides E3 to E9, of scripts without spaces between words
 UNSPACED = ((0xE0, 0xB8, 0xBF), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), (0xE1, 0xA5, 0xAA), (0xE2, 0xBA, 0xBF), (0xEF, 0xA4, 0xAB), (0xEF, 0xBC, 0xBE), (0xF0, 0xA0, 0xB3))
+SCAN_CELLS = 1 << 21           # words times languages that are worked on at once
 RUN, PIECE, CHAIN, BATCH, EPOCHS = 64, 8, 32, 1 << 22, 2
 FOLDS, HELD = 3, 1
 UNKNOWN = "und"
@@ -168,54 +170,117 @@ class Field:
         return out[back]
 
     def marginals(self, e: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Each word's distribution; ``row`` is each word's text, ascending."""
-        n, k = e.shape
+        """Each word's distribution from all words' emission factors; ``row`` is each word's text,
+        ascending."""
+        out = np.empty_like(e)
+        for a, b, p in self.scan(row, lambda a, b: e[a:b]):
+            out[a:b] = p
+        return out
+
+    def text_sums(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, rows: int, cells: int = SCAN_CELLS) -> np.ndarray:
+        """Each text's summed distributions of its words."""
+        out = np.zeros((rows, len(self.languages)))
+
+        def emitted(a: int, b: int) -> np.ndarray:
+            base = starts[a]
+            return self.emissions(buf[base:ends[b - 1]], starts[a:b] - base, ends[a:b] - base)
+
+        for a, b, p in self.scan(row, emitted, cells):
+            for j in range(p.shape[1]):
+                out[:, j] += np.bincount(row[a:b], weights=p[:, j], minlength=rows)
+        return out
+
+    def scan(self, row: np.ndarray, emitted: Callable[[int, int], np.ndarray], cells: int = SCAN_CELLS) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Distributions of the words [a, b), in slices of whole runs from the last to the first.
+
+        ``emitted(a, b)`` gives words' emission factors. A first pass takes the message into every
+        run from the left, a second one, backwards, that from the right and the words between; each
+        holds one slice of words, and of the rest only the messages (a row of languages per run)."""
+        n, k = len(row), len(self.languages)
         new_row = np.r_[True, row[1:] != row[:-1]]
         begin = np.flatnonzero(new_row)
         place = np.arange(n) - np.repeat(begin, np.diff(np.r_[begin, n]))
         head = np.flatnonzero(place % RUN == 0)                    # first word of each run
-        size = np.diff(np.r_[head, n])
-        opens = new_row[head]
-        # every run's words side by side; words past a run's end change nothing
-        at = head[:, None] + np.arange(RUN)
-        inside = np.arange(RUN) < size[:, None]
-        x = np.where(inside[:, :, None], e[np.minimum(at, n - 1)], 1.0)
-
-        def step(i: int, m: np.ndarray) -> np.ndarray:
-            """Message rows ``m`` (runs, r, k) moved over word i of each run."""
-            moved = m @ self.trans
-            if i == 0:
-                moved = np.where(opens[:, None, None], m.sum(axis=2, keepdims=True) / k * self.first, moved)
-            moved = moved * x[:, i, None, :]
-            moved = np.where(inside[:, i, None, None], moved, m)
-            return moved / np.maximum(moved.max(axis=(1, 2), keepdims=True), 1e-300)
-
-        product = np.broadcast_to(np.eye(k), (len(head), k, k))
-        for i in range(RUN):
-            product = step(i, product)
-        # messages into each run from the left and from the right, over runs of the same text
-        rank = np.arange(len(head)) - np.repeat(np.flatnonzero(opens), np.diff(np.r_[np.flatnonzero(opens), len(head)]))
+        del place, begin
+        size, opens = np.diff(np.r_[head, n]), new_row[head]
         left, right = np.ones((len(head), k)), np.ones((len(head), k))
-        for r in range(1, int(rank.max()) + 1):
-            to = np.flatnonzero(rank == r)
-            y = np.einsum("ni,nij->nj", left[to - 1], product[to - 1])
-            left[to] = y / np.maximum(y.max(axis=1, keepdims=True), 1e-300)
-        for r in range(int(rank.max()), 0, -1):
-            to = np.flatnonzero(rank == r)
-            y = np.einsum("nij,nj->ni", product[to], right[to])
-            right[to - 1] = y / np.maximum(y.max(axis=1, keepdims=True), 1e-300)
-        forward = np.empty((RUN, len(head), k))
+        level = lambda y: y / np.maximum(y.max(axis=-1, keepdims=True), 1e-300)
+        step_ = max(1, cells // (RUN * k))
+        slices = [(r, min(r + step_, len(head))) for r in range(0, len(head), step_)]
+
+        def opened(first: int, last: int) -> _Runs:
+            a, b = int(head[first]), int(head[last - 1] + size[last - 1])
+            return _Runs(self, emitted(a, b), head[first:last] - a, size[first:last], opens[first:last])
+
+        def ranks(first: int, last: int, starts: np.ndarray) -> Iterator[np.ndarray]:
+            """Runs of a slice by their distance from a start, from 1 on."""
+            at = np.flatnonzero(starts)
+            rank = np.arange(last - first) - np.repeat(at, np.diff(np.r_[at, last - first]))
+            order = np.argsort(rank, kind="stable")
+            cuts = np.searchsorted(rank[order], np.arange(1, int(rank.max()) + 2))
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                yield first + order[low:high]
+
+        carry = runs = None
+        for first, last in slices:
+            runs = None                                             # one slice at a time
+            runs = opened(first, last)
+            if first and not opens[first]:
+                left[first] = level(left[first - 1] @ carry)
+            for to in ranks(first, last, np.r_[True, opens[first + 1:last]]):
+                left[to] = level(np.einsum("ni,nij->nj", left[to - 1], runs.product[to - 1 - first]))
+            carry = runs.product[-1]
+        for first, last in reversed(slices):
+            if last < len(head):
+                runs = None
+                runs = opened(first, last)                          # the last slice is still at hand
+            # backwards, a run starts anew if the next one opens a text (or lies beyond the slice)
+            starts = np.r_[True, opens[first + 1:last][::-1]]
+            for to in ranks(0, last - first, starts):
+                to = last - 1 - to
+                right[to] = level(np.einsum("nij,nj->ni", runs.product[to + 1 - first], right[to + 1]))
+            if first and not opens[first]:
+                right[first - 1] = level(runs.product[0] @ right[first])
+            yield int(head[first]), int(head[last - 1] + size[last - 1]), runs.words(left[first:last], right[first:last])
+
+
+class _Runs:
+    """Runs of words side by side, and the product of each run's transfer matrices."""
+
+    def __init__(self, field: Field, e: np.ndarray, head: np.ndarray, size: np.ndarray, opens: np.ndarray):
+        self.field, self.n, self.opens = field, len(e), opens
+        self.at = head[:, None] + np.arange(RUN)
+        self.inside = np.arange(RUN) < size[:, None]
+        # words past a run's end change nothing
+        self.x = np.where(self.inside[:, :, None], e[np.minimum(self.at, self.n - 1)], 1.0)
+        k = e.shape[1]
+        self.product = np.broadcast_to(np.eye(k), (len(head), k, k))
+        for i in range(RUN):
+            self.product = self.step(i, self.product)
+
+    def step(self, i: int, m: np.ndarray) -> np.ndarray:
+        """Message rows ``m`` (runs, r, k) moved over word i of each run."""
+        moved = m @ self.field.trans
+        if i == 0:
+            moved = np.where(self.opens[:, None, None], m.sum(axis=2, keepdims=True) / m.shape[2] * self.field.first, moved)
+        moved = moved * self.x[:, i, None, :]
+        moved = np.where(self.inside[:, i, None, None], moved, m)
+        return moved / np.maximum(moved.max(axis=(1, 2), keepdims=True), 1e-300)
+
+    def words(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Each word's distribution, given the messages into the runs."""
+        forward = np.empty((RUN, *left.shape))
         m = left[:, None, :]
         for i in range(RUN):
-            m = step(i, m)
+            m = self.step(i, m)
             forward[i] = m[:, 0]
-        out = np.empty((n, k))
+        out = np.empty((self.n, left.shape[1]))
         b = right
         for i in range(RUN - 1, -1, -1):
-            ok = inside[:, i]
+            ok = self.inside[:, i]
             both = forward[i] * b
-            out[at[ok, i]] = both[ok] / np.maximum(both[ok].sum(axis=1, keepdims=True), 1e-300)
-            back = (x[:, i] * b) @ self.trans.T
+            out[self.at[ok, i]] = both[ok] / np.maximum(both[ok].sum(axis=1, keepdims=True), 1e-300)
+            back = (self.x[:, i] * b) @ self.field.trans.T
             b = np.where(ok[:, None], back / np.maximum(back.max(axis=1, keepdims=True), 1e-300), b)
         return out
 
@@ -319,9 +384,8 @@ def identify(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_
                 starts, ends, row = cut_unspaced(buf, *words(buf, offsets, LETTERS))
                 langs, score = np.full(block.num_rows, UNKNOWN, object), np.zeros(block.num_rows)
                 if field is not None and len(starts):
-                    p = field.marginals(field.emissions(buf, starts, ends), row)
                     n = np.bincount(row, minlength=block.num_rows)
-                    mean = np.stack([np.bincount(row, weights=p[:, j], minlength=block.num_rows) for j in range(p.shape[1])], axis=1) / np.maximum(n, 1)[:, None]
+                    mean = field.text_sums(buf, starts, ends, row, block.num_rows) / np.maximum(n, 1)[:, None]
                     letter = np.bincount(row, weights=buf[starts] < 128, minlength=block.num_rows) > 0
                     for i in np.flatnonzero((n > 0) & ~letter).tolist():      # no word starts with an ASCII letter
                         letter[i] = any(c.isalpha() for c in block.column(1)[i].as_py())

@@ -114,3 +114,60 @@ def test_batches_of_the_sample():
     buf, offsets = language.text_buffer(__import__("pyarrow").array(["alu ilo kret prut"]))
     starts, ends, row = language.words(buf, offsets, language.LETTERS)
     assert f.emissions(buf, starts, ends).argmax(axis=1).tolist() == [0, 0, 1, 1]
+
+
+@__import__("pytest").mark.parametrize("cells", [1, 64 * 5 * 3, 1 << 21])
+def test_slices_of_runs_give_what_one_pass_gives(cells):
+    rnd = np.random.default_rng(8)
+    k = 5
+    f = language.Field([f"l{i}" for i in range(k)], np.zeros((1, k)), rnd.random(k) + 0.1, rnd.random((k, k)) + 0.01, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    sizes = [1, 700, 63, 64, 65, 2, 129, 1000, 3]
+    row = np.repeat(np.arange(len(sizes)) * 2, sizes)                   # texts between them have no word
+    e = rnd.random((len(row), k)) ** 3 + 1e-6
+    seen = np.zeros(len(row), int)
+    got = np.empty_like(e)
+    for a, b, p in f.scan(row, lambda a, b: e[a:b], cells):
+        got[a:b] = p
+        seen[a:b] += 1
+    assert (seen == 1).all()
+    for r in np.unique(row):
+        one, _ = language.forward_backward(e[row == r][None], f.first, f.trans)
+        assert np.allclose(got[row == r], one[0] / one[0].sum(axis=1, keepdims=True), atol=1e-9)
+
+
+def test_predictions_against_a_plain_pass_over_every_text(spark):
+    """Every row of a table, by emissions of whole texts and one forward-backward pass each."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    f = language.learn(docs)
+    got = {r.doc_id: r for r in language.identify(docs, f).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        buf = language.fold_case(np.frombuffer((r.text or "").encode(), np.uint8))
+        starts, ends, row = language.cut_unspaced(buf, *language.words(buf, np.array([0, len(buf)]), language.LETTERS))
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        one, _ = language.forward_backward(f.emissions(buf, starts, ends)[None], f.first, f.trans)
+        mean = (one[0] / one[0].sum(axis=1, keepdims=True)).mean(axis=0)
+        assert got[r.doc_id].lang_pred == f.languages[int(mean.argmax())] and abs(got[r.doc_id].score - min(1.0, mean.max())) < 1e-9
+
+
+def test_a_long_text_with_many_languages_needs_bounded_memory():
+    import tracemalloc
+
+    rnd = np.random.default_rng(2)
+    k = 40
+    f = language.Field([f"l{i}" for i in range(k)], rnd.normal(size=(language.FEATURES, k)), rnd.random(k) + 0.1, rnd.random((k, k)) + 0.01, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    words = ["".join(rnd.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    peaks = []
+    for n in (40_000, 160_000):
+        buf = np.frombuffer(" ".join(rnd.choice(words, n)).encode(), np.uint8)
+        starts, ends, row = language.words(buf, np.array([0, len(buf)]), language.LETTERS)
+        tracemalloc.start()
+        sums = f.text_sums(buf, starts, ends, row, 1, cells=1 << 18)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert abs(sums.sum() - n) < 1e-6 * n
+    # four times the words: what is added is messages and word places, not words times languages
+    assert peaks[1] - peaks[0] < 0.5 * 120_000 * k * 8

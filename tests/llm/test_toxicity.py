@@ -111,3 +111,52 @@ def test_text_without_spaces_is_judged_whole(spark):
         caught = [r.predicted for r in held if r.doc_id % 4 == 0]
         assert len(caught) > 10 and np.mean(caught) > 0.95, space
         assert not any(r.predicted for r in held if r.doc_id % 4)
+
+
+def plain_segments(scores, first=0):
+    """Maximal scoring segments by their definition: the best one (the shortest and first of equals),
+    then those left and right of it."""
+    best, at = 0.0, None
+    low, low_at, total = 0.0, 0, 0.0
+    for i, s in enumerate(scores):
+        total += s
+        if total - low > best + 1e-12:
+            best, at = total - low, (low_at, i)
+        if total < low + 1e-12 and total <= low:
+            low, low_at = total, i + 1
+    if at is None:
+        return []
+    a, b = at
+    return plain_segments(scores[:a], first) + [(first + a, first + b, best)] + plain_segments(scores[b + 1:], first + b + 1)
+
+
+def test_every_row_against_a_plain_scorer(spark):
+    import math
+    import sys
+
+    sys.setrecursionlimit(20_000)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn(docs, labels)
+    table = {int(k): (t, n) for k, t, n in zip(model.keys, model.toxic, model.weight)}
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    odds = lambda p: math.log(p / (1 - p))
+    for r in rows:
+        raw = (r.text or "").encode()
+        keys, starts, ends, _ = toxicity.token_keys(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        seen, scores = set(), []
+        for i in range(len(starts)):
+            rate = model.base
+            for level in (2, 1, 0):
+                t, n = table.get(int(keys[level, i]), (0.0, 0.0))
+                rate = (t + toxicity.PRIOR * rate) / (n + toxicity.PRIOR)
+            s = max(toxicity.LOWEST, odds(rate) - odds(model.base) - toxicity.DRIFT)
+            scores.append(min(s, -toxicity.DRIFT) if int(keys[0, i]) in seen else s)
+            seen.add(int(keys[0, i]))
+        found = plain_segments(scores)
+        bits = [model.lam * s - model.log_k - math.log(max(len(scores), 1)) for _, _, s in found]
+        x = (math.log1p(max([0.0, *bits])), math.log1p(sum(b for b in bits if b > 0)))
+        p = 1 / (1 + math.exp(-max(-50.0, min(50.0, model.coef[0] + model.coef[1] * x[0] + model.coef[2] * x[1]))))
+        assert abs(got[r.doc_id].score - p) < 1e-9 and got[r.doc_id].predicted == int(p >= 0.5)
+        assert len(got[r.doc_id].passages) == sum(b > 0 for b in bits)

@@ -6,8 +6,8 @@ its own size (the excess is shared again by weight, until none is above: the lev
 each document is emitted floor(rate) times, plus once more if its seeded hash, read as a number
 in [0, 1), is below the rate's fraction. The draw depends on id and seed alone, so reruns agree.
 
-Only one row per source passes through the ordered windows; documents meet their source's row in
-a join whose small side Spark measures at run time.
+Only one row per source passes through the ordered windows. These rows are written, so that Spark
+knows their size before it plans the join in which documents meet their source's row.
 
 Defined cases: null text has 0 words; null sources form a source of their own, last in order; a
 null id draws like the empty string; repeated rows count and draw each (alike); a source without
@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staffmart.llm.common import materialize
+
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT, CAP = 150, 2
@@ -61,7 +63,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                         F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"))
     sizes = (docs.select(F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"))
              .groupBy("source").agg(F.sum("size").alias("source_size")))
-    targets = source_targets(sizes, weights, share_percent, cap).withColumnRenamed("source", "target_source")
+    # one row per source, written: Spark knows its size when it plans, and broadcasts it if that is
+    # under its threshold, so that documents are not shuffled by source, the most skewed key there is
+    targets = materialize(source_targets(sizes, weights, share_percent, cap).withColumnRenamed("source", "target_source"), "mix-targets")
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("target_source")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"row.{id_col}").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))

@@ -82,3 +82,15 @@ def test_sql_and_no_python(spark):
     assert sorted(map(tuple, df.collect())) == sorted(con.execute(mixing.MIX_SQL).fetchall())
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "MapIn" not in plan
+
+
+def test_documents_are_not_shuffled_by_source(spark):
+    import contextlib
+    import io
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        mixing.mix(docs).explain("simple")
+    plan = buf.getvalue()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Python" not in plan and "Arrow" not in plan

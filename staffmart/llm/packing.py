@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffmart.llm.common import blocks, ship_code, text_buffer
+from staffmart.llm.common import blocks, ship_code, text_buffer, tidied
 from staffmart.llm.spans import LOWER, HashTable, byte_set, hash_spans, words
 
 CAPACITY = 4096
@@ -241,6 +241,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
     """Pieces of all documents with the sequence and place each went to."""
     ship_code(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = tokenizer(tokenizer_path)
         packer = _Packer(capacity, linear, quadratic, TaskContext.get().partitionId() << 33)

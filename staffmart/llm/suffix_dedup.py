@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staffmart.llm.common import blocks, input_partitions, materialize, ship_code, text_buffer
+from staffmart.llm.common import blocks, input_partitions, materialize, ship_code, text_buffer, tidied
 from staffmart.llm.spans import hash_ranges, hash_windows, mix, prefix_sums
 
 LENGTH, GRAM = 100, 32
@@ -68,6 +68,7 @@ def to_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BL
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("offsets", T.BinaryType()),
                            T.StructField("z", T.BinaryType()), T.StructField("rest", T.ArrayType(rows.schema["rest"].dataType))])
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", 3)
         block = TaskContext.get().partitionId() << 32
@@ -146,6 +147,7 @@ def _keys(ids: list, offsets: np.ndarray, place: np.ndarray) -> np.ndarray:
 def anchor_rows(table: DataFrame) -> DataFrame:
     """One row per block and anchor hash."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, ids, offsets, z in zip(*[c.to_pylist() for c in batch.columns]):
@@ -193,6 +195,7 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int, rows: int) -> Iterat
 def verdicts(rows: DataFrame, parts: int, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Per block: the hashes that are repeats or need sorting (with their number of salts)."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 1, 1 << 18):
             h, c, n, block = (t.column(i).to_numpy() for i in range(4))
@@ -237,6 +240,7 @@ def find_strings(table: DataFrame, told: DataFrame) -> DataFrame:
     """Kind 0: runs of repeated strings per block. Kind 1: surroundings whose strings need sorting."""
     joined = table.join(told.groupBy("block").agg(F.collect_list(F.struct("h", "v")).alias("told")), "block", "left")
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, ids, offsets, z, told in zip(*[c.to_pylist() for c in batch.columns]):
@@ -312,6 +316,7 @@ def sort_strings(found: DataFrame, parts: int) -> DataFrame:
     """Kind 0: runs of repeated strings per block. Kind 1: the first strings of salted groups, as
     arrays of ``LOOSE`` records by bucket."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 2, BATCH_ROWS):
             h, salt, doc_id, block, place = (t.column(i).to_numpy() for i in range(5))
@@ -356,6 +361,7 @@ def join_salted(sorted_: DataFrame, parts: int) -> DataFrame:
         runs = _runs_by_block(late["block"], late["start"].astype(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*runs)], names=["block", "spans"]) if runs else None
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
         of = None
@@ -396,6 +402,7 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, schema: T.StructType |
     spans = (found.where("kind = 0").select("block", "spans").unionByName(sorted_.where("kind = 0").select("block", "spans"))
              .unionByName(join_salted(sorted_, parts)).groupBy("block").agg(F.collect_list("spans").alias("spans")))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

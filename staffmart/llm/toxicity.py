@@ -38,7 +38,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffmart.llm.common import blocks, materialize, ship_code, text_buffer
+from staffmart.llm.common import blocks, materialize, ship_code, text_buffer, tidied
 from staffmart.llm.language import UNSPACED
 from staffmart.llm.spans import LETTERS, fold_case, hash_ranges, prefix_sums, words
 
@@ -129,6 +129,7 @@ def sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataFr
 def count_tokens(rows: DataFrame) -> DataFrame:
     """Numbers of toxic and clean texts that hold each key."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             halves = [batch.filter(pa.compute.equal(batch.column(2), h)) for h in (0, 1)]
@@ -227,6 +228,7 @@ def _per_document(model: Model, block: pa.RecordBatch) -> Iterator[tuple[np.ndar
 def _statistics(rows: DataFrame, model: Model) -> DataFrame:
     """Per sampled text: label, tokens, best segment and segments; token scores as a histogram."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
@@ -296,6 +298,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ship_code(spark)
     shared = spark.sparkContext.broadcast(model)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
@@ -319,6 +322,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     shared = spark.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:

@@ -44,14 +44,16 @@ from staffmart.llm.vectors import matrix, products, scaled, to_binary
 
 K, SCALE, QUERY_EVERY = 5, 256, 50
 GROUP_ROWS, QUERY_ROWS, CELLS, TAILS, SALTS, SALTED_ROWS = 4096, 1 << 16, 248, 4, 8, 1024
-#: Bytes of the cells of a slice and of a block of queries; pairs of a task; queries and vectors
+#: Bytes of the cells of a slice and of a block of queries; pairs of a task; pairs from which a few
+#: groups are scanned first, and how many; queries and vectors
 #: that are multiplied at once; components whose borders are looked up at once; survivors held.
-SLICE_BYTES, BLOCK_BYTES, TASK_PAIRS = 32 << 20, 32 << 20, 1 << 36
+SLICE_BYTES, BLOCK_BYTES, TASK_PAIRS, FIRST_PAIRS, FIRST_GROUPS = 32 << 20, 32 << 20, 1 << 36, 1 << 38, 16
 ROWS, COLUMNS, LOOKED_UP, HELD = 2048, 512, 1 << 20, 1 << 21
-LIMIT, SEEN = 2.0**63, -2**31
+#: Steps that a vector's components may lie beyond the cells of one step, to be multiplied as bytes.
+LIMIT, SEEN, BEYOND = 2.0**63, -2**31, 64
 VECTOR_DDL = "vec_id long, dim int, vec binary, candidate boolean"
 FILE_DDL = "g int, dim int, place binary, ids binary, cells binary, borders binary"
-BLOCK_DDL = "b int, dim int, q binary, query_ids binary, queries binary"
+BLOCK_DDL = "b int, dim int, q binary, query_ids binary, queries binary, sure binary"
 FOUND_DDL = "q long, place long, upper double, lower double"
 SCORE_DDL = "q long, vec_id long, score long"
 
@@ -104,6 +106,15 @@ def edges(borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(low, least), np.minimum(high, largest)
 
 
+def beyond_bytes(number: np.ndarray, borders: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """How many steps, all in all, the components of each vector may lie outside of the cells of one step."""
+    n = int(borders[0, 0])
+    row, d = np.nonzero((number < TAILS) | (number >= TAILS + n))
+    cell, step = number[row, d], borders[1, d]
+    far = np.maximum(high[d, cell] / step - (n // 2 - 1), -(n // 2) - low[d, cell] / step)
+    return np.bincount(row, far, len(number))
+
+
 def rounding(sizes: np.ndarray, borders: np.ndarray) -> np.ndarray:
     """What rounding may take from a bound of queries with these sums of absolute components:
     nothing while doubles are exact."""
@@ -141,9 +152,9 @@ def pair_bounds(queries: np.ndarray, number: np.ndarray, low: np.ndarray, high:
 class Block:
     """A block of queries, and what is left of the groups that it has met."""
 
-    def __init__(self, queries: np.ndarray, query_ids: np.ndarray, k: int):
+    def __init__(self, queries: np.ndarray, query_ids: np.ndarray, k: int, sure: np.ndarray | None = None):
         self.queries, self.query_ids, self.k = queries, query_ids, k
-        self.lower, self.sure = np.full((len(queries), k), -np.inf), np.full(len(queries), -np.inf)
+        self.lower, self.sure = np.full((len(queries), k), -np.inf), np.full(len(queries), -np.inf) if sure is None else sure
         self.found: list[tuple[np.ndarray, ...]] = []
         self.held, self.step, self.sizes = 0, None, np.abs(queries).sum(axis=1)
 
@@ -153,24 +164,26 @@ class Block:
         if self.step is not None and (self.step == step).all():
             return
         self.step, n = step, len(self.queries)
-        self.bytes, self.unit, self.off, self.width, self.mass = np.empty(self.queries.shape, np.int8), np.empty(n), np.empty(n), np.empty(n), np.empty(n)
+        self.bytes, self.unit, self.off, self.width, self.mass, self.most = np.empty(self.queries.shape, np.int8), *(np.empty(n) for _ in range(5))
         for at in range(0, n, ROWS):
             some = slice(at, at + ROWS)
             with np.errstate(all="ignore"):
                 exact = self.queries[some] * step
-                self.unit[some] = np.maximum(1, np.abs(exact).max(axis=1) / 127)
+                self.most[some] = np.abs(exact).max(axis=1)
+                self.unit[some] = np.maximum(1, self.most[some] / 127)
                 near = np.rint(np.nan_to_num(exact / self.unit[some, None], nan=0, posinf=127, neginf=-127))
                 self.bytes[some] = near
                 self.off[some] = np.sqrt(((exact - near * self.unit[some, None]) ** 2).sum(axis=1))
                 self.width[some] = np.maximum(exact, 0) @ ((step - 1) / step)
                 self.mass[some] = np.abs(exact).sum(axis=1)
 
-    def needed(self, longest: float) -> np.ndarray:
-        """The least product of bytes that a survivor among vectors of at most that length can have."""
+    def needed(self, longest: float, beyond: float) -> np.ndarray:
+        """The least product of bytes that a survivor among vectors of at most that length can have,
+        if their components lie at most ``beyond`` steps, all in all, outside of the bytes."""
         with np.errstate(all="ignore"):
             large = np.where(self.mass < 2.0**43, 0, 1e-9 * (np.abs(self.sure) + 256 * self.mass))
-            least = (self.sure - self.width - self.off * (longest * (1 + 1e-9)) - large) / self.unit
-            least -= 1e-6 * np.abs(least) * (self.off > 0) + 0.5
+            least = (self.sure - self.width - self.off * (longest * (1 + 1e-9)) - self.most * (beyond * (1 + 1e-9)) - large) / self.unit
+            least -= 1e-6 * np.abs(least) * ((self.off > 0) | (beyond > 0)) + 0.5
             least[~(self.sure > -LIMIT) | np.isnan(least)] = -np.inf
         return np.clip(np.ceil(least), SEEN + 256, 2.0**31 - 256).astype(np.int32)
 
@@ -180,8 +193,10 @@ class Block:
         self.rounded(borders[1])
         low, high = edges(borders)
         slack = rounding(self.sizes, borders)
-        inside = ((number >= TAILS) & (number < TAILS + n)).all(axis=1) & (dim < 1 << 17)     # sums of products in 32 bits
-        plain, odd = np.flatnonzero(inside), np.flatnonzero(~inside)
+        beyond = beyond_bytes(number, borders, low, high)
+        plain, near, odd = (np.flatnonzero(x) for x in (beyond == 0, (beyond > 0) & (beyond <= BEYOND), ~(beyond <= BEYOND)))
+        if dim >= 1 << 17:      # sums of products beyond 32 bits
+            plain, near, odd = plain[:0], near[:0], np.arange(len(ids))
 
         def look(q: np.ndarray, at: np.ndarray) -> None:
             some = max(1, LOOKED_UP // dim)
@@ -189,11 +204,11 @@ class Block:
                 a, b = q[i:i + some], at[i:i + some]
                 self.take(a, place[b], ids[b], *pair_bounds(self.queries[a], number[b], low, high, slack[a]))
 
-        for start in range(0, len(plain), COLUMNS):
-            columns, few = plain[start:start + COLUMNS], 2 * self.k
-            code = (number[columns].astype(np.int16) - (TAILS + n // 2)).astype(np.int8)
-            longest = float(np.sqrt((code.astype(np.float64) ** 2).sum(axis=1).max()))
-            multiply, near, need = bytewise(code), [], self.needed(longest)
+        for columns in (x[start:start + COLUMNS] for x in (plain, near) for start in range(0, len(x), COLUMNS)):
+            few = 2 * self.k
+            code = np.clip(number[columns].astype(np.int16) - (TAILS + n // 2), -(n // 2), n // 2 - 1).astype(np.int8)
+            reach = float(np.sqrt((code.astype(np.float64) ** 2).sum(axis=1).max())), float(beyond[columns].max())
+            multiply, left, need = bytewise(code), [], self.needed(*reach)
             for at in range(0, len(self.queries), ROWS):
                 product = multiply(self.bytes[at:at + ROWS])
                 new = np.flatnonzero(self.sure[at:at + ROWS] == -np.inf)
@@ -201,14 +216,14 @@ class Block:
                     first = np.argpartition(product[new], -few, axis=1)[:, -few:]
                     look(at + np.repeat(new, few), columns[first.ravel()])
                     product[new[:, None], first] = SEEN
-                    need = self.needed(longest)
+                    need = self.needed(*reach)
                 least = need[at:at + ROWS].astype(product.dtype)
                 row = np.flatnonzero(product.max(axis=1) >= least)
                 if len(row):
                     which, column = np.divmod(np.flatnonzero(product[row] >= least[row, None]), len(columns))
-                    near.append((at + row[which], columns[column]))
-            if near:
-                look(*(np.concatenate(x) for x in zip(*near)))
+                    left.append((at + row[which], columns[column]))
+            if left:
+                look(*(np.concatenate(x) for x in zip(*left)))
         for start in range(0, len(odd), COLUMNS):
             columns = odd[start:start + COLUMNS]
             between = [x[np.arange(dim), number[columns]] for x in (low, high)]
@@ -239,7 +254,7 @@ class Block:
         new = np.full((len(first), self.k), -np.inf)
         new[slot[rank < self.k], rank[rank < self.k]] = lower[rank < self.k]
         best = np.sort(np.concatenate((self.lower[q[first]], new), axis=1), axis=1)[:, -self.k:]
-        self.lower[q[first]], self.sure[q[first]] = best, best[:, 0]
+        self.lower[q[first]], self.sure[q[first]] = best, np.maximum(self.sure[q[first]], best[:, 0])
         if self.held > 2 * HELD:
             self.cut()
 
@@ -320,11 +335,12 @@ def approximation_file(vectors: DataFrame, groups: int, k: int, n_cells: int = C
 
 
 def query_blocks(asked: DataFrame, blocks: int, parts: int) -> DataFrame:
-    """The queries, at most ``parts`` rows per block and dimension."""
+    """The queries and scores that their k best are sure to reach, at most ``parts`` rows per block
+    and dimension."""
 
     def pack(a: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"b": [a["part"].iat[0] % blocks], "dim": [a["dim"].iat[0]], "q": [a["q"].to_numpy("<i8").tobytes()], "query_ids": [a["vec_id"].to_numpy("<i8").tobytes()],
-                             "queries": [b"".join(a["vec"])]})
+                             "queries": [b"".join(a["vec"])], "sure": [a["sure"].to_numpy("<f8").tobytes()]})
 
     return asked.withColumn("part", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks * parts)).cast("int")).groupBy("part", "dim").applyInPandas(pack, BLOCK_DDL)
 
@@ -350,17 +366,17 @@ def scan(file: DataFrame, blocks: DataFrame, n_slices: int, n_blocks: int, k: in
         for batch in batches:
             for i in range(batch.num_rows):
                 t, dim, kind = (batch.column(c)[i].as_py() for c in range(3))
-                x, ids, rows, borders = (np.frombuffer(batch.column(c)[i].as_buffer(), kind_) if batch.column(c)[i].is_valid else None for c, kind_ in ((3, "<i8"), (4, "<i8"), (5, np.uint8), (6, "<f8")))
+                x, ids, rows, borders = (np.frombuffer(batch.column(c)[i].as_buffer(), of) for c, of in ((3, "<i8"), (4, "<i8"), (5, np.uint8), (6, "<f8")))
                 if task != (t, dim):
                     if block is not None:
                         yield from told()
                     task, asked, block = (t, dim), [], None
                 if kind == 0:
-                    asked.append((x.copy(), ids.copy(), rows.view("<f8").reshape(-1, dim).copy()))
+                    asked.append((x, ids, rows.view("<f8").reshape(-1, dim), borders))
                     continue
                 if block is None and asked:
-                    numbers, query_ids, queries = (np.concatenate(y) for y in zip(*asked))
-                    block, asked = Block(queries, query_ids, k), []
+                    numbers, query_ids, queries, sure = (np.concatenate(y) for y in zip(*asked))
+                    block, asked = Block(queries, query_ids, k, sure), []
                 if block is not None:
                     block.meet(x, ids, rows.reshape(-1, dim), borders.reshape(-1, dim))
                     if block.held > HELD:
@@ -371,9 +387,9 @@ def scan(file: DataFrame, blocks: DataFrame, n_slices: int, n_blocks: int, k: in
             yield from told()
 
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    tasks = F.lit(dealt_evenly(file.sparkSession, n_slices * n_blocks))
+    tasks = F.lit(dealt_evenly(file.sparkSession, n_slices * n_blocks)).cast("array<bigint>")      # longs, as they were hashed
     task = (F.element_at(tasks, (F.col("slice") * n_blocks + F.col("b") + 1).cast("int"))).alias("t")
-    left = blocks.withColumn("slice", each(n_slices)).select(task, "dim", F.lit(0).alias("kind"), F.col("q").alias("x"), F.col("query_ids").alias("ids"), F.col("queries").alias("rows"), F.lit(None).cast("binary").alias("borders"))
+    left = blocks.withColumn("slice", each(n_slices)).select(task, "dim", F.lit(0).alias("kind"), F.col("q").alias("x"), F.col("query_ids").alias("ids"), F.col("queries").alias("rows"), F.col("sure").alias("borders"))
     right = file.withColumn("slice", F.col("g") % n_slices).withColumn("b", each(n_blocks)).select(task, "dim", F.lit(1).alias("kind"), F.col("place").alias("x"), "ids", F.col("cells").alias("rows"), "borders")
     return left.unionByName(right).repartition(n_slices * n_blocks, "t").sortWithinPartitions("t", "dim", "kind").mapInArrow(run, FOUND_DDL)
 
@@ -393,7 +409,16 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     n_tasks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total * n_asked / TASK_PAIRS))
     n_slices = min(n_groups, max(math.ceil(n_tasks / n_blocks), math.ceil(bytes_ / SLICE_BYTES)))
     file = materialize(approximation_file(vectors, n_groups, k), "topk-cells")
-    left = materialize(scan(file, query_blocks(asked, n_blocks, math.ceil(n_asked / n_blocks / GROUP_ROWS) or 1), n_slices, n_blocks, k), "topk-bounds")
+    parts = max(1, math.ceil(n_asked / n_blocks / GROUP_ROWS))
+    told, first, head = asked.withColumn("sure", F.lit(float("-inf"))), None, F.col("g") < FIRST_GROUPS
+    if total * n_asked > FIRST_PAIRS and n_groups > FIRST_GROUPS:     # a few groups' k-th lower bounds, for all tasks to begin with
+        few = min(FIRST_GROUPS, max(1, math.ceil(spark.sparkContext.defaultParallelism / n_blocks)))
+        first = materialize(scan(file.where(head), query_blocks(told, n_blocks, parts), few, n_blocks, k), "topk-first")
+        nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("lower")))
+        sure = first.withColumn("nth", nth).where(F.col("nth") == k).select("q", F.col("lower").alias("sure"))
+        told, file = asked.join(sure, "q", "left").fillna(float("-inf"), ["sure"]), file.where(~head)
+    left = materialize(scan(file, query_blocks(told, n_blocks, parts), n_slices, n_blocks, k), "topk-bounds")
+    left = left.unionByName(first) if first is not None else left
     by_query = Window.partitionBy("q")
     every = by_query.orderBy(F.desc("lower")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     left = left.withColumn("sure", F.nth_value("lower", k).over(every)).where("sure is null or upper >= sure").withColumn("n", F.count(F.lit(1)).over(by_query)).select("q", "place", "upper", "n")

@@ -55,6 +55,23 @@ def test_equal_vectors_meet_whatever_the_number_of_groups(spark, tables):
     assert sorted(kept[kept >= 1000].tolist()) == list(range(1000, 1006))
 
 
+def test_groups_scanned_first(spark, tables, monkeypatch):
+    monkeypatch.setattr(topk, "FIRST_PAIRS", 0)
+    monkeypatch.setattr(topk, "FIRST_GROUPS", 3)
+    rnd = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rnd.normal(size=(700, 5)))] + [(750, [1.0, 2.0]), (800, [2.0, 1.0]), (800, [2.0, 1.5])]
+    df = spark.createDataFrame(rows, DDL).repartition(3)
+    assert sorted(map(tuple, topk.top_k(df, group_rows=40, query_rows=6).collect())) == brute(rows)
+    assert tables["topk-first"].count() and tables["topk-bounds"].count()
+
+
+def test_tasks_are_dealt_evenly(spark):
+    for n in (1, 7, 145):
+        numbers = spark.createDataFrame([(x,) for x in topk.dealt_evenly(spark, n)], "t long")
+        found = numbers.repartition(n, "t").withColumn("at", topk.F.spark_partition_id()).collect()
+        assert sorted(r["at"] for r in found) == list(range(n))
+
+
 @pytest.mark.parametrize("kind", ["unit", "wide", "far tails", "mixed scales", "few values", "beyond doubles"])
 @pytest.mark.parametrize("plain", [False, True])
 def test_no_best_vector_is_lost(kind, plain, monkeypatch):

@@ -10,8 +10,9 @@ with their distance; a vector is its cell numbers, a byte each, beside the cells
    k highest lower bounds so far. Cell numbers are multiplied as they are, bytes by bytes
    (``bytewise``): that gives an upper bound with the cells' width, and the query's own rounding to
    bytes, added. Only vectors that it leaves above the k-th highest lower bound get bounds from
-   their cells' borders; vectors with a component in a tail cell always get those. A cell of width
-   one holds a single integer, so bounds of vectors inside such cells meet.
+   their cells' borders; vectors far outside of the bytes always get those. A cell of width one
+   holds a single integer, so bounds of vectors inside such cells meet. Of many pairs, those with a
+   few groups are scanned first, and give all tasks a lower bound to begin with.
 2. The k-th highest lower bound over all slices cuts the survivors once more.
 3. Only survivors' exact vectors are fetched, by row number, and read in descending order of upper
    bound until the k-th score found is above every bound that is left.
